@@ -7,13 +7,14 @@ and areas, parts as the master code list.  ``samplenum`` is 1 to 3.
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from claimloom.plans.claims import long_codes
 from claimloom.plans.translate import Feeds, Lookups
+from claimloom.workspace import Workspace
 
 DX_CODE = """case when l_partkey % 97 = 0 then 'OTHER' when l_partkey % 89 = 0 then '00000'
     when l_partkey % 53 = 0 then 'ABCDE' else lpad(cast(l_partkey % 400 as string), 5, '0') end"""
@@ -32,8 +33,8 @@ CLAIM_DAY = "date_add(date'2007-12-15', cast(o_orderkey * 7 % 1140 as int))"
 class Driver:
     """Domain frames over one folder of driver tables."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.dir = spark, sf_dir
+    def __init__(self, spark: SparkSession, sf_dir: str, ws: Workspace):
+        self.spark, self.dir, self.ws = spark, sf_dir, ws
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
@@ -185,14 +186,18 @@ class Driver:
             "cast(o_custkey % 3 + 1 as int) as samplenum",
         )
 
+    @cached_property
     def claims(self) -> DataFrame:
-        """One row per order with its diagnosis and procedure code of each line number."""
+        """One row per order with its diagnosis and procedure code of each line number.
+
+        Written once: raw claims are files, which every step reads anew.
+        """
         at = [(kind, code, n) for kind, code in (("dx", DX_CODE), ("px", PX_CODE)) for n in range(1, 8)]
         wide = self.table("lineitem").groupBy("l_orderkey").agg(
             *[F.expr(f"max(case when l_linenumber = {n} then {code} end)").alias(f"{kind}_{n}") for kind, code, n in at]
         )
         joined = self.table("orders").join(wide, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-        return joined.selectExpr(
+        claims = joined.selectExpr(
             "o_orderkey as k",
             "substr(o_orderpriority, 1, 1) as band",
             "concat('P', lpad(cast(o_custkey div 3 as string), 9, '0')) as DESYNPUF_ID",
@@ -201,6 +206,7 @@ class Driver:
             "cast(o_custkey % 3 + 1 as int) as samplenum",
             *[f"{kind}_{n}" for kind, _, n in at],
         )
+        return self.ws.keep(claims, "raw-claims")
 
     @staticmethod
     def _facility_claims(claims: DataFrame, dates: list[str]) -> DataFrame:
@@ -218,17 +224,17 @@ class Driver:
         )
 
     def op(self) -> DataFrame:
-        return self._facility_claims(self.claims().where("band in ('2', '3')"), ["day as CLM_FROM_DT"])
+        return self._facility_claims(self.claims.where("band in ('2', '3')"), ["day as CLM_FROM_DT"])
 
     def ip(self) -> DataFrame:
         dates = [
             "day as CLM_ADMSN_DT", "date_add(day, cast(k % 60 as int)) as NCH_BENE_DSCHRG_DT",
             "lpad(cast(k % 500 as string), 3, '0') as CLM_DRG_CD",
         ]
-        return self._facility_claims(self.claims().where("band = '1'"), dates)
+        return self._facility_claims(self.claims.where("band = '1'"), dates)
 
     def car(self) -> DataFrame:
-        return self.claims().where("band in ('4', '5')").selectExpr(
+        return self.claims.where("band in ('4', '5')").selectExpr(
             "samplenum", "DESYNPUF_ID", "CLM_ID", "day as CLM_FROM_DT",
             "case when k % 4 <> 0 then concat('N', cast(k % 50 as string)) end as PRF_PHYSN_NPI_1",
             "case when k % 6 <> 0 then concat('X', cast(k % 30 as string)) else ' ' end as TAX_NUM_1",

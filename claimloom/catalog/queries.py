@@ -26,7 +26,8 @@ def query(fn: Callable[[Driver, Workspace], DataFrame], name: str | None = None)
     """Register a function of (driver tables, workspace) under its own name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return fn(Driver(spark, sf_dir), Workspace(spark))
+        ws = Workspace(spark)
+        return fn(Driver(spark, sf_dir, ws), ws)
 
     QUERIES[name or fn.__name__] = run
     return fn
