@@ -466,7 +466,7 @@ def detail_header_join(d, ws):
 
 
 def _final(name: str):
-    query(lambda d, ws: translate.translate(d.feeds(), d.lookups(), ws)[name], f"finalise_{name}")
+    query(lambda d, ws: translate.translate(d.feeds(), d.lookups(), ws, [name])[name], f"finalise_{name}")
 
 
 for _name in TABLES:

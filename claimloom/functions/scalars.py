@@ -59,10 +59,6 @@ def has_letter(c: Column | str) -> Column:
     return as_col(c).rlike("[A-Za-z]")
 
 
-def has_alnum(c: Column | str) -> Column:
-    return as_col(c).rlike("[A-Za-z0-9]")
-
-
 def digits_only(c: Column | str) -> Column:
     """True where the code has no letter (a missing code has none)."""
     return ~F.coalesce(has_letter(c), F.lit(False))

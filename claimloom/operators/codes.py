@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from claimloom.functions.scalars import has_alnum, is_real_code, joined_key, px_code_type, zero_for_o
+from claimloom.functions.scalars import is_real_code, joined_key, px_code_type, zero_for_o
 from claimloom.operators.joins import not_in, skew_join
 
 DX, PX = "DX", "PX"
@@ -43,7 +43,7 @@ def unpivot_codes(claims: DataFrame, keys: Sequence[str], groups: Sequence[tuple
         return F.get(F.lit([s[i] for s in slots]), F.col("_slot"))
 
     long = claims.select(*keys, F.posexplode(F.array(*[F.col(s[3]) for s in slots])).alias("_slot", "_raw"))
-    coded = long.where(has_alnum("_raw")).select(
+    coded = long.select(
         *keys,
         F.rtrim(zero_for_o("_raw")).alias("sourcecode"),
         of_slot(2).alias("sourcecat"),
@@ -51,6 +51,7 @@ def unpivot_codes(claims: DataFrame, keys: Sequence[str], groups: Sequence[tuple
         F.lower(of_slot(0)).alias("sourcevar"),
         of_slot(1).cast("int").alias("sourcevarnum"),
     )
+    # A real code has a digit, so blanks are left out as well.
     return coded.where(is_real_code("sourcecode"))
 
 

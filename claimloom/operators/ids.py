@@ -16,7 +16,7 @@ from itertools import accumulate
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.operators.joins import measured_bytes, rekey
+from claimloom.operators.joins import rekey, row_bytes
 from claimloom.workspace import Workspace
 
 _IN_PARTITION = (1 << 33) - 1
@@ -30,6 +30,13 @@ def number_rows(
     With ``within``, which must be the first order column, numbers restart at
     1 for each of its values.  Only rows equal in every order column may swap.
     """
+    return _number(df, order, name, ws, within)[0]
+
+
+def _number(df, order, name, ws, within) -> tuple[DataFrame, int]:
+    """The numbered rows and their measured size."""
+    if within is not None and order[0] != within:
+        raise ValueError(f"the first order column must be {within}")
     keys = [F.col(c).asc_nulls_last() for c in order]
     placed = (
         df.repartitionByRange(*keys)
@@ -38,23 +45,22 @@ def number_rows(
         .withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION)))
     )
     kept = ws.keep(placed, f"numbered-{name}")
-    if within is not None and order[0] != within:
-        raise ValueError(f"the first order column must be {within}")
     groups = ["_range"] if within is None else ["_range", within]
-    counts = kept.groupBy(*groups).count().collect()
+    counts = kept.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), F.sum(row_bytes(kept)).alias("bytes")).collect()
 
     per_range: dict[int, int] = {}
     per_group: dict = {}
     for r in counts:
-        per_range[r["_range"]] = per_range.get(r["_range"], 0) + r["count"]
+        per_range[r["_range"]] = per_range.get(r["_range"], 0) + r["n"]
         if within is not None:
-            per_group[r[within]] = per_group.get(r[within], 0) + r["count"]
+            per_group[r[within]] = per_group.get(r[within], 0) + r["n"]
     sizes = [per_range.get(i, 0) for i in range(max(per_range, default=0) + 1)]
     starts = [0, *accumulate(sizes)][:-1]
     number = F.get(F.lit(starts), F.col("_range")).cast("long") + F.col("_row") + 1
+    size = sum(r["bytes"] for r in counts)
 
     if within is None or not per_group:
-        return kept.select(*df.columns, number.alias(name))
+        return kept.select(*df.columns, number.alias(name)), size
     ranked = sorted(per_group, key=lambda v: (v is None, v))
     before = dict(zip(ranked, [0, *accumulate(per_group[v] for v in ranked)]))
     # One row per subsample; their number is that of the input file sets.
@@ -63,7 +69,7 @@ def number_rows(
         f"{within} {df.schema[within].dataType.simpleString()}, _before long",
     )
     joined = kept.join(F.broadcast(offsets), within, "left")
-    return joined.select(*df.columns, (number - F.col("_before")).alias(name))
+    return joined.select(*df.columns, (number - F.col("_before")).alias(name)), size
 
 
 @dataclass
@@ -96,10 +102,9 @@ def build_crosswalk(
         .select(F.col(source).alias(f"orig_{id_column}"), "samplenum")
         .distinct()
     )
-    frame = number_rows(
-        pairs, ["samplenum", f"orig_{id_column}"], id_column, ws, within="samplenum" if restart else None
-    )
-    return Crosswalk(id_column, frame, measured_bytes(frame))
+    order = ["samplenum", f"orig_{id_column}"]
+    frame, size = _number(pairs, order, id_column, ws, "samplenum" if restart else None)
+    return Crosswalk(id_column, frame, size)
 
 
 def id_collisions(df: DataFrame, id_column: str) -> DataFrame:

@@ -138,9 +138,15 @@ def count_until(points: DataFrame, asked: DataFrame, by: Sequence[str], name: st
     return days.withColumn(name, so_far).where("_asked").select(*by, "day", name)
 
 
-def _look_up_day(df: DataFrame, counts: DataFrame, by: Sequence[str], day: Column, options) -> DataFrame:
-    joined = skew_join(df.withColumn("day", day), counts, [*by, "day"], "left", **options)
-    return joined.drop("day")
+def _look_up_days(
+    df: DataFrame, by: Sequence[str], until: tuple[DataFrame, Column], before: tuple[DataFrame, Column], options
+) -> DataFrame:
+    """Add ``_n``, the count until one day less the count until another."""
+    out = df
+    for counts, day in ((until[0].toDF(*by, "day", "_b"), until[1]), (before[0].toDF(*by, "day", "_a"), before[1])):
+        keys = df.select(*by, day.alias("day"))
+        out = skew_join(out.withColumn("day", day), counts, [*by, "day"], "left", keys_from=keys, **options).drop("day")
+    return out.withColumn("_n", F.coalesce(F.col("_b") - F.col("_a"), F.lit(0)).cast("long")).drop("_a", "_b")
 
 
 def count_inside(
@@ -150,10 +156,8 @@ def count_inside(
     days = points.select(*by, F.col(point).alias("day"))
     asked = stays.select(*by, F.inline(F.array(F.struct(F.date_sub(lo, 1).alias("day")), F.struct(F.col(hi).alias("day")))))
     counts = ws.keep(count_until(days, asked, by, "_upto"), f"count-{name}")
-    out = _look_up_day(stays, counts.withColumnRenamed("_upto", "_b"), by, F.col(hi), options)
-    out = _look_up_day(out, counts.withColumnRenamed("_upto", "_a"), by, F.date_sub(lo, 1), options)
-    inside = F.greatest(F.coalesce(F.col("_b") - F.col("_a"), F.lit(0)), F.lit(0))
-    return out.withColumn(name, inside.cast("long")).drop("_a", "_b")
+    out = _look_up_days(stays, by, (counts, F.col(hi)), (counts, F.date_sub(lo, 1)), options)
+    return out.withColumn(name, F.greatest("_n", F.lit(0))).drop("_n")
 
 
 def count_overlaps(
@@ -177,6 +181,6 @@ def count_overlaps(
     ended = count_until(
         spans.select(*by, F.col(span[1]).alias("day")), periods.select(*by, F.date_sub(ps, 1).alias("day")), by, "_a"
     )
-    out = _look_up_day(periods, ws.keep(begun, f"begun-{name}"), by, F.col(pe), options)
-    out = _look_up_day(out, ws.keep(ended, f"ended-{name}"), by, F.date_sub(ps, 1), options)
-    return out.withColumn(name, F.coalesce(F.col("_b") - F.col("_a"), F.lit(0)).cast("long")).drop("_a", "_b")
+    begun, ended = ws.keep(begun, f"begun-{name}"), ws.keep(ended, f"ended-{name}")
+    out = _look_up_days(periods, by, (begun, F.col(pe)), (ended, F.date_sub(ps, 1)), options)
+    return out.withColumnRenamed("_n", name)

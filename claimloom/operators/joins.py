@@ -3,12 +3,14 @@
 Every join in the library looks rows up in a table that has few rows per key
 (a crosswalk, a code list, claim headers).  ``skew_join`` decides how to run it:
 
-* the looked-up side is measured; when it is small it is broadcast, and the
-  large side is not shuffled at all;
+* the looked-up side is measured, unless the caller knows its size or knows
+  it to be ``LARGE``; when it is small it is broadcast, and the large side is
+  not shuffled at all;
 * otherwise both sides are shuffled on the key.  Keys that hold a large share
   of the left rows, found on a sample, and missing keys, are spread over
   ``salts`` partitions; the right rows of those hot keys are repeated once per
-  salt.  The result is the same whichever keys are called hot.
+  salt.  The result is the same whichever keys are called hot, so the sample
+  may come from a cheaper table with the same keys (``keys_from``).
 """
 
 from __future__ import annotations
@@ -25,17 +27,21 @@ SALTS = 64
 HOT_SHARE = 1 / 256
 SAMPLE = 0.01
 MIN_SAMPLED = 64
+LARGE = 1 << 62
 
 _SALT = "_salt"
 
 
-def measured_bytes(df: DataFrame) -> int:
-    """Size of a table's values: exact row count and string lengths, 16 bytes per other value."""
+def row_bytes(df: DataFrame) -> Column:
+    """Size of a row's values: text lengths and 16 bytes per value."""
     text = [f.name for f in df.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
     lengths = [F.coalesce(F.octet_length(F.col(c)), F.lit(0)).cast("long") for c in text]
-    total = F.sum(reduce(lambda a, b: a + b, lengths)) if lengths else F.lit(0)
-    rows, chars = df.agg(F.count(F.lit(1)), F.coalesce(total, F.lit(0))).first()
-    return rows * 16 * len(df.columns) + int(chars)
+    return reduce(lambda a, b: a + b, lengths, F.lit(16 * len(df.columns)).cast("long"))
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Exact size of a table's values by ``row_bytes``."""
+    return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()[0]
 
 
 def hot_key_hashes(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE, sample: float = SAMPLE) -> list[int]:
@@ -74,8 +80,12 @@ def skew_join(
     small_bytes: int | None = None,
     salts: int | None = None,
     sample: float | None = None,
+    keys_from: DataFrame | None = None,
 ) -> DataFrame:
-    """Equi-join on same-named columns; ``how`` is inner, left, left_semi or left_anti."""
+    """Equi-join on same-named columns; ``how`` is inner, left, left_semi or left_anti.
+
+    ``right_bytes`` is an upper bound of the right side's size.
+    """
     on = list(on)
     small_bytes = SMALL_BYTES if small_bytes is None else small_bytes
     salts = SALTS if salts is None else salts
@@ -89,7 +99,8 @@ def skew_join(
     for c in on:
         if left.schema[c].dataType != right.schema[c].dataType:
             right = right.withColumn(c, F.col(c).cast(left.schema[c].dataType))
-    hot = hot_key_hashes(left, on, sample=sample)
+    typed = left if keys_from is None else keys_from.select(*[F.col(c).cast(left.schema[c].dataType) for c in on])
+    hot = hot_key_hashes(typed, on, sample=sample)
     keeps_unmatched = how in ("left", "left_anti")
     if not hot and not keeps_unmatched:
         return left.join(right, on, how)
@@ -129,11 +140,19 @@ def match_lookup(df: DataFrame, lookup: DataFrame, key: Column, lookup_key: str,
     return joined.drop("_key")
 
 
+def _by_membership(df: DataFrame, members: DataFrame, keys: Sequence[str], how: str, options: dict) -> DataFrame:
+    # Measured before the duplicates go, which needs no shuffle and bounds the size.
+    options.setdefault("right_bytes", None)
+    if options["right_bytes"] is None:
+        options["right_bytes"] = measured_bytes(members)
+    return skew_join(df, members.distinct(), keys, how, **options)
+
+
 def only_in(df: DataFrame, members: DataFrame, keys: Sequence[str], **options) -> DataFrame:
     """Rows whose key occurs in ``members``."""
-    return skew_join(df, members.select(*keys).distinct(), keys, "left_semi", **options)
+    return _by_membership(df, members.select(*keys), keys, "left_semi", options)
 
 
 def not_in(df: DataFrame, members: DataFrame, keys: Sequence[str], **options) -> DataFrame:
     """Rows whose key does not occur in ``members``."""
-    return skew_join(df, members.select(*keys).distinct(), keys, "left_anti", **options)
+    return _by_membership(df, members.select(*keys), keys, "left_anti", options)

@@ -24,7 +24,7 @@ from claimloom.operators.codes import (
     unpivot_codes,
 )
 from claimloom.operators.intervals import count_inside
-from claimloom.operators.joins import skew_join
+from claimloom.operators.joins import LARGE, measured_bytes, skew_join
 from claimloom.operators.rows import first_segment, union_feeds, with_constants
 from claimloom.workspace import Workspace
 
@@ -104,7 +104,8 @@ def _flagged(feed: str, claims: DataFrame, px: DataFrame, lists: dict[str, DataF
         px.where(F.col("feed") == feed), dict(zip(LISTS, (lists["ed"], lists["home"], lists["is"]))),
         ("samplenum", "PatID", "EncounterID"), "PX", "PX_CodeType", **options,
     ).withColumnsRenamed({"PatID": "DESYNPUF_ID", "EncounterID": "CLM_ID"})
-    return skew_join(claims, flags, ["samplenum", "DESYNPUF_ID", "CLM_ID"], "left", **options)
+    # One row per claim: not measured, planned as a shuffle join that Spark may still turn into a broadcast.
+    return skew_join(claims, flags, ["samplenum", "DESYNPUF_ID", "CLM_ID"], "left", **{"right_bytes": LARGE, **options})
 
 
 def classify_op(claims: DataFrame, px: DataFrame, lists: dict[str, DataFrame], **options) -> DataFrame:
@@ -142,7 +143,8 @@ def classify_ip(claims: DataFrame, visits: DataFrame, ws: Workspace, **options)
 def attach_header(lines: DataFrame, headers: DataFrame, columns: tuple[str, ...], **options) -> DataFrame:
     """Add header columns to code lines, matching on the claim id alone (within feed and subsample)."""
     on = ["samplenum", "feed", "EncounterID"]
-    return skew_join(lines, headers.select(*on, *columns).distinct(), on, "inner", **options)
+    chosen = headers.select(*on, *columns)
+    return skew_join(lines, chosen.distinct(), on, "inner", **{"right_bytes": measured_bytes(chosen), **options})
 
 
 @dataclass
@@ -158,7 +160,7 @@ def process_claims(
     feeds: dict[str, DataFrame], master: DataFrame, lists: dict[str, DataFrame], ws: Workspace, **options
 ) -> Claims:
     """Run code resolution and encounter classification over the OP, CAR and IP feeds."""
-    long = union_feeds(*[long_codes(name, frame) for name, frame in feeds.items()])
+    long = ws.keep(union_feeds(*[long_codes(name, frame) for name, frame in feeds.items()]), "code-lines")
     decided = ws.keep(resolve_codes(long, master, **options), "decided")
     px = ws.keep(px_lines(long, decided, **options), "px-lines")
     outpatient = classify_op(feeds["OP"], px, lists, **options)
@@ -166,4 +168,5 @@ def process_claims(
     visits = ws.keep(union_feeds(outpatient, carrier), "visits")
     stays = classify_ip(feeds["IP"], visits, ws, **options)
     headers = ws.keep(union_feeds(visits, stays), "headers")
-    return Claims(headers, dx_lines(long, decided, **options), px)
+    dx = ws.keep(dx_lines(long, decided, **options), "dx-lines")
+    return Claims(headers, dx, px)

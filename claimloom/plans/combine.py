@@ -41,9 +41,9 @@ def assemble(source: DataFrame, spec: TableSpec, crosswalks: dict[str, Crosswalk
     missing = [c for c in spec.rekeyed if c not in crosswalks]
     if missing:
         raise ValueError(f"no crosswalk for: {', '.join(missing)}")
-    keyed = contract_select_with_sample(source, spec)
+    original = keyed = contract_select_with_sample(source, spec)
     for id_column, how in spec.rekeyed.items():
-        keyed = crosswalks[id_column].apply(keyed, how, **options)
+        keyed = crosswalks[id_column].apply(keyed, how, keys_from=original, **options)
     table = contract_select(keyed, spec)
     return sort_contract(table, spec) if ordered else table
 

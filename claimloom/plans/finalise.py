@@ -6,6 +6,8 @@ longer code lines then pick them up in the one join that brings their header.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +20,7 @@ from claimloom.schema import TABLES
 from claimloom.workspace import Workspace
 
 PERSON = ("samplenum", "PatID")
+CLAIM_TABLES = {"encounter", "diagnosis", "procedure", "provider", "facility"}
 
 
 def first_enrollment(enrollment: DataFrame) -> DataFrame:
@@ -30,56 +33,69 @@ def finalise(
     demographic: DataFrame,
     death: DataFrame,
     dispensing: DataFrame,
-    claims: Claims,
+    claims: Claims | None,
     ws: Workspace,
+    only: Collection[str] = tuple(TABLES),
     **options,
 ) -> dict[str, DataFrame]:
-    """The nine tables of every subsample, each with samplenum; ids restart at 1 per subsample.
+    """The final tables (or those in ``only``) of every subsample, each with samplenum.
 
-    Only persons with an enrolment period are kept.
+    Ids restart at 1 per subsample.  Only persons with an enrolment period are kept.
     """
+    out: dict[str, DataFrame] = {}
+
+    def put(table: str, df: DataFrame, distinct: bool = True) -> None:
+        shaped = df.select("samplenum", *contract_columns(df, TABLES[table]))
+        out[table] = shaped.distinct() if distinct else shaped
+
     firsts = first_enrollment(enrollment)
     people = build_crosswalk(firsts, "PatID", ws, restart=True)
-    headers = study_window(claims.headers, "ADate")
-    encounters = build_crosswalk(headers, "EncounterID", ws, restart=True)
-    facilities = build_crosswalk(headers, "FacilityID", ws, restart=True, orig="Facility_Code")
-    providers = build_crosswalk(headers, "ProviderID", ws, restart=True, orig="Provider")
 
-    def person(df: DataFrame) -> DataFrame:
-        return people.apply(df, "inner", **options)
+    def person(df: DataFrame, keys_from: DataFrame | None = None) -> DataFrame:
+        return people.apply(df, "inner", keys_from=keys_from, **options)
 
-    def shaped(df: DataFrame, table: str) -> DataFrame:
-        return df.select("samplenum", *contract_columns(df, TABLES[table]))
+    # One row per person and period, and per person, date and drug: already distinct.
+    if "enrollment" in only:
+        put("enrollment", person(enrollment), distinct=False)
+    if "dispensing" in only:
+        fixed = {"ProviderID": F.lit(None).cast("long"), "Rx_CodeType": F.lit("ND")}
+        put("dispensing", person(dispensing.withColumnRenamed("NDC", "Rx").withColumns(fixed)), distinct=False)
+    if "demographic" in only:
+        known = skew_join(demographic.withColumnRenamed("ZIP", "PostalCode"), firsts, PERSON, "inner", **options)
+        dated = known.withColumn("PostalCode_Date", date_if_present("PostalCode", "first_enr_dt"))
+        put("demographic", person(dated, keys_from=demographic))
+    if "death" in only:
+        put("death", person(death))
+    if not CLAIM_TABLES & set(only):
+        return out
+
+    headers = study_window(claims.headers, "ADate")
+    providers = build_crosswalk(headers, "ProviderID", ws, restart=True, orig="Provider")
+    if "provider" in only:
+        put("provider", with_constants(providers.frame, PROVIDER_FIELDS), distinct=False)
+    facilities = build_crosswalk(headers, "FacilityID", ws, restart=True, orig="Facility_Code")
+    if "facility" in only:
+        put("facility", with_constants(facilities.frame, FACILITY_FIELDS), distinct=False)
+    if not {"encounter", "diagnosis", "procedure"} & set(only):
+        return out
 
     # Headers keep the original claim id, which the code lines still carry.
-    keyed = headers.withColumn("claim", F.col("EncounterID")).withColumn("ProviderID", F.col("Provider"))
-    keyed = encounters.apply(keyed, "left", **options)
-    keyed = providers.apply(keyed, "left", **options)
+    named = headers.withColumnsRenamed({"Provider": "ProviderID", "Facility_Code": "FacilityID"})
+    encounters = build_crosswalk(headers, "EncounterID", ws, restart=True)
+    keyed = named.withColumn("claim", F.col("EncounterID"))
+    for crosswalk in (encounters, providers, facilities):
+        keyed = crosswalk.apply(keyed, "left", keys_from=named, **options)
     keyed = ws.keep(keyed, "keyed-headers")
-    located = facilities.apply(keyed, "left", column="Facility_Code", **options)
+    found = keyed.withColumnsRenamed({"EncounterID": "new_id", "claim": "EncounterID"})
 
-    def detail(lines: DataFrame) -> DataFrame:
-        found = keyed.withColumnsRenamed({"EncounterID": "new_id", "claim": "EncounterID"})
+    def detail(table: str, lines: DataFrame) -> None:
         joined = attach_header(lines, found, ("new_id", "ADate", "ProviderID", "EncType"), **options)
-        joined = joined.drop("EncounterID").withColumnRenamed("new_id", "EncounterID")
-        return person(joined)
-
-    with_first = skew_join(demographic, firsts, PERSON, "inner", **options)
-    places = with_first.withColumnRenamed("ZIP", "PostalCode").withColumn(
-        "PostalCode_Date", date_if_present("PostalCode", "first_enr_dt")
-    )
-    filled = dispensing.withColumnRenamed("NDC", "Rx").withColumns(
-        {"ProviderID": F.lit(None).cast("long"), "Rx_CodeType": F.lit("ND")}
-    )
-    return {
-        # One row per person and period, and per person, date and drug: already distinct.
-        "enrollment": shaped(person(enrollment), "enrollment"),
-        "dispensing": shaped(person(filled), "dispensing"),
-        "demographic": shaped(person(places), "demographic").distinct(),
-        "encounter": shaped(person(located), "encounter").distinct(),
-        "diagnosis": shaped(detail(claims.dx), "diagnosis").distinct(),
-        "procedure": shaped(detail(claims.px), "procedure").distinct(),
-        "death": shaped(person(death), "death").distinct(),
-        "provider": shaped(with_constants(providers.frame, PROVIDER_FIELDS), "provider"),
-        "facility": shaped(with_constants(facilities.frame, FACILITY_FIELDS), "facility"),
-    }
+        put(table, person(joined.drop("EncounterID").withColumnRenamed("new_id", "EncounterID"), keys_from=lines))
+
+    if "encounter" in only:
+        put("encounter", person(keyed))
+    if "diagnosis" in only:
+        detail("diagnosis", claims.dx)
+    if "procedure" in only:
+        detail("procedure", claims.px)
+    return out

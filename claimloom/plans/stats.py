@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.functions.scalars import months_touched, whole_years
+from claimloom.operators.rows import union_feeds
 from claimloom.schema import STUDY_START
 
 # Categories that get a column of their own.
@@ -85,11 +85,12 @@ def descriptive_stats(tables: dict[str, DataFrame], age_on: str = STUDY_START) -
         tables[t].groupBy("samplenum").agg(F.count(F.lit(1)).alias(f"N_Obs_{t.capitalize()}"))
         for t in ("diagnosis", "procedure", "death")
     ]
-    parts = [encounters, _spread(demo, enc, "Encounters"), dispensings, _spread(demo, disp, "Dispensings"), enrolled, *others]
-    joined = reduce(lambda a, b: a.join(b, "samplenum", "left"), parts, patients)
-    counts = [c for c in joined.columns if c != "samplenum"]
-    filled = joined.fillna(0, [c for c in counts if not c.startswith(("Mean_", "Median_", "Min_", "Max_"))])
-    return filled.select(F.col("samplenum").alias("SubSample"), *[F.col(c).cast("long") for c in _ORDER])
+    # Each part has a few columns of one row per subsample; put side by side by a grouped maximum.
+    spreads = (_spread(demo, enc, "Encounters"), _spread(demo, disp, "Dispensings"))
+    parts = union_feeds(patients, encounters, dispensings, enrolled, *spreads, *others)
+    rows = parts.groupBy("samplenum").agg(*[F.max(c).cast("long").alias(c) for c in _ORDER]).where(F.col("PatIDs") > 0)
+    filled = rows.fillna(0, [c for c in _ORDER if not c.startswith(("Mean_", "Median_", "Min_", "Max_"))])
+    return filled.select(F.col("samplenum").alias("SubSample"), *_ORDER)
 
 
 def _columns() -> Sequence[str]:

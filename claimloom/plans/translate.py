@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -10,7 +11,8 @@ from claimloom.operators.rows import duplicate_keys, union_tagged
 from claimloom.plans.claims import process_claims
 from claimloom.plans.dispensing import build_dispensing
 from claimloom.plans.enrollment import build_death, build_demographic, build_enrollment
-from claimloom.plans.finalise import finalise
+from claimloom.plans.finalise import CLAIM_TABLES, finalise
+from claimloom.schema import TABLES
 from claimloom.workspace import Workspace
 
 
@@ -36,16 +38,20 @@ class Lookups:
     zips: DataFrame
 
 
-def translate(feeds: Feeds, lookups: Lookups, ws: Workspace, **options) -> dict[str, DataFrame]:
-    """The nine final tables, each with samplenum."""
+def translate(
+    feeds: Feeds, lookups: Lookups, ws: Workspace, only: Collection[str] = tuple(TABLES), **options
+) -> dict[str, DataFrame]:
+    """The nine final tables (or those in ``only``), each with samplenum."""
     bene = union_tagged(feeds.bene, "YEAR")
-    claims = process_claims(
-        {"OP": feeds.op, "CAR": feeds.car, "IP": feeds.ip},
-        lookups.master,
-        {"ed": lookups.ed, "home": lookups.home, "is": lookups.institutional},
-        ws,
-        **options,
-    )
+    claims = None
+    if CLAIM_TABLES & set(only):
+        claims = process_claims(
+            {"OP": feeds.op, "CAR": feeds.car, "IP": feeds.ip},
+            lookups.master,
+            {"ed": lookups.ed, "home": lookups.home, "is": lookups.institutional},
+            ws,
+            **options,
+        )
     enrollment = ws.keep(build_enrollment(bene), "enrollment")
     return finalise(
         enrollment,
@@ -54,6 +60,7 @@ def translate(feeds: Feeds, lookups: Lookups, ws: Workspace, **options) -> dict[
         build_dispensing(feeds.pde),
         claims,
         ws,
+        only,
         **options,
     )
 

@@ -7,7 +7,7 @@ knows its size when it plans the joins that read it.
 from __future__ import annotations
 
 import atexit
-import shutil
+import contextlib
 import tempfile
 import uuid
 
@@ -17,26 +17,28 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
-    Only a local-mode session without that setting gets a temporary folder,
-    which is removed when the interpreter ends.
+    Only a local-mode session without that setting gets a temporary folder.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if root:
         return root
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="claimloom-")
-    atexit.register(shutil.rmtree, root, ignore_errors=True)
-    return root
+    return tempfile.mkdtemp(prefix="claimloom-")
 
 
 class Workspace:
-    """A private subfolder of the shared folder for one run's written tables."""
+    """A private subfolder of the shared folder for one run's written tables.
+
+    It is deleted by ``close`` or when the interpreter ends; results that
+    still read it must have been written or collected by then.
+    """
 
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.path = f"{(root or shared_root(spark)).rstrip('/')}/claimloom-{uuid.uuid4().hex}"
         self._made = 0
+        atexit.register(self._close_at_exit)
 
     def new_path(self, name: str) -> str:
         self._made += 1
@@ -49,10 +51,17 @@ class Workspace:
         return self.spark.read.schema(df.schema).parquet(path)
 
     def close(self) -> None:
-        """Delete this run's tables; results that still read them become unreadable."""
-        jvm = self.spark.sparkContext._jvm
-        target = jvm.org.apache.hadoop.fs.Path(self.path)
-        target.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        """Delete this run's tables."""
+        if self._made:
+            jvm = self.spark.sparkContext._jvm
+            folder = jvm.org.apache.hadoop.fs.Path(self.path)
+            folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            self._made = 0
+        atexit.unregister(self._close_at_exit)
+
+    def _close_at_exit(self) -> None:
+        with contextlib.suppress(Exception):  # the session may be gone already
+            self.close()
 
     def __enter__(self) -> Workspace:
         return self
