@@ -243,14 +243,14 @@ class Driver:
             *[f"px_{n} as HCPCS_CD_{n}" for n in range(1, 8)],
         )
 
-    def feeds(self) -> Feeds:
-        return Feeds(self.bene_years(), self.pde(), self.op(), self.car(), self.ip())
+    def feeds(self, claims: bool = True) -> Feeds:
+        return Feeds(self.bene_years(), self.pde(), **(self.claim_feeds() if claims else {}))
 
     def claim_feeds(self) -> dict[str, DataFrame]:
-        return {"OP": self.op(), "CAR": self.car(), "IP": self.ip()}
+        return {"op": self.op(), "car": self.car(), "ip": self.ip()}
 
     def long(self) -> DataFrame:
-        return reduce(DataFrame.unionByName, [long_codes(name, df) for name, df in self.claim_feeds().items()])
+        return reduce(DataFrame.unionByName, [long_codes(name.upper(), df) for name, df in self.claim_feeds().items()])
 
     # Lookups
 

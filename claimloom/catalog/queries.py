@@ -13,7 +13,7 @@ from claimloom.functions.scalars import HISPANIC, RACE, SEX, first_present, is_r
 from claimloom.operators import codes, ids, intervals, joins, rows
 from claimloom.plans import claims, combine, enrollment, stats, translate
 from claimloom.plans.dispensing import build_dispensing
-from claimloom.plans.finalise import first_enrollment
+from claimloom.plans.finalise import CLAIM_TABLES, first_enrollment
 from claimloom.schema import SOURCED_TABLES, TABLES
 from claimloom.sources import readers, sinks
 from claimloom.workspace import Workspace
@@ -429,44 +429,46 @@ def primary_dx(d, ws):
     return claims.dx_lines(long.where(F.col("feed") == "IP"), decided).select("samplenum", "PatID", "EncounterID", "DX", "Dx_Codetype", "PDX")
 
 
-@query
-def claim_flags(d, ws):
-    lists = dict(zip(claims.LISTS, d.code_lists().values()))
-    return codes.claim_flags(claims.px_lines(*_decided(d)), lists, claims.CLAIM, "PX", "PX_CodeType")
+def _flags(d: Driver) -> DataFrame:
+    return claims.flag_claims(*_decided(d), d.code_lists())
 
 
-def _outpatient(d: Driver, ws: Workspace) -> tuple[DataFrame, DataFrame]:
-    px = ws.keep(claims.px_lines(*_decided(d)), "px")
-    lists = d.code_lists()
-    return claims.classify_op(d.op(), px, lists), claims.classify_car(d.car(), px, lists)
+@query
+def claim_flags(d, ws):
+    return _flags(d)
 
 
 @query
 def encounter_op(d, ws):
-    return _outpatient(d, ws)[0]
+    return claims.classify_op(d.op(), _flags(d))
 
 
 @query
 def encounter_car(d, ws):
-    return _outpatient(d, ws)[1]
+    return claims.classify_car(d.car(), _flags(d))
 
 
 @query
 def encounter_ip(d, ws):
-    return claims.classify_ip(d.ip(), ws.keep(rows.union_feeds(*_outpatient(d, ws)), "visits"), ws)
+    flags = ws.keep(_flags(d), "flags")
+    visits = rows.union_feeds(claims.classify_op(d.op(), flags), claims.classify_car(d.car(), flags))
+    return claims.classify_ip(d.ip(), ws.keep(visits, "visits"), ws)
 
 
 @query
 def detail_header_join(d, ws):
-    done = claims.process_claims(d.claim_feeds(), d.master(), d.code_lists(), ws)
-    return claims.attach_header(done.dx, done.headers, ("ADate", "Provider", "EncType")).distinct()
+    done = claims.process_claims({k.upper(): v for k, v in d.claim_feeds().items()}, d.master(), d.code_lists(), ws)
+    return claims.attach_header(claims.dx_lines(done.long, done.decided), done.headers, ("ADate", "Provider", "EncType")).distinct()
 
 
 # Final tables
 
 
 def _final(name: str):
-    query(lambda d, ws: translate.translate(d.feeds(), d.lookups(), ws, [name])[name], f"finalise_{name}")
+    def run(d: Driver, ws: Workspace) -> DataFrame:
+        return translate.translate(d.feeds(name in CLAIM_TABLES), d.lookups(), ws, [name])[name]
+
+    query(run, f"finalise_{name}")
 
 
 for _name in TABLES:

@@ -131,22 +131,28 @@ def unmatched_codes(decided: DataFrame, within: Sequence[str], **options) -> Dat
     return not_in(leftover, placed, [*within, "sourcecode"], **options)
 
 
-def apply_codes(
-    long: DataFrame, decided: DataFrame, route: str, within: Sequence[str], keys: Sequence[str], **options
-) -> DataFrame:
-    """Claim lines with their decided type, one row per claim, code and type.
+def type_codes(long: DataFrame, decided: DataFrame, route: str, within: Sequence[str], **options) -> DataFrame:
+    """Claim lines of one destination with their decided type, in columns ``code`` and ``codetype``.
 
-    ``PDX`` is P when one of the lines is the first diagnosis, else S.
+    A line appears once per type its code was given.  ``PDX`` is P for the
+    first diagnosis column, else S.
     """
     on = [*within, "sourcecode", "sourcecat", "sourcetype"]
     chosen = decided.where(F.col("route") == route).select(*on, F.col("type").alias("codetype")).distinct()
     lines = skew_join(long, chosen, on, "inner", **options)
     first_dx = (F.col("sourcevarnum") == 1) & (F.col("sourcecat") == DX)
-    return lines.groupBy(*keys, F.col("sourcecode").alias("code"), "codetype").agg(
-        F.min(F.when(first_dx, "P").otherwise("S")).alias("PDX")
+    return (
+        lines.withColumn("PDX", F.when(first_dx, "P").otherwise("S"))
+        .withColumnRenamed("sourcecode", "code")
+        .drop("sourcecat", "sourcetype", "sourcevar", "sourcevarnum")
     )
 
 
+def distinct_codes(lines: DataFrame) -> DataFrame:
+    """One row per claim, code and type; P beats S."""
+    return lines.groupBy(*[c for c in lines.columns if c != "PDX"]).agg(F.min("PDX").alias("PDX"))
+
+
 def claim_flags(
     px: DataFrame, lists: dict[str, DataFrame], keys: Sequence[str], code: str = "code", code_type: str = "codetype", **options
 ) -> DataFrame:

@@ -33,8 +33,8 @@ def number_rows(
     return _number(df, order, name, ws, within)[0]
 
 
-def _number(df, order, name, ws, within) -> tuple[DataFrame, int]:
-    """The numbered rows and their measured size."""
+def _number(df, order, name, ws, within) -> tuple[DataFrame, int, int]:
+    """The numbered rows, their measured size and their number."""
     if within is not None and order[0] != within:
         raise ValueError(f"the first order column must be {within}")
     keys = [F.col(c).asc_nulls_last() for c in order]
@@ -56,11 +56,13 @@ def _number(df, order, name, ws, within) -> tuple[DataFrame, int]:
             per_group[r[within]] = per_group.get(r[within], 0) + r["n"]
     sizes = [per_range.get(i, 0) for i in range(max(per_range, default=0) + 1)]
     starts = [0, *accumulate(sizes)][:-1]
-    number = F.get(F.lit(starts), F.col("_range")).cast("long") + F.col("_row") + 1
-    size = sum(r["bytes"] for r in counts)
+    # One literal array; the optimizer folds the split and the cast.
+    start = F.get(F.split(F.lit(",".join(map(str, starts))), ",").cast("array<bigint>"), F.col("_range"))
+    number = start + F.col("_row") + 1
+    size, rows = sum(r["bytes"] for r in counts), sum(sizes)
 
     if within is None or not per_group:
-        return kept.select(*df.columns, number.alias(name)), size
+        return kept.select(*df.columns, number.alias(name)), size, rows
     ranked = sorted(per_group, key=lambda v: (v is None, v))
     before = dict(zip(ranked, [0, *accumulate(per_group[v] for v in ranked)]))
     # One row per subsample; their number is that of the input file sets.
@@ -69,16 +71,17 @@ def _number(df, order, name, ws, within) -> tuple[DataFrame, int]:
         f"{within} {df.schema[within].dataType.simpleString()}, _before long",
     )
     joined = kept.join(F.broadcast(offsets), within, "left")
-    return joined.select(*df.columns, (number - F.col("_before")).alias(name)), size
+    return joined.select(*df.columns, (number - F.col("_before")).alias(name)), size, rows
 
 
 @dataclass
 class Crosswalk:
-    """New ids of one id column: ``(orig_<id>, samplenum, <id>)`` and its measured size."""
+    """New ids of one id column: ``(orig_<id>, samplenum, <id>)``, their measured size and number."""
 
     id_column: str
     frame: DataFrame
     size: int
+    rows: int
 
     def apply(self, df: DataFrame, how: str, column: str | None = None, **options) -> DataFrame:
         """Re-key ``column`` (default: the crosswalk's own id column) of ``df``."""
@@ -103,8 +106,7 @@ def build_crosswalk(
         .distinct()
     )
     order = ["samplenum", f"orig_{id_column}"]
-    frame, size = _number(pairs, order, id_column, ws, "samplenum" if restart else None)
-    return Crosswalk(id_column, frame, size)
+    return Crosswalk(id_column, *_number(pairs, order, id_column, ws, "samplenum" if restart else None))
 
 
 def id_collisions(df: DataFrame, id_column: str) -> DataFrame:

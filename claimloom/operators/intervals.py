@@ -50,25 +50,32 @@ def episode_spans(
         raise ValueError("grace must not be negative")
     # Rows of one start date never open a new span among themselves, so their
     # latest end is all that later rows need.
-    aggs = [F.max(F.struct(F.col(end).alias("end"), *carry)).alias("_last")]
+    last = F.max(F.struct(F.col(end).alias("end"), *carry)) if carry else F.max(end)
+    aggs = [last.alias("_last")]
     if grace_col:
-        aggs.append(F.min(F.struct(F.col(end).alias("end"), F.col(grace_col).alias("grace"))).alias("_first"))
+        first = F.min(F.struct(F.col(end).alias("end"), F.col(grace_col).alias("grace")))
+        aggs.append(first.alias("_first"))
     days = valid_intervals(df, start, end).groupBy(*by, start).agg(*aggs)
+    last_end = F.col("_last.end") if carry else F.col("_last")
 
     order = Window.partitionBy(*by).orderBy(start)
     if running_max:
-        previous = F.max("_last.end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+        previous = F.max(last_end).over(order.rowsBetween(Window.unboundedPreceding, -1))
     else:
-        previous = F.lag("_last.end").over(order)
+        previous = F.lag(last_end).over(order)
     allowed = F.col("_first.grace") if grace_col else F.lit(grace)
-    opens = previous.isNull() | (F.datediff(start, previous) - 1 > allowed)
-    islands = days.withColumn("_opens", opens.cast("int")).withColumn("_island", F.sum("_opens").over(order))
+    gap = F.datediff(start, "_previous") - 1
+    islands = (
+        days.withColumn("_previous", previous)
+        .withColumn("_opens", (F.col("_previous").isNull() | (gap > allowed)).cast("int"))
+        .withColumn("_island", F.sum("_opens").over(order))
+    )
     spans = islands.groupBy(*by, "_island").agg(F.min(start).alias(f"{start}_span"), F.max("_last").alias("_last"))
     return spans.select(
         *by,
         f"{start}_span",
-        F.col("_last.end").alias(f"{end}_span"),
-        (F.datediff("_last.end", f"{start}_span") + 1).alias("SPAN_DAYS"),
+        last_end.alias(f"{end}_span"),
+        (F.datediff(last_end, f"{start}_span") + 1).alias("SPAN_DAYS"),
         *[F.col(f"_last.{c}").alias(c) for c in carry],
     )
 

@@ -16,6 +16,7 @@ Every join in the library looks rows up in a table that has few rows per key
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -27,6 +28,7 @@ SALTS = 64
 HOT_SHARE = 1 / 256
 SAMPLE = 0.01
 MIN_SAMPLED = 64
+_SKETCH_ITEMS = 8192
 LARGE = 1 << 62
 
 _SALT = "_salt"
@@ -44,24 +46,35 @@ def measured_bytes(df: DataFrame) -> int:
     return df.agg(F.coalesce(F.sum(row_bytes(df)), F.lit(0))).first()[0]
 
 
-def hot_key_hashes(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE, sample: float = SAMPLE) -> list[int]:
-    """Hashes of keys that hold more than ``share`` of a sample of the rows.
+@dataclass(frozen=True)
+class HotKeys:
+    """Hashes of keys with many rows, and whether rows without a key are many."""
 
-    At most ``1 / share`` keys can, so the list that reaches the driver is bounded.
+    hashes: list[int]
+    missing: bool
+
+
+def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE, sample: float = SAMPLE) -> HotKeys:
+    """Keys that hold more than ``share`` of a sample of the rows.
+
+    A frequent-items sketch of fixed size is merged from all tasks, so neither
+    the keys nor their counts are shuffled; at most ``1 / share`` keys come back.
     """
-    keys = df.where(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on]))
+    keys = df.select(F.when(~_no_key(on), F.xxhash64(*on)).alias("h"))
     if sample < 1:
         keys = keys.sample(sample, seed=17)
-    top = (
-        keys.select(F.xxhash64(*on).alias("h"))
-        .rollup("h")
-        .count()
-        .orderBy(F.desc("count"), F.asc_nulls_first("h"))
-        .limit(int(1 / share) + 2)
-        .collect()
-    )
-    total = next((r["count"] for r in top if r["h"] is None), 0)
-    return [r["h"] for r in top if r["h"] is not None and r["count"] > max(share * total, MIN_SAMPLED)]
+    found = keys.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count("h").alias("known"),
+        F.expr(f"approx_top_k(h, {int(1 / share)}, {_SKETCH_ITEMS}) FILTER (WHERE h IS NOT NULL)").alias("top"),
+    ).first()
+    least = max(share * found["n"], MIN_SAMPLED)
+    hashes = [t["item"] for t in found["top"] or [] if t["count"] > least]
+    return HotKeys(hashes, found["n"] - found["known"] > least)
+
+
+def _no_key(on: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
 
 
 def _spread(df: DataFrame, salts: int) -> Column:
@@ -100,23 +113,21 @@ def skew_join(
         if left.schema[c].dataType != right.schema[c].dataType:
             right = right.withColumn(c, F.col(c).cast(left.schema[c].dataType))
     typed = left if keys_from is None else keys_from.select(*[F.col(c).cast(left.schema[c].dataType) for c in on])
-    hot = hot_key_hashes(typed, on, sample=sample)
-    keeps_unmatched = how in ("left", "left_anti")
-    if not hot and not keeps_unmatched:
+    hot = hot_keys(typed, on, sample=sample)
+    spread_missing = hot.missing and how in ("left", "left_anti")
+    if not hot.hashes and not spread_missing:
         return left.join(right, on, how)
 
-    no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
-    is_hot = F.xxhash64(*on).isin(hot) if hot else F.lit(False)
-    order = left.columns + [c for c in right.columns if c not in on] if how in ("inner", "left") else left.columns
-    salted = left.withColumn(
-        _SALT, F.when(no_key | is_hot if keeps_unmatched else is_hot, _spread(left, salts)).otherwise(0)
-    )
-    if hot:
+    is_hot = F.xxhash64(*on).isin(hot.hashes) if hot.hashes else F.lit(False)
+    many = (_no_key(on) | is_hot) if spread_missing else (~_no_key(on) & is_hot)
+    salted = left.withColumn(_SALT, F.when(many, _spread(left, salts)).otherwise(0))
+    if hot.hashes:
         every = F.sequence(F.lit(0), F.lit(salts - 1))
         repeated = right.withColumn(_SALT, F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
     else:
         repeated = right.withColumn(_SALT, F.lit(0))
-    return salted.join(repeated, [*on, _SALT], how).select(*order)
+    new = [c for c in right.columns if c not in on] if how in ("inner", "left") else []
+    return salted.join(repeated, [*on, _SALT], how).select(*left.columns, *new)
 
 
 def rekey(df: DataFrame, crosswalk: DataFrame, id_column: str, how: str = "inner", **options) -> DataFrame:

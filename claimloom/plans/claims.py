@@ -11,16 +11,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.functions.scalars import first_present
+from claimloom.functions.scalars import blank_to_null, first_present
 from claimloom.operators.codes import (
     CODE_GROUPS,
     DX,
     PX,
-    apply_codes,
     claim_flags,
-    claims_per_code,
     decide_codes,
+    distinct_codes,
     match_codes,
+    type_codes,
     unpivot_codes,
 )
 from claimloom.operators.intervals import count_inside
@@ -54,16 +54,19 @@ def long_codes(feed: str, claims: DataFrame) -> DataFrame:
 
 
 def resolve_codes(long: DataFrame, master: DataFrame, **options) -> DataFrame:
-    """Decision table: one row per code, source kind and listed kind."""
-    counted = claims_per_code(long, WITHIN, "EncounterID")
-    return decide_codes(match_codes(counted, master, WITHIN, **options), WITHIN)
+    """Decision table: one row per code, source kind and listed kind.
 
+    Only distinct codes leave the tasks that read the lines.
+    """
+    kinds = long.select(*WITHIN, "sourcecode", "sourcecat", "sourcetype").distinct()
+    return decide_codes(match_codes(kinds, master, WITHIN, **options), WITHIN)
 
-def dx_lines(long: DataFrame, decided: DataFrame, **options) -> DataFrame:
-    """Diagnosis lines; the primary flag is kept for inpatient claims only."""
-    lines = apply_codes(long, decided, DX, WITHIN, CLAIM, **options)
+
+def dx_columns(lines: DataFrame, *extra: str) -> DataFrame:
+    """Diagnosis columns of typed lines; the primary flag is kept for inpatient claims only."""
     return lines.select(
         *CLAIM,
+        *extra,
         F.col("code").alias("DX"),
         F.col("codetype").alias("Dx_Codetype"),
         F.col("code").alias("OrigDX"),
@@ -72,54 +75,68 @@ def dx_lines(long: DataFrame, decided: DataFrame, **options) -> DataFrame:
     )
 
 
-def px_lines(long: DataFrame, decided: DataFrame, **options) -> DataFrame:
-    lines = apply_codes(long, decided, PX, WITHIN, CLAIM, **options)
+def px_columns(lines: DataFrame, *extra: str) -> DataFrame:
+    """Procedure columns of typed lines."""
     return lines.select(
-        *CLAIM, F.col("code").alias("PX"), F.col("codetype").alias("PX_CodeType"), F.col("code").alias("OrigPX")
+        *CLAIM, *extra, F.col("code").alias("PX"), F.col("codetype").alias("PX_CodeType"), F.col("code").alias("OrigPX")
     )
 
 
-def _header(feed: str, claims: DataFrame, adate: str, ddate: Column, kind: Column, fixed: dict) -> DataFrame:
-    head = claims.select(
+def dx_lines(long: DataFrame, decided: DataFrame, **options) -> DataFrame:
+    """Distinct diagnosis lines per claim."""
+    return dx_columns(distinct_codes(type_codes(long, decided, DX, WITHIN, **options)))
+
+
+def px_lines(long: DataFrame, decided: DataFrame, **options) -> DataFrame:
+    """Distinct procedure lines per claim."""
+    return px_columns(distinct_codes(type_codes(long, decided, PX, WITHIN, **options)))
+
+
+_NO_STAY = ("Facility_Code", "Discharge_Disposition", "Discharge_Status", "DRG", "DRG_Type", "Admitting_Source")
+_STAY = {"Discharge_Disposition": "U", "Discharge_Status": "UN", "DRG_Type": "2", "Admitting_Source": "UN"}
+_HEADER = ("ADate", "DDate", "Provider", "EncType", *_NO_STAY)
+
+
+def _claim_keys(feed: str, claims: DataFrame, **columns: Column) -> DataFrame:
+    """Claim keys and named columns; nothing else of the wide claims is read."""
+    return claims.select(
         "samplenum",
         F.lit(feed).alias("feed"),
         F.col("DESYNPUF_ID").alias("PatID"),
         F.col("CLM_ID").alias("EncounterID"),
-        F.col(adate).alias("ADate"),
-        ddate.alias("DDate"),
         first_present(PROVIDER[feed], NO_PROVIDER).alias("Provider"),
-        kind.alias("EncType"),
-        *[c for c in claims.columns if c in ("Facility_Code", "DRG")],
+        *[c.alias(name) for name, c in columns.items()],
     )
-    return with_constants(head, fixed).distinct()
 
 
-_NO_STAY = dict.fromkeys(
-    ("Facility_Code", "Discharge_Disposition", "Discharge_Status", "DRG", "DRG_Type", "Admitting_Source")
-)
+def flag_claims(long: DataFrame, decided: DataFrame, lists: dict[str, DataFrame], **options) -> DataFrame:
+    """Per claim, whether a procedure is on the emergency, home or institutional list."""
+    lines = type_codes(long, decided, PX, WITHIN, **options)
+    named = dict(zip(LISTS, (lists["ed"], lists["home"], lists["is"])))
+    return claim_flags(lines, named, CLAIM, **options)
 
 
-def _flagged(feed: str, claims: DataFrame, px: DataFrame, lists: dict[str, DataFrame], options) -> DataFrame:
-    flags = claim_flags(
-        px.where(F.col("feed") == feed), dict(zip(LISTS, (lists["ed"], lists["home"], lists["is"]))),
-        ("samplenum", "PatID", "EncounterID"), "PX", "PX_CodeType", **options,
-    ).withColumnsRenamed({"PatID": "DESYNPUF_ID", "EncounterID": "CLM_ID"})
-    # One row per claim: not measured, planned as a shuffle join that Spark may still turn into a broadcast.
-    return skew_join(claims, flags, ["samplenum", "DESYNPUF_ID", "CLM_ID"], "left", **{"right_bytes": LARGE, **options})
+def _classified(headers: DataFrame, flags: DataFrame, kind: Column, options: dict) -> DataFrame:
+    # One row of flags per claim: not measured, planned as a shuffle join that
+    # Spark may still turn into a broadcast.  Headers are made distinct after
+    # the join, where they already lie together by claim.
+    options = {"right_bytes": LARGE, **options}
+    joined = skew_join(headers.withColumn("DDate", F.lit(None).cast("date")), flags, CLAIM, "left", **options)
+    return with_constants(joined.withColumn("EncType", kind), dict.fromkeys(_NO_STAY)).select(*CLAIM, *_HEADER).distinct()
 
 
-def classify_op(claims: DataFrame, px: DataFrame, lists: dict[str, DataFrame], **options) -> DataFrame:
+def classify_op(claims: DataFrame, flags: DataFrame, **options) -> DataFrame:
     """Outpatient headers: ED, else OA for a home or institutional code, else AV."""
-    flagged = _flagged("OP", first_segment(claims), px, lists, options)
     kind = F.when(F.col("ind_ed"), "ED").when(F.col("ind_home") | F.col("ind_is"), "OA").otherwise("AV")
-    return _header("OP", flagged, "CLM_FROM_DT", F.lit(None).cast("date"), kind, _NO_STAY)
+    headers = _claim_keys("OP", first_segment(claims), ADate=F.col("CLM_FROM_DT"))
+    return _classified(headers, flags.where(F.col("feed") == "OP"), kind, options)
 
 
-def classify_car(claims: DataFrame, px: DataFrame, lists: dict[str, DataFrame], **options) -> DataFrame:
+def classify_car(claims: DataFrame, flags: DataFrame, **options) -> DataFrame:
     """Carrier headers: OA for a home or institutional code, else AV; emergency codes play no part."""
-    flagged = _flagged("CAR", claims, px, lists, options)
     kind = F.when(F.col("ind_home") | F.col("ind_is"), "OA").otherwise("AV")
-    return _header("CAR", flagged, "CLM_FROM_DT", F.lit(None).cast("date"), kind, _NO_STAY)
+    headers = _claim_keys("CAR", claims, ADate=F.col("CLM_FROM_DT"))
+    return _classified(headers, flags.where(F.col("feed") == "CAR"), kind, options)
 
 
 def classify_ip(claims: DataFrame, visits: DataFrame, ws: Workspace, **options) -> DataFrame:
@@ -127,17 +144,18 @@ def classify_ip(claims: DataFrame, visits: DataFrame, ws: Workspace, **options)
 
     ``visits`` are classified OP and CAR headers.
     """
-    oa = visits.where(F.col("EncType") == "OA").select("samplenum", F.col("PatID").alias("DESYNPUF_ID"), "ADate")
-    stays = first_segment(claims).withColumns(
-        {"Facility_Code": F.nullif(F.rtrim("PRVDR_NUM"), F.lit("")), "DRG": F.nullif(F.rtrim("CLM_DRG_CD"), F.lit(""))}
-    )
-    seen = count_inside(
-        stays, oa, ("samplenum", "DESYNPUF_ID"), "CLM_ADMSN_DT", "NCH_BENE_DSCHRG_DT", "ADate", "n_oa", ws, **options
-    )
-    long_stay = F.datediff("NCH_BENE_DSCHRG_DT", "CLM_ADMSN_DT") > 2
-    kind = F.when((F.col("n_oa") > 0) & long_stay, "IS").otherwise("IP")
-    fixed = {"Discharge_Disposition": "U", "Discharge_Status": "UN", "DRG_Type": "2", "Admitting_Source": "UN"}
-    return _header("IP", seen, "CLM_ADMSN_DT", F.col("NCH_BENE_DSCHRG_DT"), kind, fixed)
+    stays = _claim_keys(
+        "IP",
+        first_segment(claims),
+        ADate=F.col("CLM_ADMSN_DT"),
+        DDate=F.col("NCH_BENE_DSCHRG_DT"),
+        Facility_Code=blank_to_null("PRVDR_NUM"),
+        DRG=blank_to_null("CLM_DRG_CD"),
+    ).distinct()
+    oa = visits.where(F.col("EncType") == "OA").select("samplenum", "PatID", F.col("ADate").alias("visit"))
+    seen = count_inside(stays, oa, ("samplenum", "PatID"), "ADate", "DDate", "visit", "n_oa", ws, **options)
+    kind = F.when((F.col("n_oa") > 0) & (F.datediff("DDate", "ADate") > 2), "IS").otherwise("IP")
+    return with_constants(seen.withColumn("EncType", kind), _STAY).select(*CLAIM, *_HEADER)
 
 
 def attach_header(lines: DataFrame, headers: DataFrame, columns: tuple[str, ...], **options) -> DataFrame:
@@ -149,11 +167,11 @@ def attach_header(lines: DataFrame, headers: DataFrame, columns: tuple[str, ...]
 
 @dataclass
 class Claims:
-    """Classified headers and typed code lines of all feeds."""
+    """Classified headers, code lines and the code decisions of all feeds."""
 
     headers: DataFrame
-    dx: DataFrame
-    px: DataFrame
+    long: DataFrame
+    decided: DataFrame
 
 
 def process_claims(
@@ -162,11 +180,8 @@ def process_claims(
     """Run code resolution and encounter classification over the OP, CAR and IP feeds."""
     long = ws.keep(union_feeds(*[long_codes(name, frame) for name, frame in feeds.items()]), "code-lines")
     decided = ws.keep(resolve_codes(long, master, **options), "decided")
-    px = ws.keep(px_lines(long, decided, **options), "px-lines")
-    outpatient = classify_op(feeds["OP"], px, lists, **options)
-    carrier = classify_car(feeds["CAR"], px, lists, **options)
-    visits = ws.keep(union_feeds(outpatient, carrier), "visits")
-    stays = classify_ip(feeds["IP"], visits, ws, **options)
-    headers = ws.keep(union_feeds(visits, stays), "headers")
-    dx = ws.keep(dx_lines(long, decided, **options), "dx-lines")
-    return Claims(headers, dx, px)
+    flags = ws.keep(flag_claims(long, decided, lists, **options), "claim-flags")
+    visits = union_feeds(classify_op(feeds["OP"], flags, **options), classify_car(feeds["CAR"], flags, **options))
+    visits = ws.keep(visits, "visits")
+    headers = ws.keep(union_feeds(visits, classify_ip(feeds["IP"], visits, ws, **options)), "headers")
+    return Claims(headers, long, decided)

@@ -11,15 +11,17 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimloom.operators.codes import DX, PX, distinct_codes, type_codes
 from claimloom.operators.ids import build_crosswalk
 from claimloom.operators.joins import skew_join
 from claimloom.operators.rows import contract_columns, date_if_present, min_max_by, study_window, with_constants
-from claimloom.plans.claims import Claims, attach_header
+from claimloom.plans.claims import WITHIN, Claims, attach_header, dx_columns, px_columns
 from claimloom.plans.combine import FACILITY_FIELDS, PROVIDER_FIELDS
 from claimloom.schema import TABLES
 from claimloom.workspace import Workspace
 
 PERSON = ("samplenum", "PatID")
+_BROUGHT = ("new_id", "ADate", "ProviderID", "EncType")
 CLAIM_TABLES = {"encounter", "diagnosis", "procedure", "provider", "facility"}
 
 
@@ -88,14 +90,23 @@ def finalise(
     keyed = ws.keep(keyed, "keyed-headers")
     found = keyed.withColumnsRenamed({"EncounterID": "new_id", "claim": "EncounterID"})
 
-    def detail(table: str, lines: DataFrame) -> None:
-        joined = attach_header(lines, found, ("new_id", "ADate", "ProviderID", "EncType"), **options)
-        put(table, person(joined.drop("EncounterID").withColumnRenamed("new_id", "EncounterID"), keys_from=lines))
+    # Lines that share a claim's partition become distinct there, without
+    # another shuffle.  Only a claim id used by two feeds needs more than that.
+    claims_by_feed = headers.select("samplenum", "feed", "EncounterID").distinct().count()
+    shared = claims_by_feed != encounters.rows
+
+    def detail(table: str, route: str, columns) -> None:
+        lines = type_codes(claims.long, claims.decided, route, WITHIN, **options)
+        joined = attach_header(lines, found, _BROUGHT, keys_from=claims.long, **options)
+        if route == PX:
+            joined = joined.withColumn("PDX", F.lit(None).cast("string"))
+        rows = columns(distinct_codes(joined), *_BROUGHT).drop("EncounterID").withColumnRenamed("new_id", "EncounterID")
+        put(table, person(rows, keys_from=claims.long), distinct=shared)
 
     if "encounter" in only:
         put("encounter", person(keyed))
     if "diagnosis" in only:
-        detail("diagnosis", claims.dx)
+        detail("diagnosis", DX, dx_columns)
     if "procedure" in only:
-        detail("procedure", claims.px)
+        detail("procedure", PX, px_columns)
     return out

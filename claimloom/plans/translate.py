@@ -18,13 +18,17 @@ from claimloom.workspace import Workspace
 
 @dataclass
 class Feeds:
-    """Raw inputs; every frame carries samplenum.  ``bene`` maps a year to its file."""
+    """Raw inputs; every frame carries samplenum.
+
+    ``bene`` maps a year to its file.  The claims feeds may be left out when
+    no table that comes from claims is asked for.
+    """
 
     bene: dict[int, DataFrame]
     pde: DataFrame
-    op: DataFrame
-    car: DataFrame
-    ip: DataFrame
+    op: DataFrame | None = None
+    car: DataFrame | None = None
+    ip: DataFrame | None = None
 
 
 @dataclass
