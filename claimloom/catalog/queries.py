@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +16,7 @@ from claimloom.plans.dispensing import build_dispensing
 from claimloom.plans.finalise import CLAIM_TABLES, first_enrollment
 from claimloom.schema import SOURCED_TABLES, TABLES
 from claimloom.sources import readers, sinks
-from claimloom.workspace import Workspace
+from claimloom.workspace import Workspace, run_together
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -54,6 +54,7 @@ def completeness_audit(d, ws):
 
 
 def _write_numbered(df: DataFrame, table: str, folder: str) -> None:
+    """Write one file set per subsample, as the sources of a combine run come."""
     for n in (1, 2, 3):
         df.where(F.col("samplenum") == n).drop("samplenum").write.parquet(f"{folder}/{table}_{n}.parquet")
 
@@ -178,8 +179,7 @@ def combined_summary(tables: dict[str, DataFrame]) -> DataFrame:
 @query
 def combine_files(d, ws):
     folder = ws.new_path("files")
-    for name in TABLES:
-        _write_numbered(d.source(name), name, folder)
+    run_together([partial(_write_numbered, d.source(name), name, folder) for name in TABLES])
     return combined_summary(combine.combine(d.spark, folder, ws))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,7 +11,7 @@ from claimloom.operators.ids import Crosswalk, build_crosswalk
 from claimloom.operators.rows import contract_select, drop_null_ids, sort_contract, with_constants
 from claimloom.schema import CROSSWALKS, SOURCED_TABLES, TABLES, TableSpec
 from claimloom.sources.readers import audit_completeness, found_pairs, missing_message, read_subsamples
-from claimloom.workspace import Workspace
+from claimloom.workspace import Workspace, run_together
 
 # Every provider and facility row carries these.
 PROVIDER_FIELDS = {"Specialty": "99", "Specialty_CodeType": "2"}
@@ -18,11 +20,9 @@ FACILITY_FIELDS = {"Facility_Location": ""}
 
 def build_crosswalks(sources: dict[str, DataFrame], ws: Workspace) -> dict[str, Crosswalk]:
     """Crosswalks by id column, for each whose source table is present."""
-    return {
-        spec.id_column: build_crosswalk(sources[spec.source_table], spec.id_column, ws)
-        for spec in CROSSWALKS.values()
-        if spec.source_table in sources
-    }
+    specs = [spec for spec in CROSSWALKS.values() if spec.source_table in sources]
+    built = run_together([partial(build_crosswalk, sources[s.source_table], s.id_column, ws) for s in specs])
+    return {spec.id_column: crosswalk for spec, crosswalk in zip(specs, built)}
 
 
 def get_crosswalk(crosswalks: dict[str, Crosswalk], name: str) -> DataFrame:

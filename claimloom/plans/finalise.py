@@ -7,6 +7,7 @@ longer code lines then pick them up in the one join that brings their header.
 from __future__ import annotations
 
 from collections.abc import Collection
+from functools import partial
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from claimloom.operators.rows import contract_columns, date_if_present, min_max_
 from claimloom.plans.claims import WITHIN, Claims, attach_header, dx_columns, px_columns
 from claimloom.plans.combine import FACILITY_FIELDS, PROVIDER_FIELDS
 from claimloom.schema import TABLES
-from claimloom.workspace import Workspace
+from claimloom.workspace import Workspace, run_together
 
 PERSON = ("samplenum", "PatID")
 _BROUGHT = ("new_id", "ADate", "ProviderID", "EncType")
@@ -51,7 +52,14 @@ def finalise(
         out[table] = shaped.distinct() if distinct else shaped
 
     firsts = first_enrollment(enrollment)
-    people = build_crosswalk(firsts, "PatID", ws, restart=True)
+    wanted = set(only)
+    builds = {"PatID": partial(build_crosswalk, firsts, "PatID", ws, restart=True)}
+    if CLAIM_TABLES & wanted:
+        headers = study_window(claims.headers, "ADate")
+        for id_column, orig in (("EncounterID", None), ("ProviderID", "Provider"), ("FacilityID", "Facility_Code")):
+            builds[id_column] = partial(build_crosswalk, headers, id_column, ws, restart=True, orig=orig)
+    built = dict(zip(builds, run_together(list(builds.values()))))
+    people = built["PatID"]
 
     def person(df: DataFrame, keys_from: DataFrame | None = None) -> DataFrame:
         return people.apply(df, "inner", keys_from=keys_from, **options)
@@ -68,22 +76,19 @@ def finalise(
         put("demographic", person(dated, keys_from=demographic))
     if "death" in only:
         put("death", person(death))
-    if not CLAIM_TABLES & set(only):
+    if not CLAIM_TABLES & wanted:
         return out
 
-    headers = study_window(claims.headers, "ADate")
-    providers = build_crosswalk(headers, "ProviderID", ws, restart=True, orig="Provider")
+    encounters, providers, facilities = (built[c] for c in ("EncounterID", "ProviderID", "FacilityID"))
     if "provider" in only:
         put("provider", with_constants(providers.frame, PROVIDER_FIELDS), distinct=False)
-    facilities = build_crosswalk(headers, "FacilityID", ws, restart=True, orig="Facility_Code")
     if "facility" in only:
         put("facility", with_constants(facilities.frame, FACILITY_FIELDS), distinct=False)
-    if not {"encounter", "diagnosis", "procedure"} & set(only):
+    if not {"encounter", "diagnosis", "procedure"} & wanted:
         return out
 
     # Headers keep the original claim id, which the code lines still carry.
     named = headers.withColumnsRenamed({"Provider": "ProviderID", "Facility_Code": "FacilityID"})
-    encounters = build_crosswalk(headers, "EncounterID", ws, restart=True)
     keyed = named.withColumn("claim", F.col("EncounterID"))
     for crosswalk in (encounters, providers, facilities):
         keyed = crosswalk.apply(keyed, "left", keys_from=named, **options)

@@ -13,7 +13,7 @@ from claimloom.plans.dispensing import build_dispensing
 from claimloom.plans.enrollment import build_death, build_demographic, build_enrollment
 from claimloom.plans.finalise import CLAIM_TABLES, finalise
 from claimloom.schema import TABLES
-from claimloom.workspace import Workspace
+from claimloom.workspace import Workspace, run_together
 
 
 @dataclass
@@ -47,26 +47,23 @@ def translate(
 ) -> dict[str, DataFrame]:
     """The nine final tables (or those in ``only``), each with samplenum."""
     bene = union_tagged(feeds.bene, "YEAR")
-    claims = None
-    if CLAIM_TABLES & set(only):
-        claims = process_claims(
-            {"OP": feeds.op, "CAR": feeds.car, "IP": feeds.ip},
-            lookups.master,
-            {"ed": lookups.ed, "home": lookups.home, "is": lookups.institutional},
-            ws,
-            **options,
-        )
-    enrollment = ws.keep(build_enrollment(bene), "enrollment")
-    return finalise(
-        enrollment,
-        build_demographic(bene, lookups.zips, **options),
-        build_death(bene),
-        build_dispensing(feeds.pde),
-        claims,
-        ws,
-        only,
-        **options,
+
+    def claims():
+        if not CLAIM_TABLES & set(only):
+            return None
+        lists = {"ed": lookups.ed, "home": lookups.home, "is": lookups.institutional}
+        frames = {"OP": feeds.op, "CAR": feeds.car, "IP": feeds.ip}
+        return process_claims(frames, lookups.master, lists, ws, **options)
+
+    # Claims, enrolment and persons do not depend on each other.
+    done, enrollment, demographic = run_together(
+        [
+            claims,
+            lambda: ws.keep(build_enrollment(bene), "enrollment"),
+            lambda: build_demographic(bene, lookups.zips, **options) if "demographic" in only else None,
+        ]
     )
+    return finalise(enrollment, demographic, build_death(bene), build_dispensing(feeds.pde), done, ws, only, **options)
 
 
 def repeated_people(table: DataFrame, **options) -> DataFrame:

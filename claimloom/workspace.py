@@ -8,12 +8,21 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import itertools
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+def run_together(steps: Sequence[Callable[[], object]]) -> list:
+    """Run steps that start Spark jobs and do not depend on each other at the same time."""
+    with ThreadPoolExecutor(max_workers=min(len(steps), 8)) as pool:
+        return [f.result() for f in [pool.submit(step) for step in steps]]
+
+
 def shared_root(spark: SparkSession) -> str:
     """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
 
@@ -37,12 +46,13 @@ class Workspace:
     def __init__(self, spark: SparkSession, root: str | None = None):
         self.spark = spark
         self.path = f"{(root or shared_root(spark)).rstrip('/')}/claimloom-{uuid.uuid4().hex}"
-        self._made = 0
+        self._numbers = itertools.count(1)
+        self._used = False
         atexit.register(self._close_at_exit)
 
     def new_path(self, name: str) -> str:
-        self._made += 1
-        return f"{self.path}/{self._made:03d}-{name}"
+        self._used = True
+        return f"{self.path}/{next(self._numbers):03d}-{name}"
 
     def keep(self, df: DataFrame, name: str) -> DataFrame:
         """Write ``df`` once and return the written table."""
@@ -52,11 +62,11 @@ class Workspace:
 
     def close(self) -> None:
         """Delete this run's tables."""
-        if self._made:
+        if self._used:
             jvm = self.spark.sparkContext._jvm
             folder = jvm.org.apache.hadoop.fs.Path(self.path)
             folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-            self._made = 0
+            self._used = False
         atexit.unregister(self._close_at_exit)
 
     def _close_at_exit(self) -> None:
