@@ -134,23 +134,22 @@ def unmatched_codes(decided: DataFrame, within: Sequence[str], **options) -> Dat
 def type_codes(long: DataFrame, decided: DataFrame, route: str, within: Sequence[str], **options) -> DataFrame:
     """Claim lines of one destination with their decided type, in columns ``code`` and ``codetype``.
 
-    A line appears once per type its code was given.  ``PDX`` is P for the
-    first diagnosis column, else S.
+    A line appears once per type its code was given.  ``first_dx`` marks the
+    first diagnosis column.
     """
     on = [*within, "sourcecode", "sourcecat", "sourcetype"]
     chosen = decided.where(F.col("route") == route).select(*on, F.col("type").alias("codetype")).distinct()
     lines = skew_join(long, chosen, on, "inner", **options)
-    first_dx = (F.col("sourcevarnum") == 1) & (F.col("sourcecat") == DX)
     return (
-        lines.withColumn("PDX", F.when(first_dx, "P").otherwise("S"))
+        lines.withColumn("first_dx", (F.col("sourcevarnum") == 1) & (F.col("sourcecat") == DX))
         .withColumnRenamed("sourcecode", "code")
         .drop("sourcecat", "sourcetype", "sourcevar", "sourcevarnum")
     )
 
 
 def distinct_codes(lines: DataFrame) -> DataFrame:
-    """One row per claim, code and type; P beats S."""
-    return lines.groupBy(*[c for c in lines.columns if c != "PDX"]).agg(F.min("PDX").alias("PDX"))
+    """One row per claim, code and type: ``first_dx`` if any of its lines is."""
+    return lines.groupBy(*[c for c in lines.columns if c != "first_dx"]).agg(F.max("first_dx").alias("first_dx"))
 
 
 def claim_flags(

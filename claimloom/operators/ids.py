@@ -39,7 +39,10 @@ def _number(df, order, name, ws, within) -> tuple[DataFrame, int, int]:
         raise ValueError(f"the first order column must be {within}")
     keys = [F.col(c).asc_nulls_last() for c in order]
     placed = (
-        df.repartitionByRange(*keys)
+        # The input partition comes last, so that a large group of equal rows can be cut too.
+        df.withColumn("_src", F.spark_partition_id())
+        .repartitionByRange(*keys, "_src")
+        .drop("_src")
         .sortWithinPartitions(*keys)
         .withColumn("_range", F.spark_partition_id())
         .withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION)))

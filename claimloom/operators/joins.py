@@ -125,7 +125,8 @@ def skew_join(
         every = F.sequence(F.lit(0), F.lit(salts - 1))
         repeated = right.withColumn(_SALT, F.explode(F.when(is_hot, every).otherwise(F.array(F.lit(0)))))
     else:
-        repeated = right.withColumn(_SALT, F.lit(0))
+        # Always 0, but not a constant that the optimizer would take out of the join key.
+        repeated = right.withColumn(_SALT, F.pmod(F.xxhash64(*on), F.lit(1)).cast("int"))
     new = [c for c in right.columns if c not in on] if how in ("inner", "left") else []
     return salted.join(repeated, [*on, _SALT], how).select(*left.columns, *new)
 

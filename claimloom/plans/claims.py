@@ -70,7 +70,7 @@ def dx_columns(lines: DataFrame, *extra: str) -> DataFrame:
         F.col("code").alias("DX"),
         F.col("codetype").alias("Dx_Codetype"),
         F.col("code").alias("OrigDX"),
-        F.when(F.col("feed") == "IP", F.col("PDX")).alias("PDX"),
+        F.when(F.col("feed") == "IP", F.when(F.col("first_dx"), "P").otherwise("S")).alias("PDX"),
         F.lit("U").alias("PAdmit"),
     )
 

@@ -104,7 +104,7 @@ def finalise(
         lines = type_codes(claims.long, claims.decided, route, WITHIN, **options)
         joined = attach_header(lines, found, _BROUGHT, keys_from=claims.long, **options)
         if route == PX:
-            joined = joined.withColumn("PDX", F.lit(None).cast("string"))
+            joined = joined.withColumn("first_dx", F.lit(False))
         rows = columns(distinct_codes(joined), *_BROUGHT).drop("EncounterID").withColumnRenamed("new_id", "EncounterID")
         put(table, person(rows, keys_from=claims.long), distinct=shared)
 

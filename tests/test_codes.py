@@ -72,8 +72,8 @@ def test_one_line_may_get_two_types_and_primary_wins(spark, decided):
         [(1, "IP", "x", "B1", "DX", "09", "icd9_dgns_cd", n) for n in (2, 1)],
         "samplenum int, feed string, claim string, sourcecode string, sourcecat string, sourcetype string, sourcevar string, sourcevarnum int",
     )
-    got = rows_of(codes.distinct_codes(codes.type_codes(long, decided, "DX", W)).select("code", "codetype", "PDX"))
-    assert got == [("B1", "09", "P"), ("B1", "10", "P")]
+    got = rows_of(codes.distinct_codes(codes.type_codes(long, decided, "DX", W)).select("code", "codetype", "first_dx"))
+    assert got == [("B1", "09", True), ("B1", "10", True)]
 
 
 def test_claim_flags(spark):

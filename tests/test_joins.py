@@ -33,17 +33,19 @@ def test_hot_and_missing_keys_are_found(sides, shuffled):
     assert not joins.hot_keys(sides[0].where("v = 'z'"), ["id", "samplenum"], share=1 / 4, sample=1.0).hashes
 
 
-def test_hot_key_rows_are_spread(spark, shuffled):
-    left = spark.range(0, 4000, 1, 8).select(F.lit(1).alias("k"), "id")
+@pytest.mark.parametrize("key, how", [(1, "inner"), (1, "left"), (None, "left"), (None, "left_anti")])
+def test_rows_of_a_hot_or_missing_key_are_spread(spark, shuffled, key, how):
+    left = spark.range(0, 4000, 1, 8).select(F.lit(key).cast("int").alias("k"), "id")
     right = spark.createDataFrame([(1, "a"), (2, "b")], "k int, w string")
-    out = joins.skew_join(left, right, ["k"], "inner")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
     try:
+        out = joins.skew_join(left, right, ["k"], how)
         sizes = [r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect()]
     finally:
-        spark.conf.unset("spark.sql.adaptive.enabled")
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        for name in settings:
+            spark.conf.unset(name)
     assert sum(sizes) == 4000 and len(sizes) > 1
 
 
