@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from claimloom.operators.ids import Crosswalk, build_crosswalk
 from claimloom.operators.rows import contract_select, drop_null_ids, sort_contract, with_constants
 from claimloom.schema import CROSSWALKS, SOURCED_TABLES, TABLES, TableSpec
 from claimloom.sources.readers import audit_completeness, found_pairs, missing_message, read_subsamples
+from claimloom.sources.sinks import export_all
 from claimloom.workspace import Workspace, run_together
 
 # Every provider and facility row carries these.
@@ -83,17 +85,27 @@ def combine(
     ws: Workspace,
     first: int | None = None,
     last: int | None = None,
+    numbers: Sequence[int] | None = None,
     fmt: str = "parquet",
     **options,
 ) -> dict[str, DataFrame]:
     """Combine the subsample files ``<table>_<n>.<fmt>`` of a folder into the nine tables.
 
-    Every file of the range must be there; all missing ones are reported.
+    Subsamples are those from ``first`` to ``last`` or those in ``numbers``.
+    Every file of them must be there; all missing ones are reported.
     """
     found = found_pairs(spark, in_dir, fmt)
-    missing, numbers = audit_completeness(found, list(TABLES), first, last)
+    missing, wanted = audit_completeness(found, list(TABLES), first, last, numbers)
     gaps = missing.orderBy("samplenum", "table_name").collect()
     if gaps:
         raise ValueError(missing_message(in_dir, fmt, gaps))
-    sources = {name: read_subsamples(spark, in_dir, name, numbers, fmt) for name in TABLES}
+    sources = {name: read_subsamples(spark, in_dir, name, wanted, fmt) for name in TABLES}
     return combine_frames(sources, ws, **options)
+
+
+def combine_to_files(
+    spark: SparkSession, in_dir: str, out_dir: str, out_fmt: str, mode: str = "errorifexists", **selection
+) -> list[str]:
+    """Combine a folder's subsamples and write the nine tables in one format."""
+    with Workspace(spark) as ws:
+        return export_all(combine(spark, in_dir, ws, **selection), out_dir, out_fmt, mode)

@@ -53,21 +53,27 @@ def parse_selection(text: str) -> list[int]:
 
 
 def audit_completeness(
-    found: DataFrame, tables: Iterable[str], first: int | None = None, last: int | None = None
+    found: DataFrame,
+    tables: Iterable[str],
+    first: int | None = None,
+    last: int | None = None,
+    numbers: Sequence[int] | None = None,
 ) -> tuple[DataFrame, list[int]]:
-    """Every missing (table_name, samplenum) pair of the range, and the range's numbers.
+    """Every missing (table_name, samplenum) pair of the wanted numbers, and these numbers.
 
-    The range defaults to the lowest and highest number found; nothing found is an error.
+    Wanted is the list ``numbers``, or the range from ``first`` to ``last``,
+    which default to the lowest and highest number found.  Nothing found is an error.
     """
     lo, hi = found.agg(F.min("samplenum"), F.max("samplenum")).first()
     if lo is None:
         raise ValueError("no subsample files found")
-    lo, hi = lo if first is None else first, hi if last is None else last
-    spark = found.sparkSession
-    wanted = spark.range(lo, hi + 1).select(
-        F.explode(F.lit(sorted(tables))).alias("table_name"), F.col("id").cast("int").alias("samplenum")
+    if numbers is None:
+        numbers = range(lo if first is None else first, (hi if last is None else last) + 1)
+    wanted = sorted(set(numbers))
+    pairs = found.sparkSession.createDataFrame([(n,) for n in wanted], "samplenum int").select(
+        F.explode(F.lit(sorted(tables))).alias("table_name"), "samplenum"
     )
-    return wanted.join(found, ["table_name", "samplenum"], "left_anti"), list(range(lo, hi + 1))
+    return pairs.join(found, ["table_name", "samplenum"], "left_anti"), wanted
 
 
 def missing_message(in_dir: str, fmt: str, gaps: Sequence[Row]) -> str:

@@ -77,8 +77,16 @@ def export_selection(
     return paths
 
 
-def export_stats(stats: DataFrame, out_dir: str, fmts: Sequence[str] = ("json", "csv", "txt"), mode: str = "errorifexists") -> list[str]:
-    """Write the descriptive statistics in each format."""
+def export_stats(
+    stats: DataFrame,
+    out_dir: str,
+    fmts: Sequence[str] = ("json", "csv", "txt"),
+    mode: str = "errorifexists",
+    thousands: bool = False,
+) -> list[str]:
+    """Write the descriptive statistics in each format, on request as text with thousands commas."""
+    if thousands:
+        stats = stats.select(*[F.format_number(c, 0).alias(c) if c != "SubSample" else F.col(c) for c in stats.columns])
     paths = []
     for fmt in fmts:
         paths.append(f"{out_dir}/descriptive_stats_{fmt}/descriptive_stats.{fmt}")

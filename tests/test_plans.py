@@ -7,6 +7,7 @@ from claimloom.catalog.fixtures import Driver
 from claimloom.catalog.queries import QUERIES, combined_summary
 from claimloom.plans import claims, combine, stats, translate
 from claimloom.schema import SOURCED_TABLES, TABLES
+from claimloom.sources.sinks import read_table
 from claimloom.workspace import Workspace, shared_root
 
 SF = "/root/testdata/sf0.001"
@@ -55,6 +56,23 @@ def test_combine_names_missing_files(spark, ws, two_samples):
         combine.combine(spark, two_samples, ws, last=3)
 
 
+def test_combine_of_listed_numbers(spark, ws, two_samples):
+    out = combine.combine(spark, two_samples, ws, numbers=[2])
+    assert [r["PatID"] for r in out["demographic"].collect()] == [1, 2, 3]
+    with pytest.raises(ValueError, match=r"death_7\.parquet"):
+        combine.combine(spark, two_samples, ws, numbers=[1, 7])
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "csv", "json"])
+def test_command_writes_nine_tables(spark, two_samples, tmp_path, fmt):
+    from claimloom.__main__ import main
+
+    paths = main(["--input", two_samples, "--output", str(tmp_path / "out"), "--format", fmt])
+    assert sorted(p.name for p in (tmp_path / "out").iterdir()) == sorted(f"{t}.{fmt}" for t in TABLES)
+    back = read_table(spark, paths[1], fmt, TABLES["demographic"].struct(samplenum=False))
+    assert [r["PatID"] for r in back.orderBy("PatID").collect()] == [1, 2, 3, 4, 5, 6]
+
+
 def test_combine_skips_absent_tables_and_knows_its_crosswalks(driver, ws):
     out = combine.combine_frames({"demographic": driver.demographic()}, ws)
     assert list(out) == ["demographic"]

@@ -29,7 +29,7 @@ def test_unknown_format(spark, tmp_path):
 
 
 def test_export_all_makes_the_folder(spark, tmp_path):
-    paths = sinks.export_all({"death": death_rows(spark)}, str(tmp_path / "new" / "out"), "csv")
+    paths = sinks.export_all({"death": death_rows(spark).coalesce(1)}, str(tmp_path / "new" / "out"), "csv")
     assert [p.rsplit("/", 1)[1] for p in paths] == ["death.csv"]
     text = next((tmp_path / "new" / "out" / "death.csv").glob("part-*.csv")).read_text().splitlines()
     assert text[0] == "PatID,DeathDt,DtImpute,Source,Confidence"
@@ -97,6 +97,9 @@ def test_export_stats(spark, tmp_path):
     stats = spark.createDataFrame([(1, 5)], "SubSample int, PatIDs long")
     assert len(sinks.export_stats(stats, str(tmp_path))) == 3
     assert (tmp_path / "descriptive_stats_json" / "descriptive_stats.json").exists()
+    big = spark.createDataFrame([(1, 1234567)], "SubSample int, PatIDs long")
+    path = sinks.export_stats(big, str(tmp_path / "t"), ["csv"], thousands=True)[0]
+    assert tuple(spark.read.csv(path, header=True).first()) == ("1", "1,234,567")
 
 
 def test_append_harmonised(spark):
