@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.operators.joins import skew_join
+from claimloom.operators.joins import LARGE, skew_join
 from claimloom.schema import STUDY_END, STUDY_START, TableSpec
 
 
@@ -125,7 +125,8 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str = "counter", **
 
 def with_group_count(df: DataFrame, keys: Sequence[str], name: str = "counter", **options) -> DataFrame:
     """Every row with the number of rows of its key."""
-    return _with_counts(df, keys, name, 1, "left", options)
+    # Counts exist for every key, so they are not measured first.
+    return _with_counts(df, keys, name, 1, "left", {"right_bytes": LARGE, **options})
 
 
 def sum_by(df: DataFrame, keys: Sequence[str], measures: Mapping[str, str]) -> DataFrame:

@@ -87,19 +87,21 @@ def combine(
     last: int | None = None,
     numbers: Sequence[int] | None = None,
     fmt: str = "parquet",
+    harmonise: bool = False,
     **options,
 ) -> dict[str, DataFrame]:
     """Combine the subsample files ``<table>_<n>.<fmt>`` of a folder into the nine tables.
 
     Subsamples are those from ``first`` to ``last`` or those in ``numbers``.
     Every file of them must be there; all missing ones are reported.
+    ``harmonise`` accepts files whose columns or types differ.
     """
     found = found_pairs(spark, in_dir, fmt)
     missing, wanted = audit_completeness(found, list(TABLES), first, last, numbers)
     gaps = missing.orderBy("samplenum", "table_name").collect()
     if gaps:
         raise ValueError(missing_message(in_dir, fmt, gaps))
-    sources = {name: read_subsamples(spark, in_dir, name, wanted, fmt) for name in TABLES}
+    sources = {name: read_subsamples(spark, in_dir, name, wanted, fmt, harmonise=harmonise) for name in TABLES}
     return combine_frames(sources, ws, **options)
 
 

@@ -39,11 +39,14 @@ def finalise(
     claims: Claims | None,
     ws: Workspace,
     only: Collection[str] = tuple(TABLES),
+    dispensing_keys: DataFrame | None = None,
     **options,
 ) -> dict[str, DataFrame]:
     """The final tables (or those in ``only``) of every subsample, each with samplenum.
 
     Ids restart at 1 per subsample.  Only persons with an enrolment period are kept.
+    ``dispensing_keys`` has the (samplenum, PatID) of the drug events, to look
+    for hot persons without summing the events first.
     """
     out: dict[str, DataFrame] = {}
 
@@ -51,7 +54,7 @@ def finalise(
         shaped = df.select("samplenum", *contract_columns(df, TABLES[table]))
         out[table] = shaped.distinct() if distinct else shaped
 
-    firsts = first_enrollment(enrollment)
+    firsts = ws.keep(first_enrollment(enrollment), "first-enrollment")
     wanted = set(only)
     builds = {"PatID": partial(build_crosswalk, firsts, "PatID", ws, restart=True)}
     if CLAIM_TABLES & wanted:
@@ -69,7 +72,8 @@ def finalise(
         put("enrollment", person(enrollment), distinct=False)
     if "dispensing" in only:
         fixed = {"ProviderID": F.lit(None).cast("long"), "Rx_CodeType": F.lit("ND")}
-        put("dispensing", person(dispensing.withColumnRenamed("NDC", "Rx").withColumns(fixed)), distinct=False)
+        named = dispensing.withColumnRenamed("NDC", "Rx").withColumns(fixed)
+        put("dispensing", person(named, keys_from=dispensing_keys), distinct=False)
     if "demographic" in only:
         known = skew_join(demographic.withColumnRenamed("ZIP", "PostalCode"), firsts, PERSON, "inner", **options)
         dated = known.withColumn("PostalCode_Date", date_if_present("PostalCode", "first_enr_dt"))

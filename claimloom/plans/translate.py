@@ -6,6 +6,7 @@ from collections.abc import Collection
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from claimloom.operators.rows import duplicate_keys, union_tagged
 from claimloom.plans.claims import process_claims
@@ -63,7 +64,9 @@ def translate(
             lambda: build_demographic(bene, lookups.zips, **options) if "demographic" in only else None,
         ]
     )
-    return finalise(enrollment, demographic, build_death(bene), build_dispensing(feeds.pde), done, ws, only, **options)
+    death, dispensing = build_death(bene), build_dispensing(feeds.pde)
+    keys = feeds.pde.select("samplenum", F.col("DESYNPUF_ID").alias("PatID"))
+    return finalise(enrollment, demographic, death, dispensing, done, ws, only, keys, **options)
 
 
 def repeated_people(table: DataFrame, **options) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -88,13 +89,17 @@ def read_subsamples(
     numbers: Sequence[int],
     fmt: str = "parquet",
     schema: T.StructType | None = None,
+    harmonise: bool = False,
 ) -> DataFrame:
     """Read ``<table>_<n>.<fmt>`` for all numbers as one relation with its samplenum.
 
     The number is taken from the path of the file a row is in.  Text formats
     are read with the table's declared types; Parquet keeps its own id types
-    unless a schema is given.
+    unless a schema is given.  ``harmonise`` is for files whose columns or
+    types differ: each number is read by itself and appended.
     """
+    if harmonise and len(numbers) > 1:
+        return reduce(append_harmonised, [read_subsamples(spark, in_dir, table, [n], fmt, schema) for n in numbers])
     paths = [f"{in_dir}/{table}_{n}.{fmt}" for n in numbers]
     if not paths:
         declared = schema or TABLES[table].struct(samplenum=False)

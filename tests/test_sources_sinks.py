@@ -50,6 +50,14 @@ def test_tagged_scan_and_discovery(spark, tmp_path):
     assert rows_of(readers.found_pairs(spark, str(tmp_path))) == [("death", 1), ("death", 10), ("death", 2)]
 
 
+def test_files_with_other_types_and_columns(spark, tmp_path):
+    spark.sql("SELECT 1 AS PatID, 'x' AS Source").write.parquet(str(tmp_path / "death_1.parquet"))
+    spark.sql("SELECT 2L AS patid, 'y' AS Source, 'E' AS Confidence").write.parquet(str(tmp_path / "death_2.parquet"))
+    df = readers.read_subsamples(spark, str(tmp_path), "death", [1, 2], harmonise=True)
+    assert dict(df.dtypes)["PatID"] == "bigint"
+    assert rows_of(df.select("PatID", "Source", "Confidence", "samplenum")) == [(1, "x", None, 1), (2, "y", "E", 2)]
+
+
 def test_plain_files_are_found_too(spark, tmp_path):
     (tmp_path / "death_3.csv").write_text("PatID,DeathDt,DtImpute,Source,Confidence\n5,2009-01-02,D,L,E\n")
     assert rows_of(readers.found_pairs(spark, str(tmp_path), "csv")) == [("death", 3)]
