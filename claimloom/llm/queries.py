@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import mixing, resharding, url_filter
+from claimloom.llm import bpe, mixing, resharding, url_filter
 from claimloom.llm.common import fresh_workspace, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,21 @@ def op9_resharding(spark, sf_dir):
     return plan.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "old_shard"
     )
+
+
+def _vocabulary() -> tuple[bytes, str]:
+    import public_tokenizers
+
+    return bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken")), public_tokenizers.PATTERN
+
+
+@query
+def op6_byte_bpe(spark, sf_dir):
+    ranks, pattern = _vocabulary()
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), ranks, pattern, keep=["doc_id"])
+    decoded = bpe.decode(
+        encoded.select("doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256")),
+        ranks,
+        keep=["doc_id", "n_tokens", "ids_sha256"],
+    )
+    return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
