@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import bpe, mixing, resharding, url_filter
+from claimloom.llm import bpe, mixing, quality, resharding, url_filter
 from claimloom.llm.common import fresh_workspace, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,9 @@ def op6_byte_bpe(spark, sf_dir):
         keep=["doc_id", "n_tokens", "ids_sha256"],
     )
     return decoded.select("doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op3_quality(spark, sf_dir):
+    scored, _ = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
