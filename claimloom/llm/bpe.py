@@ -198,6 +198,11 @@ class _Encoder:
         return [b"".join([self.known[w] for w in words]) for words in split]
 
 
+@lru_cache(maxsize=2)
+def _tokens(content: bytes) -> dict[int, bytes]:
+    return {r: t for t, r in parse_ranks(content).items()}
+
+
 @lru_cache(maxsize=2)
 def _encoder(content: bytes, pattern: str) -> _Encoder:
     return _Encoder(content, pattern)
@@ -241,12 +246,8 @@ def decode(df: DataFrame, ranks: bytes, ids: str = "ids", keep: Sequence[str] =
     """``keep`` columns and the bytes that the ids stand for; null and no ids give no bytes, an unknown id fails."""
     content = df.sparkSession.sparkContext.broadcast(ranks)
 
-    @lru_cache(maxsize=1)
-    def tokens() -> dict[int, bytes]:
-        return {r: t for t, r in parse_ranks(content.value).items()}
-
     def convert(column: pa.Array) -> pa.Array:
-        of = tokens()
+        of = _tokens(content.value)
         return pa.array([b"".join([of[i] for i in x]) if x else b"" for x in column.to_pylist()], pa.binary())
 
     return _with_column(df, keep, ids, name, T.BinaryType(), convert)

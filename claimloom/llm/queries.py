@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import bpe, mixing, quality, resharding, url_filter
+from claimloom.llm import bpe, mixing, quality, resharding, suffix_dedup, url_filter
 from claimloom.llm.common import fresh_workspace, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -130,3 +130,11 @@ def op6_byte_bpe(spark, sf_dir):
 def op3_quality(spark, sf_dir):
     scored, _ = quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", quality.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+
+
+@query
+def op5_suffix_dedup(spark, sf_dir):
+    done = suffix_dedup.dedup(table(spark, sf_dir, "documents"), fresh_workspace(spark, "op5"))
+    return done.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
+    )
