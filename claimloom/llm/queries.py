@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import bpe, mixing, quality, resharding, suffix_dedup, url_filter
+from claimloom.llm import bpe, mixing, near_dup, quality, resharding, suffix_dedup, url_filter
 from claimloom.llm.common import fresh_workspace, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,9 @@ def op5_suffix_dedup(spark, sf_dir):
     return done.select(
         "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+@query
+def op10_order_minhash(spark, sf_dir):
+    classes, _ = near_dup.near_duplicates(table(spark, sf_dir, "documents"), fresh_workspace(spark, "op10"))
+    return classes
