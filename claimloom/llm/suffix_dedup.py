@@ -35,10 +35,10 @@ from claimloom.workspace import Workspace
 LENGTH = 200
 K = 40
 #: Anchors of one k-gram that one task sorts together.
-MAX_GROUP = 20_000
+MAX_GROUP = 10_000
 SALTS = 64
 _SLICE = 1 << 20
-_SORTED_TOGETHER = 50_000
+_SORTED_TOGETHER = 10_000
 _U = np.uint64
 
 
@@ -299,7 +299,7 @@ def _checked(order, group, data, at, size, hashes: Rolling) -> tuple[np.ndarray,
     common = np.full(len(order), -1, np.int64)
     near = np.flatnonzero(group[order[1:]] == group[order[:-1]]) + 1
     good = True
-    for part in np.array_split(near, max(1, len(near) // 20_000)):
+    for part in np.array_split(near, max(1, len(near) // 4_000)):
         a, b = order[part - 1], order[part]
         limit = np.minimum(size[a], size[b])
         span = np.arange(int(limit.max(initial=0)))
