@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import bpe, mixing, near_dup, quality, resharding, suffix_dedup, url_filter
+from claimloom.llm import ann, bpe, exact_topk, mixing, near_dup, quality, resharding, suffix_dedup, url_filter
 from claimloom.llm.common import fresh_workspace, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +144,28 @@ def op5_suffix_dedup(spark, sf_dir):
 def op10_order_minhash(spark, sf_dir):
     classes, _ = near_dup.near_duplicates(table(spark, sf_dir, "documents"), fresh_workspace(spark, "op10"))
     return classes
+
+
+@query
+def op1_collision_ann(spark, sf_dir):
+    return ann.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op4_exact_topk(spark, sf_dir):
+    return exact_topk.top_products(table(spark, sf_dir, "embeddings"))
+
+
+ORACLE["op4_exact_topk"] = r"""
+WITH e AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM e q JOIN e c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+FROM scored QUALIFY rank <= 10
+"""
