@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import ann, bpe, exact_topk, mixing, near_dup, quality, resharding, suffix_dedup, url_filter
+from claimloom.llm import ann, bpe, exact_topk, html_text, mixing, near_dup, quality, resharding, suffix_dedup, url_filter
 from claimloom.llm.common import fresh_workspace, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,10 @@ WITH e AS (
 SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
 FROM scored QUALIFY rank <= 10
 """
+
+
+@query
+def op2_html_text(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    texts = html_text.extract(pages, html_text.train(pages), ["page_id", "url"])
+    return texts.withColumn("n_chars", F.length("text").cast("long"))
