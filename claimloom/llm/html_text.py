@@ -29,8 +29,8 @@ from pyspark.sql import types as T
 
 #: Bounds of the training sample.
 SAMPLE_PAGES = 60
-LAYOUTS = 360
-TREES, DEPTH = 16, 4
+LAYOUTS = 1000
+TREES, DEPTH = 24, 4
 _ROWS = 500
 
 # Element names of the HTML standard.
@@ -388,10 +388,15 @@ def trees_of(description: str, weights: list[float]) -> Trees:
 
 
 def decode(nodes: list[Node], log_odds: np.ndarray) -> list[str]:
-    """Texts of the likeliest choice in which no chosen node lies below one that is not."""
+    """Texts of the likeliest choice in which no chosen node lies below one that is not.
+
+    What speaks for or against an element also counts for the text directly in it.
+    """
     n = len(nodes)
     number = {id(node): i for i, node in enumerate(nodes)}
-    gain = log_odds.tolist()  # of choosing the node and the best below it, against choosing nothing there
+    own = log_odds.tolist()
+    gain = [o + (own[number[id(x.parent)]] if x.text is not None and id(x.parent) in number else 0.0) for o, x in zip(own, nodes)]
+    # From here on, gain of choosing a node and the best below it, against choosing nothing there.
     for i in range(n - 1, -1, -1):
         p = number.get(id(nodes[i].parent))
         if p is not None and gain[i] > 0:
