@@ -473,9 +473,10 @@ def _pool(docs: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
     texts = docs.select(
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), _crc(text).alias("crc"), text.cast("binary").alias("text")
     )
-    # Rows of one id and text are equal; one of them is enough.
     laid = texts.repartition(parts, "doc", "crc").join(chosen.repartition(parts, "doc", "crc"), ["doc", "crc"])
     laid = laid.where(F.unhex(F.sha2("text", 256)) == F.col("sha"))
+    if not rows.groupBy("doc", "crc").count().where("count > 1").isEmpty():
+        laid = laid.dropDuplicates(["doc", "crc"])  # rows that repeat both id and text
     name = f"pool_{uuid.uuid4().hex}"
     laid.write.bucketBy(parts, "doc", "crc").option("path", ws.new_path("pool")).option("compression", "zstd").saveAsTable(name)
     pool = spark.table(name)
