@@ -474,7 +474,9 @@ def _pool(docs: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), _crc(text).alias("crc"), text.cast("binary").alias("text")
     )
     laid = texts.repartition(parts, "doc", "crc").join(chosen.repartition(parts, "doc", "crc"), ["doc", "crc"])
-    laid = laid.where(F.unhex(F.sha2("text", 256)) == F.col("sha"))
+    # Not an equality, which would become a join key and lay the rows out anew.
+    digest = F.unhex(F.sha2("text", 256))
+    laid = laid.where((digest >= F.col("sha")) & (digest <= F.col("sha")))
     if not rows.groupBy("doc", "crc").count().where("count > 1").isEmpty():
         laid = laid.dropDuplicates(["doc", "crc"])  # rows that repeat both id and text
     name = f"pool_{uuid.uuid4().hex}"
