@@ -293,8 +293,10 @@ def near_duplicates(docs: DataFrame, ws: Workspace, least: float = SIMILAR) -> t
     involved = ws.keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
     source = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     needed = ws.keep(skew_join(source, involved, ["id"], "left_semi"), "involved-texts")
+    candidates = pairs
     for side in ("a", "b"):
-        pairs = skew_join(pairs, needed.select(F.col("id").alias(side), F.col("text").alias(f"text_{side}")), [side], keys_from=pairs.select(side))
+        text = needed.select(F.col("id").alias(side), F.col("text").alias(f"text_{side}"))
+        pairs = skew_join(pairs, text, [side], keys_from=candidates.select(side))
     links = ws.keep(_aligned(pairs, least).dropDuplicates(["a", "b"]), "links")
 
     roots = components(links, ws)
