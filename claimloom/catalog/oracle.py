@@ -8,9 +8,9 @@ from __future__ import annotations
 
 import re
 
-from claimloom.schema import CROSSWALKS, SOURCED_TABLES, TABLES
 
 PARTS: dict[str, str] = {}
+_SOURCED = ("enrollment", "demographic", "dispensing", "encounter", "diagnosis", "procedure", "death")
 
 _DX = """CASE WHEN l_partkey % 97 = 0 THEN 'OTHER' WHEN l_partkey % 89 = 0 THEN '00000'
   WHEN l_partkey % 53 = 0 THEN 'ABCDE' ELSE lpad((l_partkey % 400)::VARCHAR, 5, '0') END"""
@@ -67,26 +67,42 @@ PARTS["s_death"] = """SELECT CASE WHEN c_custkey % 41 <> 0 THEN c_custkey // 3 E
   DATE '2008-06-15' + (c_custkey % 900)::INTEGER AS DeathDt, 'D' AS DtImpute, 'L' AS Source, 'E' AS Confidence,
   (c_custkey % 3 + 1)::INTEGER AS samplenum FROM customer WHERE c_custkey % 29 = 0"""
 
-for _spec in CROSSWALKS.values():
-    _i = _spec.id_column
-    PARTS[f"cw_{_i.lower()}"] = f"""SELECT orig_{_i}, samplenum,
-  row_number() OVER (ORDER BY samplenum, orig_{_i}) AS {_i}
-  FROM (SELECT DISTINCT {_i} AS orig_{_i}, samplenum FROM s_{_spec.source_table} WHERE {_i} IS NOT NULL)"""
-
-
-def _assembled(name: str) -> str:
-    spec = TABLES[name]
-    cols, joins = [], []
-    for c in spec.columns:
-        cols.append(f"{c.lower()}_x.{c}" if c in spec.rekeyed else f"a.{c}")
-    for c, how in spec.rekeyed.items():
-        x = f"{c.lower()}_x"
-        joins.append(f"{how.upper()} JOIN cw_{c.lower()} {x} ON a.{c} = {x}.orig_{c} AND a.samplenum = {x}.samplenum")
-    return f"SELECT {', '.join(cols)} FROM s_{name} a {' '.join(joins)}"
-
-
-for _n in SOURCED_TABLES:
-    PARTS[f"t_{_n}"] = _assembled(_n)
+PARTS["cw_patid"] = """SELECT orig_PatID, samplenum,
+  row_number() OVER (ORDER BY samplenum, orig_PatID) AS PatID
+  FROM (SELECT DISTINCT PatID AS orig_PatID, samplenum FROM s_demographic WHERE PatID IS NOT NULL)"""
+PARTS["cw_encounterid"] = """SELECT orig_EncounterID, samplenum,
+  row_number() OVER (ORDER BY samplenum, orig_EncounterID) AS EncounterID
+  FROM (SELECT DISTINCT EncounterID AS orig_EncounterID, samplenum FROM s_encounter WHERE EncounterID IS NOT NULL)"""
+PARTS["cw_providerid"] = """SELECT orig_ProviderID, samplenum,
+  row_number() OVER (ORDER BY samplenum, orig_ProviderID) AS ProviderID
+  FROM (SELECT DISTINCT ProviderID AS orig_ProviderID, samplenum FROM s_provider WHERE ProviderID IS NOT NULL)"""
+PARTS["cw_facilityid"] = """SELECT orig_FacilityID, samplenum,
+  row_number() OVER (ORDER BY samplenum, orig_FacilityID) AS FacilityID
+  FROM (SELECT DISTINCT FacilityID AS orig_FacilityID, samplenum FROM s_facility WHERE FacilityID IS NOT NULL)"""
+PARTS["t_enrollment"] = """SELECT patid_x.PatID, a.Enr_Start, a.Enr_End, a.MedCov, a.DrugCov, a.Chart, a.PlanType, a.PayerType FROM s_enrollment
+  a INNER JOIN cw_patid patid_x ON a.PatID = patid_x.orig_PatID AND a.samplenum = patid_x.samplenum"""
+PARTS["t_demographic"] = """SELECT patid_x.PatID, a.Birth_Date, a.Sex, a.Hispanic, a.Race, a.PostalCode, a.PostalCode_Date, a.ImputedRace,
+  a.ImputedHispanic FROM s_demographic a INNER JOIN cw_patid patid_x ON a.PatID = patid_x.orig_PatID AND a.samplenum =
+  patid_x.samplenum"""
+PARTS["t_dispensing"] = """SELECT patid_x.PatID, a.ProviderID, a.RxDate, a.Rx, a.Rx_CodeType, a.RxSup, a.RxAmt FROM s_dispensing a INNER JOIN
+  cw_patid patid_x ON a.PatID = patid_x.orig_PatID AND a.samplenum = patid_x.samplenum"""
+PARTS["t_encounter"] = """SELECT patid_x.PatID, encounterid_x.EncounterID, a.ADate, a.DDate, a.EncType, facilityid_x.FacilityID,
+  a.Discharge_Disposition, a.Discharge_Status, a.DRG, a.DRG_Type, a.Admitting_Source FROM s_encounter a INNER JOIN
+  cw_patid patid_x ON a.PatID = patid_x.orig_PatID AND a.samplenum = patid_x.samplenum LEFT JOIN cw_encounterid
+  encounterid_x ON a.EncounterID = encounterid_x.orig_EncounterID AND a.samplenum = encounterid_x.samplenum LEFT JOIN
+  cw_facilityid facilityid_x ON a.FacilityID = facilityid_x.orig_FacilityID AND a.samplenum = facilityid_x.samplenum"""
+PARTS["t_diagnosis"] = """SELECT patid_x.PatID, encounterid_x.EncounterID, a.ADate, providerid_x.ProviderID, a.EncType, a.DX, a.Dx_Codetype,
+  a.OrigDX, a.PDX, a.PAdmit FROM s_diagnosis a INNER JOIN cw_patid patid_x ON a.PatID = patid_x.orig_PatID AND
+  a.samplenum = patid_x.samplenum LEFT JOIN cw_encounterid encounterid_x ON a.EncounterID =
+  encounterid_x.orig_EncounterID AND a.samplenum = encounterid_x.samplenum LEFT JOIN cw_providerid providerid_x ON
+  a.ProviderID = providerid_x.orig_ProviderID AND a.samplenum = providerid_x.samplenum"""
+PARTS["t_procedure"] = """SELECT patid_x.PatID, encounterid_x.EncounterID, a.ADate, providerid_x.ProviderID, a.EncType, a.PX, a.PX_CodeType,
+  a.OrigPX FROM s_procedure a INNER JOIN cw_patid patid_x ON a.PatID = patid_x.orig_PatID AND a.samplenum =
+  patid_x.samplenum LEFT JOIN cw_encounterid encounterid_x ON a.EncounterID = encounterid_x.orig_EncounterID AND
+  a.samplenum = encounterid_x.samplenum LEFT JOIN cw_providerid providerid_x ON a.ProviderID =
+  providerid_x.orig_ProviderID AND a.samplenum = providerid_x.samplenum"""
+PARTS["t_death"] = """SELECT patid_x.PatID, a.DeathDt, a.DtImpute, a.Source, a.Confidence FROM s_death a INNER JOIN cw_patid patid_x ON
+  a.PatID = patid_x.orig_PatID AND a.samplenum = patid_x.samplenum"""
 PARTS["t_provider"] = "SELECT ProviderID, '99' AS Specialty, '2' AS Specialty_CodeType FROM cw_providerid"
 PARTS["t_facility"] = "SELECT FacilityID, '' AS Facility_Location FROM cw_facilityid"
 
@@ -356,6 +372,19 @@ PARTS["f_facility"] = "SELECT samplenum, id AS FacilityID, '' AS Facility_Locati
 
 # Plain intervals
 
+for _n in _SOURCED:
+    PARTS[f"x_{_n}"] = f"SELECT * FROM s_{_n}"
+PARTS["x_provider"] = """SELECT s_suppkey // 3 AS ProviderID, '00' AS Specialty, '1' AS Specialty_CodeType,
+  (s_suppkey % 3 + 1)::INTEGER AS samplenum FROM supplier"""
+PARTS["x_facility"] = "SELECT n_nationkey AS FacilityID, n_name AS Facility_Location, (n_nationkey % 3 + 1)::INTEGER AS samplenum FROM nation"
+PARTS["k_dispensing"] = "SELECT * REPLACE ('K' || lpad(ProviderID::VARCHAR, 12, '0') AS ProviderID) FROM t_dispensing"
+for _part, _table, _id in (
+    ("c_pat", "f_demographic", "PatID"), ("c_enc", "f_encounter", "EncounterID"),
+    ("c_prov", "f_provider", "ProviderID"), ("c_fac", "f_facility", "FacilityID"),
+):
+    PARTS[_part] = f"""SELECT samplenum, orig, row_number() OVER (ORDER BY samplenum, orig) AS id
+  FROM (SELECT DISTINCT samplenum, {_id} AS orig FROM {_table} WHERE {_id} IS NOT NULL)"""
+
 PARTS["spells"] = """SELECT o_custkey AS person, o_orderdate::DATE AS start_dt,
   o_orderdate::DATE + (30 + o_orderkey % 120)::INTEGER AS end_dt, (o_orderkey % 60)::INTEGER AS grace FROM orders"""
 PARTS["stays"] = """SELECT o_custkey AS person, o_orderkey AS stay, o_orderdate::DATE AS admit,
@@ -383,9 +412,13 @@ def with_parts(statement: str) -> str:
 _PAIRS = """SELECT DISTINCT table_name, samplenum FROM (
   SELECT 'demographic' AS table_name, c_nationkey AS samplenum FROM customer
   UNION ALL SELECT 'encounter', (o_orderkey % 23)::INTEGER FROM orders WHERE o_orderkey % 23 <> 5
-  UNION ALL SELECT 'provider', s_nationkey FROM supplier UNION ALL SELECT 'facility', n_nationkey FROM nation WHERE n_regionkey <> 3)"""
+  UNION ALL SELECT 'provider', s_nationkey FROM supplier UNION ALL SELECT 'facility', n_nationkey FROM nation WHERE n_regionkey <> 3
+  UNION ALL SELECT t, n::INTEGER FROM (VALUES ('enrollment'), ('dispensing'), ('diagnosis'), ('procedure'), ('death')) t(t), generate_series(1, 3) g(n))"""
 _ENC_COLS = "PatID, EncounterID, ADate, DDate, EncType, FacilityID, Discharge_Disposition, Discharge_Status, DRG, DRG_Type"
-_ROUNDTRIP = f"SELECT {_ENC_COLS}, CASE WHEN EncType = 'IP' THEN '' ELSE Admitting_Source END AS Admitting_Source, samplenum FROM s_encounter"
+_ROUNDTRIP = f"""SELECT {_ENC_COLS}, CASE WHEN EncType = 'IP' THEN '' ELSE Admitting_Source END AS Admitting_Source, samplenum,
+  CASE EncounterID % 16 WHEN 0 THEN ' a' WHEN 1 THEN 'b ' WHEN 2 THEN chr(9) || 't' WHEN 3 THEN chr(92) || 'N' WHEN 4 THEN '"q"'
+  WHEN 5 THEN 'x' || chr(10) || 'y' WHEN 6 THEN '' WHEN 7 THEN ' ' WHEN 8 THEN 'back' || chr(92) WHEN 9 THEN 'a,b"c' || chr(92) || '"'
+  WHEN 10 THEN chr(13) || chr(10) || 'z' WHEN 11 THEN '#' WHEN 12 THEN 'é' || chr(9) WHEN 13 THEN '""' END AS note FROM s_encounter"""
 
 
 def _spread(unit: str, source: str) -> str:
@@ -419,56 +452,99 @@ def _stats() -> str:
   {others}"""
 
 
-def _summary(prefix: str, tagged: bool) -> str:
+# Columns and sort orders of the nine tables, stated here once more so that the library is checked against them.
+_COLUMNS = {
+    "enrollment": """PatID, Enr_Start, Enr_End, MedCov, DrugCov, Chart, PlanType, PayerType""",
+    "demographic": """PatID, Birth_Date, Sex, Hispanic, Race, PostalCode, PostalCode_Date, ImputedRace, ImputedHispanic""",
+    "dispensing": """PatID, ProviderID, RxDate, Rx, Rx_CodeType, RxSup, RxAmt""",
+    "encounter": """PatID, EncounterID, ADate, DDate, EncType, FacilityID, Discharge_Disposition, Discharge_Status, DRG, DRG_Type,
+  Admitting_Source""",
+    "diagnosis": """PatID, EncounterID, ADate, ProviderID, EncType, DX, Dx_Codetype, OrigDX, PDX, PAdmit""",
+    "procedure": """PatID, EncounterID, ADate, ProviderID, EncType, PX, PX_CodeType, OrigPX""",
+    "death": """PatID, DeathDt, DtImpute, Source, Confidence""",
+    "provider": """ProviderID, Specialty, Specialty_CodeType""",
+    "facility": """FacilityID, Facility_Location""",
+}
+_ORDERS = {
+    "enrollment": """PatID NULLS LAST, Enr_Start NULLS LAST, Enr_End NULLS LAST, MedCov NULLS LAST, DrugCov NULLS LAST, Chart NULLS LAST,
+  PlanType NULLS LAST, PayerType NULLS LAST""",
+    "demographic": """PatID NULLS LAST, Birth_Date NULLS LAST, Sex NULLS LAST, Hispanic NULLS LAST, Race NULLS LAST, PostalCode NULLS LAST,
+  PostalCode_Date NULLS LAST, ImputedRace NULLS LAST, ImputedHispanic NULLS LAST""",
+    "dispensing": """PatID NULLS LAST, RxDate NULLS LAST, Rx_CodeType NULLS LAST, Rx NULLS LAST, ProviderID NULLS LAST, RxSup NULLS LAST,
+  RxAmt NULLS LAST""",
+    "encounter": """PatID NULLS LAST, ADate NULLS LAST, EncounterID NULLS LAST, DDate NULLS LAST, EncType NULLS LAST, FacilityID NULLS
+  LAST, Discharge_Disposition NULLS LAST, Discharge_Status NULLS LAST, DRG NULLS LAST, DRG_Type NULLS LAST,
+  Admitting_Source NULLS LAST""",
+    "diagnosis": """PatID NULLS LAST, ADate NULLS LAST, EncounterID NULLS LAST, ProviderID NULLS LAST, EncType NULLS LAST, DX NULLS LAST,
+  Dx_Codetype NULLS LAST, OrigDX NULLS LAST, PDX NULLS LAST, PAdmit NULLS LAST""",
+    "procedure": """PatID NULLS LAST, ADate NULLS LAST, EncounterID NULLS LAST, ProviderID NULLS LAST, EncType NULLS LAST, PX NULLS LAST,
+  PX_CodeType NULLS LAST, OrigPX NULLS LAST""",
+    "death": """PatID NULLS LAST, DeathDt NULLS LAST, DtImpute NULLS LAST, Source NULLS LAST, Confidence NULLS LAST""",
+    "provider": """ProviderID NULLS LAST, Specialty NULLS LAST, Specialty_CodeType NULLS LAST""",
+    "facility": """FacilityID NULLS LAST, Facility_Location NULLS LAST""",
+}
+
+
+def _content(prefix: str, tagged: bool = False, other: dict[str, str] | None = None) -> str:
+    """Rows of each table and the sum of a hash of every row's whole content."""
     out = []
-    for name, spec in TABLES.items():
-        ids = [c for c in ("PatID", "EncounterID", "ProviderID", "FacilityID") if c in spec.columns]
-        total = " + ".join(f"coalesce({c}, 0)" for c in ids)
-        tag = "samplenum, " if tagged else ""
-        group = " GROUP BY samplenum" if tagged else ""
-        out.append(f"SELECT '{name}' AS table_name, {tag}count(*) AS n_rows, sum({total})::BIGINT AS id_sum FROM {prefix}_{name}{group}")
+    for name, columns in _COLUMNS.items():
+        row = ", ".join(f"coalesce({c}::VARCHAR, '~')" for c in columns.replace("\n", " ").split(", "))
+        tag, group = ("samplenum, ", " GROUP BY samplenum") if tagged else ("", "")
+        source = (other or {}).get(name, f"{prefix}_{name}")
+        out.append(
+            f"SELECT '{name}' AS table_name, {tag}count(*) AS n_rows, "
+            f"coalesce(sum(('0x' || substr(md5(concat_ws('|', {row})), 1, 8))::BIGINT), 0)::BIGINT AS content FROM {source}{group}"
+        )
     return " UNION ALL ".join(out)
 
 
 def _sorted(name: str) -> str:
-    order = ", ".join(f"{c} NULLS LAST" for c in TABLES[name].order)
-    return f"SELECT *, row_number() OVER (ORDER BY {order}) AS pos FROM t_{name}"
+    return f"SELECT *, row_number() OVER (ORDER BY {_ORDERS[name]}) AS pos FROM t_{name}"
 
 
 _DECISION = "samplenum, feed, sourcecode, sourcecat, sourcetype, ClinCodeCat, ClinCodeType, cat, type, step"
 
 STATEMENTS: dict[str, str] = {
-    "completeness_audit": f"""SELECT t.table_name, n::INTEGER AS samplenum FROM (VALUES ('demographic'), ('encounter'), ('provider'), ('facility')) t(table_name),
+    "completeness_audit": f"""SELECT t.table_name, n::INTEGER AS samplenum FROM (VALUES ('demographic'), ('encounter'), ('provider'), ('facility'), ('enrollment'), ('dispensing'), ('diagnosis'), ('procedure'), ('death')) t(table_name),
   generate_series((SELECT min(samplenum) FROM ({_PAIRS})), (SELECT max(samplenum) FROM ({_PAIRS}))) g(n)
   WHERE NOT EXISTS (SELECT 1 FROM ({_PAIRS}) f WHERE f.table_name = t.table_name AND f.samplenum = n)""",
     "tagged_scan": "SELECT samplenum, PatID, EncounterID, ADate, DDate, EncType, FacilityID FROM s_encounter",
+    "tagged_scan_mixed": """SELECT samplenum, PatID, EncounterID, ADate, CASE WHEN samplenum <> 1 THEN FacilityID END AS FacilityID,
+  CASE WHEN samplenum = 2 THEN DRG END AS DRG FROM s_encounter""",
     "append_harmonised": """SELECT s_suppkey AS ID, s_name AS Name, s_nationkey::VARCHAR AS Code, NULL::VARCHAR AS Segment FROM supplier
   UNION ALL SELECT c_custkey, c_name, c_nationkey::VARCHAR, c_mktsegment FROM customer""",
     **{f"sink_roundtrip_{f}": _ROUNDTRIP for f in ("parquet", "csv", "json", "tsv")},
-    "export_selection": """SELECT 'death' AS table_name, samplenum, count(*) AS n_rows FROM s_death WHERE samplenum IN (1, 3) GROUP BY samplenum
-  UNION ALL SELECT 'diagnosis', samplenum, count(*) FROM s_diagnosis WHERE samplenum IN (1, 3) GROUP BY samplenum""",
-    **{f"crosswalk_{c.lower()}": f"SELECT * FROM cw_{c.lower()}" for c in CROSSWALKS},
+    "export_selection": " UNION ALL ".join(
+        f"SELECT *, '{fmt}' AS fmt FROM ({_content('s', True, {n: f'(SELECT * FROM x_{n} WHERE samplenum IN (1, 3))' for n in _COLUMNS})})"
+        for fmt in ("parquet", "txt")
+    ),
+    **{f"crosswalk_{c.lower()}": f"SELECT * FROM cw_{c.lower()}" for c in ("PatID", "EncounterID", "ProviderID", "FacilityID")},
     "rekey_inner": """SELECT a.samplenum, a.PatID AS orig, b.PatID, a.EncounterID, a.ADate FROM s_encounter a
   JOIN cw_patid b ON a.PatID = b.orig_PatID AND a.samplenum = b.samplenum""",
     "rekey_left": """SELECT a.samplenum, a.FacilityID AS orig, b.FacilityID, a.EncounterID, a.ADate FROM s_encounter a
   LEFT JOIN cw_facilityid b ON a.FacilityID = b.orig_FacilityID AND a.samplenum = b.samplenum""",
     "id_collisions": """SELECT PatID, count(DISTINCT samplenum) AS n_samples FROM s_demographic WHERE PatID IS NOT NULL
   GROUP BY PatID HAVING count(DISTINCT samplenum) > 1""",
-    **{f"assemble_{n}": f"SELECT * FROM t_{n}" for n in SOURCED_TABLES},
+    **{f"assemble_{n}": f"SELECT * FROM t_{n}" for n in _SOURCED},
     **{f"synthesise_{n}": f"SELECT * FROM t_{n}" for n in ("provider", "facility")},
-    **{f"sorted_{n}": _sorted(n) for n in TABLES},
-    "combine_files": _summary("t", False),
+    **{f"sorted_{n}": _sorted(n) for n in _COLUMNS},
+    "combine_files": _content("t"),
+    "combine_csv": _content("t", other={"dispensing": "k_dispensing"}),
+    "combine_json": _content("t", other={"dispensing": "k_dispensing"}),
     "study_window": """SELECT o_orderkey, o_orderdate::DATE AS ADate FROM orders
   WHERE o_orderdate::DATE BETWEEN DATE '1996-01-01' AND DATE '1998-12-31'""",
     "junk_codes": f"""SELECT l_orderkey, l_linenumber, raw, replace(raw, 'O', '0') AS code FROM (SELECT l_orderkey, l_linenumber, {_DX} AS raw FROM lineitem)
   WHERE replace(raw, 'O', '0') NOT IN ('0THER', 'XX000', '00000', 'XXXXX', 'T0TAL') AND regexp_matches(replace(raw, 'O', '0'), '[0-9]')""",
     "recode_case": """SELECT samplenum, DESYNPUF_ID, CASE BENE_SEX_IDENT_CD WHEN '1' THEN 'M' WHEN '2' THEN 'F' ELSE 'U' END AS Sex,
   CASE BENE_RACE_CD WHEN '5' THEN 'Y' WHEN '1' THEN 'N' ELSE 'U' END AS Hispanic,
-  CASE BENE_RACE_CD WHEN '1' THEN '5' WHEN '2' THEN '3' ELSE '0' END AS Race FROM bene WHERE YEAR = 2008""",
-    "coalesce_chain": """SELECT samplenum, CLM_ID, seg AS SEGMENT, prov AS Provider FROM facility_claims, (SELECT 1 AS seg UNION ALL SELECT 2)
-  WHERE feed = 'OP' AND (seg = 1 OR k % 10 = 0)""",
-    "lookup_join_concat": """SELECT samplenum, DESYNPUF_ID, ZIP FROM bene LEFT JOIN zips ON trim(SP_STATE_CODE) || trim(BENE_COUNTY_CD) = ssacd
-  WHERE YEAR = 2008""",
+  CASE BENE_RACE_CD WHEN '1' THEN '5' WHEN '2' THEN '3' ELSE '0' END AS Race, YEAR FROM bene""",
+    "coalesce_chain": """SELECT feed, samplenum, CLM_ID, seg AS SEGMENT, prov AS Provider FROM facility_claims, (SELECT 1 AS seg UNION ALL SELECT 2)
+  WHERE seg = 1 OR k % 10 = 0
+  UNION ALL SELECT feed, samplenum, CLM_ID, NULL, coalesce(CASE WHEN k % 4 <> 0 THEN 'N' || (k % 50)::VARCHAR END,
+  CASE WHEN k % 6 <> 0 THEN 'X' || (k % 30)::VARCHAR END, 'UNKNOWN') FROM claims WHERE feed = 'CAR'""",
+    "lookup_join_concat": """SELECT samplenum, DESYNPUF_ID, ZIP, YEAR FROM bene LEFT JOIN zips
+  ON trim(SP_STATE_CODE) || trim(BENE_COUNTY_CD) = ssacd""",
     "duplicate_keys": """SELECT * FROM (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
   count(*) OVER (PARTITION BY l_orderkey, l_linenumber) AS counter FROM lineitem) WHERE counter > 1""",
     "group_counts": "SELECT samplenum, PatID, EncounterID, count(*) OVER (PARTITION BY samplenum, PatID) AS counter FROM s_encounter",
@@ -503,6 +579,12 @@ STATEMENTS: dict[str, str] = {
   LEFT JOIN visits v ON v.person = s.person AND v.visit BETWEEN s.admit AND s.discharge GROUP BY ALL""",
     "interval_overlap": """SELECT s.person, s.stay, s.admit AS p_start, s.discharge AS p_end, count(i.person) AS n_spans FROM stays s
   LEFT JOIN spells i ON i.person = s.person AND s.discharge >= i.start_dt AND i.end_dt >= s.admit GROUP BY ALL""",
+    "interval_overlap_odd": """SELECT p.person, p.stay, p.p_start, p.p_end, count(i.person) AS n_spans FROM (
+    SELECT person, stay, CASE WHEN stay % 11 = 0 THEN NULL WHEN stay % 7 = 0 THEN discharge ELSE admit END AS p_start,
+      CASE WHEN stay % 13 = 0 THEN NULL WHEN stay % 7 = 0 THEN admit ELSE discharge END AS p_end FROM stays) p
+  LEFT JOIN (SELECT person, CASE WHEN grace % 11 = 0 THEN NULL WHEN grace % 5 = 0 THEN end_dt ELSE start_dt END AS s_start,
+      CASE WHEN grace % 13 = 0 THEN NULL WHEN grace % 5 = 0 THEN start_dt ELSE end_dt END AS s_end FROM spells) i
+  ON i.person = p.person AND p.p_start <= p.p_end AND i.s_start <= i.s_end AND p.p_end >= i.s_start AND i.s_end >= p.p_start GROUP BY ALL""",
     "coverage_timeline": _timeline(
         "kinded", "person", "start_dt", "end_dt", "2001-06-30", {"a": "CovA", "b": "CovB"}
     ),
@@ -532,8 +614,18 @@ STATEMENTS: dict[str, str] = {
     "encounter_ip": "SELECT * FROM enc_ip",
     "detail_header_join": """SELECT DISTINCT a.*, h.ADate, h.Provider, h.EncType FROM dx a
   JOIN headers h ON h.samplenum = a.samplenum AND h.feed = a.feed AND h.EncounterID = a.EncounterID""",
-    **{f"finalise_{n}": f"SELECT * FROM f_{n}" for n in TABLES},
-    "translate_e2e": _summary("f", True),
+    **{f"finalise_{n}": f"SELECT * FROM f_{n}" for n in _COLUMNS},
+    "translate_e2e": _content("f", True),
+    "translate_then_combine": """SELECT 'encounter' AS table_name, p.id AS PatID, e.id AS EncounterID, ADate, DDate, EncType, f.id AS FacilityID,
+  Discharge_Disposition, Discharge_Status, DRG, DRG_Type, Admitting_Source, NULL::BIGINT AS ProviderID, NULL::VARCHAR AS DX,
+  NULL::VARCHAR AS Dx_Codetype, NULL::VARCHAR AS OrigDX, NULL::VARCHAR AS PDX, NULL::VARCHAR AS PAdmit
+  FROM f_encounter a JOIN c_pat p ON p.samplenum = a.samplenum AND p.orig = a.PatID
+  LEFT JOIN c_enc e ON e.samplenum = a.samplenum AND e.orig = a.EncounterID
+  LEFT JOIN c_fac f ON f.samplenum = a.samplenum AND f.orig = a.FacilityID
+  UNION ALL SELECT 'diagnosis', p.id, e.id, ADate, NULL, EncType, NULL, NULL, NULL, NULL, NULL, NULL, v.id, DX, Dx_Codetype, OrigDX, PDX, PAdmit
+  FROM f_diagnosis a JOIN c_pat p ON p.samplenum = a.samplenum AND p.orig = a.PatID
+  LEFT JOIN c_enc e ON e.samplenum = a.samplenum AND e.orig = a.EncounterID
+  LEFT JOIN c_prov v ON v.samplenum = a.samplenum AND v.orig = a.ProviderID""",
     "encounters_per_patient": """SELECT p.samplenum, p.PatID, count(e.samplenum) AS n_encounters FROM s_demographic p
   LEFT JOIN s_encounter e ON e.samplenum = p.samplenum AND e.PatID = p.PatID WHERE p.PatID IS NOT NULL GROUP BY ALL""",
     "descriptive_stats": _stats(),

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import contextlib
+from collections import deque
+from collections.abc import Callable, Sequence
 from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,20 +16,27 @@ from claimloom.operators import codes, ids, intervals, joins, rows
 from claimloom.plans import claims, combine, enrollment, stats, translate
 from claimloom.plans.dispensing import build_dispensing
 from claimloom.plans.finalise import CLAIM_TABLES, first_enrollment
-from claimloom.schema import SOURCED_TABLES, TABLES
+from claimloom.schema import LOOKUP_FILES, SOURCED_TABLES, TABLES
 from claimloom.sources import readers, sinks
 from claimloom.workspace import Workspace, run_together
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+#: What a query has written is deleted when so many others have begun.
+KEPT_RUNS = 3
+_open: deque[Workspace] = deque()
+
 
 def query(fn: Callable[[Driver, Workspace], DataFrame], name: str | None = None):
     """Register a function of (driver tables, workspace) under its own name."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ws = Workspace(spark)
-        return fn(Driver(spark, sf_dir, ws), ws)
+        _open.append(Workspace(spark))
+        while len(_open) > KEPT_RUNS:
+            with contextlib.suppress(Exception):  # its session may have ended
+                _open.popleft().close()
+        return fn(Driver(spark, sf_dir, _open[-1]), _open[-1])
 
     QUERIES[name or fn.__name__] = run
     return fn
@@ -43,13 +52,14 @@ def _pairs(d: Driver) -> DataFrame:
         "encounter": d.table("orders").where("o_orderkey % 23 <> 5").selectExpr("cast(o_orderkey % 23 as int) as samplenum"),
         "provider": d.table("supplier").select(F.col("s_nationkey").alias("samplenum")),
         "facility": d.table("nation").where("n_regionkey <> 3").select(F.col("n_nationkey").alias("samplenum")),
+        **{name: d.source(name).select("samplenum") for name in ("enrollment", "dispensing", "diagnosis", "procedure", "death")},
     }
     return rows.union_tagged(found, "table_name").distinct()
 
 
 @query
 def completeness_audit(d, ws):
-    missing, _ = readers.audit_completeness(_pairs(d), ["demographic", "encounter", "provider", "facility"])
+    missing, _ = readers.audit_completeness(_pairs(d), list(TABLES))
     return missing
 
 
@@ -67,6 +77,20 @@ def tagged_scan(d, ws):
     return scanned.select("samplenum", "PatID", "EncounterID", "ADate", "DDate", "EncType", "FacilityID")
 
 
+@query
+def tagged_scan_mixed(d, ws):
+    """Files of one table that differ in columns, column order and types."""
+    folder, df = ws.new_path("files"), d.encounter()
+    shapes = {
+        1: ["cast(PatID as int) as PatID", "EncounterID", "ADate"],
+        2: ["ADate", "DRG", "EncounterID as encounterid", "PatID", "FacilityID"],
+        3: ["PatID", "EncounterID", "ADate", "cast(FacilityID as smallint) as FacilityID"],
+    }
+    for n, columns in shapes.items():
+        df.where(F.col("samplenum") == n).selectExpr(*columns).write.parquet(f"{folder}/encounter_{n}.parquet")
+    return readers.read_subsamples(d.spark, folder, "encounter", [1, 2, 3])
+
+
 @query
 def append_harmonised(d, ws):
     base = d.table("supplier").selectExpr("cast(s_suppkey as int) as ID", "s_name as Name", "s_nationkey as Code")
@@ -77,6 +101,8 @@ def append_harmonised(d, ws):
 def _roundtrip(fmt: str):
     def run(d: Driver, ws: Workspace) -> DataFrame:
         df = d.encounter().withColumn("Admitting_Source", F.when(F.col("EncType") == "IP", "").otherwise(F.col("Admitting_Source")))
+        notes = [" a", "b ", "\tt", "\\N", '"q"', "x\ny", "", " ", "back\\", 'a,b"c\\"', "\r\nz", "#", "é\t", '""']
+        df = df.withColumn("note", F.get(F.lit(notes), (F.col("EncounterID") % 16).cast("int")))
         path = ws.new_path(f"sink.{fmt}")
         sinks.write_table(df, path, fmt)
         return sinks.read_table(d.spark, path, fmt, df.schema)
@@ -90,17 +116,17 @@ for _fmt in readers.FORMATS:
 
 @query
 def export_selection(d, ws):
-    tables = {"death": d.death(), "diagnosis": d.diagnosis()}
+    """Selected files, read again from both a binary and a text format."""
+    tables = {name: d.source(name) for name in TABLES}
     folder = ws.new_path("export")
-    paths = sinks.export_selection(tables, "1 3", list(tables), ["parquet"], folder)
-    read = {name: d.spark.read.parquet(path) for name, path in zip(tables, paths)}
-    counts = [
-        df.groupBy(F.col("samplenum").cast("int").alias("samplenum")).agg(F.count(F.lit(1)).alias("n_rows")).select(
-            F.lit(name).alias("table_name"), "samplenum", "n_rows"
-        )
-        for name, df in read.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    sinks.export_selection(tables, "1 3", list(tables), ["parquet", "txt"], folder)
+    parts = []
+    for fmt in ("parquet", "txt"):
+        for name in tables:
+            where = f"{folder}/{name if name in ('diagnosis', 'procedure') else 'subsamples'}_{fmt}"
+            read = readers.read_subsamples(d.spark, where, name, [1, 3], fmt)
+            parts.append(content({name: rows.contract_select_tagged(read, TABLES[name])}, ["samplenum"]).withColumn("fmt", F.lit(fmt)))
+    return reduce(DataFrame.unionByName, parts)
 
 
 # Crosswalks, re-keying, assembly, sorting
@@ -163,16 +189,14 @@ for _name in ("provider", "facility"):
     query(lambda d, ws, name=_name: ids.number_rows(_synthesised(name, d, ws), TABLES[name].order, "pos", ws), f"sorted_{_name}")
 
 
-def combined_summary(tables: dict[str, DataFrame]) -> DataFrame:
-    """Rows and id sums of each table."""
+def content(tables: dict[str, DataFrame], tags: Sequence[str] = ()) -> DataFrame:
+    """Rows of each table and the sum of a hash of every row's whole content."""
     parts = []
     for name, df in tables.items():
-        ids_in = [c for c in ("PatID", "EncounterID", "ProviderID", "FacilityID") if c in df.columns]
-        total = reduce(lambda a, b: a + b, [F.coalesce(F.col(c), F.lit(0)).cast("long") for c in ids_in])
-        keep = ["samplenum"] if "samplenum" in df.columns else []
-        parts.append(
-            df.groupBy(*keep).agg(F.count(F.lit(1)).alias("n_rows"), F.sum(total).alias("id_sum")).withColumn("table_name", F.lit(name))
-        )
+        row = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("~")) for c in TABLES[name].columns])
+        number = F.conv(F.substring(F.md5(row), 1, 8), 16, 10).cast("long")
+        found = df.groupBy(*tags).agg(F.count(F.lit(1)).alias("n_rows"), F.coalesce(F.sum(number), F.lit(0)).alias("content"))
+        parts.append(found.withColumn("table_name", F.lit(name)))
     return reduce(DataFrame.unionByName, parts)
 
 
@@ -180,7 +204,29 @@ def combined_summary(tables: dict[str, DataFrame]) -> DataFrame:
 def combine_files(d, ws):
     folder = ws.new_path("files")
     run_together([partial(_write_numbered, d.source(name), name, folder) for name in TABLES])
-    return combined_summary(combine.combine(d.spark, folder, ws))
+    return content(combine.combine(d.spark, folder, ws))
+
+
+def _combine_text(fmt: str):
+    """Text files whose ids are text, the same ones in several subsamples."""
+
+    def run(d: Driver, ws: Workspace) -> DataFrame:
+        folder = ws.new_path("files")
+
+        def one(name: str) -> None:
+            df = d.source(name)
+            ids_in = [c for c, kind in TABLES[name].fields.items() if kind == "id" and c in df.columns]
+            text = {c: F.concat(F.lit("K"), F.lpad(F.col(c).cast("string"), 12, "0")) for c in ids_in}
+            sinks.write_numbered(df.withColumns(text), name, fmt, folder)
+
+        run_together([partial(one, name) for name in TABLES])
+        return content(combine.combine(d.spark, folder, ws, fmt=fmt))
+
+    query(run, f"combine_{fmt}")
+
+
+for _fmt in ("csv", "json"):
+    _combine_text(_fmt)
 
 
 # Filters, recodes, keys
@@ -202,8 +248,8 @@ def junk_codes(d, ws):
 
 @query
 def recode_case(d, ws):
-    return d.bene(2008).select(
-        "samplenum", "DESYNPUF_ID",
+    return _bene(d).select(
+        "YEAR", "samplenum", "DESYNPUF_ID",
         recode("BENE_SEX_IDENT_CD", SEX, "U").alias("Sex"),
         recode("BENE_RACE_CD", HISPANIC, "U").alias("Hispanic"),
         recode("BENE_RACE_CD", RACE, "0").alias("Race"),
@@ -212,15 +258,20 @@ def recode_case(d, ws):
 
 @query
 def coalesce_chain(d, ws):
-    return d.op().select("samplenum", "CLM_ID", "SEGMENT", first_present(claims.PROVIDER["OP"], claims.NO_PROVIDER).alias("Provider"))
+    def chain(name: str, df: DataFrame) -> DataFrame:
+        segment = F.col("SEGMENT") if "SEGMENT" in df.columns else F.lit(None).cast("int").alias("SEGMENT")
+        return df.select(F.lit(name).alias("feed"), "samplenum", "CLM_ID", segment, first_present(claims.PROVIDER[name], claims.NO_PROVIDER).alias("Provider"))
+
+    return reduce(DataFrame.unionByName, [chain(name.upper(), df) for name, df in d.claim_feeds().items()])
 
 
 @query
 def lookup_join_concat(d, ws):
     from claimloom.functions.scalars import joined_key
 
-    bene = d.bene(2008).select("samplenum", "DESYNPUF_ID", "SP_STATE_CODE", "BENE_COUNTY_CD")
-    return joins.match_lookup(bene, d.zips(), joined_key("SP_STATE_CODE", "BENE_COUNTY_CD"), "ssacd").select("samplenum", "DESYNPUF_ID", "ZIP")
+    bene = _bene(d).select("YEAR", "samplenum", "DESYNPUF_ID", "SP_STATE_CODE", "BENE_COUNTY_CD")
+    found = joins.match_lookup(bene, d.zips(), joined_key("SP_STATE_CODE", "BENE_COUNTY_CD"), "ssacd")
+    return found.select("YEAR", "samplenum", "DESYNPUF_ID", "ZIP")
 
 
 @query
@@ -310,6 +361,22 @@ def interval_overlap(d, ws):
     return intervals.count_overlaps(periods, spans, ["person"], ("p_start", "p_end"), ("start_dt", "end_dt"), "n_spans", ws)
 
 
+@query
+def interval_overlap_odd(d, ws):
+    """Periods and spans of which some lack an end or run backwards."""
+    periods = d.stays().selectExpr(
+        "person", "stay",
+        "case when stay % 11 = 0 then null when stay % 7 = 0 then discharge else admit end as p_start",
+        "case when stay % 13 = 0 then null when stay % 7 = 0 then admit else discharge end as p_end",
+    )
+    spans = d.intervals().selectExpr(
+        "person",
+        "case when grace % 11 = 0 then null when grace % 5 = 0 then end_dt else start_dt end as s_start",
+        "case when grace % 13 = 0 then null when grace % 5 = 0 then start_dt else end_dt end as s_end",
+    )
+    return intervals.count_overlaps(periods, spans, ["person"], ("p_start", "p_end"), ("s_start", "s_end"), "n_spans", ws)
+
+
 @query
 def coverage_timeline(d, ws):
     kinds = {"a": "CovA", "b": "CovB"}
@@ -371,9 +438,9 @@ def dispensing_build(d, ws):
 # Codes and claims
 
 
-def _decided(d: Driver) -> tuple[DataFrame, DataFrame]:
-    long = d.long()
-    return long, claims.resolve_codes(long, d.master())
+def _decided(d: Driver, ws: Workspace) -> tuple[DataFrame, DataFrame]:
+    long = ws.keep(d.long(), "code-lines")
+    return long, ws.keep(claims.resolve_codes(long, d.master()), "decided")
 
 
 @query
@@ -404,53 +471,53 @@ _DECISION = ("samplenum", "feed", "sourcecode", "sourcecat", "sourcetype", "Clin
 
 @query
 def codetype_steps(d, ws):
-    return _decided(d)[1].select(*_DECISION)
+    return _decided(d, ws)[1].select(*_DECISION)
 
 
 @query
 def anti_leftovers(d, ws):
-    decided = ws.keep(_decided(d)[1], "decided")
+    decided = _decided(d, ws)[1]
     return codes.unmatched_codes(decided, claims.WITHIN).select(*_DECISION)
 
 
 @query
 def tempdx(d, ws):
-    return claims.dx_lines(*_decided(d))
+    return claims.dx_lines(*_decided(d, ws))
 
 
 @query
 def temppx(d, ws):
-    return claims.px_lines(*_decided(d))
+    return claims.px_lines(*_decided(d, ws))
 
 
 @query
 def primary_dx(d, ws):
-    long, decided = _decided(d)
+    long, decided = _decided(d, ws)
     return claims.dx_lines(long.where(F.col("feed") == "IP"), decided).select("samplenum", "PatID", "EncounterID", "DX", "Dx_Codetype", "PDX")
 
 
-def _flags(d: Driver) -> DataFrame:
-    return claims.flag_claims(*_decided(d), d.code_lists())
+def _flags(d: Driver, ws: Workspace) -> DataFrame:
+    return ws.keep(claims.flag_claims(claims.type_lines(*_decided(d, ws), d.code_lists())), "flags")
 
 
 @query
 def claim_flags(d, ws):
-    return _flags(d)
+    return _flags(d, ws)
 
 
 @query
 def encounter_op(d, ws):
-    return claims.classify_op(d.op(), _flags(d))
+    return claims.classify_op(d.op(), _flags(d, ws))
 
 
 @query
 def encounter_car(d, ws):
-    return claims.classify_car(d.car(), _flags(d))
+    return claims.classify_car(d.car(), _flags(d, ws))
 
 
 @query
 def encounter_ip(d, ws):
-    flags = ws.keep(_flags(d), "flags")
+    flags = _flags(d, ws)
     visits = rows.union_feeds(claims.classify_op(d.op(), flags), claims.classify_car(d.car(), flags))
     return claims.classify_ip(d.ip(), ws.keep(visits, "visits"), ws)
 
@@ -458,7 +525,7 @@ def encounter_ip(d, ws):
 @query
 def detail_header_join(d, ws):
     done = claims.process_claims({k.upper(): v for k, v in d.claim_feeds().items()}, d.master(), d.code_lists(), ws)
-    return claims.attach_header(claims.dx_lines(done.long, done.decided), done.headers, ("ADate", "Provider", "EncType")).distinct()
+    return claims.attach_header(claims.dx_columns(codes.distinct_codes(done.typed(codes.DX))), done.headers, ("ADate", "Provider", "EncType")).distinct()
 
 
 # Final tables
@@ -477,7 +544,23 @@ for _name in TABLES:
 
 @query
 def translate_e2e(d, ws):
-    return combined_summary(translate.translate(d.feeds(), d.lookups(), ws))
+    return content(translate.translate(d.feeds(), d.lookups(), ws), ["samplenum"])
+
+
+@query
+def translate_then_combine(d, ws):
+    """Raw files to subsample files to combined tables."""
+    raw, lists, out = ws.new_path("raw"), ws.new_path("lists"), ws.new_path("subsamples")
+    frames = {**{f"bene_{y}": df for y, df in d.bene_years().items()}, "pde": d.pde(), **d.claim_feeds()}
+    lookups = d.lookups()
+    run_together(
+        [partial(sinks.write_numbered, df, name, "csv", raw) for name, df in frames.items()]
+        + [partial(sinks.write_table, getattr(lookups, name), f"{lists}/{name}.csv", "csv") for name in LOOKUP_FILES]
+    )
+    translate.translate_to_files(d.spark, raw, lists, out, fmt="csv")
+    done = combine.combine(d.spark, out, ws)
+    chosen = [done[name].withColumn("table_name", F.lit(name)) for name in ("encounter", "diagnosis")]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), chosen)
 
 
 # Statistics

@@ -131,14 +131,25 @@ def unmatched_codes(decided: DataFrame, within: Sequence[str], **options) -> Dat
     return not_in(leftover, placed, [*within, "sourcecode"], **options)
 
 
-def type_codes(long: DataFrame, decided: DataFrame, route: str, within: Sequence[str], **options) -> DataFrame:
-    """Claim lines of one destination with their decided type, in columns ``code`` and ``codetype``.
+def listed_flags(decided: DataFrame, lists: dict[str, DataFrame]) -> DataFrame:
+    """Mark decided procedure types that are on a code list; ``lists`` maps a flag column to a list."""
+    tagged = None
+    for flag, frame in lists.items():
+        one = frame.select(F.col("ClinCode").alias("sourcecode"), F.col("ClinCodeType").alias("type"), F.lit(flag).alias("_flag"))
+        tagged = one if tagged is None else tagged.unionByName(one)
+    flags = tagged.groupBy("sourcecode", "type").agg(*[F.max(F.col("_flag") == flag).alias(flag) for flag in lists])
+    joined = skew_join(decided, flags, ["sourcecode", "type"], "left")
+    return joined.withColumns({flag: F.coalesce(F.col(flag), F.lit(False)) & (F.col("route") == PX) for flag in lists})
 
-    A line appears once per type its code was given.  ``first_dx`` marks the
-    first diagnosis column.
+
+def typed_lines(long: DataFrame, decided: DataFrame, within: Sequence[str], flags: Sequence[str] = (), **options) -> DataFrame:
+    """Claim lines with their destination ``route`` and decided type, in columns ``code`` and ``codetype``.
+
+    A line appears once per destination and type its code was given.
+    ``first_dx`` marks the first diagnosis column; ``flags`` come from the decisions.
     """
     on = [*within, "sourcecode", "sourcecat", "sourcetype"]
-    chosen = decided.where(F.col("route") == route).select(*on, F.col("type").alias("codetype")).distinct()
+    chosen = decided.where(F.col("route").isin(DX, PX)).select(*on, "route", F.col("type").alias("codetype"), *flags).distinct()
     lines = skew_join(long, chosen, on, "inner", **options)
     return (
         lines.withColumn("first_dx", (F.col("sourcevarnum") == 1) & (F.col("sourcecat") == DX))
@@ -147,24 +158,16 @@ def type_codes(long: DataFrame, decided: DataFrame, route: str, within: Sequence
     )
 
 
+def type_codes(long: DataFrame, decided: DataFrame, route: str, within: Sequence[str], **options) -> DataFrame:
+    """Claim lines of one destination, see ``typed_lines``."""
+    return typed_lines(long, decided.where(F.col("route") == route), within, **options).drop("route")
+
+
 def distinct_codes(lines: DataFrame) -> DataFrame:
     """One row per claim, code and type: ``first_dx`` if any of its lines is."""
     return lines.groupBy(*[c for c in lines.columns if c != "first_dx"]).agg(F.max("first_dx").alias("first_dx"))
 
 
-def claim_flags(
-    px: DataFrame, lists: dict[str, DataFrame], keys: Sequence[str], code: str = "code", code_type: str = "codetype", **options
-) -> DataFrame:
-    """Per claim, whether any procedure is on each code list.
-
-    ``lists`` maps the flag column to a list of (ClinCode, ClinCodeType).
-    """
-    tagged = None
-    for flag, frame in lists.items():
-        one = frame.select(F.col("ClinCode").alias(code), F.col("ClinCodeType").alias(code_type), F.lit(flag).alias("_flag"))
-        tagged = one if tagged is None else tagged.unionByName(one)
-    flags = tagged.groupBy(code, code_type).agg(
-        *[F.max(F.col("_flag") == flag).alias(flag) for flag in lists]
-    )
-    lines = skew_join(px.select(*keys, code, code_type), flags, [code, code_type], "left", **options)
-    return lines.groupBy(*keys).agg(*[F.max(F.coalesce(F.col(f), F.lit(False))).alias(f) for f in lists])
+def claim_flags(lines: DataFrame, flags: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """Per claim, whether any procedure is on each code list."""
+    return lines.groupBy(*keys).agg(*[F.max(f).alias(f) for f in flags])

@@ -9,6 +9,7 @@ had, and no step pairs the rows of a group with each other.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,9 +24,18 @@ def episode_gaps(df: DataFrame, by: Sequence[str], start: str, end: str) -> Data
 
     The first interval of a group has a null gap; overlaps are negative.
     """
-    order = Window.partitionBy(*by).orderBy(start, end)
     distinct = valid_intervals(df, start, end).groupBy(*by, start, end).agg(F.count(F.lit(1)).alias("n_rows"))
-    return distinct.withColumn("gap_days", F.datediff(start, F.lag(end).over(order)) - 1)
+    # A group brings one row per start date into the first window, and a start
+    # date one row per end date into the second.
+    days = distinct.groupBy(*by, start).agg(F.max(end).alias("_latest"))
+    days = days.withColumn("_before", F.lag("_latest").over(Window.partitionBy(*by).orderBy(start))).drop("_latest")
+    inside = F.lag(end).over(Window.partitionBy(*by, start).orderBy(end))
+    both = distinct.withColumn("_inside", inside).join(
+        days.withColumnsRenamed({c: f"_{n}" for n, c in enumerate([*by, start])}),
+        reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{n}")) for n, c in enumerate([*by, start])]),
+    )
+    gap = F.datediff(start, F.coalesce("_inside", "_before")) - 1
+    return both.select(*by, start, end, "n_rows", gap.alias("gap_days"))
 
 
 def episode_spans(
@@ -180,8 +190,11 @@ def count_overlaps(
     """Add to each period the number of the group's spans that share a day with it.
 
     That is the spans begun by its end, less those ended before its start.
+    Spans and periods without both ends, or with the end before the start,
+    hold no day: such spans are not counted, such periods get zero.
     """
     ps, pe = period
+    spans = spans.where(F.col(span[0]) <= F.col(span[1]))
     begun = count_until(
         spans.select(*by, F.col(span[0]).alias("day")), periods.select(*by, F.col(pe).alias("day")), by, "_b"
     )
@@ -190,4 +203,5 @@ def count_overlaps(
     )
     begun, ended = ws.keep(begun, f"begun-{name}"), ws.keep(ended, f"ended-{name}")
     out = _look_up_days(periods, by, (begun, F.col(pe)), (ended, F.date_sub(ps, 1)), options)
-    return out.withColumnRenamed("_n", name)
+    whole = F.coalesce(F.col(ps) <= F.col(pe), F.lit(False))
+    return out.withColumn(name, F.when(whole, F.col("_n")).otherwise(F.lit(0).cast("long"))).drop("_n")

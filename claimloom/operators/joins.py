@@ -3,9 +3,10 @@
 Every join in the library looks rows up in a table that has few rows per key
 (a crosswalk, a code list, claim headers).  ``skew_join`` decides how to run it:
 
-* the looked-up side is measured, unless the caller knows its size or knows
-  it to be ``LARGE``; when it is small it is broadcast, and the large side is
-  not shuffled at all;
+* the looked-up side is measured if it is read from files, unless the caller
+  knows its size or knows it to be ``LARGE``; when it is small it is broadcast,
+  and the large side is not shuffled at all.  A side that would have to be
+  computed twice is left to Spark's run-time choice;
 * otherwise both sides are shuffled on the key.  Keys that hold a large share
   of the left rows, found on a sample, and missing keys, are spread over
   ``salts`` partitions; the right rows of those hot keys are repeated once per
@@ -15,6 +16,7 @@ Every join in the library looks rows up in a table that has few rows per key
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -73,6 +75,24 @@ def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE, sample:
     return HotKeys(hashes, found["n"] - found["known"] > least)
 
 
+_PLAN_OPTIONS = {"small_bytes", "salts", "sample"}
+_CHEAP_NODES = {"Project", "Filter", "Relation", "LocalRelation", "LogicalRDD", "Range", "Union"}
+
+
+def check_options(options) -> None:
+    """Plans hand these settings to every join; a size or a key table belongs to one join only."""
+    wrong = set(options) - _PLAN_OPTIONS
+    if wrong:
+        raise ValueError(f"not settings for all joins: {', '.join(sorted(wrong))}")
+
+
+def is_cheap(df: DataFrame) -> bool:
+    """Whether a frame only reads, so that measuring or sampling it repeats no work."""
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    nodes = {m[1] for m in (re.match(r"[\s:+|-]*([A-Za-z]+)", line) for line in plan.splitlines()) if m}
+    return nodes <= _CHEAP_NODES
+
+
 def _no_key(on: Sequence[str]) -> Column:
     return reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
 
@@ -104,7 +124,8 @@ def skew_join(
     salts = SALTS if salts is None else salts
     sample = SAMPLE if sample is None else sample
 
-    size = measured_bytes(right) if right_bytes is None else right_bytes
+    # A side that would have to be computed is not measured; Spark sees its size when it has run.
+    size = right_bytes if right_bytes is not None else measured_bytes(right) if is_cheap(right) else LARGE
     if size <= small_bytes:
         return left.join(F.broadcast(right), on, how)
 
@@ -112,6 +133,8 @@ def skew_join(
     for c in on:
         if left.schema[c].dataType != right.schema[c].dataType:
             right = right.withColumn(c, F.col(c).cast(left.schema[c].dataType))
+    if keys_from is None and not is_cheap(left):
+        return left.join(right, on, how)  # split at run time where partitions turn out large
     typed = left if keys_from is None else keys_from.select(*[F.col(c).cast(left.schema[c].dataType) for c in on])
     hot = hot_keys(typed, on, sample=sample)
     spread_missing = hot.missing and how in ("left", "left_anti")
@@ -154,9 +177,8 @@ def match_lookup(df: DataFrame, lookup: DataFrame, key: Column, lookup_key: str,
 
 def _by_membership(df: DataFrame, members: DataFrame, keys: Sequence[str], how: str, options: dict) -> DataFrame:
     # Measured before the duplicates go, which needs no shuffle and bounds the size.
-    options.setdefault("right_bytes", None)
-    if options["right_bytes"] is None:
-        options["right_bytes"] = measured_bytes(members)
+    if options.get("right_bytes") is None:
+        options["right_bytes"] = measured_bytes(members) if is_cheap(members) else LARGE
     return skew_join(df, members.distinct(), keys, how, **options)
 
 

@@ -63,6 +63,11 @@ def contract_columns(df: DataFrame, spec: TableSpec) -> list[Column]:
     ]
 
 
+def contract_select_tagged(df: DataFrame, spec: TableSpec) -> DataFrame:
+    """The columns of the contract, and samplenum."""
+    return df.select(*contract_columns(df, spec), "samplenum")
+
+
 def contract_select(df: DataFrame, spec: TableSpec) -> DataFrame:
     """Exactly the columns of the contract."""
     return df.select(*contract_columns(df, spec))

@@ -19,8 +19,10 @@ from claimloom.operators.codes import (
     claim_flags,
     decide_codes,
     distinct_codes,
+    listed_flags,
     match_codes,
     type_codes,
+    typed_lines,
     unpivot_codes,
 )
 from claimloom.operators.intervals import count_inside
@@ -109,11 +111,15 @@ def _claim_keys(feed: str, claims: DataFrame, **columns: Column) -> DataFrame:
     )
 
 
-def flag_claims(long: DataFrame, decided: DataFrame, lists: dict[str, DataFrame], **options) -> DataFrame:
-    """Per claim, whether a procedure is on the emergency, home or institutional list."""
-    lines = type_codes(long, decided, PX, WITHIN, **options)
+def type_lines(long: DataFrame, decided: DataFrame, lists: dict[str, DataFrame], **options) -> DataFrame:
+    """All code lines with destination, type and code-list flags, in one join of lines and decisions."""
     named = dict(zip(LISTS, (lists["ed"], lists["home"], lists["is"])))
-    return claim_flags(lines, named, CLAIM, **options)
+    return typed_lines(long, listed_flags(decided, named), WITHIN, LISTS, **options)
+
+
+def flag_claims(lines: DataFrame) -> DataFrame:
+    """Per claim, whether a procedure is on the emergency, home or institutional list."""
+    return claim_flags(lines.where(F.col("route") == PX), LISTS, CLAIM)
 
 
 def _classified(headers: DataFrame, flags: DataFrame, kind: Column, options: dict) -> DataFrame:
@@ -167,11 +173,13 @@ def attach_header(lines: DataFrame, headers: DataFrame, columns: tuple[str, ...]
 
 @dataclass
 class Claims:
-    """Classified headers, code lines and the code decisions of all feeds."""
+    """Classified headers and typed code lines of all feeds."""
 
     headers: DataFrame
-    long: DataFrame
-    decided: DataFrame
+    lines: DataFrame
+
+    def typed(self, route: str) -> DataFrame:
+        return self.lines.where(F.col("route") == route).drop("route", *LISTS)
 
 
 def process_claims(
@@ -180,8 +188,9 @@ def process_claims(
     """Run code resolution and encounter classification over the OP, CAR and IP feeds."""
     long = ws.keep(union_feeds(*[long_codes(name, frame) for name, frame in feeds.items()]), "code-lines")
     decided = ws.keep(resolve_codes(long, master, **options), "decided")
-    flags = ws.keep(flag_claims(long, decided, lists, **options), "claim-flags")
+    lines = ws.keep(type_lines(long, decided, lists, **options), "typed-lines")
+    flags = ws.keep(flag_claims(lines), "claim-flags")
     visits = union_feeds(classify_op(feeds["OP"], flags, **options), classify_car(feeds["CAR"], flags, **options))
     visits = ws.keep(visits, "visits")
     headers = ws.keep(union_feeds(visits, classify_ip(feeds["IP"], visits, ws, **options)), "headers")
-    return Claims(headers, long, decided)
+    return Claims(headers, lines)

@@ -7,11 +7,13 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimloom.operators.ids import Crosswalk, build_crosswalk
+from claimloom.operators.joins import check_options
 from claimloom.operators.rows import contract_select, drop_null_ids, sort_contract, with_constants
 from claimloom.schema import CROSSWALKS, SOURCED_TABLES, TABLES, TableSpec
-from claimloom.sources.readers import audit_completeness, found_pairs, missing_message, read_subsamples
+from claimloom.sources.readers import NAMED_MISSING, audit_completeness, found_pairs, missing_message, read_subsamples
 from claimloom.sources.sinks import export_all
 from claimloom.workspace import Workspace, run_together
 
@@ -40,6 +42,7 @@ def assemble(source: DataFrame, spec: TableSpec, crosswalks: dict[str, Crosswalk
 
     Ids joined ``inner`` drop rows without a match; ``left`` ids become null.
     """
+    check_options(options)
     missing = [c for c in spec.rekeyed if c not in crosswalks]
     if missing:
         raise ValueError(f"no crosswalk for: {', '.join(missing)}")
@@ -87,21 +90,22 @@ def combine(
     last: int | None = None,
     numbers: Sequence[int] | None = None,
     fmt: str = "parquet",
-    harmonise: bool = False,
+    id_type: T.DataType | None = None,
     **options,
 ) -> dict[str, DataFrame]:
     """Combine the subsample files ``<table>_<n>.<fmt>`` of a folder into the nine tables.
 
     Subsamples are those from ``first`` to ``last`` or those in ``numbers``.
-    Every file of them must be there; all missing ones are reported.
-    ``harmonise`` accepts files whose columns or types differ.
+    Every file of them must be there; missing ones are reported.  Files may
+    differ in columns and types.  Ids in text files are text unless ``id_type``
+    says otherwise.
     """
     found = found_pairs(spark, in_dir, fmt)
     missing, wanted = audit_completeness(found, list(TABLES), first, last, numbers)
-    gaps = missing.orderBy("samplenum", "table_name").collect()
+    gaps = missing.orderBy("samplenum", "table_name").limit(NAMED_MISSING).collect()
     if gaps:
-        raise ValueError(missing_message(in_dir, fmt, gaps))
-    sources = {name: read_subsamples(spark, in_dir, name, wanted, fmt, harmonise=harmonise) for name in TABLES}
+        raise ValueError(missing_message(in_dir, fmt, gaps, missing.count()))
+    sources = {name: read_subsamples(spark, in_dir, name, wanted, fmt, id_type=id_type) for name in TABLES}
     return combine_frames(sources, ws, **options)
 
 

@@ -12,11 +12,11 @@ from functools import partial
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimloom.operators.codes import DX, PX, distinct_codes, type_codes
+from claimloom.operators.codes import DX, PX, distinct_codes
 from claimloom.operators.ids import build_crosswalk
 from claimloom.operators.joins import skew_join
 from claimloom.operators.rows import contract_columns, date_if_present, min_max_by, study_window, with_constants
-from claimloom.plans.claims import WITHIN, Claims, attach_header, dx_columns, px_columns
+from claimloom.plans.claims import Claims, attach_header, dx_columns, px_columns
 from claimloom.plans.combine import FACILITY_FIELDS, PROVIDER_FIELDS
 from claimloom.schema import TABLES
 from claimloom.workspace import Workspace, run_together
@@ -105,12 +105,11 @@ def finalise(
     shared = claims_by_feed != encounters.rows
 
     def detail(table: str, route: str, columns) -> None:
-        lines = type_codes(claims.long, claims.decided, route, WITHIN, **options)
-        joined = attach_header(lines, found, _BROUGHT, keys_from=claims.long, **options)
+        joined = attach_header(claims.typed(route), found, _BROUGHT, **options)
         if route == PX:
             joined = joined.withColumn("first_dx", F.lit(False))
         rows = columns(distinct_codes(joined), *_BROUGHT).drop("EncounterID").withColumnRenamed("new_id", "EncounterID")
-        put(table, person(rows, keys_from=claims.long), distinct=shared)
+        put(table, person(rows, keys_from=claims.lines), distinct=shared)
 
     if "encounter" in only:
         put("encounter", person(keyed))

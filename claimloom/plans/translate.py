@@ -2,20 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Sequence
 from dataclasses import dataclass
+from functools import partial
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from claimloom.operators.joins import check_options
 from claimloom.operators.rows import duplicate_keys, union_tagged
 from claimloom.plans.claims import process_claims
 from claimloom.plans.dispensing import build_dispensing
 from claimloom.plans.enrollment import build_death, build_demographic, build_enrollment
 from claimloom.plans.finalise import CLAIM_TABLES, finalise
-from claimloom.schema import TABLES
+from claimloom.schema import LOOKUP_FILES, TABLES
+from claimloom.sources.readers import NAMED_MISSING, audit_completeness, found_pairs, missing_message, read_format, read_subsamples
+from claimloom.sources.sinks import write_numbered, write_table
 from claimloom.workspace import Workspace, run_together
 
+# The years of the beneficiary files, and the other feeds.
+YEARS = (2008, 2009, 2010)
+FEEDS = ("pde", "op", "car", "ip")
+
 
 @dataclass
 class Feeds:
@@ -47,6 +56,7 @@ def translate(
     feeds: Feeds, lookups: Lookups, ws: Workspace, only: Collection[str] = tuple(TABLES), **options
 ) -> dict[str, DataFrame]:
     """The nine final tables (or those in ``only``), each with samplenum."""
+    check_options(options)
     bene = union_tagged(feeds.bene, "YEAR")
 
     def claims():
@@ -72,3 +82,54 @@ def translate(
 def repeated_people(table: DataFrame, **options) -> DataFrame:
     """Rows of persons with more than one demographic or death row, a data error to report."""
     return duplicate_keys(table, ["samplenum", "PatID"], **options)
+
+
+def read_feeds(spark: SparkSession, in_dir: str, numbers: Sequence[int], fmt: str = "parquet") -> Feeds:
+    """Raw feeds from ``bene_<year>_<n>``, ``pde_<n>``, ``op_<n>``, ``car_<n>`` and ``ip_<n>`` files."""
+    bene = {y: read_subsamples(spark, in_dir, f"bene_{y}", numbers, fmt) for y in YEARS}
+    return Feeds(bene, **{feed: read_subsamples(spark, in_dir, feed, numbers, fmt) for feed in FEEDS})
+
+
+def read_lookups(spark: SparkSession, folder: str, fmt: str = "parquet") -> Lookups:
+    """Code lists and area table from ``master``, ``ed``, ``home``, ``institutional`` and ``zips`` files."""
+    return Lookups(**{
+        name: read_format(spark, [f"{folder}/{name}.{fmt}"], fmt, T.StructType.fromDDL(ddl)) for name, ddl in LOOKUP_FILES.items()
+    })
+
+
+def translate_to_files(
+    spark: SparkSession,
+    in_dir: str,
+    lookup_dir: str,
+    out_dir: str,
+    out_fmt: str = "parquet",
+    fmt: str = "parquet",
+    first: int | None = None,
+    last: int | None = None,
+    numbers: Sequence[int] | None = None,
+    **options,
+) -> dict[str, list[str]]:
+    """Translate a folder of raw feeds into ``<table>_<n>.<fmt>`` files, which ``combine`` reads.
+
+    Every feed of every subsample must be there.  Each table is written in one
+    pass in its sort order.  Persons with several demographic or death rows are
+    reported in ``repeated_<table>.<fmt>``.  Returns the paths by table.
+    """
+    found = found_pairs(spark, in_dir, fmt)
+    tables = [*[f"bene_{y}" for y in YEARS], *FEEDS]
+    missing, wanted = audit_completeness(found.where(F.col("table_name").isin(tables)), tables, first, last, numbers)
+    gaps = missing.orderBy("samplenum", "table_name").limit(NAMED_MISSING).collect()
+    if gaps:
+        raise ValueError(missing_message(in_dir, fmt, gaps, missing.count()))
+    with Workspace(spark) as ws:
+        done = translate(read_feeds(spark, in_dir, wanted, fmt), read_lookups(spark, lookup_dir, fmt), ws, **options)
+        for name in ("demographic", "death"):
+            done[name] = ws.keep(done[name], f"final-{name}")
+        paths = run_together([partial(write_numbered, df, name, out_fmt, out_dir, TABLES[name].order) for name, df in done.items()])
+        reports = {}
+        for name in ("demographic", "death"):
+            repeated = repeated_people(done[name])
+            if not repeated.isEmpty():
+                reports[f"repeated_{name}"] = [f"{out_dir}/repeated_{name}.{out_fmt}"]
+                write_table(repeated, reports[f"repeated_{name}"][0], out_fmt)
+    return {**dict(zip(done, paths)), **reports}

@@ -7,21 +7,24 @@ file; the folder carries the file's name, ``<table>.<format>``.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from claimloom.sources.readers import FORMATS, parse_selection, read_format
+from claimloom.sources.readers import TEXT_OPTIONS, check_format, listed_names, parse_selection, read_format, separator
+from claimloom.workspace import hadoop_path, run_together
 
 # Tables large enough to be exported to a folder of their own.
 _OWN_FOLDER = ("diagnosis", "procedure")
+#: Text files with quoted line feeds are read whole by one task, so they are kept moderate.
+TEXT_ROWS_PER_FILE = 2_000_000
 
 
 def write_table(df: DataFrame, path: str, fmt: str, partition_by: Sequence[str] = (), mode: str = "errorifexists") -> None:
-    """Write a table; nulls and empty strings stay distinguishable in every format."""
-    if fmt not in FORMATS:
-        raise ValueError(f"unsupported format: {fmt}")
+    """Write a table; every text, null and empty string comes back as it was in every format."""
+    check_format(fmt)
     writer = df.write.mode(mode).partitionBy(*partition_by)
     if fmt == "parquet":
         writer.option("compression", "zstd").parquet(path)
@@ -29,7 +32,8 @@ def write_table(df: DataFrame, path: str, fmt: str, partition_by: Sequence[str]
         writer.option("ignoreNullFields", "false").json(path)
     else:
         # A null is written as nothing, an empty string as "".
-        writer.csv(path, header=True, sep="\t" if fmt == "txt" else ",")
+        options = {**TEXT_OPTIONS, "emptyValue": '""', "maxRecordsPerFile": TEXT_ROWS_PER_FILE}
+        writer.options(**options).csv(path, sep=separator(fmt))
 
 
 def read_table(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -> DataFrame:
@@ -38,13 +42,36 @@ def read_table(spark: SparkSession, path: str, fmt: str, schema: T.StructType) -
 
 
 def export_all(tables: dict[str, DataFrame], out_dir: str, fmt: str, mode: str = "errorifexists") -> list[str]:
-    """Write every table to ``<out_dir>/<table>.<fmt>`` and return the paths."""
-    if fmt not in FORMATS:
-        raise ValueError(f"unsupported format: {fmt}")
+    """Write every table to ``<out_dir>/<table>.<fmt>`` and return the paths; the tables are written at the same time."""
+    check_format(fmt)
+    paths = {name: f"{out_dir}/{name}.{fmt}" for name in tables}
+    run_together([partial(write_table, df, paths[name], fmt, mode=mode) for name, df in tables.items()])
+    return list(paths.values())
+
+
+def write_numbered(df: DataFrame, table: str, fmt: str, out_dir: str, order: Sequence[str] = ()) -> list[str]:
+    """Write ``<out_dir>/<table>_<n>.<fmt>`` for every subsample, in one pass, without the samplenum column.
+
+    Part files of a subsample follow the given order, nulls last.  An existing file is an error.
+    """
+    check_format(fmt)
+    spark = df.sparkSession
+    aside = f"{out_dir}/_writing_{table}_{fmt}"
+    if order:
+        keys = [F.col(c).asc_nulls_last() for c in ("samplenum", *order)]
+        df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    write_table(df, aside, fmt, ["samplenum"])
+    numbers = sorted(int(n.split("=", 1)[1]) for n in listed_names(spark, aside) if n.startswith("samplenum="))
     paths = []
-    for name, df in tables.items():
-        paths.append(f"{out_dir}/{name}.{fmt}")
-        write_table(df, paths[-1], fmt, mode=mode)
+    for n in numbers:
+        paths.append(f"{out_dir}/{table}_{n}.{fmt}")
+        target, system = hadoop_path(spark, paths[-1])
+        if system.exists(target):
+            raise FileExistsError(paths[-1])
+        source, _ = hadoop_path(spark, f"{aside}/samplenum={n}")
+        system.rename(source, target)
+    folder, system = hadoop_path(spark, aside)
+    system.delete(folder, True)
     return paths
 
 
@@ -54,27 +81,26 @@ def export_selection(
     names: Sequence[str],
     fmts: Sequence[str],
     out_dir: str,
-    mode: str = "errorifexists",
 ) -> list[str]:
     """Write chosen subsamples of chosen tables in chosen formats.
 
     ``subsamples`` is a list, or text such as ``"5-12"`` or ``"1 3 5"``.  Each
-    table is read once per format and split into ``samplenum=<n>`` folders
-    below ``subsamples_<fmt>/<table>``; diagnoses and procedures get
-    ``diagnosis_<fmt>`` and ``procedure_<fmt>``.
+    table is read once per format and written as ``<table>_<n>.<fmt>`` below
+    ``subsamples_<fmt>``; diagnoses and procedures go to ``diagnosis_<fmt>``
+    and ``procedure_<fmt>``.  Such files can be read and combined again.
     """
     numbers = parse_selection(subsamples) if isinstance(subsamples, str) else list(subsamples)
     unknown = [n for n in names if n not in tables]
     if unknown:
         raise ValueError(f"unknown tables: {', '.join(unknown)}")
-    paths = []
-    for name in names:
+    for fmt in fmts:
+        check_format(fmt)
+
+    def one(name: str, fmt: str) -> list[str]:
         chosen = tables[name].where(F.col("samplenum").isin(*numbers))
-        for fmt in fmts:
-            folder = name if name in _OWN_FOLDER else "subsamples"
-            paths.append(f"{out_dir}/{folder}_{fmt}/{name}")
-            write_table(chosen, paths[-1], fmt, ["samplenum"], mode)
-    return paths
+        return write_numbered(chosen, name, fmt, f"{out_dir}/{name if name in _OWN_FOLDER else 'subsamples'}_{fmt}")
+
+    return [p for paths in run_together([partial(one, n, f) for n in names for f in fmts]) for p in paths]
 
 
 def export_stats(

@@ -9,31 +9,56 @@ from __future__ import annotations
 import atexit
 import contextlib
 import itertools
+import shutil
 import tempfile
 import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import lru_cache
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
 def run_together(steps: Sequence[Callable[[], object]]) -> list:
-    """Run steps that start Spark jobs and do not depend on each other at the same time."""
+    """Run steps that start Spark jobs and do not depend on each other at the same time.
+
+    The jobs keep the caller's job group and scheduler pool.
+    """
+    if not steps:
+        return []
+    carry = inheritable_thread_target(SparkSession.getActiveSession()) if SparkSession.getActiveSession() else (lambda f: f)
     with ThreadPoolExecutor(max_workers=min(len(steps), 8)) as pool:
-        return [f.result() for f in [pool.submit(step) for step in steps]]
+        return [f.result() for f in [pool.submit(carry(step)) for step in steps]]
+
+
+def hadoop_path(spark: SparkSession, path: str):
+    """A path of the cluster's file systems, and the file system it is in."""
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+@lru_cache(maxsize=1)
+def _local_root() -> str:
+    root = tempfile.mkdtemp(prefix="claimloom-")
+    atexit.register(shutil.rmtree, root, ignore_errors=True)
+    return root
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir`` of the session.
+    """Folder every executor can reach: the session's checkpoint folder.
 
-    Only a local-mode session without that setting gets a temporary folder.
+    That is ``spark.checkpoint.dir``, or what ``setCheckpointDir`` has set.
+    Only a session on one machine without either gets a temporary folder, one
+    for the process, which goes with it.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    root = root or spark.sparkContext.getCheckpointDir()
     if root:
         return root
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix="claimloom-")
+    return _local_root()
 
 
 class Workspace:
@@ -63,9 +88,8 @@ class Workspace:
     def close(self) -> None:
         """Delete this run's tables."""
         if self._used:
-            jvm = self.spark.sparkContext._jvm
-            folder = jvm.org.apache.hadoop.fs.Path(self.path)
-            folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+            folder, system = hadoop_path(self.spark, self.path)
+            system.delete(folder, True)
             self._used = False
         atexit.unregister(self._close_at_exit)
 
