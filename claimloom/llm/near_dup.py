@@ -33,6 +33,7 @@ DRAWN = 2
 SIMILAR = 0.8
 #: Tables in which the lowest k-mer of two candidates must agree before they are aligned.
 AGREEING = 2
+PAIRS_PER_TASK = 2_000
 _ROWS = 1000
 _U = np.uint64
 _LARGEST = _U(0xFFFFFFFFFFFFFFFF)
@@ -122,16 +123,16 @@ def banded_distances(a: list[np.ndarray], b: list[np.ndarray], band: int) -> np.
     n = np.array([len(x) for x in a])
     m = np.array([len(x) for x in b])
     rows, width = int(n.max(initial=0)), 2 * band + 1
-    left = np.full((len(a), rows), -1, np.int64)
+    left = np.full((len(a), rows), -1, np.int32)
     # b is shifted so that column k of row i faces b[i + k - band].
-    right = np.full((len(a), rows + width + 1), -2, np.int64)
+    right = np.full((len(a), rows + width + 1), -2, np.int32)
     for p, (x, y) in enumerate(zip(a, b)):
         left[p, : len(x)] = x
         seen = y[: rows + band + 1]
         right[p, band : band + len(seen)] = seen
     far = 1 << 30
-    steps = np.arange(width)
-    now = np.where(steps >= band, steps - band, far)[None, :].repeat(len(a), 0)
+    steps = np.arange(width, dtype=np.int32)
+    now = np.where(steps >= band, steps - band, np.int32(far))[None, :].repeat(len(a), 0)
     out = np.where(np.abs(n - m) > band, far, 0)
     reachable = np.flatnonzero(out == 0)
     goal = m - n + band
@@ -150,6 +151,12 @@ def banded_distances(a: list[np.ndarray], b: list[np.ndarray], band: int) -> np.
     return np.where(out > band, band + 1, out)
 
 
+def _shared(a: list[str], b: list[str], q: int) -> int:
+    """Runs of q words that both have, repeats counted."""
+    one, two = (Counter(zip(*(t[i:] for i in range(q)))) for t in (a, b))
+    return sum((one & two).values())
+
+
 def distances(pairs: list[tuple[list[str], list[str]]], least: float) -> list[int | None]:
     """Edit distance in words of each pair, None where the similarity is below ``least``."""
     out: list[int | None] = [None] * len(pairs)
@@ -158,8 +165,8 @@ def distances(pairs: list[tuple[list[str], list[str]]], least: float) -> list[in
         longer = max(len(a), len(b))
         # The most edits that keep the similarity, computed without rounding errors.
         most = int(longer * (1 - least) + 1e-9)
-        shared = sum((Counter(a) & Counter(b)).values())
-        if longer - shared > most:
+        # An edit changes q of the runs of q words at most, so so many must be shared.
+        if any(_shared(a, b, q) < longer - q + 1 - q * most for q in (1, 2, 3)):
             continue
         number: dict[str, int] = {}
         x, y = (np.array([number.setdefault(w, len(number)) for w in t], np.int64) for t in (a, b))
@@ -293,7 +300,9 @@ def near_duplicates(docs: DataFrame, ws: Workspace, least: float = SIMILAR) -> t
     involved = ws.keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
     source = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
     needed = ws.keep(skew_join(source, involved, ["id"], "left_semi"), "involved-texts")
-    candidates = pairs
+    # Aligning takes far longer than reading, so pairs are spread before their texts join them.
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), pairs.count() // PAIRS_PER_TASK)
+    candidates = pairs = pairs.repartition(parts, "a", "b")
     for side in ("a", "b"):
         text = needed.select(F.col("id").alias(side), F.col("text").alias(f"text_{side}"))
         pairs = skew_join(pairs, text, [side], keys_from=candidates.select(side))
