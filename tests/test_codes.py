@@ -77,13 +77,23 @@ def test_one_line_may_get_two_types_and_primary_wins(spark, decided):
 
 
 def test_claim_flags(spark):
-    px = spark.createDataFrame([("c", "G1", "HC"), ("c", "G2", "HC"), ("d", "G1", "C4")], "claim string, code string, codetype string")
+    decided = spark.createDataFrame(
+        [(1, "IP", "G1", "PX", "HC", "PX", "HC"), (1, "IP", "G2", "PX", "HC", "PX", "HC"), (1, "IP", "G1", "PX", "C4", "PX", "C4"), (1, "IP", "G2", "DX", "09", "DX", "HC")],
+        "samplenum int, feed string, sourcecode string, sourcecat string, sourcetype string, route string, type string",
+    )
     lists = {
         "ed": spark.createDataFrame([("G1", "HC")], "ClinCode string, ClinCodeType string"),
         "home": spark.createDataFrame([("G2", "HC"), ("G2", "HC")], "ClinCode string, ClinCodeType string"),
         "inst": spark.createDataFrame([("G9", "HC")], "ClinCode string, ClinCodeType string"),
     }
-    assert rows_of(codes.claim_flags(px, lists, ["claim"])) == [("c", True, True, False), ("d", False, False, False)]
+    long = spark.createDataFrame(
+        [(1, "IP", c, code, cat, kind, "v", 1) for c, code, cat, kind in [("c", "G1", "PX", "HC"), ("c", "G2", "PX", "HC"), ("d", "G1", "PX", "C4"), ("e", "G2", "DX", "09")]],
+        "samplenum int, feed string, claim string, sourcecode string, sourcecat string, sourcetype string, sourcevar string, sourcevarnum int",
+    )
+    lines = codes.typed_lines(long, codes.listed_flags(decided, lists), W, list(lists))
+    got = codes.claim_flags(lines.where("route = 'PX'"), list(lists), ["claim"])
+    assert rows_of(got) == [("c", True, True, False), ("d", False, False, False)]
+    assert rows_of(lines.where("route = 'DX'").select("claim", "code", "first_dx", "home")) == [("e", "G2", True, False)]
 
 
 def test_scalars(spark):

@@ -75,3 +75,19 @@ def test_match_lookup_keeps_unmatched(spark):
     zips = spark.createDataFrame([("123", "00001")], "ssacd string, ZIP string")
     key = F.concat(F.trim("s"), F.trim("c"))
     assert rows_of(joins.match_lookup(bene, zips, key, "ssacd")) == [("1 ", "23", "00001"), ("9", "9", None)]
+
+
+def test_a_side_that_has_to_be_computed_is_not_measured(spark):
+    from claimloom.operators import rows
+
+    left = spark.createDataFrame([(i % 7, i) for i in range(50)], "k long, v int").distinct()
+    right = spark.range(100).groupBy((F.col("id") % 5).alias("k")).count()
+    spark.sparkContext.setJobGroup("planning", "no job may start")
+    try:
+        got = joins.skew_join(left, right, ["k"])
+        members = joins.only_in(left, right, ["k"])
+        repeated = rows.duplicate_keys(left, ["k"])
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert got.count() == sum(i % 7 < 5 for i in range(50)) == members.count() and repeated.count() == 50

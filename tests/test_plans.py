@@ -4,7 +4,7 @@ import pytest
 from conftest import rows_of
 
 from claimloom.catalog.fixtures import Driver
-from claimloom.catalog.queries import QUERIES, combined_summary
+from claimloom.catalog.queries import QUERIES, content
 from claimloom.plans import claims, combine, stats, translate
 from claimloom.schema import SOURCED_TABLES, TABLES
 from claimloom.sources.sinks import read_table
@@ -31,7 +31,7 @@ def two_samples(spark, ws, tmp_path):
                     if kind == "id":
                         row.append(i if column == "PatID" or i != 2 else None)
                     else:
-                        row.append({"date": dt.date(2009, 1, (i or 0) + 1), "int": i or 0, "str": f"v{i}"}[kind])
+                        row.append({"date": dt.date(2009, 1, (i or 0) + 1), "long": i or 0, "str": f"v{i}"}[kind])
                 rows.append(tuple(row))
             spark.createDataFrame(rows, spec.struct(samplenum=False)).coalesce(1).write.parquet(f"{folder}/{name}_{n}.parquet")
     return folder
@@ -93,11 +93,50 @@ def test_combine_is_the_same_on_the_shuffle_path(driver, ws, shuffled):
 
 
 def test_translate_is_the_same_on_the_shuffle_path(driver, ws, shuffled):
-    got = combined_summary(translate.translate(driver.feeds(), driver.lookups(), ws))
+    got = content(translate.translate(driver.feeds(), driver.lookups(), ws), ["samplenum"])
     want = QUERIES["translate_e2e"](driver.spark, SF)
     assert rows_of(got.select(*want.columns)) == rows_of(want)
 
 
+def test_settings_of_one_join_are_refused_for_all(driver, ws):
+    with pytest.raises(ValueError, match="right_bytes"):
+        combine.combine_frames({"demographic": driver.demographic(), "enrollment": driver.enrollment()}, ws, right_bytes=0)
+    with pytest.raises(ValueError, match="keys_from"):
+        translate.translate(driver.feeds(), driver.lookups(), ws, keys_from=None)
+
+
+def test_translated_files_are_sorted_report_repeats_and_can_be_combined(spark, driver, ws, tmp_path):
+    from claimloom.__main__ import main
+    from claimloom.schema import LOOKUP_FILES
+    from claimloom.sources import sinks
+
+    raw, lists, out = (str(tmp_path / n) for n in ("raw", "lists", "out"))
+    bene = driver.bene_years()
+    # One person of subsample 1 has two birth dates and two death dates.
+    twice = bene[2010].where("samplenum = 1").limit(1).selectExpr(
+        *[f"date'1950-01-01' as {c}" if c == "BENE_BIRTH_DT" else f"date'2010-05-05' as {c}" if c == "BENE_DEATH_DT" else c for c in bene[2010].columns]
+    )
+    bene[2010] = bene[2010].unionByName(twice).unionByName(twice.selectExpr("* except (BENE_DEATH_DT)", "date'2010-06-06' as BENE_DEATH_DT"))
+    for name, df in {**{f"bene_{y}": df for y, df in bene.items()}, "pde": driver.pde(), **driver.claim_feeds()}.items():
+        sinks.write_numbered(df, name, "json", raw)
+    for name in LOOKUP_FILES:
+        sinks.write_table(getattr(driver.lookups(), name), f"{lists}/{name}.json", "json")
+    main(["translate", "--input", raw, "--lookups", lists, "--output", out, "--format", "csv", "--input-format", "json"])
+    names = {p.name for p in (tmp_path / "out").iterdir()}
+    assert {f"{t}_{n}.csv" for t in TABLES for n in (1, 2, 3)} <= names
+    assert {n for n in names if n.startswith("repeated")} <= {"repeated_demographic.csv", "repeated_death.csv"} and len(names) > 27
+    import csv
+
+    for table, keys in (("encounter", ("PatID", "ADate")), ("dispensing", ("PatID", "RxDate"))):
+        got = []
+        for part in sorted((tmp_path / "out" / f"{table}_2.csv").glob("part-*.csv")):
+            with open(part, newline="") as f:
+                got += [(int(r[keys[0]]), r[keys[1]]) for r in csv.DictReader(f)]
+        assert got and got == sorted(got)
+    done = combine.combine(spark, out, ws, fmt="csv")
+    assert done["encounter"].count() > 0 and len(done) == 9
+
+
 def test_repeated_people(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "a", 2), (2, "a", 3)], "samplenum int, PatID string, v int")
     assert {r["v"] for r in translate.repeated_people(df).collect()} == {1, 2}

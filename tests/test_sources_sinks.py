@@ -53,7 +53,7 @@ def test_tagged_scan_and_discovery(spark, tmp_path):
 def test_files_with_other_types_and_columns(spark, tmp_path):
     spark.sql("SELECT 1 AS PatID, 'x' AS Source").write.parquet(str(tmp_path / "death_1.parquet"))
     spark.sql("SELECT 2L AS patid, 'y' AS Source, 'E' AS Confidence").write.parquet(str(tmp_path / "death_2.parquet"))
-    df = readers.read_subsamples(spark, str(tmp_path), "death", [1, 2], harmonise=True)
+    df = readers.read_subsamples(spark, str(tmp_path), "death", [1, 2])
     assert dict(df.dtypes)["PatID"] == "bigint"
     assert rows_of(df.select("PatID", "Source", "Confidence", "samplenum")) == [(1, "x", None, 1), (2, "y", "E", 2)]
 
@@ -62,7 +62,78 @@ def test_plain_files_are_found_too(spark, tmp_path):
     (tmp_path / "death_3.csv").write_text("PatID,DeathDt,DtImpute,Source,Confidence\n5,2009-01-02,D,L,E\n")
     assert rows_of(readers.found_pairs(spark, str(tmp_path), "csv")) == [("death", 3)]
     row = readers.read_subsamples(spark, str(tmp_path), "death", [3], "csv").first()
-    assert tuple(row) == (5, dt.date(2009, 1, 2), "D", "L", "E", 3)
+    assert tuple(row) == ("5", dt.date(2009, 1, 2), "D", "L", "E", 3)
+    from pyspark.sql import types as T
+
+    assert readers.read_subsamples(spark, str(tmp_path), "death", [3], "csv", id_type=T.LongType()).first()["PatID"] == 5
+
+
+def test_only_the_folder_itself_is_searched(spark, tmp_path):
+    for name in ("backup/death_9.csv", "bene_2008_1.csv", "x/old_1.csv"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("a\n")
+    assert rows_of(readers.found_pairs(spark, str(tmp_path), "csv")) == [("bene_2008", 1)]
+
+
+def test_text_ids_and_short_or_reordered_headers(spark, tmp_path):
+    (tmp_path / "enrollment_1.csv").write_text("PatID,Enr_Start,Enr_End,MedCov,DrugCov,Chart\nABC,2009-01-01,2009-02-01,Y,N,N\n")
+    (tmp_path / "enrollment_2.csv").write_text("PlanType,chart,PatID,Enr_Start,Enr_End,MedCov,DrugCov,Extra\nHMO,N,007,2009-01-01,,Y,N,?\n")
+    df = readers.read_subsamples(spark, str(tmp_path), "enrollment", [1, 2], "csv")
+    assert df.columns == [*TABLES["enrollment"].columns, "samplenum"]
+    got = rows_of(df.select("PatID", "Enr_End", "Chart", "PlanType", "samplenum"))
+    assert got == [("007", None, "N", "HMO", 2), ("ABC", dt.date(2009, 2, 1), "N", None, 1)]
+
+
+@pytest.mark.parametrize("fmt", ["csv", "txt", "json"])
+def test_a_bad_value_names_file_and_column(spark, tmp_path, fmt):
+    line = {"csv": "PatID,DeathDt\nA,2009-13-02\n", "txt": "PatID\tDeathDt\nA\t2009-13-02\n", "json": '{"PatID": "A", "DeathDt": "2009-13-02"}\n'}
+    (tmp_path / f"death_1.{fmt}").write_text(line[fmt])
+    with pytest.raises(Exception, match=rf"column DeathDt of .*death_1\.{fmt}: 2009-13-02"):
+        readers.read_subsamples(spark, str(tmp_path), "death", [1], fmt).collect()
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json"])
+def test_a_broken_row_is_an_error(spark, tmp_path, fmt):
+    (tmp_path / f"death_1.{fmt}").write_text({"csv": "PatID,DeathDt\nA,2009-01-02,x,y\n", "json": '{"PatID": \n'}[fmt])
+    with pytest.raises(Exception, match="(?i)malformed"):
+        readers.read_subsamples(spark, str(tmp_path), "death", [1], fmt).collect()
+
+
+def test_an_id_never_becomes_a_floating_point_number(spark, tmp_path):
+    spark.sql("SELECT 1L AS PatID").write.parquet(str(tmp_path / "death_1.parquet"))
+    spark.sql("SELECT 2.5D AS PatID").write.parquet(str(tmp_path / "death_2.parquet"))
+    with pytest.raises(ValueError, match="PatID"):
+        readers.read_subsamples(spark, str(tmp_path), "death", [1, 2])
+
+
+def test_plans_grow_with_layouts_not_with_files(spark, tmp_path):
+    for n in range(1, 9):
+        spark.sql(f"SELECT {n} AS PatID{', 1 AS Source' if n == 8 else ''}").write.parquet(str(tmp_path / f"death_{n}.parquet"))
+    df = readers.read_subsamples(spark, str(tmp_path), "death", range(1, 9))
+    assert df.count() == 8 and df._jdf.queryExecution().optimizedPlan().toString().count("Relation") == 2
+
+
+def test_wider_types():
+    from pyspark.sql import types as T
+
+    assert readers.wider_type(T.DecimalType(10, 2), T.IntegerType()) == T.DecimalType(12, 2)
+    assert readers.wider_type(T.LongType(), T.DecimalType(5, 3)) == T.DecimalType(22, 3)
+    assert readers.wider_type(T.DecimalType(10, 2), T.DoubleType()) == T.DoubleType()
+    assert readers.wider_type(T.DecimalType(38, 0), T.DecimalType(38, 30)) == T.StringType()
+
+
+@pytest.mark.parametrize("fmt", readers.FORMATS)
+def test_any_text_comes_back(spark, tmp_path, fmt):
+    texts = [" a", "b ", " ", "", None, "\\N", "x\ny", "a\r\nb", "\t", "\tt", '"', '""', 'a"b,c', "\\", "a\\\"", "#x", "é", ",", "null", "'"]
+    df = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "n int, a string, b string")
+    sinks.write_table(df, str(tmp_path / f"x.{fmt}"), fmt)
+    assert rows_of(sinks.read_table(spark, str(tmp_path / f"x.{fmt}"), fmt, df.schema)) == rows_of(df)
+
+
+def test_a_long_range_is_not_built(spark):
+    found = spark.createDataFrame([("a", 1)], "table_name string, samplenum int")
+    missing, wanted = readers.audit_completeness(found, ["a"], 1, 2_000_000_000)
+    assert len(wanted) == 2_000_000_000 and missing.limit(2).count() == 2
 
 
 def test_zero_rows_still_have_all_columns(spark, tmp_path):
@@ -76,9 +147,9 @@ def test_zero_rows_still_have_all_columns(spark, tmp_path):
 def test_every_missing_file_is_named(spark):
     found = spark.createDataFrame([("a", 1), ("b", 1), ("a", 3)], "table_name string, samplenum int")
     missing, numbers = readers.audit_completeness(found, ["a", "b"])
-    assert rows_of(missing) == [("a", 2), ("b", 2), ("b", 3)] and numbers == [1, 2, 3]
+    assert rows_of(missing) == [("a", 2), ("b", 2), ("b", 3)] and list(numbers) == [1, 2, 3]
     missing, numbers = readers.audit_completeness(found, ["a", "b"], 1, 1)
-    assert rows_of(missing) == [] and numbers == [1]
+    assert rows_of(missing) == [] and list(numbers) == [1]
     with pytest.raises(ValueError, match="no subsample files"):
         readers.audit_completeness(found.where("samplenum > 9"), ["a"])
 
@@ -94,9 +165,16 @@ def test_export_selection(spark, tmp_path):
     df = death_rows(spark, 9).withColumn("samplenum", (F.substring("PatID", 2, 1).cast("int") % 3) + 1)
     paths = sinks.export_selection({"death": df, "diagnosis": df}, "1 3", ["death", "diagnosis"], ["json", "txt"], str(tmp_path))
     assert sorted(p[len(str(tmp_path)) + 1 :] for p in paths) == [
-        "diagnosis_json/diagnosis", "diagnosis_txt/diagnosis", "subsamples_json/death", "subsamples_txt/death",
+        f"{folder}_{fmt}/{name}_{n}.{fmt}"
+        for folder, name in (("diagnosis", "diagnosis"), ("subsamples", "death"))
+        for fmt in ("json", "txt")
+        for n in (1, 3)
     ]
-    assert sorted(p.name for p in (tmp_path / "subsamples_txt" / "death").glob("samplenum=*")) == ["samplenum=1", "samplenum=3"]
+    assert sorted(p.name for p in (tmp_path / "subsamples_txt").iterdir()) == ["death_1.txt", "death_3.txt"]
+    back = readers.read_subsamples(spark, str(tmp_path / "subsamples_txt"), "death", [1, 3], "txt")
+    assert rows_of(back.select(*df.columns)) == rows_of(df.where("samplenum <> 2"))
+    with pytest.raises(FileExistsError):
+        sinks.export_selection({"death": df}, [1], ["death"], ["txt"], str(tmp_path))
     with pytest.raises(ValueError):
         sinks.export_selection({"death": df}, [1], ["nope"], ["csv"], str(tmp_path))
 
