@@ -118,37 +118,52 @@ def _sketched(docs: DataFrame) -> DataFrame:
 # Alignment
 
 
-def banded_distances(a: list[np.ndarray], b: list[np.ndarray], band: int) -> np.ndarray:
-    """Edit distances of pairs of number sequences, exact where at most ``band``, else more than ``band``."""
-    n = np.array([len(x) for x in a])
-    m = np.array([len(x) for x in b])
-    rows, width = int(n.max(initial=0)), 2 * band + 1
-    left = np.full((len(a), rows), -1, np.int32)
-    # b is shifted so that column k of row i faces b[i + k - band].
-    right = np.full((len(a), rows + width + 1), -2, np.int32)
-    for p, (x, y) in enumerate(zip(a, b)):
-        left[p, : len(x)] = x
-        seen = y[: rows + band + 1]
-        right[p, band : band + len(seen)] = seen
-    far = 1 << 30
-    steps = np.arange(width, dtype=np.int32)
-    now = np.where(steps >= band, steps - band, np.int32(far))[None, :].repeat(len(a), 0)
-    out = np.where(np.abs(n - m) > band, far, 0)
-    reachable = np.flatnonzero(out == 0)
-    goal = m - n + band
-    done = reachable[n[reachable] == 0]
-    out[done] = now[done, goal[done]]
-    for i in range(1, rows + 1):
-        change = now + (left[:, i - 1 : i] != right[:, i - 1 : i - 1 + width])
-        change[:, :-1] = np.minimum(change[:, :-1], now[:, 1:] + 1)
-        if i <= band:
-            change[:, : band - i] = far
-            change[:, band - i] = i
-        now = np.minimum.accumulate(change - steps, axis=1) + steps
-        done = reachable[n[reachable] == i]
-        if len(done):
-            out[done] = now[done, goal[done]]
-    return np.where(out > band, band + 1, out)
+def banded_distance(a: list[int], b: list[int], most: int) -> int | None:
+    """Edit distance of two number sequences if it is at most ``most``.
+
+    Cell (i, i + k) lies on diagonal k.  Per number of edits, only the furthest
+    cell of each diagonal is kept, and only diagonals from which the remaining
+    edits still lead to the end; equal runs are passed in one step.
+    """
+    n, m = len(a), len(b)
+    goal = m - n
+    if abs(goal) > most:
+        return None
+    x, y = np.array(a, np.int32), np.array(b, np.int32)
+
+    def slide(k: int, i: int) -> int:
+        end = min(n, m - k)
+        stop = min(end, i + 8)
+        while i < stop and a[i] == b[i + k]:
+            i += 1
+        if i < stop:
+            return i
+        size = 64
+        while i < end:
+            part = min(size, end - i)
+            differ = x[i : i + part] != y[i + k : i + k + part]
+            first = int(differ.argmax())
+            if differ[first]:
+                return i + first
+            i += part
+            size *= 4
+        return i
+
+    reached = {0: slide(0, 0)}
+    if goal == 0 and reached[0] == n:
+        return 0
+    for edits in range(1, most + 1):
+        left = most - edits
+        now = {}
+        for k in range(max(-edits, goal - left, -n), min(edits, goal + left, m) + 1):
+            # A changed word, one more word in b, one more word in a.
+            i = max(reached.get(k, -2) + 1, reached.get(k - 1, -1), reached.get(k + 1, -2) + 1)
+            if i >= 0:
+                now[k] = slide(k, min(i, n, m - k))
+        if now.get(goal) == n:
+            return edits
+        reached = now
+    return None
 
 
 def _shared(a: list[str], b: list[str], q: int) -> int:
@@ -159,44 +174,17 @@ def _shared(a: list[str], b: list[str], q: int) -> int:
 
 def distances(pairs: list[tuple[list[str], list[str]]], least: float) -> list[int | None]:
     """Edit distance in words of each pair, None where the similarity is below ``least``."""
-    out: list[int | None] = [None] * len(pairs)
-    waiting = []
-    for p, (a, b) in enumerate(pairs):
+    out: list[int | None] = []
+    for a, b in pairs:
         longer = max(len(a), len(b))
         # The most edits that keep the similarity, computed without rounding errors.
         most = int(longer * (1 - least) + 1e-9)
-        # An edit changes q of the runs of q words at most, so so many must be shared.
-        if any(_shared(a, b, q) < longer - q + 1 - q * most for q in (1, 2, 3)):
+        # An edit changes two of the runs of two words at most, so so many must be shared.
+        if _shared(a, b, 2) < longer - 1 - 2 * most:
+            out.append(None)
             continue
         number: dict[str, int] = {}
-        x, y = (np.array([number.setdefault(w, len(number)) for w in t], np.int64) for t in (a, b))
-        short = min(len(x), len(y))
-        differ = np.flatnonzero(x[:short] != y[:short])
-        head = int(differ[0]) if len(differ) else short
-        x, y = x[head:], y[head:]
-        short = min(len(x), len(y))
-        differ = np.flatnonzero(x[::-1][:short] != y[::-1][:short])
-        tail = int(differ[0]) if len(differ) else short
-        waiting.append((p, x[: len(x) - tail], y[: len(y) - tail], most))
-    band = 8
-    while waiting:
-        later = []
-        waiting.sort(key=lambda w: len(w[1]))
-        at = 0
-        while at < len(waiting):
-            # Arrays of a few million places at most, unless one pair alone needs more.
-            end = at + 1
-            while end < len(waiting) and (end - at + 1) * (len(waiting[end][1]) + 2 * band + 2) <= 1_000_000 and end - at < 512:
-                end += 1
-            part = waiting[at:end]
-            width = min(band, max(w[3] for w in part))
-            for w, d in zip(part, banded_distances([w[1] for w in part], [w[2] for w in part], width).tolist()):
-                if d <= w[3] and d <= width:
-                    out[w[0]] = d
-                elif w[3] > width:
-                    later.append(w)
-            at = end
-        waiting, band = later, band * 4
+        out.append(banded_distance(*([number.setdefault(w, len(number)) for w in t] for t in (a, b)), most))
     return out
 
 
