@@ -485,8 +485,26 @@ def _pool(docs: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
     return rows, pool
 
 
-def _apply(pool: DataFrame, spans: DataFrame, length: int, k: int) -> DataFrame:
-    """Remove what the repeated distances of each text cover."""
+def widened(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans of UTF-8 text that also cover the rest of every character they cut."""
+    out: list[tuple[int, int]] = []
+    for a, b in runs:
+        # A continuation byte is 80 to BF; a character has three of them at most.
+        for _ in range(3):
+            if 0 < a < len(text) and text[a] & 0xC0 == 0x80:
+                a -= 1
+        for _ in range(3):
+            if b < len(text) and text[b] & 0xC0 == 0x80:
+                b += 1
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def _apply(pool: DataFrame, spans: DataFrame, length: int, k: int, characters: bool = False) -> DataFrame:
+    """Remove what the repeated distances of each text cover, with ``characters`` also the rest of cut characters."""
 
     def run(batches):
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -510,6 +528,8 @@ def _apply(pool: DataFrame, spans: DataFrame, length: int, k: int) -> DataFrame:
                                 runs[-1] = (runs[-1][0], max(b, runs[-1][1]))
                             else:
                                 runs.append((a, b))
+                    if characters:
+                        runs = widened(text, runs)
                     kept = b"".join(text[a:b] for a, b in zip([0, *(r[1] for r in runs)], [*(r[0] for r in runs), n]))
                     out.append((sha, n - len(kept), [{"start": a, "end": b} for a, b in runs], kept))
                 yield pa.RecordBatch.from_arrays(
@@ -522,7 +542,7 @@ def _apply(pool: DataFrame, spans: DataFrame, length: int, k: int) -> DataFrame:
 
 
 def repeated_strings(
-    docs: DataFrame, ws: Workspace, length: int = LENGTH, k: int = K, max_group: int = MAX_GROUP
+    docs: DataFrame, ws: Workspace, length: int = LENGTH, k: int = K, max_group: int = MAX_GROUP, characters: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Remove every byte that a string of ``length`` bytes covers that also starts elsewhere.
 
@@ -530,6 +550,8 @@ def repeated_strings(
     documents.  Strings are judged on the input.  Returns the rows (doc_id,
     doc, crc, sha, n) and, for every different text by its SHA-256 ``sha``,
     n_removed, the removed ``spans`` (start, end) and the ``kept`` bytes.
+    With ``characters``, a character that loses some of its bytes loses all of
+    them, so the kept bytes are valid text wherever the input is.
     Repeated rows are copies of each other; other columns are ignored.
     """
     if not 0 < k <= length:
@@ -554,7 +576,7 @@ def repeated_strings(
     wanted = kinds.select("first.doc", "first.crc", "first.place", "gram", (F.col("n") > 1).alias("many"))
     members = ws.keep(_with_bytes(pool, wanted, length, k), "members")
     spans = whole.select("*", F.lit(-1).alias("low"), F.lit(-1).alias("high")).unionByName(_edges(members, ws, length, max_group))
-    return rows, _apply(pool, spans, length, k)
+    return rows, _apply(pool, spans, length, k, characters)
 
 
 def dedup(docs: DataFrame, ws: Workspace, length: int = LENGTH) -> DataFrame:
@@ -562,8 +584,3 @@ def dedup(docs: DataFrame, ws: Workspace, length: int = LENGTH) -> DataFrame:
     rows, texts = repeated_strings(docs, ws, length)
     joined = skew_join(rows, texts, ["sha"], right_bytes=1 << 62)
     return joined.select("doc_id", F.col("n").alias("n_bytes"), "n_removed", "spans", "kept")
-
-
-def whole_characters(kept: Column) -> Column:
-    """Text of kept bytes, without characters that lost some of their bytes."""
-    return F.regexp_replace(F.decode(kept, "UTF-8"), "�", "")

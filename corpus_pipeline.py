@@ -50,10 +50,10 @@ def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     loses everything stays, with an empty text; one that loses nothing keeps its text as it is.
     """
     ws = _workspace(spark, "suffix_dedup")
-    rows, texts = suffix_dedup.repeated_strings(docs, ws)
+    _, texts = suffix_dedup.repeated_strings(docs, ws, characters=True)
     others = [c for c in docs.columns if c != "text"]
     sha = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
-    changed = texts.where("n_removed > 0").select(F.col("sha").alias("_sha"), suffix_dedup.whole_characters(F.col("kept")).alias("_kept"))
+    changed = texts.where("n_removed > 0").select(F.col("sha").alias("_sha"), F.col("kept").cast("string").alias("_kept"))
     marked = docs.withColumn("_sha", sha)
     joined = skew_join(marked, ws.keep(changed, "changed"), ["_sha"], "left")
     text = F.coalesce("_kept", "text")

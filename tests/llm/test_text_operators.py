@@ -60,6 +60,18 @@ def test_repeated_rows_ids_and_empty_tables(spark, ws):
     assert suffix_dedup.dedup(df.limit(0), ws).collect() == []
 
 
+def test_characters_that_lose_bytes_go_whole_and_others_stay(spark, tmp_path):
+    import corpus_pipeline
+
+    passage = prose(random.Random(6), 80)[:220]
+    # Each pair shares the passage and one or more bytes of the characters beside it.
+    texts = ["\ufffd A" + passage + "éB \ufffd", "C" + passage + "àD", "x\u0449" + passage + "\U0001f600y", "\ufffdz\u0409" + passage + "\U0001f601\ufffd", "\ufffd", None]
+    df = docs_of(spark, texts)
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.cut_repeated_strings(spark, df, str(tmp_path)).collect()}
+    want = ["\ufffd AB \ufffd", "CD", "xy", "\ufffdz\ufffd", "\ufffd", None]
+    assert got == {i: (t, len(t or "")) for i, t in enumerate(want)}
+
+
 def test_sorted_surroundings_equal_python_order():
     rng = random.Random(8)
     texts = [bytes(rng.choices(b"ab", k=rng.randint(6, 30))) for _ in range(300)]
