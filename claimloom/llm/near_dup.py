@@ -1,16 +1,18 @@
 """Near-duplicate documents by Order MinHash, verified by banded alignment.
 
-A document's 5-word k-mers are labelled with their occurrence, so repeats
+A document's k-mers of words are labelled with their occurrence, so repeats
 count.  Each of several tables draws the two k-mers with the lowest hash and
 keeps them in text order; documents whose draws agree in some table become
 candidates.  The chance of that follows edit similarity, because both content
-and order must agree.  Candidates are aligned word by word in a band that
-widens as needed; ``1 - edit distance / longer length`` of at least 0.8 links them.
+and order must agree.  Candidates are aligned word by word in a band that widens as needed;
+``1 - edit distance / longer length`` of at least 0.8 links them.
 
 Documents of equal words are one text and take part once.  Within a bucket,
-texts are compared with the bucket's pivots only, so no group is paired with
-itself; with 20 tables of three pivots a text meets up to 60 others of its
-kind.  Links are joined to classes by alternating star contraction.
+texts first meet three pivots and then, where a large bucket is not one class
+yet, its text of most links.  After that every two texts of a bucket that are
+not in one class meet, unless their lengths or counts of word pairs rule a
+link out, so every link that could join two classes of a bucket is tried.
+Links are joined to classes by alternating star contraction.
 """
 
 from __future__ import annotations
@@ -27,12 +29,15 @@ from claimloom.llm.suffix_dedup import SALTS, _mix, rolling
 from claimloom.operators.joins import skew_join
 from claimloom.workspace import Workspace
 
-WORDS = 5
-TABLES = 20
-DRAWN = 2
 SIMILAR = 0.8
-#: Tables in which the lowest k-mer of two candidates must agree before they are aligned.
-AGREEING = 2
+DRAWN = 2
+#: Words of a k-mer, and the lengths of texts that it is for.
+KINDS = ((5, 1, None),)
+TABLES = 20
+#: Counters of hashed word pairs of a text, for an exact bound before texts are aligned.
+COUNTERS = 128
+#: Texts of a bucket of which one task compares all with all, or with as many others.
+BLOCK = 1_000
 PAIRS_PER_TASK = 2_000
 _ROWS = 1000
 _U = np.uint64
@@ -50,11 +55,8 @@ def _occurrences(doc: np.ndarray, gram: np.ndarray) -> np.ndarray:
     return out
 
 
-def sketches(texts: list[list[str]], words: int = WORDS, tables: int = TABLES) -> tuple[np.ndarray, np.ndarray]:
-    """Bucket keys and lowest k-mers, one row per text with words and one column per table.
-
-    A text of fewer words than a k-mer is one k-mer.
-    """
+def _grams(texts: list[list[str]], words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text number and hash of every k-mer, and where each text's k-mers begin; a shorter text is one k-mer."""
     counts = np.array([len(t) for t in texts], np.int64)
     blob = np.frombuffer((" ".join([" ".join(t) for t in texts]) + " ").encode(), np.uint8)
     stops = np.flatnonzero(blob == 32)
@@ -65,27 +67,56 @@ def sketches(texts: list[list[str]], words: int = WORDS, tables: int = TABLES) -
     first = np.concatenate(([0], np.cumsum(counts)[:-1]))[doc] + np.arange(len(doc)) - bounds[doc]
     last = np.minimum(first + words, np.cumsum(counts)[doc]) - 1
     hashes = rolling(3)
-    gram = _mix(hashes.of(hashes.prefix(blob), starts[first], stops[last] - starts[first]))
+    return doc, _mix(hashes.of(hashes.prefix(blob), starts[first], stops[last] - starts[first])), bounds
+
+
+def sketches(texts: list[list[str]], words: int, tables: int = TABLES) -> np.ndarray:
+    """Bucket keys, one row per text with words and one column per table."""
+    doc, gram, bounds = _grams(texts, words)
     labelled = _mix(gram ^ _mix(_occurrences(doc, gram).astype(_U) + _U(1)))
+    place = (np.arange(len(doc)) - bounds[doc]).astype(_U)
+    # A draw is a hash with the k-mer's place in its low bits.
+    low = _U((1 << int(place.max()).bit_length()) - 1)
+    salts = _mix(np.arange(1000, 1000 + 2 * tables, dtype=_U))
+    single = np.diff(np.append(bounds, len(doc))) == 1
     keys = np.empty((len(texts), tables), _U)
-    lowest = np.empty((len(texts), tables), _U)
-    single = grams == 1
+    value = np.empty(len(doc), _U)
     for t in range(tables):
-        value = _mix(labelled ^ _mix(np.full(1, 1000 + t, _U)))
-        one = np.minimum.reduceat(value, bounds)
-        at_one = np.flatnonzero(value == one[doc])
-        place_one = np.zeros(len(texts), np.int64)
-        place_one[doc[at_one][::-1]] = at_one[::-1]
-        value[place_one] = _LARGEST
-        two = np.minimum.reduceat(value, bounds)
-        at_two = np.flatnonzero(value == two[doc])
-        place_two = np.zeros(len(texts), np.int64)
-        place_two[doc[at_two][::-1]] = at_two[::-1]
-        early = np.where(place_one < place_two, one, two)
-        late = np.where(place_one < place_two, two, one)
-        keys[:, t] = _mix(np.where(single, _mix(one), _mix(early) ^ late) ^ _mix(np.full(1, 5000 + t, _U)))
-        lowest[:, t] = one
-    return keys, lowest
+        np.bitwise_xor(labelled, salts[2 * t], out=value)
+        value *= salts[2 * t + 1] | _U(1)
+        value &= ~low
+        value |= place
+        one = np.minimum.reduceat(value, bounds) & low
+        value[bounds + one.astype(np.int64)] = _LARGEST
+        two = np.where(single, one, np.minimum.reduceat(value, bounds) & low)
+        early, late = (labelled[bounds + x.astype(np.int64)] for x in (np.minimum(one, two), np.maximum(one, two)))
+        keys[:, t] = _mix(_mix(early ^ salts[2 * t]) + late)
+    # Kinds and tables have buckets of their own.
+    return _mix(keys ^ _mix(np.arange(tables, dtype=_U) + _U(words << 32)))
+
+
+def pair_counts(texts: list[list[str]]) -> np.ndarray:
+    """Counters of hashed word pairs, 255 at most, one row per text."""
+    doc, gram, _ = _grams(texts, 2)
+    at = doc * COUNTERS + (gram & _U(COUNTERS - 1)).astype(np.int64)
+    return np.minimum(np.bincount(at, minlength=len(texts) * COUNTERS), 255).astype(np.uint8).reshape(-1, COUNTERS)
+
+
+def most_edits(longer: np.ndarray, least: float) -> np.ndarray:
+    """The most edits that keep the similarity, computed without rounding errors."""
+    return (longer * (1 - least) + 1e-9).astype(np.int64)
+
+
+def possible(n_a: np.ndarray, n_b: np.ndarray, a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
+    """Which pairs may be similar, by their lengths and counters of word pairs.
+
+    An edit takes two word pairs from a text at most, and counters that stop at 255 differ by no more than true ones.
+    """
+    most = most_edits(np.maximum(n_a, n_b), least)
+    a, b = a.astype(np.int16), b.astype(np.int16)
+    more = a - b
+    over, under = np.maximum(more, 0).sum(1, dtype=np.int64), np.maximum(-more, 0).sum(1, dtype=np.int64)
+    return (np.abs(n_a - n_b) <= most) & (over <= 2 * most) & (under <= 2 * most)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -93,7 +124,7 @@ def words_of(text: str | None) -> list[str]:
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
-    """(doc_id, same, n_words, keys, lowest): ``same`` is equal for equal words."""
+    """(doc_id, same, n_words, keys, pairs): ``same`` is equal for equal words."""
 
     def run(batches):
         for batch in batches:
@@ -102,17 +133,126 @@ def _sketched(docs: DataFrame) -> DataFrame:
                 texts = [words_of(t) for t in part.column(1).to_pylist()]
                 same = pa.array([hashlib.blake2b(" ".join(t).encode(), digest_size=16).digest() for t in texts], pa.binary())
                 counts = np.array([len(t) for t in texts], np.int32)
-                full = np.flatnonzero(counts)
-                offsets = np.concatenate(([0], np.cumsum(np.where(counts > 0, TABLES, 0)))).astype(np.int32)
-                keys, lowest = sketches([texts[i] for i in full]) if len(full) else (np.zeros(0, _U), np.zeros(0, _U))
-                keys = pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel().view(np.int64)))
-                lowest = pa.ListArray.from_arrays(pa.array(offsets), pa.array((lowest.ravel() >> _U(48)).astype(np.uint16).view(np.int16)))
+                keys: list[list] = [[] for _ in texts]
+                for words, least, most in KINDS:
+                    of = [i for i, n in enumerate(counts) if n >= least and (most is None or n <= most)]
+                    if of:
+                        for i, row in zip(of, sketches([texts[i] for i in of], words).view(np.int64)):
+                            keys[i].append(row)
+                offsets = np.concatenate(([0], np.cumsum([sum(map(len, k)) for k in keys]))).astype(np.int32)
+                flat = np.concatenate([np.zeros(0, np.int64), *[x for k in keys for x in k]])
+                full = [i for i, n in enumerate(counts) if n]
+                pairs = dict(zip(full, pair_counts([texts[i] for i in full]))) if full else {}
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), same, pa.array(counts), keys, lowest], names=["doc_id", "same", "n_words", "keys", "lowest"]
-                )
+                    [
+                        part.column(0), same, pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                        pa.array([pairs[i].tobytes() if i in pairs else b"" for i in range(len(texts))], pa.binary()),
+                    ],
+                    names=["doc_id", "same", "n_words", "keys", "pairs"],
+                )
 
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return source.mapInArrow(run, "doc_id long, same binary, n_words int, keys array<long>, lowest array<smallint>")
+    return source.mapInArrow(run, "doc_id long, same binary, n_words int, keys array<long>, pairs binary")
+
+
+# Buckets
+
+
+def _members(texts: DataFrame, parts: int) -> DataFrame:
+    """(key, id) of every text in a bucket of two or more; the buckets of a task are found by one sort."""
+
+    def run(batches):
+        found = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
+        if not found:
+            return
+        key, id_ = (np.concatenate(x) for x in zip(*found))
+        del found
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        again = np.zeros(len(key) + 1, bool)
+        again[1:-1] = key[1:] == key[:-1]
+        keep = np.flatnonzero(again[1:] | again[:-1])
+        for at in range(0, len(keep), 100_000):
+            some = keep[at : at + 100_000]
+            yield pa.RecordBatch.from_arrays([pa.array(key[some]), pa.array(id_[order[some]])], names=["key", "id"])
+
+    drawn = texts.where("id IS NOT NULL").select(F.explode("keys").alias("key"), "id")
+    return drawn.repartition(parts, "key").mapInArrow(run, "key long, id long")
+
+
+def _met(members: DataFrame, pivots: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of members and the pivots of their bucket."""
+    met = _salted(members.select("key", "id"), pivots, "key", "n", "id").select("id", F.explode("pivots").alias("pivot")).where("id <> pivot")
+    return met.select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct()
+
+
+def _bounded(met: DataFrame, sign: DataFrame, least: float) -> DataFrame:
+    """Those of the written pairs that may be similar."""
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                n_a, n_b = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 4))
+                counts = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, COUNTERS) for i in (3, 5))
+                keep = pa.array(np.flatnonzero(possible(n_a, n_b, *counts, least)))
+                yield pa.RecordBatch.from_arrays([batch.column(i).take(keep) for i in (0, 1)], names=["a", "b"])
+
+    pairs = met
+    for side in ("a", "b"):
+        signed = sign.select(F.col("id").alias(side), F.col("n_words").alias(f"n_{side}"), F.col("pairs").alias(f"p_{side}"))
+        pairs = skew_join(pairs, signed, [side], keys_from=met.select(side))
+    return pairs.select("a", "b", "n_a", "p_a", "n_b", "p_b").mapInArrow(run, "a long, b long")
+
+
+def _all_pairs(open_: DataFrame, least: float, parts: int) -> DataFrame:
+    """Pairs (a, b) of one bucket and different roots that may be similar, of rows (key, n, id, root, n_words, pairs).
+
+    A large bucket is cut into blocks; a task gets two of them at a time.
+    """
+
+    def run(batches):
+        left = None
+        for batch in batches:
+            table = pa.Table.from_batches([batch])
+            table = table if left is None else pa.concat_tables([left, table])
+            key, x, y = (table.column(i).to_numpy() for i in range(3))
+            new = np.flatnonzero((key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])) + 1
+            # The last group may go on in the next batch.
+            cut = int(new[-1]) if len(new) else 0
+            if cut:
+                yield from pairs_of(table.slice(0, cut).combine_chunks())
+            left = table.slice(cut)
+        if left is not None and left.num_rows:
+            yield from pairs_of(left.combine_chunks())
+
+    def pairs_of(table):
+        key, x, y, block, id_, root, n = (table.column(i).to_numpy() for i in range(7))
+        n = n.astype(np.int64)
+        counts = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint8).reshape(-1, COUNTERS)
+        group = np.cumsum(np.concatenate(([0], (key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]))))
+        i = np.arange(len(key))
+        step = 0
+        while len(i):
+            step += 1
+            i = i[i + step < len(key)]
+            i = i[group[i] == group[i + step]]
+            j = i + step
+            # Two blocks are compared with each other only; each meets itself in a task of its own.
+            some = i[(root[i] != root[j]) & ((x[i] == y[i]) | (block[i] != block[j]))]
+            some = some[np.abs(n[some] - n[some + step]) <= most_edits(np.maximum(n[some], n[some + step]), least)]
+            for at in range(0, len(some), 10_000):
+                a = some[at : at + 10_000]
+                a = a[possible(n[a], n[a + step], counts[a], counts[a + step], least)]
+                if len(a):
+                    b = a + step
+                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(id_[a], id_[b])), pa.array(np.minimum(id_[a], id_[b]))], names=["a", "b"])
+
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    placed = open_.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "root", "n_words", "pairs")
+    grouped = dealt.repartition(parts, "key", "x", "y").sortWithinPartitions("key", "x", "y")
+    return grouped.mapInArrow(run, "a long, b long").distinct()
 
 
 # Alignment
@@ -177,8 +317,7 @@ def distances(pairs: list[tuple[list[str], list[str]]], least: float) -> list[in
     out: list[int | None] = []
     for a, b in pairs:
         longer = max(len(a), len(b))
-        # The most edits that keep the similarity, computed without rounding errors.
-        most = int(longer * (1 - least) + 1e-9)
+        most = int(most_edits(np.array(longer), least))
         # An edit changes two of the runs of two words at most, so so many must be shared.
         if _shared(a, b, 2) < longer - 1 - 2 * most:
             out.append(None)
@@ -246,6 +385,27 @@ def components(links: DataFrame, ws: Workspace) -> DataFrame:
         mark = new
 
 
+def _unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(key, n, id, root) of the buckets whose members are not all in one class."""
+    rooted = members.join(roots, "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
+    open_ = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+    return _salted(rooted, open_.select("key", "n"), "key", "n", "id")
+
+
+def _linked(docs: DataFrame, pairs: DataFrame, ws: Workspace, least: float) -> DataFrame:
+    """Links (a, b, distance) among the written pairs (a, b)."""
+    involved = ws.keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
+    source = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
+    needed = ws.keep(skew_join(source, involved, ["id"], "left_semi"), "involved-texts")
+    # Aligning takes far longer than reading, so pairs are spread before their texts join them.
+    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), pairs.count() // PAIRS_PER_TASK)
+    candidates = pairs = pairs.repartition(parts, "a", "b")
+    for side in ("a", "b"):
+        text = needed.select(F.col("id").alias(side), F.col("text").alias(f"text_{side}"))
+        pairs = skew_join(pairs, text, [side], keys_from=candidates.select(side))
+    return ws.keep(_aligned(pairs, least).dropDuplicates(["a", "b"]), "links")
+
+
 def near_duplicates(docs: DataFrame, ws: Workspace, least: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
     """Classes of near-duplicate documents and the links between their texts.
 
@@ -263,38 +423,36 @@ def near_duplicates(docs: DataFrame, ws: Workspace, least: float = SIMILAR) -> t
     rows = ws.keep(_sketched(docs), "sketches")
     texts = ws.keep(
         rows.groupBy("same").agg(
-            F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min(F.struct("n_words", "keys", "lowest")).alias("s")
-        ).select("same", "id", "copies", "s.n_words", "s.keys", "s.lowest"),
+            F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min(F.struct("n_words", "keys", "pairs")).alias("s")
+        ).select("same", "id", "copies", "s.n_words", "s.keys", "s.pairs"),
         "texts",
     )
-    drawn = texts.where("id IS NOT NULL AND n_words > 0").select(F.explode("keys").alias("key"), "id")
-    mixed = F.struct(F.xxhash64("id").alias("h"), "id")
-    buckets = ws.keep(
-        drawn.groupBy("key")
-        .agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(F.min("id"), F.min(mixed)["id"], F.max(mixed)["id"])).alias("pivots"))
-        .where("n > 1"),
-        "buckets",
+    sign = texts.where("id IS NOT NULL").select("id", "n_words", "pairs")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    members = ws.keep(_members(texts, parts), "members")
+    # Another order in each bucket, so that a group of texts gets other pivots in each table.
+    mixed = F.struct(F.xxhash64("key", "id").alias("h"), "id")
+    pivots = members.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(F.min("id"), F.min(mixed)["id"], F.max(mixed)["id"])).alias("pivots")
     )
-    met = _salted(drawn, buckets, "key", "n", "id").select("id", F.explode("pivots").alias("pivot")).where("id <> pivot")
-    met = met.select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct()
-    pairs = ws.keep(met, "pairs")
-    sign = texts.where("id IS NOT NULL").select("id", "n_words", "lowest")
-    for side in ("a", "b"):
-        pairs = skew_join(pairs, sign.select(F.col("id").alias(side), F.col("n_words").alias(f"n_{side}"), F.col("lowest").alias(f"l_{side}")), [side])
-    agree = F.aggregate(F.zip_with("l_a", "l_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
-    longer, shorter = F.greatest("n_a", "n_b"), F.least("n_a", "n_b")
-    pairs = ws.keep(pairs.where((shorter >= longer * (least - 1e-9)) & (agree >= AGREEING)).select("a", "b"), "candidates")
+    tried = ws.keep(_bounded(ws.keep(_met(members, ws.keep(pivots, "pivots")), "pairs"), sign, least), "candidates")
+    links = _linked(docs, tried, ws, least)
+    roots = components(links, ws)
 
-    involved = ws.keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
-    source = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    needed = ws.keep(skew_join(source, involved, ["id"], "left_semi"), "involved-texts")
-    # Aligning takes far longer than reading, so pairs are spread before their texts join them.
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), pairs.count() // PAIRS_PER_TASK)
-    candidates = pairs = pairs.repartition(parts, "a", "b")
-    for side in ("a", "b"):
-        text = needed.select(F.col("id").alias(side), F.col("text").alias(f"text_{side}"))
-        pairs = skew_join(pairs, text, [side], keys_from=candidates.select(side))
-    links = ws.keep(_aligned(pairs, least).dropDuplicates(["a", "b"]), "links")
+    open_ = ws.keep(_unsettled(members, roots), "unsettled")
+    if not open_.where(F.col("n") > BLOCK // 20).isEmpty():
+        degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
+        ranked = F.struct(F.coalesce("links", F.lit(0)).alias("links"), F.xxhash64("key", "id").alias("h"), "id")
+        pivots = open_.join(degree, "id", "left").groupBy("key").agg(F.max("n").alias("n"), F.array(F.max(ranked)["id"]).alias("pivots"))
+        met = _met(open_, ws.keep(pivots, "hubs")).join(tried, ["a", "b"], "left_anti")
+        more = ws.keep(_bounded(ws.keep(met, "pairs"), sign, least), "candidates")
+        links, tried = links.unionByName(_linked(docs, more, ws, least)), tried.unionByName(more)
+        roots = components(links, ws)
+        open_ = ws.keep(_unsettled(members, roots), "unsettled")
+    more = _all_pairs(open_.join(sign, "id"), least, parts).join(tried, ["a", "b"], "left_anti")
+    more = ws.keep(more, "candidates")
+    if not more.isEmpty():
+        links = links.unionByName(_linked(docs, more, ws, least))
 
     roots = components(links, ws)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))

@@ -197,6 +197,41 @@ def test_near_duplicates_of_awkward_rows(spark, ws):
     assert empty.collect() == []
 
 
+def classes_by_bucket_pairs(texts):
+    """Lowest number of each text's class when every two texts that share a bucket are aligned."""
+    words = [near_dup.words_of(t) for t in texts]
+    buckets = {}
+    for k, least, most in near_dup.KINDS:
+        of = [i for i, w in enumerate(words) if len(w) >= least and (most is None or len(w) <= most)]
+        for i, keys in zip(of, near_dup.sketches([words[i] for i in of], k) if of else []):
+            for key in keys:
+                buckets.setdefault(key, set()).add(i)
+    pairs = sorted({(a, b) for ids in buckets.values() for a in ids for b in ids if a < b})
+    root = list(range(len(texts)))
+    for (a, b), d in zip(pairs, near_dup.distances([(words[a], words[b]) for a, b in pairs], 0.8)):
+        if d is not None:
+            low, high = sorted((root[a], root[b]))
+            root = [low if r == high else r for r in root]
+    return root
+
+
+@pytest.mark.parametrize("block", [1000, 8])
+def test_every_pair_of_a_bucket_is_settled(spark, ws, monkeypatch, block):
+    monkeypatch.setattr(near_dup, "BLOCK", block)
+    rng = random.Random(21)
+    base = prose(rng, 100).split()
+    # Own changes: 0.87 to the base, below 0.8 to nearly all others; the base is no pivot by its id.
+    texts = [" ".join(prose(rng, 1) + "x" if i in at else w for i, w in enumerate(base)) for at in (set(rng.sample(range(100), 13)) for _ in range(90))]
+    texts.insert(50, " ".join(base))
+    passage = prose(rng, 60)
+    texts += [prose(rng, 20) + " " + passage + " " + prose(rng, 20) for _ in range(30)]
+    texts += [" ".join(w for i, w in enumerate(t.split()) if i not in (3, 50)) for t in texts[-3:]]
+    want = classes_by_bucket_pairs(texts)
+    classes, _ = near_dup.near_duplicates(docs_of(spark, texts), ws)
+    assert [r.class_id for r in classes.orderBy("doc_id").collect()] == want
+    assert want[:91].count(want[50]) >= 75
+
+
 def test_components_of_chains_stars_and_circles(spark, ws):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, x) for x in range(101, 160)] + [(200, 201), (201, 202), (202, 200), (202, 202)]
     got = {r.id: r.root for r in near_dup.components(spark.createDataFrame(links, "a long, b long"), ws).collect()}
