@@ -4,7 +4,10 @@ A document's k-mers of words are labelled with their occurrence, so repeats
 count.  Each of several tables draws the two k-mers with the lowest hash and
 keeps them in text order; documents whose draws agree in some table become
 candidates.  The chance of that follows edit similarity, because both content
-and order must agree.  Candidates are aligned word by word in a band that widens as needed;
+and order must agree; ``TABLES`` is derived from the recall wanted at the
+similarity that links.  Short texts have few k-mers and use shorter ones; the
+ranges of lengths overlap, so that any two texts that can be similar share a
+kind.  Candidates are aligned word by word in a band that widens as needed;
 ``1 - edit distance / longer length`` of at least 0.8 links them.
 
 Documents of equal words are one text and take part once.  Within a bucket,
@@ -18,6 +21,7 @@ Links are joined to classes by alternating star contraction.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections import Counter
 
 import numpy as np
@@ -31,9 +35,19 @@ from claimloom.workspace import Workspace
 
 SIMILAR = 0.8
 DRAWN = 2
-#: Words of a k-mer, and the lengths of texts that it is for.
-KINDS = ((5, 1, None),)
-TABLES = 20
+#: Words of a k-mer, for texts of so many words; a text in two ranges draws from both.
+KINDS = ((2, 4, 25), (3, 20, 75), (4, 60, None))
+RECALL = 0.99
+
+
+def tables_for(words: int, least: float = SIMILAR, recall: float = RECALL) -> int:
+    """Tables in which texts of the least similarity, their edits scattered, agree at least once with this chance."""
+    alike = least**words
+    return math.ceil(math.log(1 - recall) / math.log(1 - (alike / (2 - alike)) ** DRAWN))
+
+
+#: What the longest k-mers need; the shorter ones need no more for long texts, but as many for texts of few k-mers.
+TABLES = tables_for(KINDS[-1][0])
 #: Counters of hashed word pairs of a text, for an exact bound before texts are aligned.
 COUNTERS = 128
 #: Texts of a bucket of which one task compares all with all, or with as many others.

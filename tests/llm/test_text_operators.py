@@ -232,6 +232,28 @@ def test_every_pair_of_a_bucket_is_settled(spark, ws, monkeypatch, block):
     assert want[:91].count(want[50]) >= 75
 
 
+def test_candidates_are_found_down_to_the_least_similarity():
+    rng = random.Random(22)
+    for n in (26, 60, 100, 300):
+        for share, least in ((0.2, 0.95), (0.15, 0.98), (0.1, 0.99)):
+            texts = [[prose(rng, 1) + str(rng.random()) for _ in range(n)] for _ in range(200)]
+            other = [[w + "x" if i in at else w for i, w in enumerate(t)] for t in texts for at in [set(rng.sample(range(n), int(n * share)))]]
+            met = {i for k, low, high in near_dup.KINDS if low <= n <= (high or n) for i in (near_dup.sketches(texts, k) == near_dup.sketches(other, k)).any(1).nonzero()[0]}
+            assert len(met) >= least * 200 - 4, (n, share, len(met))
+
+
+def test_short_texts_meet(spark, ws):
+    rng = random.Random(23)
+    texts = []
+    for n in (5, 5, 6, 9, 10, 14):
+        words = [f"{prose(rng, 1)}{n}{len(texts)}{i}" for i in range(n)]
+        texts += [" ".join(words), " ".join(w + "y" if i == n // 2 else w for i, w in enumerate(words))]
+    five = [f"only{i}" for i in range(5)]
+    texts += [" ".join(five), " ".join(five[:2] + ["more"] + five[2:]), "p q r s", "p q z r s", "k l m n", "k l o n"]
+    classes, _ = near_dup.near_duplicates(docs_of(spark, texts), ws)
+    assert [r.class_id for r in classes.orderBy("doc_id").collect()] == [i - i % 2 for i in range(16)] + [16, 17]
+
+
 def test_components_of_chains_stars_and_circles(spark, ws):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, x) for x in range(101, 160)] + [(200, 201), (201, 202), (202, 200), (202, 202)]
     got = {r.id: r.root for r in near_dup.components(spark.createDataFrame(links, "a long, b long"), ws).collect()}
