@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from claimloom.llm import ann, bpe, exact_topk, html_text, mixing, near_dup, quality, resharding, suffix_dedup, url_filter
+from claimloom.llm import (
+    ann, bpe, exact_topk, filter_audit, html_text, language_id, mixing, near_dup, quality, resharding, spelling, suffix_dedup, url_filter,
+)
 from claimloom.llm.common import fresh_workspace, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -176,3 +178,121 @@ def op2_html_text(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     texts = html_text.extract(pages, html_text.train(pages), ["page_id", "url"])
     return texts.withColumn("n_chars", F.length("text").cast("long"))
+
+
+FILTERS = "ABCDE"
+
+
+@query
+def op11_filter_audit(spark, sf_dir):
+    rows = filter_audit.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), fresh_workspace(spark, "op11"))
+    return filter_audit.audit(rows, "part", list(FILTERS), ["good", "toxic"])
+
+
+ORACLE["op11_filter_audit"] = r"""
+WITH d AS (
+    SELECT coalesce(lang, '') AS part, doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM documents
+), l AS (
+    SELECT doc_id, bool_or(quality IS NOT DISTINCT FROM 1) AS good, bool_or(toxic IS NOT DISTINCT FROM 1) AS toxic
+    FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), j AS (
+    SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+        (CASE WHEN len(w) < 100 THEN 'A' ELSE '' END)
+        || (CASE WHEN 100 * len(list_distinct(w)) < 80 * len(w) THEN 'B' ELSE '' END)
+        || (CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t) THEN 'C' ELSE '' END)
+        || (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END)
+        || (CASE WHEN doc_id > min(doc_id) OVER (PARTITION BY t) THEN 'E' ELSE '' END) AS fails
+    FROM d LEFT JOIN l USING (doc_id)
+), c AS (
+    SELECT part, fails, good, toxic, count(*) AS n FROM j GROUP BY ALL
+), f(x) AS (
+    VALUES ('A'), ('B'), ('C'), ('D'), ('E')
+), o AS (
+    SELECT p.x || q.x || r.x || s.x || t.x AS filter_order
+    FROM f p, f q, f r, f s, f t
+    WHERE len(list_distinct([p.x, q.x, r.x, s.x, t.x])) = 5
+), steps AS (
+    SELECT filter_order, step::INTEGER AS step, filter_order[step] AS filter, left(filter_order, step - 1) AS earlier
+    FROM o, range(1, 6) r(step)
+), outcomes AS (
+    SELECT part, filter_order, step, filter, n, good, toxic, fails,
+        contains(fails, filter) AS failing, translate(fails, earlier, '') <> fails AS gone
+    FROM c, steps
+), counts AS (
+    SELECT part, filter_order, step, filter,
+        coalesce(sum(n) FILTER (WHERE NOT failing AND NOT gone), 0)::BIGINT AS kept,
+        coalesce(sum(n) FILTER (WHERE failing AND NOT gone), 0)::BIGINT AS removed,
+        coalesce(sum(n) FILTER (WHERE failing AND gone), 0)::BIGINT AS redundant,
+        coalesce(sum(n) FILTER (WHERE fails = filter), 0)::BIGINT AS unique_fails,
+        coalesce(sum(n) FILTER (WHERE failing AND NOT gone AND good), 0)::BIGINT AS good_lost,
+        coalesce(sum(n) FILTER (WHERE failing AND NOT gone AND toxic), 0)::BIGINT AS toxic_lost
+    FROM outcomes GROUP BY ALL
+)
+SELECT * EXCLUDE (filter), (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley FROM counts
+"""
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    ws = fresh_workspace(spark, "op12")
+    return spelling.variants(spelling.words_of(table(spark, sf_dir, "documents")), ws)
+
+
+ORACLE["op12_spelling_variants"] = r"""
+WITH RECURSIVE crc(i, n, v) AS (
+    SELECT i, 0, i::BIGINT FROM range(256) r(i)
+    UNION ALL
+    SELECT i, n + 1, CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END FROM crc WHERE n < 8
+), crc_table AS (
+    SELECT list(v ORDER BY i) AS steps FROM crc WHERE n = 8
+), runs AS (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-zÀ-ÿ]+')) AS run
+    FROM documents
+), counted AS (
+    SELECT coalesce(doc_id::VARCHAR, '') || ':' || run AS marked, run, count(*) AS n FROM runs WHERE length(run) >= 6 GROUP BY ALL
+), hashed AS (
+    SELECT run, n, xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(marked)), '..'), lambda b: ('0x' || b)::BIGINT)),
+        lambda a, b: xor(a >> 8, steps[(xor(a, b) & 255) + 1])), 4294967295) AS h
+    FROM counted, crc_table
+), spelled AS (
+    SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INTEGER) || substr(run, (h % length(run))::INTEGER + 2) ELSE run END AS word, n
+    FROM hashed
+), words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM spelled GROUP BY word HAVING sum(n) >= 5 AND length(word) >= 6
+), cuts AS (
+    SELECT word, n, unnest(range(0, length(word) + 1)) AS i FROM words
+), skipped AS (
+    SELECT word, n, left(word, i) || '?' || substr(word, i + 2) AS k, left(word, i) || substr(word, i + 2) AS shorter FROM cuts WHERE i < length(word)
+), near AS (
+    SELECT a.word, b.word AS other, b.n FROM skipped a JOIN skipped b ON a.k = b.k AND a.word <> b.word
+    UNION
+    SELECT s.word, w.word, w.n FROM skipped s JOIN words w ON s.shorter = w.word
+    UNION
+    SELECT w.word, s.word, s.n FROM skipped s JOIN words w ON s.shorter = w.word
+), best AS (
+    SELECT word, count(*)::BIGINT AS n_near, max(n) AS near_n FROM near GROUP BY word
+), formed AS (
+    SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near,
+        CASE WHEN near_n >= 5 * w.n THEN (SELECT min(x.other) FROM near x WHERE x.word = w.word AND x.n = near_n) END AS form,
+        CASE WHEN near_n >= 5 * w.n THEN near_n END AS form_n
+    FROM words w LEFT JOIN best USING (word)
+), chains(word, root, depth) AS (
+    SELECT word, word, 0 FROM formed
+    UNION ALL
+    SELECT c.word, f.form, depth + 1 FROM chains c JOIN formed f ON c.root = f.word WHERE f.form IS NOT NULL
+), ends AS (
+    SELECT word, arg_max(root, depth) AS root FROM chains GROUP BY word
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+
+
+@query
+def op13_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    out = language_id.held_out(F.col("doc_id"))
+    model = language_id.learn(docs.where(~out))
+    found = language_id.identify(docs, model, ["doc_id"])
+    return found.select("doc_id", out.alias("held_out"), "lang_pred", "score", "rejected")
