@@ -73,6 +73,7 @@ class Workspace:
         self.path = f"{(root or shared_root(spark)).rstrip('/')}/claimloom-{uuid.uuid4().hex}"
         self._numbers = itertools.count(1)
         self._used = False
+        self._entries: list[str] = []
         atexit.register(self._close_at_exit)
 
     def new_path(self, name: str) -> str:
@@ -85,8 +86,21 @@ class Workspace:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def keep_bucketed(self, df: DataFrame, name: str, buckets: int, columns: Sequence[str]) -> DataFrame:
+        """Write ``df`` once in buckets of ``columns``: joins on them with tables of as many buckets need no shuffle.
+
+        Spark keeps what it knows of buckets in its catalog, so the table has
+        an entry there until ``close``.
+        """
+        entry = f"{self.path.rsplit('/', 1)[1]}_{next(self._numbers)}".replace("-", "_")
+        self._entries.append(entry)
+        df.write.bucketBy(buckets, *columns).option("path", self.new_path(name)).saveAsTable(entry)
+        return self.spark.table(entry)
+
     def close(self) -> None:
-        """Delete this run's tables."""
+        """Delete this run's tables and their catalog entries."""
+        while self._entries:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._entries.pop()}")
         if self._used:
             folder, system = hadoop_path(self.spark, self.path)
             system.delete(folder, True)
