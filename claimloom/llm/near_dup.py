@@ -10,11 +10,12 @@ ranges of lengths overlap, so that any two texts that can be similar share a
 kind.  Candidates are aligned word by word in a band that widens as needed;
 ``1 - edit distance / longer length`` of at least 0.8 links them.
 
-Documents of equal words are one text and take part once.  Within a bucket,
-texts first meet three pivots and then, where a large bucket is not one class
-yet, its text of most links.  After that every two texts of a bucket that are
-not in one class meet, unless their lengths or counts of word pairs rule a
-link out, so every link that could join two classes of a bucket is tried.
+Documents of equal words are one text and take part once.  First every text is
+aligned with one other, the pivot that it meets in most buckets.  Then every
+two texts of a bucket that are not in one class yet meet inside the tasks of
+that bucket.  A task looks pairs up by their rarest words and keeps its own
+classes, so it aligns only pairs that may be similar and would join two
+classes, and returns only links that do.  No pair leaves a task unless it links.
 Links are joined to classes by alternating star contraction.
 """
 
@@ -22,15 +23,15 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from claimloom.llm.suffix_dedup import SALTS, _mix, rolling
-from claimloom.operators.joins import skew_join
+from claimloom.operators.joins import hot_keys, skew_join
 from claimloom.workspace import Workspace
 
 SIMILAR = 0.8
@@ -48,12 +49,12 @@ def tables_for(words: int, least: float = SIMILAR, recall: float = RECALL) -> in
 
 #: What the longest k-mers need; the shorter ones need no more for long texts, but as many for texts of few k-mers.
 TABLES = tables_for(KINDS[-1][0])
-#: Counters of hashed word pairs of a text, for an exact bound before texts are aligned.
-COUNTERS = 128
-#: Texts of a bucket of which one task compares all with all, or with as many others.
-BLOCK = 1_000
-PAIRS_PER_TASK = 2_000
-_ROWS = 1000
+#: Texts and words of a bucket's block; a task compares two blocks at a time.
+BLOCK, BLOCK_WORDS = 2_000, 500_000
+#: Texts that a task aligns with one pivot.
+PIVOTED = 500
+_ROWS = 250
+_HASHED = 50
 _U = np.uint64
 _LARGEST = _U(0xFFFFFFFFFFFFFFFF)
 
@@ -109,42 +110,23 @@ def sketches(texts: list[list[str]], words: int, tables: int = TABLES) -> np.nda
     return _mix(keys ^ _mix(np.arange(tables, dtype=_U) + _U(words << 32)))
 
 
-def pair_counts(texts: list[list[str]]) -> np.ndarray:
-    """Counters of hashed word pairs, 255 at most, one row per text."""
-    doc, gram, _ = _grams(texts, 2)
-    at = doc * COUNTERS + (gram & _U(COUNTERS - 1)).astype(np.int64)
-    return np.minimum(np.bincount(at, minlength=len(texts) * COUNTERS), 255).astype(np.uint8).reshape(-1, COUNTERS)
-
-
 def most_edits(longer: np.ndarray, least: float) -> np.ndarray:
     """The most edits that keep the similarity, computed without rounding errors."""
     return (longer * (1 - least) + 1e-9).astype(np.int64)
 
 
-def possible(n_a: np.ndarray, n_b: np.ndarray, a: np.ndarray, b: np.ndarray, least: float) -> np.ndarray:
-    """Which pairs may be similar, by their lengths and counters of word pairs.
-
-    An edit takes two word pairs from a text at most, and counters that stop at 255 differ by no more than true ones.
-    """
-    most = most_edits(np.maximum(n_a, n_b), least)
-    a, b = a.astype(np.int16), b.astype(np.int16)
-    more = a - b
-    over, under = np.maximum(more, 0).sum(1, dtype=np.int64), np.maximum(-more, 0).sum(1, dtype=np.int64)
-    return (np.abs(n_a - n_b) <= most) & (over <= 2 * most) & (under <= 2 * most)
-
-
 def words_of(text: str | None) -> list[str]:
     return (text or "").lower().split()
 
 
-def _sketched(docs: DataFrame) -> DataFrame:
-    """(doc_id, same, n_words, keys, pairs): ``same`` is equal for equal words."""
+def _sketched(numbered: DataFrame) -> DataFrame:
+    """(row, doc_id, same, n_words, keys): ``same`` is equal for equal words."""
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, _ROWS):
                 part = batch.slice(at, _ROWS)
-                texts = [words_of(t) for t in part.column(1).to_pylist()]
+                texts = [words_of(t) for t in part.column(2).to_pylist()]
                 same = pa.array([hashlib.blake2b(" ".join(t).encode(), digest_size=16).digest() for t in texts], pa.binary())
                 counts = np.array([len(t) for t in texts], np.int32)
                 keys: list[list] = [[] for _ in texts]
@@ -155,130 +137,217 @@ def _sketched(docs: DataFrame) -> DataFrame:
                             keys[i].append(row)
                 offsets = np.concatenate(([0], np.cumsum([sum(map(len, k)) for k in keys]))).astype(np.int32)
                 flat = np.concatenate([np.zeros(0, np.int64), *[x for k in keys for x in k]])
-                full = [i for i, n in enumerate(counts) if n]
-                pairs = dict(zip(full, pair_counts([texts[i] for i in full]))) if full else {}
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        part.column(0), same, pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                        pa.array([pairs[i].tobytes() if i in pairs else b"" for i in range(len(texts))], pa.binary()),
-                    ],
-                    names=["doc_id", "same", "n_words", "keys", "pairs"],
-                )
+                    [part.column(0), part.column(1), same, pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                    names=["row", "doc_id", "same", "n_words", "keys"],
+                )
 
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return source.mapInArrow(run, "doc_id long, same binary, n_words int, keys array<long>, pairs binary")
+    return numbered.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, same binary, n_words int, keys array<long>")
 
 
 # Buckets
 
 
-def _members(texts: DataFrame, parts: int) -> DataFrame:
-    """(key, id) of every text in a bucket of two or more; the buckets of a task are found by one sort."""
+def _members(texts: DataFrame) -> DataFrame:
+    """(key, id, n, pivot) of every text in a bucket of two or more; the pivot is the text of the lowest hash.
 
-    def run(batches):
-        found = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-        if not found:
-            return
-        key, id_ = (np.concatenate(x) for x in zip(*found))
-        del found
-        order = np.argsort(key, kind="stable")
-        key = key[order]
-        again = np.zeros(len(key) + 1, bool)
-        again[1:-1] = key[1:] == key[:-1]
-        keep = np.flatnonzero(again[1:] | again[:-1])
-        for at in range(0, len(keep), 100_000):
-            some = keep[at : at + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(key[some]), pa.array(id_[order[some]])], names=["key", "id"])
-
-    drawn = texts.where("id IS NOT NULL").select(F.explode("keys").alias("key"), "id")
-    return drawn.repartition(parts, "key").mapInArrow(run, "key long, id long")
-
-
-def _met(members: DataFrame, pivots: DataFrame) -> DataFrame:
-    """Distinct pairs (a, b) of members and the pivots of their bucket."""
-    met = _salted(members.select("key", "id"), pivots, "key", "n", "id").select("id", F.explode("pivots").alias("pivot")).where("id <> pivot")
-    return met.select(F.greatest("id", "pivot").alias("a"), F.least("id", "pivot").alias("b")).distinct()
+    Rows travel once, to the task of their key.  Keys that hold more than a
+    small share of all rows are counted before, and their rows spread.
+    """
+    drawn = texts.select(F.explode("keys").alias("key"), "id")
+    # All buckets rank texts alike, so that a group of texts gets few pivots.
+    lowest = F.min(F.struct(F.xxhash64("id").alias("h"), "id"))
+    frequent = hot_keys(drawn, ["key"]).hashes
+    is_hot = F.xxhash64("key").isin(frequent) if frequent else F.lit(False)
+    bucket = W.partitionBy("key")
+    counted = drawn.where(~is_hot).select("key", "id", F.count(F.lit(1)).over(bucket).alias("n"), lowest.over(bucket)["id"].alias("pivot"))
+    members = counted.where("n > 1")
+    if not frequent:
+        return members
+    many = drawn.where(is_hot)
+    buckets = many.groupBy("key").agg(F.count(F.lit(1)).alias("n"), lowest["id"].alias("pivot")).where("n > 1")
+    return members.unionByName(_salted(many, buckets, "key", "n", "id").select("key", "id", "n", "pivot"))
+
+
+def _pivoted(members: DataFrame) -> DataFrame:
+    """(id, pivot): each text's pivot of most buckets, if any but itself; ties go to the lower hash."""
+    votes = members.where("id <> pivot").groupBy("id", "pivot").agg(F.count(F.lit(1)).alias("n"))
+    best = F.max(F.struct("n", (-F.xxhash64("pivot")).alias("h"), "pivot"))["pivot"]
+    return votes.groupBy("id").agg(best.alias("pivot"))
+
+
+def _groups(batches, keys: int):
+    """Tables of the rows of equal first ``keys`` columns, which come together; nothing else is held."""
+    left = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = table if left is None else pa.concat_tables([left, table])
+        columns = [table.column(i).to_numpy() for i in range(keys)]
+        new = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1
+        cuts = [0, *new.tolist()]
+        for a, b in zip(cuts, cuts[1:]):
+            yield table.slice(a, b - a)
+        # The last group may go on in the next batch.
+        left = table.slice(cuts[-1])
+    if left is not None and left.num_rows:
+        yield left
+
+
+class Texts:
+    """Words of texts as 64-bit numbers, and what bounds their edit distance."""
+
+    def __init__(self, texts: list[str | None]):
+        sizes, found = [], [np.zeros(0, _U)]
+        for at in range(0, len(texts), _HASHED):
+            # Words as text take many times the memory of their numbers.
+            words = [words_of(t) for t in texts[at : at + _HASHED]]
+            sizes += [len(w) for w in words]
+            full = [w for w in words if w]
+            if full:
+                found.append(_grams(full, 1)[1])
+        self.sizes = np.array(sizes, np.int64)
+        self.ends = np.cumsum(self.sizes)
+        self.doc, self.words = np.repeat(np.arange(len(texts)), self.sizes), np.concatenate(found)
+        self.labelled = _mix(self.words ^ _mix(_occurrences(self.doc, self.words).astype(_U) + _U(1)))
+        self._pairs: dict[int, np.ndarray] = {}
+
+    def part(self, i: int) -> slice:
+        return slice(self.ends[i] - self.sizes[i], self.ends[i])
+
+    def pairs(self, i: int) -> np.ndarray:
+        """Pairs of neighbouring words of a text, labelled with their occurrence."""
+        if i not in self._pairs:
+            w = self.words[self.part(i)]
+            gram = _mix(w[:-1] ^ _mix(w[1:]))
+            self._pairs[i] = _mix(gram ^ _mix(_occurrences(np.zeros(len(gram), np.int64), gram).astype(_U) + _U(1)))
+        return self._pairs[i]
+
+    def similar(self, i: int, j: int, least: float) -> bool:
+        """Whether two texts are similar; equal words and pairs are counted before they are aligned.
+
+        An edit takes one word and two pairs of the longer text at most.
+        """
+        longer = int(max(self.sizes[i], self.sizes[j]))
+        most = int(most_edits(np.array(longer), least))
+        if abs(int(self.sizes[i] - self.sizes[j])) > most:
+            return False
+        a, b = self.part(i), self.part(j)
+        if len(np.intersect1d(self.labelled[a], self.labelled[b], assume_unique=True)) < longer - most:
+            return False
+        if len(np.intersect1d(self.pairs(i), self.pairs(j), assume_unique=True)) < longer - 1 - 2 * most:
+            return False
+        _, number = np.unique(np.concatenate((self.words[a], self.words[b])), return_inverse=True)
+        return within(number[: self.sizes[i]].tolist(), number[self.sizes[i] :].tolist(), most)
 
 
-def _bounded(met: DataFrame, sign: DataFrame, least: float) -> DataFrame:
-    """Those of the written pairs that may be similar."""
+def _to_pivots(numbered: DataFrame, pairs: DataFrame, ws: Workspace, least: float) -> DataFrame:
+    """Links (a, b) among the written pairs (id, pivot): every text travels once, a pivot once for each task it serves."""
 
     def run(batches):
-        for batch in batches:
-            if batch.num_rows:
-                n_a, n_b = (batch.column(i).to_numpy().astype(np.int64) for i in (2, 4))
-                counts = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint8).reshape(-1, COUNTERS) for i in (3, 5))
-                keep = pa.array(np.flatnonzero(possible(n_a, n_b, *counts, least)))
-                yield pa.RecordBatch.from_arrays([batch.column(i).take(keep) for i in (0, 1)], names=["a", "b"])
-
-    pairs = met
-    for side in ("a", "b"):
-        signed = sign.select(F.col("id").alias(side), F.col("n_words").alias(f"n_{side}"), F.col("pairs").alias(f"p_{side}"))
-        pairs = skew_join(pairs, signed, [side], keys_from=met.select(side))
-    return pairs.select("a", "b", "n_a", "p_a", "n_b", "p_b").mapInArrow(run, "a long, b long")
+        for group in _groups(batches, 2):
+            ids = group.column(3).to_numpy()
+            # The pivot comes first.
+            texts = group.column(4).to_pylist()
+            for at in range(1, len(ids), 64):
+                some = Texts([texts[0], *texts[at : at + 64]])
+                linked = [at + i - 1 for i in range(1, len(some.sizes)) if some.similar(i, 0, least)]
+                if linked:
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(np.full(len(linked), ids[0]))], names=["a", "b"])
+
+    spark = numbered.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), pairs.count() // PIVOTED)
+    served = pairs.groupBy("pivot").agg(F.ceil(F.count(F.lit(1)) / PIVOTED).cast("int").alias("salts"))
+    own = _salted(pairs, pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")), "pivot", "n", "id")
+    own = own.select("pivot", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / PIVOTED)).cast("int").alias("salt"), F.lit(1).alias("turn"), "id")
+    first = served.select("pivot", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"), F.lit(0).alias("turn"), F.col("pivot").alias("id"))
+    wanted = ws.keep(own.unionByName(first), "dealt")
+    # While the list is small it is broadcast, and only texts in it travel.
+    rows = skew_join(numbered.select(F.col("row").alias("id"), "text"), wanted, ["id"])
+    dealt = rows.select("pivot", "salt", "turn", "id", "text").repartition(parts, "pivot", "salt").sortWithinPartitions("pivot", "salt", "turn")
+    return dealt.mapInArrow(run, "a long, b long")
+
+
+def joining_links(texts: Texts, root: np.ndarray, block: np.ndarray | None, least: float) -> list[tuple[int, int]]:
+    """Links (i, j) of similar texts that join two classes, which ``root`` names; with ``block``, of different blocks only.
+
+    Similar texts share all words but as many as may be edited.  With the words
+    of both in one order, they so share one among their first ``most_edits + 1``.
+    The rarest words here come first, so a passage that many texts share brings
+    no pairs about.
+    """
+    n = len(texts.sizes)
+    most = most_edits(texts.sizes, least)
+    _, at, df = np.unique(texts.labelled, return_inverse=True, return_counts=True)
+    order = np.lexsort((at, df[at], texts.doc))
+    place = np.arange(len(order)) - np.repeat(texts.ends - texts.sizes, texts.sizes)
+    front = order[(place <= most[texts.doc]) & (df[at[order]] > 1)]
+    by_word = np.lexsort((texts.doc[front], at[front]))
+    word, doc = at[front][by_word], texts.doc[front][by_word]
+    begin = np.searchsorted(word, np.arange(len(df)), "left")
+    stop = np.searchsorted(word, np.arange(len(df)), "right")
+    cuts = np.searchsorted(texts.doc[front], np.arange(n + 1))
+    classes = root.copy()
+    # Texts whose words most others have come first: what is near to a common original joins it at once.
+    common = np.bincount(texts.doc, weights=df[at], minlength=n) / np.maximum(texts.sizes, 1)
+    turn = np.empty(n, np.int64)
+    turn[np.argsort(-common, kind="stable")] = np.arange(n)
+    out = []
+    for i in np.argsort(turn).tolist():
+        met = [doc[begin[w] : stop[w]] for w in at[front[cuts[i] : cuts[i + 1]]].tolist()]
+        if not met:
+            continue
+        shared = np.bincount(np.concatenate(met), minlength=n)
+        shared[turn >= turn[i]] = 0
+        shared[classes == classes[i]] = 0
+        if block is not None:
+            shared[block == block[i]] = 0
+        others = np.flatnonzero(shared)
+        longer = np.maximum(texts.sizes[others], texts.sizes[i])
+        others = others[np.abs(texts.sizes[others] - texts.sizes[i]) <= most_edits(longer, least)]
+        for j in others[np.argsort(turn[others])].tolist():
+            if classes[j] != classes[i] and texts.similar(i, j, least):
+                out.append((i, j))
+                classes[classes == classes[j]] = classes[i]
+    return out
 
 
-def _all_pairs(open_: DataFrame, least: float, parts: int) -> DataFrame:
-    """Pairs (a, b) of one bucket and different roots that may be similar, of rows (key, n, id, root, n_words, pairs).
+def _in_buckets(numbered: DataFrame, open_: DataFrame, ws: Workspace, least: float) -> DataFrame:
+    """Links (a, b) that join classes, among texts of one bucket and different roots: rows (key, n, words, id, root).
 
     A large bucket is cut into blocks; a task gets two of them at a time.
     """
 
     def run(batches):
-        left = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = table if left is None else pa.concat_tables([left, table])
-            key, x, y = (table.column(i).to_numpy() for i in range(3))
-            new = np.flatnonzero((key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1])) + 1
-            # The last group may go on in the next batch.
-            cut = int(new[-1]) if len(new) else 0
-            if cut:
-                yield from pairs_of(table.slice(0, cut).combine_chunks())
-            left = table.slice(cut)
-        if left is not None and left.num_rows:
-            yield from pairs_of(left.combine_chunks())
-
-    def pairs_of(table):
-        key, x, y, block, id_, root, n = (table.column(i).to_numpy() for i in range(7))
-        n = n.astype(np.int64)
-        counts = np.frombuffer(b"".join(table.column(7).to_pylist()), np.uint8).reshape(-1, COUNTERS)
-        group = np.cumsum(np.concatenate(([0], (key[1:] != key[:-1]) | (x[1:] != x[:-1]) | (y[1:] != y[:-1]))))
-        i = np.arange(len(key))
-        step = 0
-        while len(i):
-            step += 1
-            i = i[i + step < len(key)]
-            i = i[group[i] == group[i + step]]
-            j = i + step
-            # Two blocks are compared with each other only; each meets itself in a task of its own.
-            some = i[(root[i] != root[j]) & ((x[i] == y[i]) | (block[i] != block[j]))]
-            some = some[np.abs(n[some] - n[some + step]) <= most_edits(np.maximum(n[some], n[some + step]), least)]
-            for at in range(0, len(some), 10_000):
-                a = some[at : at + 10_000]
-                a = a[possible(n[a], n[a + step], counts[a], counts[a + step], least)]
-                if len(a):
-                    b = a + step
-                    yield pa.RecordBatch.from_arrays([pa.array(np.maximum(id_[a], id_[b])), pa.array(np.minimum(id_[a], id_[b]))], names=["a", "b"])
-
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+        for group in _groups(batches, 3):
+            x, y, block, ids, root = (group.column(i).to_numpy() for i in range(1, 6))
+            found = joining_links(Texts(group.column(6).to_pylist()), root, block if x[0] != y[0] else None, least)
+            if found:
+                i, j = np.array(found).T
+                yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(ids[j])], names=["a", "b"])
+
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("words") / BLOCK_WORDS)).cast("int")
     placed = open_.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "root", "n_words", "pairs")
-    grouped = dealt.repartition(parts, "key", "x", "y").sortWithinPartitions("key", "x", "y")
-    return grouped.mapInArrow(run, "a long, b long").distinct()
+    dealt = dealt.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "root")
+    rows = skew_join(numbered.select(F.col("row").alias("id"), "text"), ws.keep(dealt, "dealt"), ["id"])
+    rows = rows.select("key", "x", "y", "block", "id", "root", "text")
+    parts = max(int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions")), open_.count() // BLOCK)
+    return rows.repartition(parts, "key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, "a long, b long")
 
 
 # Alignment
 
 
-def banded_distance(a: list[int], b: list[int], most: int) -> int | None:
+def banded_distance(a: list[int], b: list[int], most: int, band: int | None = None) -> int | None:
     """Edit distance of two number sequences if it is at most ``most``.
 
     Cell (i, i + k) lies on diagonal k.  Per number of edits, only the furthest
     cell of each diagonal is kept, and only diagonals from which the remaining
-    edits still lead to the end; equal runs are passed in one step.
+    edits still lead to the end; equal runs are passed in one step.  With
+    ``band``, only diagonals at most so far from those of both ends count, and
+    the result is that of the best alignment in this band.
     """
+    band = most if band is None else band
     n, m = len(a), len(b)
     goal = m - n
     if abs(goal) > most:
@@ -309,7 +378,7 @@ def banded_distance(a: list[int], b: list[int], most: int) -> int | None:
     for edits in range(1, most + 1):
         left = most - edits
         now = {}
-        for k in range(max(-edits, goal - left, -n), min(edits, goal + left, m) + 1):
+        for k in range(max(-edits, goal - left, -n, min(goal, 0) - band), min(edits, goal + left, m, max(goal, 0) + band) + 1):
             # A changed word, one more word in b, one more word in a.
             i = max(reached.get(k, -2) + 1, reached.get(k - 1, -1), reached.get(k + 1, -2) + 1)
             if i >= 0:
@@ -320,45 +389,55 @@ def banded_distance(a: list[int], b: list[int], most: int) -> int | None:
     return None
 
 
-def _shared(a: list[str], b: list[str], q: int) -> int:
-    """Runs of q words that both have, repeats counted."""
-    one, two = (Counter(zip(*(t[i:] for i in range(q)))) for t in (a, b))
-    return sum((one & two).values())
+def _bit_parallel(a: list[int], b: list[int], most: int) -> bool:
+    """Whether the edit distance is at most ``most``, a whole column of cells at a time.
+
+    Neighbouring cells of a column differ by one at most; two whole numbers
+    hold, bit by bit, where they go up and where they go down.
+    """
+    places: dict[int, int] = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    last, every = 1 << (len(a) - 1), (1 << len(a)) - 1
+    up, down, distance = every, 0, len(a)
+    for left, y in zip(range(len(b) - 1, -1, -1), b):
+        same = places.get(y, 0)
+        diagonal = (((same & up) + up) ^ up) | same | down
+        right_up = down | (every & ~(diagonal | up))
+        right_down = diagonal & up
+        if right_up & last:
+            distance += 1
+        elif right_down & last:
+            distance -= 1
+        if distance - left > most:
+            return False
+        right_up = (right_up << 1 | 1) & every
+        up = (right_down << 1 & every) | (every & ~(diagonal | right_up))
+        down = right_up & diagonal
+    return distance <= most
+
+
+#: A narrow band first: it settles most copies, and in few steps where they are long.
+_NARROW = 2
+
+
+def within(a: list[int], b: list[int], most: int) -> bool:
+    """Whether the edit distance is at most ``most``: in a narrow band first, then in one that holds every alignment."""
+    if not a or not b:
+        return max(len(a), len(b)) <= most
+    return banded_distance(a, b, most, _NARROW) is not None or (most > _NARROW and _bit_parallel(a, b, most))
 
 
 def distances(pairs: list[tuple[list[str], list[str]]], least: float) -> list[int | None]:
     """Edit distance in words of each pair, None where the similarity is below ``least``."""
     out: list[int | None] = []
     for a, b in pairs:
-        longer = max(len(a), len(b))
-        most = int(most_edits(np.array(longer), least))
-        # An edit changes two of the runs of two words at most, so so many must be shared.
-        if _shared(a, b, 2) < longer - 1 - 2 * most:
-            out.append(None)
-            continue
         number: dict[str, int] = {}
+        most = int(most_edits(np.array(max(len(a), len(b))), least))
         out.append(banded_distance(*([number.setdefault(w, len(number)) for w in t] for t in (a, b)), most))
     return out
 
 
-def _aligned(pairs: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b, text_a, text_b) that are similar, as (a, b, distance)."""
-
-    def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                texts = ([words_of(t) for t in part.column(i).to_pylist()] for i in (2, 3))
-                found = distances(list(zip(*texts)), least)
-                keep = [i for i, d in enumerate(found) if d is not None]
-                take = pa.array(keep, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(take), part.column(1).take(take), pa.array([found[i] for i in keep], pa.int32())], names=["a", "b", "distance"]
-                )
-
-    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(run, "a long, b long, distance int")
-
-
 # Classes
 
 
@@ -399,96 +478,103 @@ def components(links: DataFrame, ws: Workspace) -> DataFrame:
         mark = new
 
 
-def _unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(key, n, id, root) of the buckets whose members are not all in one class."""
-    rooted = members.join(roots, "id", "left").select("key", "id", F.coalesce("root", "id").alias("root"))
-    open_ = rooted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
-    return _salted(rooted, open_.select("key", "n"), "key", "n", "id")
-
-
-def _linked(docs: DataFrame, pairs: DataFrame, ws: Workspace, least: float) -> DataFrame:
-    """Links (a, b, distance) among the written pairs (a, b)."""
-    involved = ws.keep(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "involved")
-    source = docs.select(F.col("doc_id").cast("long").alias("id"), "text")
-    needed = ws.keep(skew_join(source, involved, ["id"], "left_semi"), "involved-texts")
-    # Aligning takes far longer than reading, so pairs are spread before their texts join them.
-    parts = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), pairs.count() // PAIRS_PER_TASK)
-    candidates = pairs = pairs.repartition(parts, "a", "b")
-    for side in ("a", "b"):
-        text = needed.select(F.col("id").alias(side), F.col("text").alias(f"text_{side}"))
-        pairs = skew_join(pairs, text, [side], keys_from=candidates.select(side))
-    return ws.keep(_aligned(pairs, least).dropDuplicates(["a", "b"]), "links")
-
+def _unsettled(members: DataFrame, roots: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(key, n, words, id, root) of the buckets whose members are not all in one class, each set of members once."""
+    rooted = members.join(roots, "id", "left").join(sizes, "id").select("key", "id", F.coalesce("root", "id").alias("root"), "n_words")
+    sums = [F.sum(F.xxhash64("id", F.lit(i)).cast("decimal(38,0)")).alias(f"s{i}") for i in (1, 2)]
+    buckets = rooted.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("words"), F.min("root").alias("low"), F.max("root").alias("high"), *sums
+    )
+    once = buckets.where("low < high").groupBy("n", "s1", "s2").agg(F.min("key").alias("key"), F.first("words").alias("words"))
+    return _salted(rooted, once.select("key", "n", "words"), "key", "n", "id").select("key", "n", "words", "id", "root")
 
-def near_duplicates(docs: DataFrame, ws: Workspace, least: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
-    """Classes of near-duplicate documents and the links between their texts.
 
-    The first table has a row per input row: doc_id, class_id (the lowest
-    doc_id of the class), n_links (links of its text to other texts), n_copies
-    (rows of equal words, itself included).  The second has the links (a, b,
-    distance) between representatives, the lowest ids of equal words.
+def classes_of_rows(numbered: DataFrame, ws: Workspace, least: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
+    """Classes of the rows of a written table (row, doc_id, text), and the links (a, b) found between rows.
 
-    Words are lower-case and parted by white space.  Null, empty and blank
-    texts are equal to each other and to nothing else.  ``doc_id`` identifies a
-    document; rows that repeat an id are versions of one document and share a
-    class.  A null id is kept and classed by its text, but never represents a
-    class unless no row of it has an id.  Other columns are ignored.
+    The first table has row, doc_id, root (a row of its class), copies (rows
+    of equal words) and n_links (links found of its text).
     """
-    rows = ws.keep(_sketched(docs), "sketches")
+    rows = ws.keep(_sketched(numbered), "sketches")
     texts = ws.keep(
-        rows.groupBy("same").agg(
-            F.min("doc_id").alias("id"), F.count(F.lit(1)).alias("copies"), F.min(F.struct("n_words", "keys", "pairs")).alias("s")
-        ).select("same", "id", "copies", "s.n_words", "s.keys", "s.pairs"),
+        rows.groupBy("same").agg(F.min("row").alias("id"), F.count(F.lit(1)).alias("copies"), F.min(F.struct("n_words", "keys")).alias("s"))
+        .select("same", "id", "copies", "s.n_words", "s.keys"),
         "texts",
-    )
-    sign = texts.where("id IS NOT NULL").select("id", "n_words", "pairs")
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    members = ws.keep(_members(texts, parts), "members")
-    # Another order in each bucket, so that a group of texts gets other pivots in each table.
-    mixed = F.struct(F.xxhash64("key", "id").alias("h"), "id")
-    pivots = members.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), F.array_distinct(F.array(F.min("id"), F.min(mixed)["id"], F.max(mixed)["id"])).alias("pivots")
-    )
-    tried = ws.keep(_bounded(ws.keep(_met(members, ws.keep(pivots, "pivots")), "pairs"), sign, least), "candidates")
-    links = _linked(docs, tried, ws, least)
-    roots = components(links, ws)
-
-    open_ = ws.keep(_unsettled(members, roots), "unsettled")
-    if not open_.where(F.col("n") > BLOCK // 20).isEmpty():
-        degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("links"))
-        ranked = F.struct(F.coalesce("links", F.lit(0)).alias("links"), F.xxhash64("key", "id").alias("h"), "id")
-        pivots = open_.join(degree, "id", "left").groupBy("key").agg(F.max("n").alias("n"), F.array(F.max(ranked)["id"]).alias("pivots"))
-        met = _met(open_, ws.keep(pivots, "hubs")).join(tried, ["a", "b"], "left_anti")
-        more = ws.keep(_bounded(ws.keep(met, "pairs"), sign, least), "candidates")
-        links, tried = links.unionByName(_linked(docs, more, ws, least)), tried.unionByName(more)
-        roots = components(links, ws)
-        open_ = ws.keep(_unsettled(members, roots), "unsettled")
-    more = _all_pairs(open_.join(sign, "id"), least, parts).join(tried, ["a", "b"], "left_anti")
-    more = ws.keep(more, "candidates")
-    if not more.isEmpty():
-        links = links.unionByName(_linked(docs, more, ws, least))
-
+    )
+    members = ws.keep(_members(texts), "members")
+    links = ws.keep(_to_pivots(numbered, ws.keep(_pivoted(members), "pivots"), ws, least), "links")
     roots = components(links, ws)
+    open_ = ws.keep(_unsettled(members, roots, texts.select("id", "n_words")), "unsettled")
+    more = ws.keep(_in_buckets(numbered, open_, ws, least), "links")
+    # Rows that repeat an id are versions of one document.
+    own = rows.where("doc_id IS NOT NULL").groupBy("doc_id", "same").agg(F.lit(1).alias("one")).join(texts.select("same", "id"), "same")
+    again = own.groupBy("doc_id").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low < high")
+    versions = own.join(again.select("doc_id", "low"), "doc_id").where("id <> low").select(F.col("id").alias("a"), F.col("low").alias("b"))
+    joining = ws.keep(more.unionByName(versions), "joining")
+    if not joining.isEmpty():
+        # Classes found so far are single nodes of the next graph.
+        for side in ("a", "b"):
+            joining = joining.join(roots.select(F.col("id").alias(side), F.col("root").alias("_root")), side, "left")
+            joining = joining.withColumn(side, F.coalesce("_root", side)).drop("_root")
+        further = components(joining.select("a", "b"), ws)
+        grown = roots.join(further.select(F.col("id").alias("root"), F.col("root").alias("_next")), "root", "left")
+        grown = grown.select("id", F.coalesce("_next", "root").alias("root"))
+        fresh = further.join(roots.select("id"), "id", "left_anti").select("id", "root")
+        roots = ws.keep(grown.unionByName(fresh), "roots")
+    links = links.unionByName(more)
     degree = links.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n_links"))
     classed = ws.keep(
         texts.select("same", "id", "copies")
         .join(roots, "id", "left")
         .join(degree, "id", "left")
-        .select("same", "copies", F.coalesce("root", "id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")),
+        .select("same", "copies", F.coalesce("root", "id").alias("root"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")),
         "classes",
     )
-    joined = _salted(rows.select("same", "doc_id"), classed, "same", "copies", "doc_id")
-    return joined.select("doc_id", "class_id", "n_links", F.col("copies").alias("n_copies")), links
+    joined = _salted(rows.select("same", "row", "doc_id"), classed, "same", "copies", "row")
+    return ws.keep(joined.select("row", "doc_id", "root", "copies", "n_links"), "classes-of-rows"), links
+
+
+def numbered_rows(docs: DataFrame, ws: Workspace, columns=("text",)) -> DataFrame:
+    """The columns with (row, doc_id), written, so that a row keeps its number wherever it is read again."""
+    doc = F.col("doc_id").cast("long").alias("doc_id")
+    kept = docs.select(F.monotonically_increasing_id().alias("row"), doc, *[F.col(c) for c in columns])
+    return ws.keep(kept, "numbered")
+
+
+def near_duplicates(docs: DataFrame, ws: Workspace, least: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
+    """Classes of near-duplicate documents and the links between their texts.
+
+    The first table has a row per input row: doc_id, class_id (the lowest
+    doc_id of the class), n_links (links of its text that were found while
+    classes were joined, which need not be all), n_copies (rows of equal words,
+    itself included).  The second has these links (a, b) as row numbers of the
+    run's numbered table.
+
+    Words are lower-case and parted by white space.  Null, empty and blank
+    texts are equal to each other and to nothing else.  A text is read whole,
+    whatever its length.  Rows that repeat an id are versions of one document
+    and share a class.  A null id is kept and classed by its text; a class
+    without any id has a null class_id.  An empty table gives an empty one;
+    other columns are ignored.
+    """
+    rows, links = classes_of_rows(numbered_rows(docs, ws), ws, least)
+    named = ws.keep(rows.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("n")), "names")
+    classes = _salted(rows, named, "root", "n", "row")
+    return classes.select("doc_id", "class_id", "n_links", F.col("copies").alias("n_copies")), links
 
 
-def keep_one(docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The documents that represent their class, with the columns of ``docs``.
+def keep_one(docs: DataFrame, ws: Workspace, least: float = SIMILAR) -> DataFrame:
+    """One document of every class: that of the lowest id (null last), of several such rows the first.
 
-    Of rows that repeat the representing id, one stays.  Classes without any id keep their rows.
+    Keeps the columns of ``docs``.  Rows are told apart by a number of their
+    own, so rows without an id or with a repeated one are counted once each.
     """
-    chosen = classes.where("doc_id = class_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("_n")).withColumnRenamed("doc_id", "_id")
-    kept = docs.join(chosen, F.col("doc_id").cast("long") == F.col("_id"))
-    once, often = kept.where("_n = 1").select(*docs.columns), kept.where("_n > 1").dropDuplicates(["_id"]).select(*docs.columns)
-    nameless = classes.where("class_id IS NULL").limit(1).count()
-    result = once.unionByName(often)
-    return result.unionByName(docs.where("doc_id IS NULL").select(*docs.columns)) if nameless else result
+    if "row" in docs.columns:
+        renamed = "_" * (1 + max(len(c) for c in docs.columns)) + "row"
+        return keep_one(docs.withColumnRenamed("row", renamed), ws, least).withColumnRenamed(renamed, "row")
+    numbered = numbered_rows(docs, ws, [c for c in docs.columns if c != "doc_id"])
+    rows, _ = classes_of_rows(numbered, ws, least)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row"))["row"]
+    chosen = ws.keep(rows.groupBy("root").agg(first.alias("row")).select("row"), "chosen")
+    kept = skew_join(numbered, chosen, ["row"], "left_semi")
+    return kept.withColumn("doc_id", F.col("doc_id").cast(docs.schema["doc_id"].dataType)).select(*docs.columns)
