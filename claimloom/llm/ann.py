@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.llm.vectors import nearest, usable
+from claimloom.workspace import Workspace
 
 PROJECTIONS = 32
 GROWTH = 1.4
@@ -31,6 +32,7 @@ SEED = 5
 
 @dataclass
 class Index:
+    rows: np.ndarray
     ids: np.ndarray
     vectors: np.ndarray
     lines: np.ndarray
@@ -40,7 +42,7 @@ class Index:
     scale: float
 
 
-def build(ids: np.ndarray, vectors: np.ndarray) -> Index:
+def build(rows: np.ndarray, ids: np.ndarray, vectors: np.ndarray) -> Index:
     lines = np.random.default_rng(SEED).standard_normal((PROJECTIONS, vectors.shape[1]))
     scale = max(float(np.abs(vectors).max(initial=0.0)), 1e-300)
     projected = lines @ (vectors / scale).T
@@ -48,10 +50,10 @@ def build(ids: np.ndarray, vectors: np.ndarray) -> Index:
     values = np.take_along_axis(projected, order, axis=1)
     # The first windows are a twentieth of a line's length; a shard whose vectors are all alike starts with any width.
     spread = float(np.median(values[:, -1] - values[:, 0])) if len(ids) else 0.0
-    return Index(ids, vectors, lines / scale, order, values, max(spread / 40, 1e-12), scale)
+    return Index(rows, ids, vectors, lines / scale, order, values, max(spread / 40, 1e-12), scale)
 
 
-def search(index: Index, query_ids: np.ndarray, queries: np.ndarray, k: int):
+def search(index: Index, query_rows: np.ndarray, queries: np.ndarray, k: int):
     projected = queries @ index.lines.T
     n, need = len(index.ids), int(np.ceil(THRESHOLD * PROJECTIONS))
     windows: list[tuple[float, np.ndarray, np.ndarray]] = []
@@ -66,9 +68,9 @@ def search(index: Index, query_ids: np.ndarray, queries: np.ndarray, k: int):
         return windows[level]
 
     places, found, scores = [], [], []
-    for q in range(len(query_ids)):
+    for q in range(len(query_rows)):
         counts = np.zeros(n, np.int64)
-        verified = index.ids == query_ids[q]
+        verified = index.rows == query_rows[q]
         ids, distance = np.zeros(0, np.int64), np.zeros(0)
         old_low = old_high = window(0)[1][q]
         level = 0
@@ -99,14 +101,15 @@ def search(index: Index, query_ids: np.ndarray, queries: np.ndarray, k: int):
     return (np.concatenate(x) if x else empty for x in (places, found, scores))
 
 
-def neighbours(embeddings: DataFrame, k: int = 10, every: int = 100, **blocks) -> DataFrame:
+def neighbours(embeddings: DataFrame, ws: Workspace, k: int = 10, every: int = 100, **blocks) -> DataFrame:
     """The ``k`` nearest found of every vector whose vec_id is divisible by ``every``: query_id, rank, vec_id, score.
 
     The score is the Euclidean distance of the original vectors in double
     precision; ties go to the smaller id.  Null and zero vectors and those
     with null or non-finite components take no part; with fewer than ``k``
-    candidates all come back.  Other columns are ignored.
+    candidates all come back.  Rows that repeat an id are queries and candidates
+    of their own; an empty table gives no rows; other columns are ignored.
     """
     not_zero = F.exists(F.col("embedding"), lambda x: x != 0)
-    rows = usable(embeddings, not_zero)
+    rows = usable(embeddings, ws, not_zero)
     return nearest(rows, F.col("vec_id") % every == 0, build, search, k, "double", True, **blocks)

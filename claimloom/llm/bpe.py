@@ -1,10 +1,15 @@
 """Byte-level BPE: corpus-level merge replay, and decoding.
 
-The distinct words of a task's documents form one corpus.  An index from merge
-rank to the places of its token pairs in that corpus is worked off in rank
-order; a merge updates only the pairs of the two neighbours it touches.  Each
-word so undergoes the merges that encoding it alone would apply, and is merged
-once however often it occurs.
+A replay takes a corpus of distinct words.  An index from merge rank to the
+places of its token pairs in that corpus is worked off in rank order; a merge
+updates only the pairs of the two neighbours it touches.  Each word so
+undergoes the merges that encoding it alone would apply, and is merged once
+however often it occurs.
+
+The corpus of one replay is what a slice of a task's documents has in words
+that the task does not remember; the first slices bring most words.  One
+corpus of all documents would need a shuffle of every word occurrence to give
+the documents their tokens; the tokens are the same.
 """
 
 from __future__ import annotations
@@ -14,7 +19,6 @@ import heapq
 import sys
 from array import array
 from collections.abc import Callable, Iterable, Iterator, Sequence
-from functools import lru_cache
 from itertools import accumulate
 
 import numpy as np
@@ -26,9 +30,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 MAX_VOCABULARY_BYTES = 64 * 1024 * 1024
-#: Words whose tokens a worker remembers; beyond that it starts afresh.
-REMEMBERED_WORDS = 500_000
-_SLICE_CHARS = 4_000_000
+#: Bytes that the words and tokens a worker remembers may take, about; beyond that it starts afresh.
+REMEMBERED_BYTES = 64 * 1024 * 1024
+#: What a remembered word takes beside its characters and tokens.
+_PER_WORD = 200
+_SLICE_CHARS = 1_000_000
 _SHIFT, _LOW = 31, (1 << 31) - 1
 #: From so many places of a rank on, they are merged as arrays.
 _MANY = 40
@@ -43,7 +49,6 @@ def read_ranks(path: str) -> bytes:
     return content
 
 
-@lru_cache(maxsize=2)
 def parse_ranks(content: bytes) -> dict[bytes, int]:
     """Lines of base64 token and rank; every single byte must be a token."""
     ranks = {base64.b64decode(t): int(r) for t, r in (line.split() for line in content.splitlines() if line)}
@@ -58,24 +63,25 @@ class Replay:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.tokens = {r: t for t, r in ranks.items()}
-        if max(self.tokens) > _LOW:
+        if max(ranks.values()) > _LOW:
             raise ValueError("the ranks are too large")
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self._pairs: dict[int, int] = {}
+        # Every token cut in two tokens: all pairs that can merge, as many as the vocabulary has cuts.
+        halves = ((ranks.get(t[:i]), ranks.get(t[i:]), r) for t, r in ranks.items() for i in range(1, len(t)))
+        self._pairs = {(x << _SHIFT) | y: r for x, y, r in halves if x is not None and y is not None}
+        self._keys = np.array(sorted(self._pairs), np.int64)
+        self._merged = np.array([self._pairs[k] for k in self._keys.tolist()], np.int32)
 
     def _rank(self, key: int) -> int:
         """Rank of the token that a pair (left id shifted, right id) forms, -1 if none."""
-        found = self._pairs.get(key)
-        if found is None:
-            if len(self._pairs) > 1_000_000:
-                self._pairs.clear()
-            found = self._pairs[key] = self.ranks.get(self.tokens[key >> _SHIFT] + self.tokens[key & _LOW], -1)
-        return found
+        return self._pairs.get(key, -1)
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        keys, where = np.unique((left.astype(np.int64) << _SHIFT) | right, return_inverse=True)
-        return np.fromiter(map(self._rank, keys.tolist()), np.int32, len(keys))[where]
+        if not len(self._keys):
+            return np.full(len(left), -1, np.int32)
+        keys = (left.astype(np.int64) << _SHIFT) | right
+        at = np.minimum(np.searchsorted(self._keys, keys), len(self._keys) - 1)
+        return np.where(self._keys[at] == keys, self._merged[at], -1)
 
     def words(self, corpus: Iterable[bytes]) -> list[bytes]:
         """Token ids of each word, as packed 32-bit numbers.  A word that is a token itself is taken whole."""
@@ -180,74 +186,102 @@ class Replay:
 
 
 class _Encoder:
-    def __init__(self, content: bytes, pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.split: Callable[[str], list[str]] = regex.compile(pattern).findall
-        self.replay = Replay(parse_ranks(content))
+        self.replay = Replay(ranks)
         self.known: dict[str, bytes] = {}
+        self.size = 0
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """Token ids of every text, as packed 32-bit numbers."""
         split = [self.split(t) for t in texts]
-        new = {w for words in split for w in words if w not in self.known}
-        if len(self.known) + len(new) > REMEMBERED_WORDS:
-            self.known = {}
-            new = {w for words in split for w in words}
-        ordered = list(new)
-        for w, ids in zip(ordered, self.replay.words([w.encode() for w in ordered])):
+        if self.size > REMEMBERED_BYTES:
+            self.known, self.size = {}, 0
+        new = list({w for words in split for w in words if w not in self.known})
+        for w, ids in zip(new, self.replay.words([w.encode() for w in new])):
             self.known[w] = ids
+            self.size += len(w) + len(ids) + _PER_WORD
         return [b"".join([self.known[w] for w in words]) for words in split]
 
 
-@lru_cache(maxsize=2)
-def _tokens(content: bytes) -> dict[int, bytes]:
-    return {r: t for t, r in parse_ranks(content).items()}
+class _Decoder:
+    """Tokens by their ids, as one array."""
 
-
-@lru_cache(maxsize=2)
-def _encoder(content: bytes, pattern: str) -> _Encoder:
-    return _Encoder(content, pattern)
-
-
-def _with_column(df: DataFrame, keep: Sequence[str], source: str, name: str, kind: T.DataType, convert) -> DataFrame:
-    """``keep`` columns and ``name``, made from ``source`` in slices of few rows."""
-    schema = T.StructType([df.schema[c] for c in keep]).add(name, kind)
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+        for t, r in ranks.items():
+            tokens[r] = t
+        self.tokens = pa.array(tokens, pa.binary())
+
+    def decode(self, column: pa.ListArray) -> pa.Array:
+        """The bytes of every list of ids; the tokens of all lists are taken at once."""
+        # The values of a null list need not be empty, and a slice need not begin at its array's first value.
+        column = pc.fill_null(column, pa.scalar([], column.type)) if column.null_count else column
+        taken = self.tokens.take(column.flatten())
+        if taken.null_count:
+            raise ValueError("an id without a token")
+        stops = np.frombuffer(taken.buffers()[1], np.int32)[taken.offset : taken.offset + len(taken) + 1]
+        lists = column.offsets.to_numpy()
+        cuts = pa.py_buffer(np.ascontiguousarray(stops[lists - lists[0]]))
+        return pa.Array.from_buffers(pa.binary(), len(column), [None, cuts, taken.buffers()[2]])
+
+
+def _with_columns(df: DataFrame, keep: Sequence[str], source: str, made: T.StructType, start) -> DataFrame:
+    """``keep`` columns and those of ``made``, made from ``source`` in slices of few rows.
+
+    ``start()`` gives a task what converts a slice; nothing of it outlives the task.
+    """
+    schema = T.StructType([*[df.schema[c] for c in keep], *made])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        convert = None
         for batch in batches:
+            convert = convert or start()
             lengths = batch.column(len(keep))
             lengths = pc.fill_null((pc.list_value_length if pa.types.is_list(lengths.type) else pc.binary_length)(lengths), 0)
             group = np.cumsum(lengths.to_numpy(zero_copy_only=False)) // _SLICE_CHARS
             starts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [batch.num_rows])).tolist()
             for at, end in zip(starts, starts[1:]):
                 part = batch.slice(at, end - at)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], convert(part.column(len(keep)))], names=[*keep, name])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], *convert(part.column(len(keep)))], names=schema.names)
 
     return df.select(*keep, F.col(source).alias("_source")).mapInArrow(run, schema)
 
 
-def encode(df: DataFrame, ranks: bytes, pattern: str, text: str = "text", keep: Sequence[str] = (), name: str = "ids") -> DataFrame:
+def encode(
+    df: DataFrame, ranks: bytes, pattern: str, text: str = "text", keep: Sequence[str] = (), name: str = "ids", decoded: str | None = None
+) -> DataFrame:
     """``keep`` columns and the token ids of each whole text, without special tokens.
 
     Text is cut by ``pattern`` and each match encoded by itself.  A null or
-    empty text has no ids.  Other columns are dropped; repeated rows are
-    encoded alike.
+    empty text has no ids, an empty table no rows.  Other columns are dropped;
+    repeated rows are encoded alike.  With ``decoded``, that column has the
+    bytes which the ids stand for, decoded where they were made.
     """
     content = df.sparkSession.sparkContext.broadcast(ranks)
 
-    def convert(column: pa.Array) -> pa.Array:
-        packed = _encoder(content.value, pattern).encode([t or "" for t in column.to_pylist()])
-        offsets = np.fromiter(accumulate((len(p) // 4 for p in packed), initial=0), np.int32, len(packed) + 1)
-        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+    def start():
+        ranks = parse_ranks(content.value)
+        encoder, decoder = _Encoder(ranks, pattern), _Decoder(ranks)
+
+        def convert(column: pa.Array) -> list[pa.Array]:
+            packed = encoder.encode([t or "" for t in column.to_pylist()])
+            offsets = np.fromiter(accumulate((len(p) // 4 for p in packed), initial=0), np.int32, len(packed) + 1)
+            ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.frombuffer(b"".join(packed), np.int32)))
+            return [ids, decoder.decode(ids)] if decoded else [ids]
+
+        return convert
 
-    return _with_column(df, keep, text, name, T.ArrayType(T.IntegerType(), True), convert)
+    made = T.StructType().add(name, T.ArrayType(T.IntegerType(), True))
+    return _with_columns(df, keep, text, made.add(decoded, T.BinaryType()) if decoded else made, start)
 
 
 def decode(df: DataFrame, ranks: bytes, ids: str = "ids", keep: Sequence[str] = (), name: str = "decoded") -> DataFrame:
     """``keep`` columns and the bytes that the ids stand for; null and no ids give no bytes, an unknown id fails."""
     content = df.sparkSession.sparkContext.broadcast(ranks)
 
-    def convert(column: pa.Array) -> pa.Array:
-        of = _tokens(content.value)
-        return pa.array([b"".join([of[i] for i in x]) if x else b"" for x in column.to_pylist()], pa.binary())
+    def start():
+        decoder = _Decoder(parse_ranks(content.value))
+        return lambda column: [decoder.decode(column)]
 
-    return _with_column(df, keep, ids, name, T.BinaryType(), convert)
+    return _with_columns(df, keep, ids, T.StructType().add(name, T.BinaryType()), start)

@@ -15,35 +15,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from claimloom.workspace import Workspace
+
 SHARD_ROWS = 20_000
 QUERY_ROWS = 4_096
 
 
-def usable(df: DataFrame, extra: Column | None = None) -> DataFrame:
-    """(vec_id, v, dim) of vectors without null or non-finite components, each row once.
+def usable(df: DataFrame, ws: Workspace, extra: Column | None = None) -> DataFrame:
+    """(row, vec_id, v, dim) of vectors without null or non-finite components.
 
-    Rows equal in id and vector are one vector; rows that repeat an id with
-    another vector are candidates of their own.  Null ids take no part.
+    Rows are numbered as they are written, so repeated rows stay apart
+    wherever they are read again.  Null ids take no part.
     """
     v = F.col("embedding").cast("array<double>")
     finite = F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     fit = F.col("vec_id").isNotNull() & v.isNotNull() & (F.size(v) > 0) & finite
     if extra is not None:
         fit &= extra
-    return df.where(fit).select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).distinct().withColumn("dim", F.size("v"))
+    rows = df.where(fit).select(F.monotonically_increasing_id().alias("row"), F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    return ws.keep(rows, "vectors").select("row", "vec_id", v.alias("v"), F.size("embedding").alias("dim"))
+
+
+_PACKED = ["row", "vec_id"]
 
 
 def packed(df: DataFrame, name: str, rows: int, total: int) -> DataFrame:
-    """One row per block: dim, ``name``, ids and vectors as packed bytes."""
+    """One row per block: dim, ``name``, row numbers, ids and vectors as packed bytes."""
     blocks = max(1, -(-total // rows))
-    placed = df.withColumn(name, F.pmod(F.xxhash64("vec_id", "v"), F.lit(blocks)).cast("int"))
+    placed = df.withColumn(name, F.pmod(F.xxhash64("row"), F.lit(blocks)).cast("int"))
 
     def pack(batches):
         # Rows come sorted by dim and block.
         waiting: dict[tuple[int, int], list] = {}
         for batch in batches:
-            dims, numbers, ids = (batch.column(i).to_numpy() for i in range(3))
-            flat, offsets = batch.column(3).flatten().to_numpy(), np.concatenate(([0], np.cumsum(dims)))
+            dims, numbers, row, ids = (batch.column(i).to_numpy() for i in range(4))
+            flat, offsets = batch.column(4).flatten().to_numpy(), np.concatenate(([0], np.cumsum(dims)))
             edges = np.flatnonzero((np.diff(dims) != 0) | (np.diff(numbers) != 0)) + 1
             for a, b in zip([0, *edges.tolist()], [*edges.tolist(), len(ids)]):
                 if a == b:
@@ -51,27 +57,26 @@ def packed(df: DataFrame, name: str, rows: int, total: int) -> DataFrame:
                 key = (int(dims[a]), int(numbers[a]))
                 for old in [k for k in waiting if k != key]:
                     yield _block(old, waiting.pop(old), name)
-                waiting.setdefault(key, []).append((ids[a:b], flat[offsets[a] : offsets[b]]))
+                waiting.setdefault(key, []).append((row[a:b], ids[a:b], flat[offsets[a] : offsets[b]]))
         for old in list(waiting):
             yield _block(old, waiting.pop(old), name)
 
-    ordered = placed.select("dim", name, "vec_id", "v").repartition(blocks, "dim", name).sortWithinPartitions("dim", name, "vec_id")
-    return ordered.mapInArrow(pack, f"dim int, {name} int, ids binary, vectors binary")
+    ordered = placed.select("dim", name, *_PACKED, "v").repartition(blocks, "dim", name).sortWithinPartitions("dim", name, *_PACKED)
+    return ordered.mapInArrow(pack, f"dim int, {name} int, rows binary, ids binary, vectors binary")
 
 
 def _block(key: tuple[int, int], parts: list, name: str) -> pa.RecordBatch:
-    ids = np.concatenate([p[0] for p in parts]).astype(np.int64).tobytes()
-    vectors = np.concatenate([p[1] for p in parts]).astype(np.float64).tobytes()
+    columns = [np.concatenate([p[i] for p in parts]).astype(t).tobytes() for i, t in enumerate((np.int64, np.int64, np.float64))]
     return pa.RecordBatch.from_arrays(
-        [pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), pa.array([ids], pa.binary()), pa.array([vectors], pa.binary())],
-        names=["dim", name, "ids", "vectors"],
+        [pa.array([key[0]], pa.int32()), pa.array([key[1]], pa.int32()), *[pa.array([c], pa.binary()) for c in columns]],
+        names=["dim", name, "rows", "ids", "vectors"],
     )
 
 
 def nearest(
     df: DataFrame,
     is_query: Column,
-    build: Callable[[np.ndarray, np.ndarray], object],
+    build: Callable[[np.ndarray, np.ndarray, np.ndarray], object],
     search: Callable[[object, np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray, np.ndarray]],
     k: int,
     score_type: str,
@@ -81,17 +86,21 @@ def nearest(
 ) -> DataFrame:
     """Best ``k`` candidates of every query over all shards: query_id, rank, vec_id, score.
 
-    ``build(ids, vectors)`` makes the index of a shard; ``search(index,
-    query_ids, queries, k)`` returns (query position, candidate id, score) of
-    each query's best in that shard.  A vector of other length is no candidate.
+    ``build(rows, ids, vectors)`` makes the index of a shard;
+    ``search(index, query_rows, queries, k)`` returns (query position,
+    candidate id, score) of each query's best in that shard, the query's own
+    row left out.  A vector of other length is no candidate.  Rows that repeat
+    an id are queries and candidates of their own.
     """
     total, queries = df.agg(F.count(F.lit(1)), F.count_if(is_query)).first()
     shards = packed(df, "shard", shard_rows, total)
     wanted = packed(df.where(is_query), "block", query_rows, queries)
     n_shards = max(1, -(-total // shard_rows))
-    sent = wanted.select("dim", "block", F.col("ids").alias("q_ids"), F.col("vectors").alias("q_vectors"), F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"))
-    met = shards.join(sent, ["dim", "shard"]).select("dim", "shard", "block", "ids", "vectors", "q_ids", "q_vectors")
+    asked = [F.col(c).alias(f"q_{c}") for c in ("rows", "ids", "vectors")]
+    sent = wanted.select("dim", "block", *asked, F.explode(F.sequence(F.lit(0), F.lit(n_shards - 1))).alias("shard"))
+    met = shards.join(sent, ["dim", "shard"]).select("dim", "shard", "block", "rows", "ids", "vectors", "q_rows", "q_ids", "q_vectors")
     kind = pa.int64() if score_type == "long" else pa.float64()
+    kinds = (np.int64, np.int64, np.float64)
 
     def run(batches):
         last, index = None, None
@@ -99,16 +108,17 @@ def nearest(
             for i in range(batch.num_rows):
                 dim, shard = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 if (dim, shard) != last:
-                    ids, vectors = (np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in ((3, np.int64), (4, np.float64)))
-                    last, index = (dim, shard), build(ids, vectors.reshape(-1, dim))
-                q_ids, q = (np.frombuffer(batch.column(c)[i].as_buffer(), t) for c, t in ((5, np.int64), (6, np.float64)))
-                place, found, score = search(index, q_ids, q.reshape(-1, dim), k)
+                    rows, ids, vectors = (np.frombuffer(batch.column(3 + c)[i].as_buffer(), t) for c, t in enumerate(kinds))
+                    last, index = (dim, shard), build(rows, ids, vectors.reshape(-1, dim))
+                q_rows, q_ids, q = (np.frombuffer(batch.column(6 + c)[i].as_buffer(), t) for c, t in enumerate(kinds))
+                place, found, score = search(index, q_rows, q.reshape(-1, dim), k)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(q_ids[place]), pa.array(found), pa.array(score, kind)], names=["query_id", "vec_id", "score"]
+                    [pa.array(q_rows[place]), pa.array(q_ids[place]), pa.array(found), pa.array(score, kind)],
+                    names=["query_row", "query_id", "vec_id", "score"],
                 )
 
-    found = met.mapInArrow(run, f"query_id long, vec_id long, score {score_type}")
-    best = W.partitionBy("query_id").orderBy(F.col("score").asc() if ascending else F.col("score").desc(), "vec_id")
+    found = met.mapInArrow(run, f"query_row long, query_id long, vec_id long, score {score_type}")
+    best = W.partitionBy("query_row").orderBy(F.col("score").asc() if ascending else F.col("score").desc(), "vec_id")
     # A row per query, shard and place at most: k times the number of shards.
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

@@ -1,10 +1,13 @@
 import math
 import random
 
+import duckdb
 import numpy as np
+from check_oracle import compare
+from pyspark.sql import functions as F
 
 from claimloom.llm import ann, exact_topk, url_filter
-from claimloom.llm.queries import URL_RULES
+from claimloom.llm.queries import ORACLE, QUERIES, URL_RULES
 
 SCHEMA = "vec_id long, embedding array<float>, rank int, score string, v string"
 
@@ -32,11 +35,11 @@ def awkward():
     ]
 
 
-def test_nearest_neighbours_reach_brute_force_over_several_shards_and_blocks(spark):
+def test_nearest_neighbours_reach_brute_force_over_several_shards_and_blocks(spark, ws):
     data = vectors(600, 12)
     df = spark.createDataFrame(data, SCHEMA)
     got = {}
-    for r in ann.neighbours(df, every=20, shard_rows=150, query_rows=8).collect():
+    for r in ann.neighbours(df, ws, every=20, shard_rows=150, query_rows=8).collect():
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id, r.score))
     x = np.array([d[1] for d in data])
     hits = 0
@@ -51,24 +54,25 @@ def test_nearest_neighbours_reach_brute_force_over_several_shards_and_blocks(spa
     assert hits >= 0.95 * 300
 
 
-def test_neighbours_of_awkward_vectors(spark):
-    found = ann.neighbours(spark.createDataFrame(awkward(), SCHEMA)).collect()
-    assert [(r.query_id, r.rank, r.vec_id) for r in sorted(found)] == [(100, 1, 2), (100, 2, 3), (100, 3, 4)]
-    assert ann.neighbours(spark.createDataFrame([], SCHEMA)).collect() == []
+def test_neighbours_of_awkward_vectors(spark, ws):
+    found = ann.neighbours(spark.createDataFrame(awkward(), SCHEMA), ws).collect()
+    # Both rows of id 100 ask, and each finds the other.
+    assert [(r.query_id, r.rank, r.vec_id) for r in sorted(found)] == [(100, n, i) for n, i in enumerate((2, 3, 100, 4), 1) for _ in "ab"]
+    assert ann.neighbours(spark.createDataFrame([], SCHEMA), ws).collect() == []
 
 
-def test_ties_of_many_equal_vectors_go_to_the_smaller_ids(spark):
+def test_ties_of_many_equal_vectors_go_to_the_smaller_ids(spark, ws):
     data = [(i, [1.0, 2.0], None, "", "") for i in range(300)]
     df = spark.createDataFrame(data, SCHEMA)
-    for found in (ann.neighbours(df, shard_rows=64), exact_topk.top_products(df, shard_rows=64)):
+    for found in (ann.neighbours(df, ws, shard_rows=64), exact_topk.top_products(df, ws, shard_rows=64)):
         rows = sorted((r.query_id, r.rank, r.vec_id) for r in found.collect())
         assert rows[:10] == [(0, i + 1, i + 1) for i in range(10)]
 
 
-def test_top_products_equal_brute_force(spark):
+def test_top_products_equal_brute_force(spark, ws):
     data = vectors(500, 20, 3)
     df = spark.createDataFrame(data, SCHEMA)
-    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in exact_topk.top_products(df, every=50, shard_rows=130, query_rows=4).collect())
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in exact_topk.top_products(df, ws, every=50, shard_rows=130, query_rows=4).collect())
     x = [[math.floor(1024 * c) for c in d[1]] for d in data]
     want = []
     for q in range(0, 500, 50):
@@ -77,13 +81,14 @@ def test_top_products_equal_brute_force(spark):
     assert got == want
 
 
-def test_top_products_of_awkward_and_huge_vectors(spark):
-    found = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in exact_topk.top_products(spark.createDataFrame(awkward(), SCHEMA)).collect())
-    assert found == [(100, 1, 2, 1 << 20), (100, 2, 3, 1 << 20), (100, 3, 12, 0), (100, 4, 4, -(1 << 20))]
+def test_top_products_of_awkward_and_huge_vectors(spark, ws):
+    found = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in exact_topk.top_products(spark.createDataFrame(awkward(), SCHEMA), ws).collect())
+    want = [(100, 1, 2, 1 << 20), (100, 2, 3, 1 << 20), (100, 3, 100, 1 << 20), (100, 4, 12, 0), (100, 5, 4, -(1 << 20))]
+    assert found == [w for w in want for _ in "ab"]
     huge = [(0, [3e38, 1.0], 0, "", ""), (1, [3e38, -1.0], 0, "", ""), (2, [-1.0, 5.0], 0, "", "")]
-    scores = [(r.vec_id, r.score) for r in exact_topk.top_products(spark.createDataFrame(huge, SCHEMA)).orderBy("rank").collect()]
+    scores = [(r.vec_id, r.score) for r in exact_topk.top_products(spark.createDataFrame(huge, SCHEMA), ws).orderBy("rank").collect()]
     assert scores == [(1, (1 << 63) - 1), (2, -(1 << 63))]
-    assert exact_topk.top_products(spark.createDataFrame([], SCHEMA)).collect() == []
+    assert exact_topk.top_products(spark.createDataFrame([], SCHEMA), ws).collect() == []
 
 
 def test_url_parts_and_verdicts(spark):
@@ -121,3 +126,52 @@ def test_longest_match_equals_trying_every_rule():
         fits = [r for r in rules if (host == r.host or host.endswith("." + r.host)) and path.startswith(r.path)]
         best = max(fits, key=lambda r: (r.host.count("."), len(r.path)), default=None)
         assert url_filter.longest_match(trie, host, path) == (best and (best.text, best.verdict))
+
+
+def test_registered_searches_of_tiny_repeated_and_equal_vectors(spark, tmp_path):
+    rng = np.random.default_rng(4)
+    rows = [(100 * i, [1.0, 1.0, 0.5]) for i in range(3)] + [(1, [-1e-20, 1.0, 0.0]), (2, [0.5, -1e-30, 0.0]), (3, [-0.0, 0.0, 1.0])]
+    rows += [(1, [-1e-20, 1.0, 0.0]), (100, [0.0, -5e-20, 2.0]), (4, [1.0, None, 1.0]), (None, [1.0, 1.0, 1.0]), (5, None), (6, [])]
+    rows += [(10 + i, rng.normal(size=3).tolist()) for i in range(60)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3).write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    ok, note = compare(spark, con, str(tmp_path), "op4_exact_topk", QUERIES["op4_exact_topk"], ORACLE["op4_exact_topk"])
+    assert ok, note
+    fit = [(i, v) for i, v in rows if i is not None and v and None not in v]
+    products, distances = [], []
+    for q, (i, x) in enumerate(fit):
+        if i % 100:
+            continue
+        others = [(j, y) for n, (j, y) in enumerate(fit) if n != q]
+        scored = sorted((-sum(math.floor(1024 * a) * math.floor(1024 * b) for a, b in zip(x, y)), j) for j, y in others)[:10]
+        products += [(i, n, j, -s) for n, (s, j) in enumerate(scored, 1)]
+        near = sorted((math.dist(x, y), j) for j, y in others)[:10]
+        distances += [(i, n, j, d) for n, (d, j) in enumerate(near, 1)]
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in QUERIES["op4_exact_topk"](spark, str(tmp_path)).collect())
+    assert got == sorted(products)
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in QUERIES["op1_collision_ann"](spark, str(tmp_path)).collect())
+    same = sum(a[:3] == b[:3] and abs(a[3] - b[3]) < 1e-12 for a, b in zip(got, sorted(distances)))
+    assert len(got) == len(distances) and same >= 0.9 * len(distances)
+
+
+def test_floor_of_small_negative_and_huge_components(spark):
+    values = [-1e-20, -5e-324, -0.0, 0.0, 1e-30, -1 / 1024, 0.5 / 1024, -0.5 / 1024, 2.0**43, -(2.0**43) - 0.5, 1e300, -1e300]
+    got = [r[0] for r in spark.createDataFrame([(v,) for v in values], "x double").select(exact_topk.floored(F.col("x"))).collect()]
+    assert got == [float(math.floor(1024 * v)) for v in values]
+
+
+def test_registered_neighbours_reach_brute_force(spark):
+    x = {r.vec_id: r.embedding for r in spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").collect()}
+    ids = np.array(sorted(x))
+    m = np.array([x[i] for i in ids.tolist()], np.float64)
+    got = {}
+    for r in QUERIES["op1_collision_ann"](spark, "/root/testdata/sf0.01").collect():
+        got.setdefault(r.query_id, {})[r.vec_id] = r.score
+    hits = total = 0
+    for q in ids[ids % 100 == 0].tolist():
+        distance = np.sqrt(((m - np.array(x[q])) ** 2).sum(axis=1))
+        best = [i for i in np.lexsort((ids, distance)) if ids[i] != q][:10]
+        hits += sum(int(ids[i]) in got[q] and abs(got[q][int(ids[i])] - distance[i]) < 1e-12 for i in best)
+        total += len(best)
+    assert total and hits >= 0.9 * total
