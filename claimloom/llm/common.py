@@ -43,28 +43,29 @@ def prefix_sums(
     range and place, so a lost executor cannot move a cut.  A large group covers
     many ranges.  Inside a range the sums run in a window; the totals of the
     ranges, one row per range and group, give where each range begins.
-    Nulls come last; rows equal in every order column may swap.
+    Nulls come last; rows equal in every order column may swap.  Columns of
+    ``df`` keep their values, unless their names begin with ``_ps_``.
     """
     keys = [F.col(within).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in order]]
     placed = (
         # The input partition comes last, so that a large set of equal rows can be cut too.
-        df.withColumn("_src", F.spark_partition_id())
-        .repartitionByRange(*keys, "_src")
-        .drop("_src")
+        df.withColumn("_ps_src", F.spark_partition_id())
+        .repartitionByRange(*keys, "_ps_src")
+        .drop("_ps_src")
         .sortWithinPartitions(*keys)
-        .withColumn("_range", F.spark_partition_id())
-        .withColumn("_row", F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION)))
+        .withColumn("_ps_range", F.spark_partition_id())
+        .withColumn("_ps_row", F.monotonically_increasing_id().bitwiseAND(F.lit(_IN_PARTITION)))
     )
     kept = ws.keep(placed, "ranges")
-    inside, earlier = _before(["_range", within], "_row"), _before(["_g"], "_r")
-    totals = kept.groupBy(F.col(within).alias("_g"), F.col("_range").alias("_r")).agg(
+    inside, earlier = _before(["_ps_range", within], "_ps_row"), _before(["_ps_g"], "_ps_r")
+    totals = kept.groupBy(F.col(within).alias("_ps_g"), F.col("_ps_range").alias("_ps_r")).agg(
         *[F.sum(c).alias(f"_t_{c}") for c in sums]
     )
     begins = totals.select(
-        "_g", "_r", *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_b_{c}") for c in sums]
+        "_ps_g", "_ps_r", *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_b_{c}") for c in sums]
     )
-    running = kept.select(*df.columns, "_range", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"_i_{c}") for c in sums])
-    same = (F.col("_range") == F.col("_r")) & F.col(within).eqNullSafe(F.col("_g"))
+    running = kept.select(*df.columns, "_ps_range", *[F.coalesce(F.sum(c).over(inside), F.lit(0)).alias(f"_i_{c}") for c in sums])
+    same = (F.col("_ps_range") == F.col("_ps_r")) & F.col(within).eqNullSafe(F.col("_ps_g"))
     return running.join(begins, same).select(
         *df.columns, *[(F.col(f"_i_{c}") + F.col(f"_b_{c}")).alias(f"{c}{suffix}") for c in sums]
     )

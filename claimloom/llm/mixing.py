@@ -46,20 +46,25 @@ def targets(sources: DataFrame, ws: Workspace, max_epochs: int = MAX_EPOCHS, wei
     return weighed.select("source", "source_size", F.least(F.col("_cap"), F.lit(level) * F.col("_w")).alias("target"))
 
 
-def mix(docs: DataFrame, ws: Workspace, max_epochs: int = MAX_EPOCHS, weights=WEIGHTS, seed: str = "mix") -> DataFrame:
+def mix(docs: DataFrame, ws: Workspace, max_epochs: int = MAX_EPOCHS, weights=WEIGHTS, seed: str = "mix", key: str | None = None) -> DataFrame:
     """How many words of every document the mix takes.
 
     Returns doc_id, source, size, source_size, target, budget (the target in
     whole words) and taken.  A source is taken whole as often as its budget
     allows; the rest goes to its first documents in random order, the last of
     them cut at the exact budget.  A null text has no words, a null source is
-    a source of its own; a document without words is never taken.  Repeated
-    ids keep one row each and take their turns one after the other.
+    a source of its own; a document without words is never taken.  Rows that
+    repeat an id or have none keep one row each and take their turns one after
+    the other; with ``key``, a column that tells rows apart comes along.  An
+    empty table gives no rows; other columns are ignored.
     """
+    own = [key] if key else []
     sized = ws.keep(
         docs.select(
+            *own,
             "doc_id",
             "source",
+            F.xxhash64("text").alias("_text"),
             F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
             F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("_key"),
         ),
@@ -73,14 +78,14 @@ def mix(docs: DataFrame, ws: Workspace, max_epochs: int = MAX_EPOCHS, weights=WE
         "target",
         F.least(F.floor(F.col("target") + 0.5), F.col("source_size") * max_epochs).alias("budget"),
     )
-    placed = prefix_sums(sized, "source", ["_key", "doc_id", "size"], ["size"], ws)
+    placed = prefix_sums(sized, "source", ["_key", "doc_id", "size", "_text"], ["size"], ws)
     named = placed.withColumns({"_none": F.col("source").isNull(), "_name": F.coalesce("source", F.lit(""))})
     joined = skew_join(named, wanted, ["_none", "_name"])
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("budget") / F.col("source_size"))).otherwise(F.lit(0))
     rest = F.col("budget") - whole * F.col("source_size")
     more = F.least(F.greatest(rest - F.col("size_before"), F.lit(0)), F.col("size"))
     return joined.select(
-        "doc_id", "source", "size", "source_size", "target", "budget", (whole * F.col("size") + more).cast("long").alias("taken")
+        *own, "doc_id", "source", "size", "source_size", "target", "budget", (whole * F.col("size") + more).cast("long").alias("taken")
     )
 
 
@@ -90,15 +95,15 @@ def first_words(text, n):
     return F.array_join(F.slice(pieces, F.lit(1), n), "")
 
 
-def apply_mix(docs: DataFrame, taken: DataFrame) -> DataFrame:
+def apply_mix(docs: DataFrame, taken: DataFrame, key: str = "doc_id") -> DataFrame:
     """The mixed documents: each as often as its words are taken, the last copy cut at the budget.
 
     Keeps the columns of ``docs``; ``n_chars``, if there, follows the text.
-    ``doc_id`` must identify a row of ``docs``.
+    ``key`` must tell the rows of ``docs`` apart, and ``taken`` must have it.
     """
-    plan = taken.where("taken > 0").select(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
+    plan = taken.where("taken > 0").select(F.col(key).alias("_id"), F.col("size").alias("_size"), F.col("taken").alias("_taken"))
     copies = F.sequence(F.lit(1), F.ceil(F.col("_taken") / F.col("_size")).cast("int"))
-    rows = docs.join(plan, F.col("doc_id") == F.col("_id")).withColumn("_copy", F.explode(copies))
+    rows = docs.join(plan, F.col(key) == F.col("_id")).withColumn("_copy", F.explode(copies))
     words = (F.col("_taken") - (F.col("_copy") - 1) * F.col("_size")).cast("int")
     cut = F.when(words < F.col("_size"), first_words(F.col("text"), words)).otherwise(F.col("text"))
     rows = rows.withColumn("text", cut)

@@ -20,13 +20,12 @@ k-gram with very many different surroundings is split by longer common parts.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimloom.operators.joins import skew_join
@@ -146,7 +145,7 @@ def _joined(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def anchors(pool: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
-    """(gram, around, doc, crc, place) of every anchor."""
+    """(gram, around, doc, mark, place) of every anchor."""
 
     def run(batches):
         for batch in batches:
@@ -156,11 +155,11 @@ def anchors(pool: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
                 take = pa.array(text)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(gram), pa.array(around), part.column(0).take(take), part.column(1).take(take), pa.array(place.astype(np.int32))],
-                    names=["gram", "around", "doc", "crc", "place"],
+                    names=["gram", "around", "doc", "mark", "place"],
                 )
 
-    source = pool.where(F.col("n") >= length).select("doc", "crc", "text")
-    return source.mapInArrow(run, "gram long, around long, doc long, crc int, place int")
+    source = pool.where(F.col("n") >= length).select("doc", "mark", "text")
+    return source.mapInArrow(run, "gram long, around long, doc long, mark long, place int")
 
 
 def _salted_join(left: DataFrame, right: DataFrame, on: list[str], n: str, how: str = "inner") -> DataFrame:
@@ -316,7 +315,7 @@ def _checked(order, group, data, at, size, hashes: Rolling) -> tuple[np.ndarray,
 
 
 def _sort_groups(members: DataFrame, length: int) -> DataFrame:
-    """Repeated distances (doc, crc, place, low, high) of single members; each group lies in one task."""
+    """Repeated distances (doc, mark, place, low, high) of single members; each group lies in one task."""
 
     def solve(table: pa.Table) -> pa.RecordBatch:
         group = table.column("grp").to_numpy()
@@ -328,9 +327,9 @@ def _sort_groups(members: DataFrame, length: int) -> DataFrame:
         row, begin = np.nonzero(edges == 1)
         _, end = np.nonzero(edges == -1)
         take = pa.array(row)
-        cols = [table.column(c).combine_chunks().take(take) for c in ("doc", "crc", "place")]
+        cols = [table.column(c).combine_chunks().take(take) for c in ("doc", "mark", "place")]
         return pa.RecordBatch.from_arrays(
-            [*cols, pa.array(begin.astype(np.int32)), pa.array((end - 1).astype(np.int32))], names=["doc", "crc", "place", "low", "high"]
+            [*cols, pa.array(begin.astype(np.int32)), pa.array((end - 1).astype(np.int32))], names=["doc", "mark", "place", "low", "high"]
         )
 
     def run(batches):
@@ -349,33 +348,33 @@ def _sort_groups(members: DataFrame, length: int) -> DataFrame:
             yield solve(pa.Table.from_batches(waiting).combine_chunks())
 
     placed = members.repartition("grp").sortWithinPartitions("grp")
-    return placed.mapInArrow(run, "doc long, crc int, place int, low int, high int")
+    return placed.mapInArrow(run, "doc long, mark long, place int, low int, high int")
 
 
 def _with_bytes(pool: DataFrame, wanted: DataFrame, length: int, k: int) -> DataFrame:
-    """Add the bytes around each wanted anchor (doc, crc, place, gram, many)."""
-    per_text = wanted.groupBy("doc", "crc").agg(F.collect_list(F.struct("place", "gram", "many")).alias("wanted"))
+    """Add the bytes around each wanted anchor (doc, mark, place, gram, many)."""
+    per_text = wanted.groupBy("doc", "mark").agg(F.collect_list(F.struct("place", "gram", "many")).alias("wanted"))
 
     def run(batches):
         for batch in batches:
             for part in _slices(batch, 2):
                 rows = []
-                for doc, crc, text, want in zip(*(part.column(i).to_pylist() for i in range(4))):
+                for doc, mark, text, want in zip(*(part.column(i).to_pylist() for i in range(4))):
                     for w in want:
                         least, most = max(0, w["place"] + length - len(text)), min(length - k, w["place"])
                         around = text[w["place"] - most : w["place"] - least + length]
-                        rows.append((w["gram"], doc, crc, w["place"], least, most, w["many"], around, 0, length - k))
+                        rows.append((w["gram"], doc, mark, w["place"], least, most, w["many"], around, 0, length - k))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _MEMBER)], names=_MEMBER_NAMES)
 
-    source = pool.join(per_text, ["doc", "crc"]).select("doc", "crc", "text", "wanted")
+    source = pool.join(per_text, ["doc", "mark"]).select("doc", "mark", "text", "wanted")
     return source.mapInArrow(run, _MEMBER_SCHEMA)
 
 
 # low and high bound a member's own distances, least and most those its group stands for.
-_MEMBER = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.int32(), pa.int32()]
-_MEMBER_NAMES = ["grp", "doc", "crc", "place", "low", "high", "many", "bytes", "least", "most"]
-_MEMBER_SCHEMA = "grp long, doc long, crc int, place int, low int, high int, many boolean, bytes binary, least int, most int"
+_MEMBER = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.binary(), pa.int32(), pa.int32()]
+_MEMBER_NAMES = ["grp", "doc", "mark", "place", "low", "high", "many", "bytes", "least", "most"]
+_MEMBER_SCHEMA = "grp long, doc long, mark long, place int, low int, high int, many boolean, bytes binary, least int, most int"
 
 
 def _halves(members: DataFrame, length: int) -> DataFrame:
@@ -424,14 +423,14 @@ def _edges(members: DataFrame, ws: Workspace, length: int, max_group: int) -> Da
         counts = ws.keep(
             split.groupBy("grp", "around").agg(
                 F.count(F.lit(1)).alias("n_around"),
-                F.min(F.struct("doc", "crc", "place")).alias("first"),
+                F.min(F.struct("doc", "mark", "place")).alias("first"),
             ),
             "half-counts",
         )
         same = counts.where("n_around > 1")
         resolved = _salted_join(split.where(~F.col("many")), same.select("grp", "around", "n_around"), ["grp", "around"], "n_around", "left_semi")
-        out.append(resolved.select("doc", "crc", "place", "low", "high"))
-        mine = F.struct("doc", "crc", "place") == F.col("first")
+        out.append(resolved.select("doc", "mark", "place", "low", "high"))
+        mine = F.struct("doc", "mark", "place") == F.col("first")
         members = ws.keep(
             split.join(counts, ["grp", "around"])
             .where(mine)
@@ -448,41 +447,31 @@ def _edges(members: DataFrame, ws: Workspace, length: int, max_group: int) -> Da
 # Whole documents
 
 
-def _crc(text: Column) -> Column:
-    return (F.crc32(text) - (1 << 31)).cast("int")
+def _keyed(docs: DataFrame) -> DataFrame:
+    """(doc_id, doc, mark, sha, text): the key (doc, mark) tells different texts apart.
+
+    ``mark`` is a hash of the text's SHA-256; where there is no id, ``doc`` is another one.
+    """
+    text = F.coalesce(F.col("text"), F.lit(""))
+    read = docs.select("doc_id", text.alias("text"), F.unhex(F.sha2(text, 256)).alias("sha"))
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("sha", F.lit("doc")))
+    return read.select("doc_id", doc.alias("doc"), F.xxhash64("sha").alias("mark"), "sha", "text")
 
 
 def _pool(docs: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
-    """Every row's (doc_id, doc, crc, sha, n), and one row per different text, laid out by its key."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    rows = ws.keep(
-        docs.select(
-            "doc_id",
-            F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"),
-            _crc(text).alias("crc"),
-            F.unhex(F.sha2(text, 256)).alias("sha"),
-            F.octet_length(text).cast("long").alias("n"),
-        ),
-        "texts",
-    )
-    different = rows.groupBy("sha").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "crc")).alias("at"), F.first("n").alias("n"))
-    chosen = different.select(F.col("at.doc").alias("doc"), F.col("at.crc").alias("crc"), "copies", "n", "sha")
+    """Every row's (doc_id, doc, mark, sha, n), and one row per different text, laid out by its key."""
+    keyed = _keyed(docs)
+    rows = ws.keep(keyed.select("doc_id", "doc", "mark", "sha", F.octet_length("text").cast("long").alias("n")), "texts")
+    different = rows.groupBy("sha").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "mark")).alias("at"), F.first("n").alias("n"))
+    chosen = different.select(F.col("at.doc").alias("doc"), F.col("at.mark").alias("mark"), "copies", "n", "sha")
     spark = docs.sparkSession
     size = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size >> 26, 1)
-    texts = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), _crc(text).alias("crc"), text.cast("binary").alias("text")
-    )
-    laid = texts.repartition(parts, "doc", "crc").join(chosen.repartition(parts, "doc", "crc"), ["doc", "crc"])
-    # Not an equality, which would become a join key and lay the rows out anew.
-    digest = F.unhex(F.sha2("text", 256))
-    laid = laid.where((digest >= F.col("sha")) & (digest <= F.col("sha")))
-    if not rows.groupBy("doc", "crc").count().where("count > 1").isEmpty():
-        laid = laid.dropDuplicates(["doc", "crc"])  # rows that repeat both id and text
-    name = f"pool_{uuid.uuid4().hex}"
-    laid.write.bucketBy(parts, "doc", "crc").option("path", ws.new_path("pool")).option("compression", "zstd").saveAsTable(name)
-    pool = spark.table(name)
-    return rows, pool
+    texts = keyed.select("doc", "mark", F.col("text").cast("binary").alias("text"))
+    laid = texts.repartition(parts, "doc", "mark").join(chosen.repartition(parts, "doc", "mark"), ["doc", "mark"])
+    if not rows.groupBy("doc", "mark").count().where("count > 1").isEmpty():
+        laid = laid.dropDuplicates(["doc", "mark"])  # rows that repeat both id and text
+    return rows, ws.keep_bucketed(laid, "pool", parts, ["doc", "mark"])
 
 
 def widened(text: bytes, runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -536,8 +525,8 @@ def _apply(pool: DataFrame, spans: DataFrame, length: int, k: int, characters: b
                     [pa.array(c, t) for c, t in zip(zip(*out), (pa.binary(), pa.int64(), kind, pa.binary()))], names=["sha", "n_removed", "spans", "kept"]
                 )
 
-    found = spans.groupBy("doc", "crc").agg(F.collect_list(F.struct("place", "low", "high")).alias("found"))
-    source = pool.join(found, ["doc", "crc"], "left").select("sha", "text", "copies", "found")
+    found = spans.groupBy("doc", "mark").agg(F.collect_list(F.struct("place", "low", "high")).alias("found"))
+    source = pool.join(found, ["doc", "mark"], "left").select("sha", "text", "copies", "found")
     return source.mapInArrow(run, "sha binary, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
 
 
@@ -548,11 +537,13 @@ def repeated_strings(
 
     Texts are UTF-8 bytes, a null text is empty, and no string crosses
     documents.  Strings are judged on the input.  Returns the rows (doc_id,
-    doc, crc, sha, n) and, for every different text by its SHA-256 ``sha``,
+    doc, mark, sha, n) and, for every different text by its SHA-256 ``sha``,
     n_removed, the removed ``spans`` (start, end) and the ``kept`` bytes.
     With ``characters``, a character that loses some of its bytes loses all of
     them, so the kept bytes are valid text wherever the input is.
-    Repeated rows are copies of each other; other columns are ignored.
+    Repeated rows are copies of each other; texts under one id or none are told
+    apart by their digest; a text is read whole, whatever its length; an empty
+    table gives empty ones; other columns are ignored.
     """
     if not 0 < k <= length:
         raise ValueError("k must lie between 1 and the length")
@@ -568,19 +559,19 @@ def repeated_strings(
     shared = ws.keep(_salted_join(every, grams, ["gram"], "n").drop("n"), "anchors")
     mixed = shared.where(~F.col("alike"))
     kinds = ws.keep(
-        mixed.groupBy("gram", "around").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "crc", "place")).alias("first")), "surroundings"
+        mixed.groupBy("gram", "around").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "mark", "place")).alias("first")), "surroundings"
     )
-    whole = shared.where("alike").select("doc", "crc", "place").unionByName(
-        _salted_join(mixed, kinds.where("n > 1").select("gram", "around", "n"), ["gram", "around"], "n", "left_semi").select("doc", "crc", "place")
+    whole = shared.where("alike").select("doc", "mark", "place").unionByName(
+        _salted_join(mixed, kinds.where("n > 1").select("gram", "around", "n"), ["gram", "around"], "n", "left_semi").select("doc", "mark", "place")
     )
-    wanted = kinds.select("first.doc", "first.crc", "first.place", "gram", (F.col("n") > 1).alias("many"))
+    wanted = kinds.select("first.doc", "first.mark", "first.place", "gram", (F.col("n") > 1).alias("many"))
     members = ws.keep(_with_bytes(pool, wanted, length, k), "members")
     spans = whole.select("*", F.lit(-1).alias("low"), F.lit(-1).alias("high")).unionByName(_edges(members, ws, length, max_group))
     return rows, _apply(pool, spans, length, k, characters)
 
 
 def dedup(docs: DataFrame, ws: Workspace, length: int = LENGTH) -> DataFrame:
-    """Per row: doc_id, n_bytes, n_removed, spans and the kept bytes."""
+    """Per row: doc_id, n_bytes, n_removed, spans and the kept bytes; null, empty and repeated rows as ``repeated_strings`` says."""
     rows, texts = repeated_strings(docs, ws, length)
     joined = skew_join(rows, texts, ["sha"], right_bytes=1 << 62)
     return joined.select("doc_id", F.col("n").alias("n_bytes"), "n_removed", "spans", "kept")

@@ -1,7 +1,9 @@
 import random
+import time
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from claimloom.llm import html_text, mixing, resharding
 
@@ -108,6 +110,40 @@ def test_only_touched_shards_are_written(spark, ws, tmp_path):
     assert back.count() == 40 and set(back.columns) == set(df.columns) | {"slot"}
 
 
+def test_thousands_of_shards_flow_in_seconds():
+    rng = random.Random(3)
+    supply = [rng.randint(0, 10**9) for _ in range(resharding.MAX_SHARDS)]
+    for shards in (resharding.MAX_SHARDS, 3000, 1):
+        capacity = resharding.even_capacities(sum(supply), shards)
+        start = time.perf_counter()
+        flow = resharding.cheapest_flow(supply, capacity)
+        assert time.perf_counter() - start < 10
+        assert sum(v for (a, b), v in flow.items() if a != b) == least_moved(supply, capacity)
+        assert sum(flow.values()) == sum(supply) and len(flow) <= len(supply) + 2 * shards
+
+
+def test_rows_without_or_with_repeated_ids_are_written_once_each(spark, ws, tmp_path):
+    rows = [(1, "one", "s"), (1, "two", "s"), (None, "three", "s"), (None, "three", "s"), (2, None, "s")] * 9
+    df = ws.keep(corpus(spark, rows).withColumn("key", F.monotonically_increasing_id()), "numbered")
+    plan = ws.keep(resharding.reshard(df, ws, 3, 2, key="key"), "plan")
+    assert resharding.rewrite_affected(df, plan, str(tmp_path / "out"), "key") == [0, 1, 2]
+    back = spark.read.parquet(str(tmp_path / "out"))
+    assert sorted(map(repr, [(r.doc_id, r.text) for r in back.collect()])) == sorted(map(repr, [r[:2] for r in rows]))
+    with pytest.raises(ValueError, match="tell the rows apart"):
+        resharding.rewrite_affected(df, plan, str(tmp_path / "no"))
+
+
+def test_mix_keeps_rows_without_or_with_repeated_ids(spark, ws):
+    rows = [(None, "a b c", "s"), (None, "a b c", "s"), (1, "d e f", "s"), (1, "g h", "s"), (None, "x", "t")]
+    df = ws.keep(corpus(spark, rows).withColumn("key", F.monotonically_increasing_id()), "numbered")
+    plan = ws.keep(mixing.mix(df, ws, key="key"), "plan")
+    want = {r.key: r.taken for r in plan.collect()}
+    got = {}
+    for r in mixing.apply_mix(df, plan, "key").collect():
+        got[r.key] = got.get(r.key, 0) + len(r.text.split())
+    assert got == {k: t for k, t in want.items() if t} and sum(got.values()) == 12
+
+
 def test_resharding_of_nothing(spark, ws):
     assert resharding.reshard(corpus(spark, []), ws, 8, 6).collect() == []
 

@@ -60,6 +60,19 @@ def test_repeated_rows_ids_and_empty_tables(spark, ws):
     assert suffix_dedup.dedup(df.limit(0), ws).collect() == []
 
 
+def test_texts_under_one_id_or_none_stay_apart(spark, ws):
+    # Two texts of equal crc32.
+    same_crc = ["plumless" * 30, "buckeroo" * 30]
+    long = "x" + "0123456789" * 30
+    texts = [(None, same_crc[0]), (None, same_crc[1]), (None, long), (None, long + "y"), (7, long + "z"), (7, "other"), (7, "other")]
+    df = spark.createDataFrame([(i, t, 1) for i, t in texts], "doc_id long, text string, mark int")
+    got = sorted((r.doc_id or -1, r.n_bytes, r.n_removed) for r in suffix_dedup.dedup(df, ws).collect())
+    want = sorted((i or -1, n, gone) for (i, _), (n, gone, _, _) in zip(texts, repeats([t for _, t in texts], 200)))
+    assert got == want
+    ws.close()
+    assert not [t for t in spark.catalog.listTables() if not t.isTemporary]
+
+
 def test_characters_that_lose_bytes_go_whole_and_others_stay(spark, tmp_path):
     import corpus_pipeline
 
@@ -161,6 +174,51 @@ def test_banded_distances_equal_the_full_table():
         assert d == (want if want <= int(max(len(a), len(b)) * 0.2 + 1e-9) else None)
 
 
+def test_bounded_alignment_equals_the_full_table():
+    rng = random.Random(15)
+    for _ in range(600):
+        a = rng.choices(range(6), k=rng.randint(0, 30))
+        b = edited_numbers(rng, a) if rng.random() < 0.7 else rng.choices(range(6), k=rng.randint(0, 30))
+        most = rng.randint(0, 9)
+        assert near_dup.within(a, b, most) == (plain_distance(a, b) <= most)
+
+
+def edited_numbers(rng, numbers):
+    out = list(numbers)
+    for _ in range(rng.randint(0, 9)):
+        i = rng.randint(0, len(out))
+        out[i : i + rng.randint(0, 1)] = [rng.randint(0, 6)] * rng.randint(0, 1)
+    return out
+
+
+def test_links_of_a_block_join_what_all_pairs_join():
+    rng = random.Random(16)
+    base = prose(rng, 50).split()
+    texts = [" ".join(prose(rng, 1) if rng.random() < 0.11 else w for w in base) for _ in range(40)] + [prose(rng, 30) for _ in range(10)]
+    passage = prose(rng, 40)
+    texts += [prose(rng, 20) + " " + passage for _ in range(10)] + ["", "a", "b", "a a a a a a", "a a a a a"]
+    words = [near_dup.words_of(t) for t in texts]
+    import numpy as np
+
+    for block in (None, np.arange(len(texts)) % 2):
+        found = near_dup.joining_links(near_dup.Texts(texts), np.arange(len(texts)), block, 0.8)
+        # Two blocks meet each other only.
+        links = [
+            (i, j) for i in range(len(texts)) for j in range(i)
+            if (block is None or block[i] != block[j]) and plain_distance(words[i], words[j]) <= int(0.2 * max(len(words[i]), len(words[j])) + 1e-9) and words[i]
+        ]
+        assert components_of(found, len(texts)) == components_of(links, len(texts))
+        assert len(found) == len(texts) - len(set(components_of(links, len(texts))))
+
+
+def components_of(links, n):
+    root = list(range(n))
+    for a, b in links:
+        low, high = sorted((root[a], root[b]))
+        root = [low if r == high else r for r in root]
+    return root
+
+
 def test_classes_find_planted_copies_and_leave_others(spark, ws):
     rng = random.Random(9)
     passage = prose(rng, 55)
@@ -180,7 +238,7 @@ def test_classes_find_planted_copies_and_leave_others(spark, ws):
         first.setdefault(g, 100 + i)
     assert [rows[100 + i].class_id for i in range(len(texts))] == [first[g] for g in group]
     assert sum(r.n_links for r in rows.values() if r.n_copies == 1) <= 2 * links.count()
-    kept = near_dup.keep_one(df, classes)
+    kept = near_dup.keep_one(df, ws)
     assert sorted(r.doc_id for r in kept.collect()) == sorted(first.values()) and kept.columns == df.columns
 
 
@@ -191,8 +249,9 @@ def test_near_duplicates_of_awkward_rows(spark, ws):
     classes, _ = near_dup.near_duplicates(df, ws)
     got = sorted(((r.doc_id or -1), r.class_id, r.n_copies) for r in classes.collect() if r.class_id is not None)
     assert got == [(-1, 8, 4), (1, 1, 1), (2, 2, 1), (3, 3, 3), (4, 3, 3), (5, 3, 3), (8, 8, 4), (8, 8, 4), (9, 8, 4)]
-    kept = [r.doc_id for r in near_dup.keep_one(df, classes).collect()]
-    assert sorted(k for k in kept if k is not None) == [1, 2, 3, 8]
+    kept = [(r.doc_id, r.text) for r in near_dup.keep_one(df, ws).collect()]
+    assert sorted(k for k in kept if k[0] is not None) == [(1, "one two"), (2, "one"), (3, ""), (8, text.upper())]
+    assert [k for k in kept if k[0] is None] == [(None, "alone")]
     empty, _ = near_dup.near_duplicates(df.limit(0), ws)
     assert empty.collect() == []
 
