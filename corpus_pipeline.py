@@ -4,7 +4,9 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is
 written as Parquet and read again as the next stage's documents.  All but the
 last return the columns of ``documents``.  Rules that hold for every stage: a
 null text counts as empty, other columns pass through unchanged, an empty table
-gives an empty one.
+gives an empty one.  Rows without an id are documents like others, of which the
+near-duplicate stage keeps those with an id first; rows that repeat an id are
+versions of one document there, and documents of their own elsewhere.
 """
 
 from __future__ import annotations
@@ -38,9 +40,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of the lowest id, of every class of near-duplicates."""
-    ws = _workspace(spark, "near_dup")
-    classes, _ = near_dup.near_duplicates(docs, ws)
-    return near_dup.keep_one(docs, ws.keep(classes, "classes-of-rows"))
+    return near_dup.keep_one(docs, _workspace(spark, "near_dup"))
 
 
 def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -66,7 +66,9 @@ def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them, the last copy of each source cut at the exact budget."""
     ws = _workspace(spark, "mixing")
-    return mixing.apply_mix(docs, ws.keep(mixing.mix(docs, ws), "taken"))
+    # Rows are told apart by a number, not by ids that may be missing or repeated.
+    rows = ws.keep(docs.withColumn("_number", F.monotonically_increasing_id()), "rows")
+    return mixing.apply_mix(rows, ws.keep(mixing.mix(rows, ws, key="_number"), "taken"), "_number").select(*docs.columns)
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -76,9 +78,10 @@ def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     _workspace(spark, "bpe")
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
-    encoded = bpe.encode(docs.withColumn("_sha", digest), ranks, public_tokenizers.PATTERN, keep=["doc_id", "lang", "source", "_sha"])
-    decoded = bpe.decode(encoded, ranks, keep=["doc_id", "lang", "source", "_sha", "ids"])
-    return decoded.select(
+    coded = bpe.encode(
+        docs.withColumn("_sha", digest), ranks, public_tokenizers.PATTERN, keep=["doc_id", "lang", "source", "_sha"], decoded="decoded"
+    )
+    return coded.select(
         "doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.sha2("decoded", 256) == F.col("_sha")).alias("lossless")
     )
 
