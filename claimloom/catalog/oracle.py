@@ -512,6 +512,7 @@ STATEMENTS: dict[str, str] = {
     "tagged_scan": "SELECT samplenum, PatID, EncounterID, ADate, DDate, EncType, FacilityID FROM s_encounter",
     "tagged_scan_mixed": """SELECT samplenum, PatID, EncounterID, ADate, CASE WHEN samplenum <> 1 THEN FacilityID END AS FacilityID,
   CASE WHEN samplenum = 2 THEN DRG END AS DRG FROM s_encounter""",
+    "tagged_scan_json": "SELECT samplenum, PatID, EncounterID, ADate, EncType, FacilityID FROM s_encounter",
     "append_harmonised": """SELECT s_suppkey AS ID, s_name AS Name, s_nationkey::VARCHAR AS Code, NULL::VARCHAR AS Segment FROM supplier
   UNION ALL SELECT c_custkey, c_name, c_nationkey::VARCHAR, c_mktsegment FROM customer""",
     **{f"sink_roundtrip_{f}": _ROUNDTRIP for f in ("parquet", "csv", "json", "tsv")},
@@ -577,6 +578,13 @@ STATEMENTS: dict[str, str] = {
   FROM (SELECT DISTINCT person, start_dt FROM spells)""",
     "range_join_point": """SELECT s.*, count(v.visit) AS n_visits FROM stays s
   LEFT JOIN visits v ON v.person = s.person AND v.visit BETWEEN s.admit AND s.discharge GROUP BY ALL""",
+    "point_join": "SELECT v.person, v.visit, s.stay, s.admit, s.discharge FROM visits v JOIN stays s ON v.person = s.person AND v.visit BETWEEN s.admit AND s.discharge",
+    "interval_join": """SELECT s.*, i.start_dt, i.end_dt, i.grace FROM stays s
+  JOIN spells i ON i.person = s.person AND s.discharge >= i.start_dt AND i.end_dt >= s.admit""",
+    "interval_join_hot": """SELECT s.person, s.stay, count(*) AS n_pairs, min(i.start_dt) AS first, sum(i.grace)::BIGINT AS graces
+  FROM (SELECT * REPLACE (CASE WHEN person % 3 = 0 THEN 0 ELSE person END AS person) FROM stays) s
+  JOIN (SELECT * REPLACE (CASE WHEN person % 3 = 0 THEN 0 ELSE person END AS person) FROM spells) i
+  ON i.person = s.person AND s.discharge >= i.start_dt AND i.end_dt >= s.admit GROUP BY ALL""",
     "interval_overlap": """SELECT s.person, s.stay, s.admit AS p_start, s.discharge AS p_end, count(i.person) AS n_spans FROM stays s
   LEFT JOIN spells i ON i.person = s.person AND s.discharge >= i.start_dt AND i.end_dt >= s.admit GROUP BY ALL""",
     "interval_overlap_odd": """SELECT p.person, p.stay, p.p_start, p.p_end, count(i.person) AS n_spans FROM (
@@ -630,6 +638,12 @@ STATEMENTS: dict[str, str] = {
   LEFT JOIN s_encounter e ON e.samplenum = p.samplenum AND e.PatID = p.PatID WHERE p.PatID IS NOT NULL GROUP BY ALL""",
     "descriptive_stats": _stats(),
 }
+_GAP = {n: "(SELECT * FROM f_dispensing WHERE samplenum <> 2)" if n == "dispensing" else f"f_{n}" for n in _COLUMNS}
+STATEMENTS["translate_gap_then_combine"] = " UNION ALL ".join(
+    [f"SELECT '{n}' AS table_name, count(*) AS n FROM {_GAP[n]} a JOIN c_pat p ON p.samplenum = a.samplenum AND p.orig = a.PatID" for n in _COLUMNS if n not in ("provider", "facility")]
+    + [f"SELECT '{n}', count(*) FROM {c}" for n, c in (("provider", "c_prov"), ("facility", "c_fac"))]
+    + [f"SELECT 'empty {n}', m FROM range(1, 4) r(m) WHERE m NOT IN (SELECT samplenum FROM {_GAP[n]})" for n in _COLUMNS]
+)
 PARTS["kinded"] = "SELECT person, start_dt, end_dt, CASE WHEN grace % 2 = 0 THEN 'a' ELSE 'b' END AS kind FROM spells"
 
 

@@ -9,6 +9,7 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from claimloom.catalog.fixtures import Driver
 from claimloom.functions.scalars import HISPANIC, RACE, SEX, first_present, is_real_code, px_code_type, recode, zero_for_o
@@ -91,6 +92,17 @@ def tagged_scan_mixed(d, ws):
     return readers.read_subsamples(d.spark, folder, "encounter", [1, 2, 3])
 
 
+@query
+def tagged_scan_json(d, ws):
+    """Documents whose names differ in letter case from file to file."""
+    folder, df = ws.new_path("files"), d.encounter()
+    for n, case in {1: str.lower, 2: str.upper, 3: str.swapcase}.items():
+        one = df.where(F.col("samplenum") == n).select("PatID", "EncounterID", "ADate", "EncType", "FacilityID")
+        sinks.write_table(one.toDF(*map(case, one.columns)), f"{folder}/encounter_{n}.json", "json")
+    read = readers.read_subsamples(d.spark, folder, "encounter", [1, 2, 3], "json", id_type=T.LongType())
+    return read.select("samplenum", "PatID", "EncounterID", "ADate", "EncType", "FacilityID")
+
+
 @query
 def append_harmonised(d, ws):
     base = d.table("supplier").selectExpr("cast(s_suppkey as int) as ID", "s_name as Name", "s_nationkey as Code")
@@ -354,6 +366,27 @@ def range_join_point(d, ws):
     return intervals.count_inside(d.stays(), d.visits(), ["person"], "admit", "discharge", "visit", "n_visits", ws)
 
 
+@query
+def point_join(d, ws):
+    """Visits with the stays they fall into."""
+    return intervals.point_join(d.visits(), d.stays(), ["person"], "visit", ("admit", "discharge"))
+
+
+@query
+def interval_join(d, ws):
+    """Stays with the spells that share a day with them."""
+    return intervals.interval_join(d.stays(), d.intervals(), ["person"], ("admit", "discharge"), ("start_dt", "end_dt"))
+
+
+@query
+def interval_join_hot(d, ws):
+    """Stays and the spells that share a day with them; a third of all rows belongs to one person."""
+    stays = d.stays().withColumn("person", F.when(F.col("person") % 3 == 0, 0).otherwise(F.col("person")))
+    spells = d.intervals().withColumn("person", F.when(F.col("person") % 3 == 0, 0).otherwise(F.col("person")))
+    pairs = intervals.interval_join(stays, spells, ["person"], ("admit", "discharge"), ("start_dt", "end_dt"))
+    return pairs.groupBy("person", "stay").agg(F.count(F.lit(1)).alias("n_pairs"), F.min("start_dt").alias("first"), F.sum("grace").cast("long").alias("graces"))
+
+
 @query
 def interval_overlap(d, ws):
     periods = d.stays().selectExpr("person", "stay", "admit as p_start", "discharge as p_end")
@@ -563,6 +596,24 @@ def translate_then_combine(d, ws):
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), chosen)
 
 
+@query
+def translate_gap_then_combine(d, ws):
+    """Raw files, of which the second subsample has no drug events, to all nine combined tables."""
+    raw, lists, out = ws.new_path("raw"), ws.new_path("lists"), ws.new_path("subsamples")
+    frames = {**{f"bene_{y}": df for y, df in d.bene_years().items()}, "pde": d.pde().where("samplenum <> 2"), **d.claim_feeds()}
+    lookups = d.lookups()
+    run_together(
+        [partial(sinks.write_numbered, df, name, "parquet", raw, numbers=[1, 2, 3]) for name, df in frames.items()]
+        + [partial(sinks.write_table, getattr(lookups, name), f"{lists}/{name}.parquet", "parquet") for name in LOOKUP_FILES]
+    )
+    translate.translate_to_files(d.spark, raw, lists, out)
+    files = d.spark.createDataFrame([(t, n, r) for (t, n), r in sinks.committed_set(d.spark, out, "parquet").items()], "name string, samplenum int, rows long")
+    empty = files.where("rows = 0").select(F.concat(F.lit("empty "), "name").alias("table_name"), F.col("samplenum").cast("long").alias("n"))
+    done = combine.combine(d.spark, out, ws)
+    counts = [df.select(F.lit(name).alias("table_name")).groupBy("table_name").agg(F.count(F.lit(1)).alias("n")) for name, df in done.items()]
+    return reduce(DataFrame.unionByName, [*counts, empty])
+
+
 # Statistics
 
 

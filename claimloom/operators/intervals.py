@@ -166,6 +166,55 @@ def _look_up_days(
     return out.withColumn("_n", F.coalesce(F.col("_b") - F.col("_a"), F.lit(0)).cast("long")).drop("_a", "_b")
 
 
+def _bin(day: Column, days: int) -> Column:
+    return F.floor(F.unix_date(day) / days)
+
+
+def _binned(df: DataFrame, lo: str, hi: str, days: int) -> DataFrame:
+    """Intervals that hold a day, once for each bin of days that they touch."""
+    whole = valid_intervals(df, lo, hi).where(F.col(lo) <= F.col(hi))
+    return whole.withColumn("_bin", F.explode(F.sequence(_bin(F.col(lo), days), _bin(F.col(hi), days))))
+
+
+def _no_clash(left: DataFrame, right: DataFrame, by: Sequence[str]) -> None:
+    clash = {c.lower() for c in left.columns} & {c.lower() for c in right.columns} - {c.lower() for c in by}
+    if clash:
+        raise ValueError(f"columns on both sides: {', '.join(sorted(clash))}")
+
+
+def interval_join(
+    left: DataFrame, right: DataFrame, by: Sequence[str], span: tuple[str, str], other: tuple[str, str], days: int = 64, **options
+) -> DataFrame:
+    """Pairs of a group's intervals that share a day: the columns of both sides, ``by`` once.
+
+    Intervals are cut into bins of ``days`` days and meet bin by bin; only the
+    bin in which the later one starts reports a pair, so each pair comes once.
+    A group of very many rows is spread over its bins.  Rows grow with the days
+    covered and with the pairs found.  Intervals without both ends, or with the
+    end before the start, hold no day and match nothing, like a missing group.
+    """
+    _no_clash(left, right, by)
+    (ls, le), (rs, re_) = span, other
+    pairs = skew_join(_binned(left, ls, le, days), _binned(right, rs, re_, days), [*by, "_bin"], **options)
+    later = F.greatest(ls, rs)
+    return pairs.where((F.col(ls) <= F.col(re_)) & (F.col(rs) <= F.col(le)) & (_bin(later, days) == F.col("_bin"))).drop("_bin")
+
+
+def point_join(
+    points: DataFrame, stays: DataFrame, by: Sequence[str], point: str, span: tuple[str, str], days: int = 64, **options
+) -> DataFrame:
+    """Pairs of a group's points and the intervals that hold them, both ends included: the columns of both sides, ``by`` once.
+
+    A point lies in one bin of days, so it meets the intervals that touch this
+    bin only; see ``interval_join``.
+    """
+    _no_clash(points, stays, by)
+    lo, hi = span
+    placed = points.where(F.col(point).isNotNull()).withColumn("_bin", _bin(F.col(point), days))
+    pairs = skew_join(placed, _binned(stays, lo, hi, days), [*by, "_bin"], **options)
+    return pairs.where(F.col(point).between(F.col(lo), F.col(hi))).drop("_bin")
+
+
 def count_inside(
     stays: DataFrame, points: DataFrame, by: Sequence[str], lo: str, hi: str, point: str, name: str, ws: Workspace, **options
 ) -> DataFrame:

@@ -14,7 +14,7 @@ from claimloom.operators.joins import check_options
 from claimloom.operators.rows import contract_select, drop_null_ids, sort_contract, with_constants
 from claimloom.schema import CROSSWALKS, SOURCED_TABLES, TABLES, TableSpec
 from claimloom.sources.readers import NAMED_MISSING, audit_completeness, found_pairs, missing_message, read_subsamples
-from claimloom.sources.sinks import export_all
+from claimloom.sources.sinks import committed_set, export_all
 from claimloom.workspace import Workspace, run_together
 
 # Every provider and facility row carries these.
@@ -96,7 +96,9 @@ def combine(
     """Combine the subsample files ``<table>_<n>.<fmt>`` of a folder into the nine tables.
 
     Subsamples are those from ``first`` to ``last`` or those in ``numbers``.
-    Every file of them must be there; missing ones are reported.  Files may
+    Every file of them must be there; missing ones are reported.  A folder in
+    which files are still being written is refused, and so are files that its
+    manifest, if there is one, does not list.  Files may
     differ in columns and types.  Ids in text files are text unless ``id_type``
     says otherwise.
     """
@@ -105,6 +107,10 @@ def combine(
     gaps = missing.orderBy("samplenum", "table_name").limit(NAMED_MISSING).collect()
     if gaps:
         raise ValueError(missing_message(in_dir, fmt, gaps, missing.count()))
+    listed = committed_set(spark, in_dir, fmt)
+    strange = [] if listed is None else [(t, n) for t in TABLES for n in wanted if (t, n) not in listed]
+    if strange:
+        raise ValueError(f"not in the manifest of {in_dir}: " + ", ".join(f"{t}_{n}.{fmt}" for t, n in strange[:NAMED_MISSING]))
     sources = {name: read_subsamples(spark, in_dir, name, wanted, fmt, id_type=id_type) for name in TABLES}
     return combine_frames(sources, ws, **options)
 

@@ -18,7 +18,7 @@ from claimloom.plans.enrollment import build_death, build_demographic, build_enr
 from claimloom.plans.finalise import CLAIM_TABLES, finalise
 from claimloom.schema import LOOKUP_FILES, TABLES
 from claimloom.sources.readers import NAMED_MISSING, audit_completeness, found_pairs, missing_message, read_format, read_subsamples
-from claimloom.sources.sinks import write_numbered, write_table
+from claimloom.sources.sinks import commit_set, write_numbered, write_table
 from claimloom.workspace import Workspace, run_together
 
 # The years of the beneficiary files, and the other feeds.
@@ -112,7 +112,9 @@ def translate_to_files(
     """Translate a folder of raw feeds into ``<table>_<n>.<fmt>`` files, which ``combine`` reads.
 
     Every feed of every subsample must be there.  Each table is written in one
-    pass in its sort order.  Persons with several demographic or death rows are
+    pass in its sort order, with a file for every subsample, also those without
+    rows.  A manifest, written last, lists all files and their rows as read
+    back; without it the set does not count as complete.  Persons with several demographic or death rows are
     reported in ``repeated_<table>.<fmt>``.  Returns the paths by table.
     """
     found = found_pairs(spark, in_dir, fmt)
@@ -125,11 +127,19 @@ def translate_to_files(
         done = translate(read_feeds(spark, in_dir, wanted, fmt), read_lookups(spark, lookup_dir, fmt), ws, **options)
         for name in ("demographic", "death"):
             done[name] = ws.keep(done[name], f"final-{name}")
-        paths = run_together([partial(write_numbered, df, name, out_fmt, out_dir, TABLES[name].order) for name, df in done.items()])
+        paths = run_together([partial(write_numbered, df, name, out_fmt, out_dir, TABLES[name].order, wanted) for name, df in done.items()])
         reports = {}
         for name in ("demographic", "death"):
             repeated = repeated_people(done[name])
             if not repeated.isEmpty():
                 reports[f"repeated_{name}"] = [f"{out_dir}/repeated_{name}.{out_fmt}"]
                 write_table(repeated, reports[f"repeated_{name}"][0], out_fmt)
+    counts = run_together([partial(_rows_by_number, spark, out_dir, name, wanted, out_fmt) for name in done])
+    commit_set(spark, out_dir, out_fmt, {k: n for c in counts for k, n in c.items()})
     return {**dict(zip(done, paths)), **reports}
+
+
+def _rows_by_number(spark: SparkSession, out_dir: str, name: str, numbers: Sequence[int], fmt: str) -> dict[tuple[str, int], int]:
+    read = read_subsamples(spark, out_dir, name, numbers, fmt)
+    found = {r["samplenum"]: r["count"] for r in read.groupBy("samplenum").count().collect()}
+    return {(name, n): found.get(n, 0) for n in numbers}

@@ -59,6 +59,39 @@ def _strictly(column: Column, name: str, kind: T.DataType) -> Column:
     return F.when(column.isNotNull() & value.isNull(), F.raise_error(told).cast(kind)).otherwise(value)
 
 
+def _json_rows(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
+    """(_row, _metadata) of one document per line: its values as text by their names in lower case.
+
+    Two names of a document that differ in case only, like a line that is no
+    document, are an error.
+    """
+    lines = spark.read.text(list(paths)).where(F.trim("value") != "")
+    row = F.from_json("value", "map<string,string>", {"mode": "FAILFAST"})
+    return lines.select(F.transform_keys(row, lambda k, _: F.lower(k)).alias("_row"), "_metadata")
+
+
+def required_columns(table: str) -> list[str]:
+    """Ids without which all rows of a table would vanish when it is combined."""
+    return [c for c, how in TABLES[table].rekeyed.items() if how == "inner"] if table in TABLES else []
+
+
+def _check_json_names(spark: SparkSession, paths: Sequence[str], table: str, number: Column) -> None:
+    """A file with documents, none of which has a required column, is an error; one row per file comes back."""
+    required = required_columns(table)
+    if not required:
+        return
+    has = [F.bool_or(F.map_contains_key("_row", F.lit(c.lower()))).alias(c) for c in required]
+    for r in _json_rows(spark, paths).groupBy(number).agg(*has).orderBy("samplenum").collect():
+        _require([c for c in required if r[c]], table, f"{table}_{r['samplenum']}.json")
+
+
+def _require(names: Iterable[str], table: str, where: str) -> None:
+    have = {n.lower() for n in names}
+    lacking = [c for c in required_columns(table) if c.lower() not in have]
+    if lacking:
+        raise ValueError(f"no column {', '.join(lacking)} in {where}")
+
+
 def read_format(spark: SparkSession, paths: Sequence[str], fmt: str, schema: T.StructType | None = None, extra: Sequence[Column] = ()) -> DataFrame:
     """Read files of one layout.  Text formats need a schema, whose types are checked value by value.
 
@@ -73,9 +106,9 @@ def read_format(spark: SparkSession, paths: Sequence[str], fmt: str, schema: T.S
         raise ValueError(f"{fmt} files need a schema")
     kinds = {f.name.lower(): f for f in schema}
     if fmt == "json":
-        text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-        frame = spark.read.schema(text).option("mode", "FAILFAST").json(paths)
-        header = frame.columns
+        rows = _json_rows(spark, paths)
+        columns = [_strictly(F.col("_row")[key], f.name, f.dataType).alias(f.name) for key, f in kinds.items()]
+        return rows.select(*columns, *extra)
     else:
         header = _text_reader(spark, fmt).csv(paths[0]).columns
         text = T.StructType([T.StructField(c, T.StringType()) for c in header])
@@ -177,9 +210,11 @@ def read_subsamples(
     """Read ``<table>_<n>.<fmt>`` for all numbers as one relation with its samplenum.
 
     The number is taken from the path of the file a row is in.  Text formats
-    are read by the names in their header with the table's declared types;
-    columns the declaration lacks are left out, missing ones are null.  Parquet
-    keeps its own columns and types; of differing ones the wider counts.
+    are read by the names in their header or documents, in any letter case,
+    with the table's declared types; columns the declaration lacks are left
+    out, missing ones are null.  Parquet keeps its own columns and types; of
+    differing ones the wider counts.  A file without an id that its rows are
+    matched by is an error.
     """
     check_format(fmt)
     paths = [f"{in_dir}/{table}_{n}.{fmt}" for n in numbers]
@@ -188,6 +223,7 @@ def read_subsamples(
         return spark.createDataFrame([], T.StructType(list(declared)).add("samplenum", T.IntegerType()))
     number = F.regexp_extract(F.col("_metadata.file_path"), rf"{table}_(\d+)\.{fmt}(/[^/]*)?$", 1).cast("int").alias("samplenum")
     if fmt == "json":
+        _check_json_names(spark, paths, table, number)
         return read_format(spark, paths, fmt, schema or declared_schema(table, id_type), [number])
     if fmt == "parquet":
         layouts = run_together([partial(lambda p: spark.read.parquet(p).schema, p) for p in paths])
@@ -197,6 +233,7 @@ def read_subsamples(
         key = run_together([partial(lambda p: tuple(_text_reader(spark, fmt).csv(p).columns), p) for p in paths])
     groups: dict[tuple, list[str]] = {}
     for k, path in zip(key, paths):
+        _require([c if isinstance(c, str) else c[0] for c in k], table, path)
         groups.setdefault(k, []).append(path)
     frames = [read_format(spark, group, fmt, schema, [number]) for group in groups.values()]
     ids = [f for f, kind in TABLES[table].fields.items() if kind == "id"] if table in TABLES else []

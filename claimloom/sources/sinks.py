@@ -49,10 +49,16 @@ def export_all(tables: dict[str, DataFrame], out_dir: str, fmt: str, mode: str =
     return list(paths.values())
 
 
-def write_numbered(df: DataFrame, table: str, fmt: str, out_dir: str, order: Sequence[str] = ()) -> list[str]:
+def write_numbered(
+    df: DataFrame, table: str, fmt: str, out_dir: str, order: Sequence[str] = (), numbers: Iterable[int] | None = None
+) -> list[str]:
     """Write ``<out_dir>/<table>_<n>.<fmt>`` for every subsample, in one pass, without the samplenum column.
 
-    Part files of a subsample follow the given order, nulls last.  An existing file is an error.
+    Part files of a subsample follow the given order, nulls last.  With
+    ``numbers``, these subsamples get a file even if they have no rows, and
+    others are an error.  An existing file is an error, found before anything
+    is moved to its place.  While a table is written its parts lie in a folder
+    ``_writing_<table>_<fmt>``, so an interrupted run can be told.
     """
     check_format(fmt)
     spark = df.sparkSession
@@ -61,18 +67,61 @@ def write_numbered(df: DataFrame, table: str, fmt: str, out_dir: str, order: Seq
         keys = [F.col(c).asc_nulls_last() for c in ("samplenum", *order)]
         df = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
     write_table(df, aside, fmt, ["samplenum"])
-    numbers = sorted(int(n.split("=", 1)[1]) for n in listed_names(spark, aside) if n.startswith("samplenum="))
-    paths = []
-    for n in numbers:
-        paths.append(f"{out_dir}/{table}_{n}.{fmt}")
-        target, system = hadoop_path(spark, paths[-1])
+    found = sorted(int(n.split("=", 1)[1]) for n in listed_names(spark, aside) if n.startswith("samplenum="))
+    wanted = found if numbers is None else sorted(set(numbers))
+    if not set(found) <= set(wanted):
+        raise ValueError(f"{table} has rows of other subsamples: {sorted(set(found) - set(wanted))}")
+    nothing = spark.createDataFrame([], df.drop("samplenum").schema).coalesce(1)
+    for n in sorted(set(wanted) - set(found)):
+        write_table(nothing, f"{aside}/samplenum={n}", fmt)
+    paths = {n: f"{out_dir}/{table}_{n}.{fmt}" for n in wanted}
+    for path in paths.values():
+        target, system = hadoop_path(spark, path)
         if system.exists(target):
-            raise FileExistsError(paths[-1])
+            raise FileExistsError(path)
+    for n, path in paths.items():
+        target, system = hadoop_path(spark, path)
         source, _ = hadoop_path(spark, f"{aside}/samplenum={n}")
-        system.rename(source, target)
+        if not system.rename(source, target):
+            raise OSError(f"cannot move {source} to {path}")
     folder, system = hadoop_path(spark, aside)
     system.delete(folder, True)
-    return paths
+    return list(paths.values())
+
+
+def _manifest(out_dir: str, fmt: str) -> str:
+    return f"{out_dir}/_manifest_{fmt}.json"
+
+
+def commit_set(spark: SparkSession, out_dir: str, fmt: str, rows: dict[tuple[str, int], int]) -> str:
+    """Write the manifest of a complete set of numbered files: (table, subsample) and its number of rows.
+
+    The manifest is written aside and moved to its place, so it is there whole
+    or not at all; it comes last, so a set without one is not complete.
+    """
+    path = _manifest(out_dir, fmt)
+    lines = [(t, n, count) for (t, n), count in sorted(rows.items())]
+    listed = spark.createDataFrame(lines, "table_name string, samplenum int, rows long").coalesce(1)
+    listed.write.mode("overwrite").json(f"{path}.writing")
+    source, system = hadoop_path(spark, f"{path}.writing")
+    target, _ = hadoop_path(spark, path)
+    system.delete(target, True)
+    if not system.rename(source, target):
+        raise OSError(f"cannot move {source} to {path}")
+    return path
+
+
+def committed_set(spark: SparkSession, in_dir: str, fmt: str) -> dict[tuple[str, int], int] | None:
+    """The manifest of a folder, None if it has none; files that are being written are an error."""
+    names = listed_names(spark, in_dir)
+    unfinished = [n for n in names if n.startswith("_writing_") and n.endswith(f"_{fmt}")]
+    if unfinished:
+        raise ValueError(f"a set of files was not finished: {in_dir}/{sorted(unfinished)[0]}")
+    if _manifest("", fmt)[1:] not in names:
+        return None
+    listed = spark.read.schema("table_name string, samplenum int, rows long").json(_manifest(in_dir, fmt))
+    # One row per file.
+    return {(r["table_name"], r["samplenum"]): r["rows"] for r in listed.collect()}
 
 
 def export_selection(
@@ -87,7 +136,8 @@ def export_selection(
     ``subsamples`` is a list, or text such as ``"5-12"`` or ``"1 3 5"``.  Each
     table is read once per format and written as ``<table>_<n>.<fmt>`` below
     ``subsamples_<fmt>``; diagnoses and procedures go to ``diagnosis_<fmt>``
-    and ``procedure_<fmt>``.  Such files can be read and combined again.
+    and ``procedure_<fmt>``.  A chosen subsample without rows gets a file
+    without rows.  Such files can be read and combined again.
     """
     numbers = parse_selection(subsamples) if isinstance(subsamples, str) else list(subsamples)
     unknown = [n for n in names if n not in tables]
@@ -98,7 +148,7 @@ def export_selection(
 
     def one(name: str, fmt: str) -> list[str]:
         chosen = tables[name].where(F.col("samplenum").isin(*numbers))
-        return write_numbered(chosen, name, fmt, f"{out_dir}/{name if name in _OWN_FOLDER else 'subsamples'}_{fmt}")
+        return write_numbered(chosen, name, fmt, f"{out_dir}/{name if name in _OWN_FOLDER else 'subsamples'}_{fmt}", numbers=numbers)
 
     return [p for paths in run_together([partial(one, n, f) for n in names for f in fmts]) for p in paths]
 

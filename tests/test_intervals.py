@@ -134,3 +134,30 @@ def test_points_and_overlaps_equal_brute_force(spark, ws, path, request):
     over = intervals.count_overlaps(frame(spark, stays), frame(spark, others), ["p"], ("s", "e"), ("s", "e"), "n", ws)
     want = [(p, day(a), day(b), sum(q == p and b >= c and d >= a for q, c, d in others)) for p, a, b in stays]
     assert rows_of(over) == sorted(want, key=repr)
+
+
+@pytest.mark.parametrize("days", [1, 7, 64])
+def test_joined_intervals_equal_all_pairs(spark, days):
+    rng = random.Random(days)
+    day = lambda: dt.date(2009, 1, 1) + dt.timedelta(rng.randint(-30, 60)) if rng.random() < 0.95 else None
+    left = [(rng.choice(["p", "p", "p", "q", None]), i, day(), day()) for i in range(70)]
+    right = [(rng.choice(["p", "q", "r", None]), i, day(), day()) for i in range(50)] + [("p", 99, dt.date(1950, 1, 1), dt.date(2050, 1, 1))]
+    a = spark.createDataFrame(left, "person string, i int, a date, b date")
+    b = spark.createDataFrame(right, "person string, j int, c date, d date")
+    got = rows_of(intervals.interval_join(a, b, ["person"], ("a", "b"), ("c", "d"), days).select("i", "j"))
+    whole = [[r for r in side if None not in r and r[2] <= r[3]] for side in (left, right)]
+    assert got == sorted(((x[1], y[1]) for x in whole[0] for y in whole[1] if x[0] == y[0] and x[2] <= y[3] and y[2] <= x[3]), key=repr)
+    got = rows_of(intervals.point_join(a.drop("b"), b, ["person"], "a", ("c", "d"), days).select("i", "j"))
+    points = [x for x in left if x[0] is not None and x[2] is not None]
+    assert got == sorted(((x[1], y[1]) for x in points for y in whole[1] if x[0] == y[0] and y[2] <= x[2] <= y[3]), key=repr)
+    with pytest.raises(ValueError, match="on both sides: a, b, i"):
+        intervals.interval_join(a, a, ["person"], ("a", "b"), ("a", "b"))
+
+
+def test_a_hot_person_is_split_by_bins(spark, shuffled):
+    days = "date_add(date'2009-01-01', cast(id % 700 as int))"
+    left = spark.range(900).selectExpr("cast(0 as int) as person", "id as i", f"{days} as a", f"date_add({days}, 3) as b")
+    right = spark.range(800).selectExpr("cast(0 as int) as person", "id as j", f"date_add({days}, 1) as c", f"date_add({days}, 2) as d")
+    joined = intervals.interval_join(left, right, ["person"], ("a", "b"), ("c", "d"), 16)
+    plain = left.join(right, "person").where("a <= d AND c <= b")
+    assert joined.count() == plain.count() and sorted(joined.columns) == sorted(plain.columns)

@@ -195,3 +195,66 @@ def test_append_harmonised(spark):
     assert out.columns == ["ID", "Name", "v", "New"]
     assert dict(out.dtypes) == {"ID": "bigint", "Name": "string", "v": "double", "New": "string"}
     assert rows_of(out) == sorted([(1, "x", 2.0, None), (2**40, None, 5.0, "n")], key=repr)
+
+
+def test_json_names_in_any_case(spark, tmp_path):
+    (tmp_path / "death_1.json").write_text('{"patid":"A1","DEATHDT":"2009-01-02","dtimpute":"D","extra":[1]}\n\n{"PatID":7,"Source":null}\n')
+    df = readers.read_subsamples(spark, str(tmp_path), "death", [1], "json")
+    assert rows_of(df) == [("7", None, None, None, None, 1), ("A1", dt.date(2009, 1, 2), "D", None, None, 1)]
+    (tmp_path / "death_2.json").write_text('{"patid":"A1","PatID":"A2"}\n')
+    with pytest.raises(Exception, match="(?i)duplicate"):
+        readers.read_subsamples(spark, str(tmp_path), "death", [2], "json").collect()
+
+
+@pytest.mark.parametrize("fmt", ["csv", "json", "parquet"])
+def test_a_file_without_the_id_of_its_rows_is_an_error(spark, tmp_path, fmt):
+    for n, name in ((1, "PATID"), (2, "Person")):
+        sinks.write_table(spark.createDataFrame([("A", "D")], f"{name} string, DtImpute string"), str(tmp_path / f"death_{n}.{fmt}"), fmt)
+    assert readers.read_subsamples(spark, str(tmp_path), "death", [1], fmt).count() == 1
+    with pytest.raises(ValueError, match=rf"no column PatID in .*death_2\.{fmt}"):
+        readers.read_subsamples(spark, str(tmp_path), "death", [1, 2], fmt)
+
+
+@pytest.mark.parametrize("fmt", readers.FORMATS)
+def test_subsamples_without_rows_get_files(spark, tmp_path, fmt):
+    from pyspark.sql import functions as F
+
+    df = death_rows(spark, 4).withColumn("samplenum", F.lit(2))
+    paths = sinks.export_selection({"death": df}, [1, 2, 3], ["death"], [fmt], str(tmp_path))
+    assert [p.rsplit("/", 1)[1] for p in paths] == [f"death_{n}.{fmt}" for n in (1, 2, 3)]
+    back = readers.read_subsamples(spark, str(tmp_path / f"subsamples_{fmt}"), "death", [1, 2, 3], fmt)
+    assert back.groupBy("samplenum").count().collect() == [(2, 4)] and back.columns == [*TABLES["death"].columns, "samplenum"]
+    with pytest.raises(ValueError, match="other subsamples"):
+        sinks.write_numbered(df, "death", fmt, str(tmp_path / "x"), numbers=[1])
+
+
+def test_a_set_is_whole_or_refused(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    folder = str(tmp_path / "set")
+    df = death_rows(spark, 4).withColumn("samplenum", F.lit(1))
+    (tmp_path / "set" / "death_2.csv").mkdir(parents=True)
+    with pytest.raises(FileExistsError):
+        sinks.write_numbered(df.unionByName(df.withColumn("samplenum", F.lit(2))), "death", "csv", folder)
+    # Nothing has been moved, and the folder tells that a run was interrupted.
+    assert not (tmp_path / "set" / "death_1.csv").exists()
+    with pytest.raises(ValueError, match="not finished: .*_writing_death_csv"):
+        sinks.committed_set(spark, folder, "csv")
+    assert sinks.committed_set(spark, folder, "parquet") is None
+    for rows in ({("death", 1): 4}, {("death", 1): 4, ("death", 3): 0}):
+        sinks.commit_set(spark, folder, "json", rows)
+        assert sinks.committed_set(spark, folder, "json") == rows
+
+
+def test_files_that_the_manifest_lacks_are_not_combined(spark, ws, tmp_path):
+    from claimloom.plans import combine
+
+    for name, spec in TABLES.items():
+        for n in (1, 2):
+            empty = spark.createDataFrame([], ", ".join(f"{c} string" for c in spec.columns))
+            empty.write.parquet(str(tmp_path / f"{name}_{n}.parquet"))
+    sinks.commit_set(spark, str(tmp_path), "parquet", {(t, n): 0 for t in TABLES for n in (1, 2) if (t, n) != ("death", 2)})
+    with pytest.raises(ValueError, match=r"not in the manifest of .*: death_2\.parquet"):
+        combine.combine(spark, str(tmp_path), ws)
+    done = combine.combine(spark, str(tmp_path), ws, numbers=[1])
+    assert sorted(done) == sorted(TABLES) and all(df.count() == 0 for df in done.values())
