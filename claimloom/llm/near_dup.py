@@ -417,15 +417,16 @@ def _bit_parallel(a: list[int], b: list[int], most: int) -> bool:
     return distance <= most
 
 
-#: A narrow band first: it settles most copies, and in few steps where they are long.
-_NARROW = 2
+#: A narrow band first: it settles copies of few edits, and long texts in few steps.
+_NARROW, _FEW_EDITS, _LONG = 2, 16, 5_000
 
 
 def within(a: list[int], b: list[int], most: int) -> bool:
     """Whether the edit distance is at most ``most``: in a narrow band first, then in one that holds every alignment."""
     if not a or not b:
         return max(len(a), len(b)) <= most
-    return banded_distance(a, b, most, _NARROW) is not None or (most > _NARROW and _bit_parallel(a, b, most))
+    few = most if max(len(a), len(b)) > _LONG else min(most, _FEW_EDITS)
+    return banded_distance(a, b, few, _NARROW) is not None or (most > 0 and _bit_parallel(a, b, most))
 
 
 def distances(pairs: list[tuple[list[str], list[str]]], least: float) -> list[int | None]:
