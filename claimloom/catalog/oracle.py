@@ -530,6 +530,12 @@ STATEMENTS: dict[str, str] = {
     **{f"assemble_{n}": f"SELECT * FROM t_{n}" for n in _SOURCED},
     **{f"synthesise_{n}": f"SELECT * FROM t_{n}" for n in ("provider", "facility")},
     **{f"sorted_{n}": _sorted(n) for n in _COLUMNS},
+    "get_crosswalk": "SELECT * FROM cw_encounterid",
+    "written_order": " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n_rows, 0::BIGINT AS n_breaks FROM t_{n}" for n in _COLUMNS),
+    "order_breaks": """SELECT count(*) AS n_rows, count(*) FILTER (WHERE o_custkey > following) AS n_breaks
+  FROM (SELECT o_custkey, lead(o_custkey) OVER (ORDER BY o_orderkey) AS following FROM orders)""",
+    "export_all_csv": _content("t"),
+    "empty_source": "SELECT PatID, DeathDt, DtImpute, Source, Confidence, samplenum FROM s_death",
     "combine_files": _content("t"),
     "combine_csv": _content("t", other={"dispensing": "k_dispensing"}),
     "combine_json": _content("t", other={"dispensing": "k_dispensing"}),
@@ -637,6 +643,7 @@ STATEMENTS: dict[str, str] = {
     "encounters_per_patient": """SELECT p.samplenum, p.PatID, count(e.samplenum) AS n_encounters FROM s_demographic p
   LEFT JOIN s_encounter e ON e.samplenum = p.samplenum AND e.PatID = p.PatID WHERE p.PatID IS NOT NULL GROUP BY ALL""",
     "descriptive_stats": _stats(),
+    "export_stats": _stats(),
 }
 _GAP = {n: "(SELECT * FROM f_dispensing WHERE samplenum <> 2)" if n == "dispensing" else f"f_{n}" for n in _COLUMNS}
 STATEMENTS["translate_gap_then_combine"] = " UNION ALL ".join(

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 
 from claimloom.catalog.fixtures import Driver
 from claimloom.functions.scalars import HISPANIC, RACE, SEX, first_present, is_real_code, px_code_type, recode, zero_for_o
-from claimloom.operators import codes, ids, intervals, joins, rows
+from claimloom.operators import codes, ids, intervals, joins, ordering, rows
 from claimloom.plans import claims, combine, enrollment, stats, translate
 from claimloom.plans.dispensing import build_dispensing
 from claimloom.plans.finalise import CLAIM_TABLES, first_enrollment
@@ -212,6 +212,44 @@ def content(tables: dict[str, DataFrame], tags: Sequence[str] = ()) -> DataFrame
     return reduce(DataFrame.unionByName, parts)
 
 
+@query
+def get_crosswalk(d, ws):
+    """A crosswalk by the name of its table."""
+    return combine.get_crosswalk(combine.build_crosswalks({"encounter": d.source("encounter")}, ws), "encounterid_crosswalk")
+
+
+@query
+def written_order(d, ws):
+    """Rows of the nine written tables and places that are out of order."""
+    tables, folder = combine.combine_frames({name: d.source(name) for name in TABLES}, ws), ws.new_path("out")
+    paths = dict(zip(tables, sinks.export_all(tables, folder, "parquet")))
+    found = [ordering.written_order(d.spark, path, TABLES[name].sort_keys).withColumn("table_name", F.lit(name)) for name, path in paths.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
+@query
+def order_breaks(d, ws):
+    """Places of a table written by order number where the customer number falls."""
+    path = ws.new_path("orders")
+    sinks.write_table(d.table("orders").select("o_orderkey", "o_custkey").orderBy("o_orderkey"), path, "parquet")
+    return ordering.written_order(d.spark, path, ["o_custkey"])
+
+
+@query
+def export_all_csv(d, ws):
+    """The nine combined tables, written as text and read again."""
+    tables = combine.combine_frames({name: d.source(name) for name in TABLES}, ws)
+    paths = dict(zip(tables, sinks.export_all(tables, ws.new_path("out"), "csv")))
+    return content({name: sinks.read_table(d.spark, path, "csv", tables[name].schema) for name, path in paths.items()})
+
+
+@query
+def empty_source(d, ws):
+    """A table without subsamples, to which deaths are appended: their columns, in the declared order and types."""
+    nothing = readers.read_subsamples(d.spark, ws.new_path("none"), "death", [], id_type=T.LongType())
+    return readers.append_harmonised(nothing, d.source("death"))
+
+
 @query
 def combine_files(d, ws):
     folder = ws.new_path("files")
@@ -627,3 +665,11 @@ def descriptive_stats(d, ws):
     tables = {name: d.source(name) for name in SOURCED_TABLES}
     tables["demographic"] = rows.drop_null_ids(tables["demographic"], "PatID")
     return stats.descriptive_stats(tables)
+
+
+@query
+def export_stats(d, ws):
+    """The statistics as their text file has them."""
+    found, folder = descriptive_stats(d, ws), ws.new_path("stats")
+    path = sinks.export_stats(found, folder, ["txt"])[0]
+    return sinks.read_table(d.spark, path, "txt", found.schema)
