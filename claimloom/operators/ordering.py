@@ -99,7 +99,7 @@ def _comes_after(pairs: Sequence[tuple[Column, Column]]) -> Column:
 
 def range_lines(spark: SparkSession, path: str, keys: Sequence[str], fmt: str = "parquet", schema: T.StructType | None = None) -> DataFrame:
     """One line per file range of a written table; of Parquet files only the key columns are read."""
-    read = read_format(spark, [path], fmt, schema, _places())
+    read = read_format(spark, [path], fmt, schema, _places(), as_written=True)
     chosen = read.select(*_PLACE, *keys)
     kinds = {f.name: f.dataType for f in chosen.schema}
     out = T.StructType([T.StructField(c, T.LongType()) for c in _PLACE])

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from claimloom.schema import RAW_FEEDS, TABLES
+from claimloom.sources import quoted_text
 from claimloom.workspace import hadoop_path, run_together
 
 FORMATS = ("parquet", "csv", "json", "txt")
@@ -92,10 +93,24 @@ def _require(names: Iterable[str], table: str, where: str) -> None:
         raise ValueError(f"no column {', '.join(lacking)} in {where}")
 
 
-def read_format(spark: SparkSession, paths: Sequence[str], fmt: str, schema: T.StructType | None = None, extra: Sequence[Column] = ()) -> DataFrame:
+def _one_task_each(spark: SparkSession, paths: Sequence[str], fmt: str, header: Sequence[str]) -> DataFrame:
+    text = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    return _text_reader(spark, fmt).schema(text).option("enforceSchema", False).option("mode", "FAILFAST").csv(list(paths))
+
+
+def read_format(
+    spark: SparkSession,
+    paths: Sequence[str],
+    fmt: str,
+    schema: T.StructType | None = None,
+    extra: Sequence[Column] = (),
+    as_written: bool = False,
+) -> DataFrame:
     """Read files of one layout.  Text formats need a schema, whose types are checked value by value.
 
-    ``extra`` columns, which may use ``_metadata``, come after the file's.
+    ``extra`` columns, which may use the path in ``_metadata``, come after the
+    file's.  Large delimited files are cut, which loses the order of their
+    rows; with ``as_written`` they are not, and all of ``_metadata`` is there.
     """
     check_format(fmt)
     paths = list(paths)
@@ -111,8 +126,11 @@ def read_format(spark: SparkSession, paths: Sequence[str], fmt: str, schema: T.S
         return rows.select(*columns, *extra)
     else:
         header = _text_reader(spark, fmt).csv(paths[0]).columns
-        text = T.StructType([T.StructField(c, T.StringType()) for c in header])
-        frame = _text_reader(spark, fmt).schema(text).option("enforceSchema", False).option("mode", "FAILFAST").csv(paths)
+        if not as_written and quoted_text.largest_file(spark, paths) >= quoted_text.SPLIT_BYTES:
+            options = {**TEXT_OPTIONS, "sep": separator(fmt), "nullValue": _NO_MARKER}
+            frame = quoted_text.read_quoted(spark, paths, header, options)
+        else:
+            frame = _one_task_each(spark, paths, fmt, header)
     have = {c.lower(): c for c in header}
     columns = []
     for key, field in kinds.items():
