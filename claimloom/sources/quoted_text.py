@@ -4,8 +4,8 @@ A task that begins in the middle of a file cannot know whether it stands inside
 a quoted value.  So the lines of each byte range are first only counted: every
 range yields the parity of its quotes.  Running parities over the ranges of a
 file, one line per range, tell where each range begins, inside or outside.
-Then each range puts its own lines together to records; only records that cross
-a range border meet in another shuffle.
+Then each range tells its records; only the lines of records of several lines
+meet in another shuffle.
 """
 
 from __future__ import annotations
@@ -17,8 +17,9 @@ from pyspark.sql import functions as F
 
 from claimloom.workspace import hadoop_path
 
-#: Files from this size on are cut; smaller ones are read by one task each.
-SPLIT_BYTES = 256 * 1024 * 1024
+#: Files from this size on are cut.  Cutting costs several times the CPU of
+#: reading from the beginning, so smaller ones are read by one task each.
+SPLIT_BYTES = 1024 * 1024 * 1024
 
 _RANGE = ("_file", "_start")
 _QUOTE = '"'
@@ -50,55 +51,60 @@ def _ranged_lines(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def _ranges(lines: DataFrame) -> DataFrame:
-    """One row per byte range: whether it begins and ends inside quotes, and which range its first lines belong to."""
+    """One row per byte range: whether it begins inside quotes, and the record, if any, that its first lines belong to."""
 
     def starts(parity: int) -> Column:
-        return F.bool_or(~F.col("_blank") & (F.col("_before") % 2 == parity))
+        return F.count_if(~F.col("_blank") & (F.col("_before") % 2 == parity))
 
     found = lines.groupBy(*_RANGE).agg(F.sum("_quotes").alias("_all"), starts(0).alias("_even"), starts(1).alias("_odd"))
     earlier = Window.partitionBy("_file").orderBy("_start").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("_file")
     inside = (F.coalesce(F.sum("_all").over(earlier), F.lit(0)) % 2) == 1
-    own = F.when(F.when(F.col("_inside"), F.col("_odd")).otherwise(F.col("_even")), F.col("_start"))
+    # The last record that begins in a range.
+    begun = F.when(F.col("_inside"), F.col("_odd")).otherwise(F.col("_even"))
+    own = F.when(begun > 0, F.struct(F.col("_start").alias("start"), begun.alias("record")))
     unpaired = F.concat(F.lit("a quoted value has no end in "), F.col("_file"))
+    odd = F.sum("_all").over(Window.partitionBy("_file")) % 2 == 1
     return (
         found.withColumn("_inside", inside)
-        .withColumn("_ends_inside", F.col("_inside") != (F.col("_all") % 2 == 1))
-        .withColumn("_owner", F.last(own, ignorenulls=True).over(earlier))
-        .withColumn("_file_quotes", F.sum("_all").over(whole))
-        .select(
-            *_RANGE, "_ends_inside", "_owner",
-            F.when(F.col("_file_quotes") % 2 == 1, F.raise_error(unpaired).cast("boolean")).otherwise(F.col("_inside")).alias("_inside"),
-        )
+        .withColumn("_open", F.last(own, ignorenulls=True).over(earlier))
+        .withColumn("_unpaired", odd)
+        .select(*_RANGE, "_open", F.when(F.col("_unpaired"), F.raise_error(unpaired).cast("boolean")).otherwise(F.col("_inside")).alias("_inside"))
     )
 
 
+def _without_return(text: Column) -> Column:
+    return F.when(F.endswith(text, F.lit("\r")), F.left(text, F.length(text) - 1)).otherwise(text)
+
+
 def quoted_records(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     """(_file, _start, _record, _text): the records of text files, numbered from 1 within the byte range they begin in.
 
     Blank lines between records are left out, as are carriage returns at their
-    ends.  A file whose quotes do not pair is an error.
+    ends.  A file whose quotes do not pair is an error.  Only lines of records
+    of several lines are shuffled a second time.
     """
     lines = _ranged_lines(spark, paths)
     placed = lines.join(_ranges(lines), list(_RANGE))
     outside = (F.col("_before") % 2 == 1) == F.col("_inside")
     upto = Window.partitionBy(*_RANGE).orderBy("_no")
-    begins = outside & ~F.col("_blank")
     numbered = (
         placed.where(~(outside & F.col("_blank")))
-        .withColumn("_record", F.sum(F.when(begins, 1).otherwise(0)).over(upto))
-        .withColumn("_last", F.max("_record").over(Window.partitionBy(*_RANGE)))
+        .withColumn("_begins", outside)
+        .withColumn("_record", F.sum(F.when(F.col("_begins"), 1).otherwise(0)).over(upto).cast("long"))
+    )
+    single = F.col("_begins") & (F.col("_quotes") % 2 == 0)
+    whole = numbered.where(single).select(*_RANGE, "_record", _without_return(F.col("_line")).alias("_text"))
+    # Lines before the first record of a range are the rest of an earlier range's last one.
+    rest = F.col("_record") == 0
+    parts = numbered.where(~single).select(
+        "_file",
+        F.when(rest, F.col("_open.start")).otherwise(F.col("_start")).alias("_owner"),
+        F.when(rest, F.col("_open.record")).otherwise(F.col("_record")).alias("_record"),
+        F.struct(F.col("_start").alias("start"), F.col("_no").alias("no"), F.col("_line").alias("line")).alias("_part"),
     )
-    # Record 0 of a range is the rest of one that began in an earlier range.
-    crosses = (F.col("_record") == 0) | (F.col("_ends_inside") & (F.col("_record") == F.col("_last")))
-    text = F.regexp_replace(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_place", "_no", "_line"))), lambda s: s["_line"]), "\n"), "\r$", "")
-    kept = numbered.withColumn("_place", F.col("_start"))
-    whole = kept.where(~crosses).groupBy(*_RANGE, "_record").agg(text.alias("_text"))
-    owner = F.when(F.col("_record") == 0, F.col("_owner")).otherwise(F.col("_start"))
-    cut = kept.where(crosses).withColumn("_owner", owner)
-    # The last record of the range it began in.
-    joined = cut.groupBy("_file", "_owner").agg(text.alias("_text"), F.max(F.when(F.col("_record") > 0, F.col("_record"))).alias("_record"))
-    return whole.unionByName(joined.withColumnRenamed("_owner", "_start").select(*whole.columns))
+    text = F.array_join(F.transform(F.array_sort(F.collect_list("_part")), lambda p: p["line"]), "\n")
+    joined = parts.groupBy("_file", F.col("_owner").alias("_start"), "_record").agg(text.alias("_text"))
+    return whole.unionByName(joined.withColumn("_text", _without_return(F.col("_text"))))
 
 
 def read_quoted(spark: SparkSession, paths: Sequence[str], header: Sequence[str], options: Mapping[str, object]) -> DataFrame:
