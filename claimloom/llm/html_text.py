@@ -27,8 +27,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Bounds of the training sample.
+#: Bounds of the training sample: so many pages of at most so many characters, and so many layouts.
 SAMPLE_PAGES = 60
+SAMPLE_CHARS = 200_000
 LAYOUTS = 1000
 TREES, DEPTH = 24, 4
 _ROWS = 500
@@ -54,13 +55,13 @@ _CLOSES = {
     "thead": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
     "tfoot": ({"tbody", "thead", "tfoot", "tr", "td", "th"}, {"table"}),
 }
-_TOKEN = re.compile(
-    r"""<!--(?:.*?-->|.*\Z)|<!\[CDATA\[.*?\]\]>|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""",
-    re.S,
-)
-_LOOSE = re.compile(r"<([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+#: Elements that a closing ``</p>`` does not reach through.
+_KEEP_P = ("article", "aside", "body", "div", "footer", "header", "main", "nav", "section", "td", "th")
+_NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"""[>"']""")
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|aria-label|itemprop|name|hidden|style)\s*(?:=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""", re.I)
-_SPLIT = re.compile(r"[^a-z0-9]+|(?<=[a-z])(?=[A-Z])")
+#: Longer than any character number; Python refuses to read thousands of digits.
+_LONG_NUMBER = re.compile(r"&#([0-9]{20,})")
 
 
 @dataclass(eq=False)
@@ -84,108 +85,178 @@ def _attributes(source: str) -> tuple[str, ...]:
             if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
                 out.append("hidden")
         else:
-            value = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", html.unescape(value))
+            value = re.sub(r"(?<=[a-z])(?=[A-Z])", " ", _unescape(value))
             out += [t for t in re.split(r"[^a-z0-9]+", value.lower()) if t]
     return tuple(out)
 
 
+def _unescape(text: str) -> str:
+    """Character references decoded; a number of any length that is no character gives U+FFFD."""
+    if "&" not in text:
+        return text
+    # Eight digits without leading zeros already lie beyond the last character.
+    return html.unescape(_LONG_NUMBER.sub(lambda m: "&#" + (m[1].lstrip("0")[:8] or "0"), text))
+
+
+def _tag_end(source: str, at: int, gt: int, dead: set[int]) -> int:
+    """Place of the ``>`` that ends a tag whose name ends at ``at``.
+
+    ``gt`` is the first ``>`` from there.  One inside quotes does not end a tag,
+    unless the quotes leave no end at all; then it is the first.  ``dead``
+    holds the quotes from which no end was found, so a page's quotes are
+    followed once, however many tags begin before them.
+    """
+    inside = source[at:gt]
+    if "'" not in inside and inside.count('"') % 2 == 0:
+        return gt
+    path = []
+    while (m := _STOP.search(source, at)) and m.start() not in dead:
+        if m[0] == ">":
+            return m.start()
+        path.append(m.start())
+        at = source.find(m[0], m.end()) + 1
+        if not at:
+            break
+    dead.update(path)
+    return gt
+
+
+class _Open:
+    """Open elements from the root down, with the places of each name."""
+
+    def __init__(self, root: Node):
+        self.nodes = [root]
+        self._places: dict[str, list[int]] = {}
+
+    def push(self, node: Node) -> None:
+        self.nodes[-1].children.append(node)
+        self._places.setdefault(node.tag, []).append(len(self.nodes))
+        self.nodes.append(node)
+
+    def cut(self, to: int) -> None:
+        for node in self.nodes[to:]:
+            self._places[node.tag].pop()
+        del self.nodes[to:]
+
+    def nearest(self, tags) -> int:
+        """Place of the innermost open element of these names, 0 if none is open."""
+        return max((p[-1] for t in tags if (p := self._places.get(t))), default=0)
+
+
 def parse(source: str) -> Node:
     """Elements that hold text, and text blocks, in page order.
 
     Inline elements belong to the block around them; ``<br>`` is white space.
     Character references are decoded and white space in a block becomes one space.
+    Time grows with the length of the page, whatever it holds: nothing is
+    searched for again that was not found, and open elements are kept by name.
     """
     root = Node("root")
-    stack = [root]
+    stack = _Open(root)
     inline: list[str] = []
+    opened: dict[str, int] = {}  # inline elements by name
     parts: list[str] = []
     linked = 0
     at = 0
-    end = len(source)
+    dead: set[int] = set()
+    cdata_ends = True
 
     def flush() -> None:
         nonlocal linked
         if parts:
             text = " ".join("".join(parts).split())
             if text:
-                stack[-1].children.append(Node("#text", stack[-1], text=text, linked=min(linked, len(text))))
+                above = stack.nodes[-1]
+                above.children.append(Node("#text", above, text=text, linked=min(linked, len(text))))
             parts.clear()
         linked = 0
 
     def add(raw: str) -> None:
         nonlocal linked
         if raw:
-            text = html.unescape(raw) if "&" in raw else raw
+            text = _unescape(raw)
             parts.append(text)
-            if "a" in inline:
+            if opened.get("a"):
                 linked += len(text.strip())
 
-    def close(to: int) -> None:
-        flush()
-        del stack[to:]
+    def forget_inline() -> None:
         inline.clear()
+        opened.clear()
 
-    while at < end:
-        lt = source.find("<", at)
-        if lt < 0:
-            add(source[at:])
+    def close(to: int) -> None:
+        flush()
+        stack.cut(to)
+        forget_inline()
+
+    gt = source.find(">")
+    while (lt := source.find("<", at)) >= 0:
+        if 0 <= gt < lt:
+            gt = source.find(">", lt)
+        if source.startswith("<!--", lt):
+            add(source[at:lt])
+            stop = source.find("-->", lt + 4)
+            at = stop + 3 if stop >= 0 else len(source)
+            continue
+        if gt < 0:
+            # No tag ends from here on; a comment may still begin.
+            lt = source.find("<!--", at)
+            add(source[at:lt] if lt >= 0 else source[at:])
+            at = len(source)
             break
-        m = _TOKEN.match(source, lt) or _LOOSE.match(source, lt)
+        if source[lt + 1] in "!?":
+            add(source[at:lt])
+            at = gt + 1
+            if cdata_ends and source.startswith("<![CDATA[", lt):
+                stop = source.find("]]>", lt + 9)
+                cdata_ends = stop >= 0
+                at = stop + 3 if cdata_ends else at
+            continue
+        m = _NAME.match(source, lt)
         if m is None:
             add(source[at : lt + 1])
             at = lt + 1
             continue
         add(source[at:lt])
-        at = m.end()
-        if m.re is _TOKEN:
-            closing, tag, rest = m[1], m[2], m[3]
-        else:
-            closing, tag, rest = None, m[1], m[2]
-        if closing:
-            tag = closing.lower()
+        tag = m[2].lower()
+        if m[1]:
+            at = gt + 1
             if tag in _BLOCK:
-                for i in range(len(stack) - 1, 0, -1):
-                    if stack[i].tag == tag:
-                        close(i)
+                i = stack.nearest((tag,))
+                if i and not (tag == "p" and stack.nearest(_KEEP_P) > i):
+                    close(i)
+            elif opened.get(tag):
+                while True:
+                    last = inline.pop()
+                    opened[last] -= 1
+                    if last == tag:
                         break
-                    if tag == "p" and stack[i].tag in ("article", "aside", "body", "div", "footer", "header", "main", "nav", "section", "td", "th"):
+            continue
+        stop = _tag_end(source, m.end(), gt, dead)
+        rest = source[m.end() : stop]
+        at = stop + 1
+        if tag in _RAW:
+            if not rest.rstrip().endswith("/"):
+                at = re.compile(rf"</{re.escape(tag)}\s*>|\Z", re.I).search(source, at).end()
+            parts.append(" ")
+        elif tag in _BLOCK:
+            flush()
+            forget_inline()
+            if tag in _ENDS_P and stack.nodes[-1].tag == "p":
+                close(len(stack.nodes) - 1)
+            if tag in _CLOSES:
+                own, barriers = _CLOSES[tag]
+                while (i := stack.nearest(own)) > stack.nearest(barriers):
+                    close(i)
+                    if tag not in ("tr", "tbody", "thead", "tfoot"):
                         break
-            elif tag in inline:
-                while inline.pop() != tag:
-                    pass
-        elif tag:
-            tag = tag.lower()
-            if tag in _RAW:
-                stop = re.compile(rf"</{re.escape(tag)}\s*>|\Z", re.I).search(source, at)
-                at = stop.end() if not rest.rstrip().endswith("/") else at
-                parts.append(" ")
-            elif tag in _BLOCK:
-                flush()
-                inline.clear()
-                if tag in _ENDS_P:
-                    for i in range(len(stack) - 1, 0, -1):
-                        if stack[i].tag == "p":
-                            close(i)
-                            break
-                        if stack[i].tag in _BLOCK:
-                            break
-                if tag in _CLOSES:
-                    own, barriers = _CLOSES[tag]
-                    for i in range(len(stack) - 1, 0, -1):
-                        if stack[i].tag in barriers:
-                            break
-                        if stack[i].tag in own:
-                            close(i)
-                            if tag not in ("tr", "tbody", "thead", "tfoot"):
-                                break
-                if tag not in _VOID:
-                    node = Node(tag, stack[-1], _attributes(rest))
-                    stack[-1].children.append(node)
-                    stack.append(node)
-            elif tag == "br":
-                parts.append(" ")
-            elif tag not in _VOID and not rest.rstrip().endswith("/"):
-                inline.append(tag)
+            if tag not in _VOID:
+                stack.push(Node(tag, stack.nodes[-1], _attributes(rest)))
+        elif tag == "br":
+            parts.append(" ")
+        elif tag not in _VOID and not rest.rstrip().endswith("/"):
+            inline.append(tag)
+            opened[tag] = opened.get(tag, 0) + 1
+    add(source[at:])
     flush()
     return root
 
@@ -538,10 +609,13 @@ def _walk(root: Node) -> Iterator[Node]:
 
 
 def train(pages: DataFrame, seed: int = 11, sample: int = SAMPLE_PAGES, layouts: int = LAYOUTS) -> Trees:
-    """Fit the trees on pages laid out anew from the texts of at most ``sample`` pages, the first by hash of their url."""
+    """Fit the trees on pages laid out anew from the texts of at most ``sample`` pages, the first by hash of their url.
+
+    Pages of more than ``SAMPLE_CHARS`` characters lend no texts, so the sample is bounded; the others are read whole.
+    """
     spark = pages.sparkSession
-    rows = pages.where("html IS NOT NULL").select("html", F.xxhash64("url", "page_id").alias("h"), "page_id").orderBy("h", "page_id").limit(sample).collect()
-    pool = [n.text for r in rows for n in _walk(parse(r["html"][:200_000])) if n.text and len(n.text) > 40] or ["some words that stand for the text of a page"]
+    rows = pages.where(F.length("html") <= SAMPLE_CHARS).select("html", F.xxhash64("url", "page_id").alias("h"), "page_id").orderBy("h", "page_id").limit(sample).collect()
+    pool = [n.text for r in rows for n in _walk(parse(r["html"])) if n.text and len(n.text) > 40] or ["some words that stand for the text of a page"]
     rng = random.Random(seed)
     data, labels = [], []
     for _ in range(layouts):

@@ -161,6 +161,43 @@ def test_blocks_of_a_page():
     assert tokens == [("hidden", "foo", "bar", "baz")]
 
 
+HOSTILE = {
+    "unended tags": "<a ",
+    "quotes around every end": '<a ">"',
+    "quotes of both kinds": "<a '>\"",
+    "unended sections": "<![CDATA[x>",
+    "empty raw elements": "<svg/>",
+    "open cells": "<table><tr><td>",
+    "bare signs": "< ",
+    "ends without begins": "<b></i>",
+    "numbers": "&#9999999",
+}
+
+
+@pytest.mark.parametrize("unit", HOSTILE.values(), ids=HOSTILE.keys())
+def test_time_grows_with_the_page_only(unit):
+    took = []
+    for size in (100_000, 800_000):
+        page = unit * (size // len(unit)) + ">"
+        start = time.process_time()
+        html_text.parse(page)
+        took.append(time.process_time() - start)
+    # Eight times the page; work that grew with its square would take 64 times.
+    assert took[1] < 24 * max(took[0], 0.05)
+
+
+def test_deep_elements_that_are_closed_by_name():
+    start = time.process_time()
+    html_text.parse("<div>" * 60_000 + "</section>" * 60_000 + "<b>" * 60_000 + "</i>" * 60_000)
+    html_text.parse("<p><td>" + "<ul><li>" * 60_000 + "</p>" * 60_000)
+    assert time.process_time() - start < 20
+
+
+def test_character_numbers_of_any_length():
+    blocks = [n.text for n in html_text._walk(html_text.parse("<p>&#" + "9" * 6000 + ";a<p>&#" + "0" * 6000 + "65;b<p>&#" + "0" * 30 + ";c<p title='&#" + "9" * 6000 + "'>d"))]
+    assert [b for b in blocks if b] == ["\ufffda", "Ab", "\ufffdc", "d"]
+
+
 def test_no_chosen_block_lies_below_an_element_that_is_not(spark):
     root = html_text.parse("<div class=a><p>one</p></div><div class=b><p>two</p></div>")
     nodes, _ = html_text.features(root)

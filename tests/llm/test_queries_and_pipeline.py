@@ -1,5 +1,9 @@
 import hashlib
+import html
 import random
+import re
+import zlib
+from collections import Counter
 
 import public_tokenizers as P
 import pytest
@@ -48,6 +52,62 @@ def test_tokens_of_the_documents_table(spark):
         assert got[r.doc_id] == (len(ids), *digests)
 
 
+def test_main_texts_of_the_pages_table(spark):
+    """Pages of the table hold one article each, whose blocks can be cut out by pattern."""
+    got = {r.page_id: (r.text, r.n_chars) for r in QUERIES["op2_html_text"](spark, SF).collect()}
+    pages = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "html").collect()
+    assert len(got) == len(pages)
+    for r in pages:
+        article = re.search(r"<article[^>]*>(.*?)(</article>|<aside|<div class=.comment|<footer|\Z)", r.html or "", re.S)
+        blocks = re.split(r"</?(?:h\d|p|div|ul|li|blockquote|section)\b[^>]*>", article[1]) if article else []
+        plain = [" ".join(html.unescape(re.sub(r"<[^>]*>", lambda m: " " if m[0].startswith("<br") else "", b)).split()) for b in blocks]
+        want = "\n".join(b for b in plain if b)
+        assert got[r.page_id] == (want, len(want)), r.page_id
+
+
+def test_quality_of_the_documents_table(spark):
+    rows = QUERIES["op3_quality"](spark, SF).collect()
+    docs = [r.doc_id for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()]
+    assert sorted(r.doc_id for r in rows) == sorted(docs)
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in rows)
+    label = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    good, bad = ([r.score for r in rows if r.held_out and label.get(r.doc_id) == q] for q in (1, 0))
+    assert good and bad and sum((g > b) + (g == b) / 2 for g in good for b in bad) >= 0.95 * len(good) * len(bad)
+
+
+def test_shards_of_the_documents_table(spark):
+    rows = QUERIES["op9_resharding"](spark, SF).collect()
+    texts = {r.doc_id: (r.text or "").encode() for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    assert {r.doc_id: (r.size, r.text_crc32) for r in rows} == {d: (len(t) + 1, zlib.crc32(t)) for d, t in texts.items()} and len(rows) == len(texts)
+    for shard in range(8):
+        assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
+    sizes = [sum(r.size for r in rows if r.shard == s) for s in range(8)]
+    assert max(sizes) - min(sizes) <= 2 * max(r.size for r in rows)
+    # No assignment to the same capacities leaves more bytes where they were.
+    old = [sum(r.size for r in rows if r.old_shard == s) for s in range(6)]
+    moved = sum(r.size for r in rows if r.shard != r.old_shard)
+    least = sum(max(0, o - n) for o, n in zip(old, sizes))
+    assert least <= moved <= least + 16 * max(r.size for r in rows)
+
+
+def test_classes_of_the_documents_table(spark):
+    docs = [(r.doc_id, (r.text or "").lower().split()) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
+    got = {r.doc_id: r for r in QUERIES["op10_order_minhash"](spark, SF).collect()}
+    assert len(got) == len(docs)
+    pairs = 0
+    for a, x in docs:
+        assert got[a].n_copies == sum(x == y for _, y in docs)
+        for b, y in docs:
+            longer = max(len(x), len(y))
+            if a < b and abs(len(x) - len(y)) <= 0.2 * longer and (Counter(x) & Counter(y)).total() >= 0.8 * longer - 1e-9:
+                if plain_distance(x, y) <= 0.2 * longer + 1e-9:
+                    pairs += 1
+                    assert got[a].class_id == got[b].class_id
+    classes = {r.class_id for r in got.values()}
+    assert pairs >= len(docs) - len(classes) > 0 and all(got[c].class_id == c for c in classes)
+
+
 def test_every_stage_against_brute_force(spark, tmp_path):
     rng = random.Random(21)
     passage = prose(rng, 60)
