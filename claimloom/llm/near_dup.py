@@ -16,7 +16,8 @@ two texts of a bucket that are not in one class yet meet inside the tasks of
 that bucket.  A task looks pairs up by their rarest words and keeps its own
 classes, so it aligns only pairs that may be similar and would join two
 classes, and returns only links that do.  No pair leaves a task unless it links.
-Links are joined to classes by alternating star contraction.
+Links to pivots form trees, whose roots are found by pointer doubling; further
+links join classes by alternating star contraction.
 """
 
 from __future__ import annotations
@@ -454,6 +455,25 @@ def _salted(left: DataFrame, right: DataFrame, on: str, n: str, other: str) -> D
     return left.withColumn("_salt", salt).join(repeated, [on, "_salt"]).drop("_salt")
 
 
+def tree_roots(links: DataFrame, ws: Workspace) -> DataFrame:
+    """(id, root) of every linked id, where each ``a`` has one link only and links never lead back to it.
+
+    A text links to a pivot of lower hash than its own, so such links form
+    trees.  Every text moves on to where its target points, which halves the way
+    left, until none moves; each round is one join and a written table.
+    """
+    up = links.select(F.col("a").alias("id"), F.col("b").alias("root"))
+    while True:
+        above = up.select(F.col("id").alias("root"), F.col("root").alias("_next"))
+        moved = skew_join(up, above, ["root"], "left").select(
+            "id", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("moved")
+        )
+        moved = ws.keep(moved, "pointers")
+        up = moved.select("id", "root")
+        if moved.where("moved").isEmpty():
+            return up.unionByName(up.select(F.col("root").alias("id"), "root").distinct())
+
+
 def components(links: DataFrame, ws: Workspace) -> DataFrame:
     """(id, root) of every linked id: root is the lowest id of its component.
 
@@ -504,7 +524,7 @@ def classes_of_rows(numbered: DataFrame, ws: Workspace, least: float = SIMILAR)
     )
     members = ws.keep(_members(texts), "members")
     links = ws.keep(_to_pivots(numbered, ws.keep(_pivoted(members), "pivots"), ws, least), "links")
-    roots = components(links, ws)
+    roots = ws.keep(tree_roots(links, ws), "roots")
     open_ = ws.keep(_unsettled(members, roots, texts.select("id", "n_words")), "unsettled")
     more = ws.keep(_in_buckets(numbered, open_, ws, least), "links")
     # Rows that repeat an id are versions of one document.

@@ -313,6 +313,14 @@ def test_short_texts_meet(spark, ws):
     assert [r.class_id for r in classes.orderBy("doc_id").collect()] == [i - i % 2 for i in range(16)] + [16, 17]
 
 
+def test_roots_of_deep_wide_and_no_trees(spark, ws, shuffled):
+    links = [(i, i - 1) for i in range(1, 40)] + [(100 + i, 100) for i in range(1, 60)] + [(200, 150), (100, 90)]
+    got = sorted(tuple(r) for r in near_dup.tree_roots(spark.createDataFrame(links, "a long, b long"), ws).select("id", "root").collect())
+    want = [(i, 0) for i in range(40)] + [(90, 90)] + [(100 + i, 90) for i in range(60) if i != 0] + [(100, 90), (200, 90)]
+    assert got == sorted(want)
+    assert near_dup.tree_roots(spark.createDataFrame([], "a long, b long"), ws).collect() == []
+
+
 def test_components_of_chains_stars_and_circles(spark, ws):
     links = [(i, i + 1) for i in range(0, 40)] + [(100, x) for x in range(101, 160)] + [(200, 201), (201, 202), (202, 200), (202, 202)]
     got = {r.id: r.root for r in near_dup.components(spark.createDataFrame(links, "a long, b long"), ws).collect()}
