@@ -161,3 +161,39 @@ def test_a_hot_person_is_split_by_bins(spark, shuffled):
     joined = intervals.interval_join(left, right, ["person"], ("a", "b"), ("c", "d"), 16)
     plain = left.join(right, "person").where("a <= d AND c <= b")
     assert joined.count() == plain.count() and sorted(joined.columns) == sorted(plain.columns)
+
+
+@pytest.mark.parametrize("path", ["small", "shuffled"])
+def test_totals_of_joined_intervals_equal_those_of_all_pairs(spark, path, request):
+    if path == "shuffled":
+        request.getfixturevalue("shuffled")
+    rng = random.Random(3)
+    when = lambda: dt.date(2009, 1, 1) + dt.timedelta(rng.randint(0, 60)) if rng.random() < 0.95 else None
+    left = [(rng.choice(["p", "p", "q", None]), i // 2, when(), when()) for i in range(120)]
+    right = [(rng.choice(["p", "q", "r", None]), rng.choice([None, 1, 2, 50]), when(), when()) for _ in range(60)]
+    a = spark.createDataFrame(left + left[:9], "person string, i int, a date, b date")
+    b = spark.createDataFrame(right + right[:9], "person string, j int, c date, d date")
+    totals = {"n": ("count", None), "first": ("min", "c"), "total": ("sum", "j")}
+    got = intervals.interval_join(a, b, ["person"], ("a", "b"), ("c", "d"), totals=totals)
+    want = []
+    for p, i, lo, hi in left + left[:9]:
+        own = [r for r in right + right[:9] if p is not None and r[0] == p and None not in (lo, hi, r[2], r[3]) and lo <= hi and r[2] <= r[3] and lo <= r[3] and r[2] <= hi]
+        if own:
+            known = [r[1] for r in own if r[1] is not None]
+            want.append((p, i, lo, hi, len(own), min(r[2] for r in own), sum(known) if known else None))
+    assert rows_of(got) == sorted(want, key=repr)
+    for wrong in (("min", "d"), ("sum", "c")):
+        with pytest.raises(ValueError, match="without pairs: x"):
+            intervals.interval_join(a, b, ["person"], ("a", "b"), ("c", "d"), totals={"x": wrong})
+
+
+def test_a_hot_person_of_ten_billion_pairs_is_totalled(spark, tmp_path):
+    from claimloom.catalog.queries import QUERIES
+
+    orders = spark.range(100_000).selectExpr(
+        "id * 120 as o_orderkey", "id * 3 as o_custkey", "'1-URGENT' as o_orderpriority", "timestamp'1998-01-01' as o_orderdate"
+    )
+    orders.write.parquet(f"{tmp_path}/orders.parquet")
+    found = QUERIES["interval_join_hot"](spark, str(tmp_path))
+    seen = found.groupBy("person", "n_pairs", "first", "graces").count().collect()
+    assert [tuple(r) for r in seen] == [(0, 100_000, dt.date(1998, 1, 1), 0, 100_000)]
