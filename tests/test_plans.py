@@ -1,4 +1,5 @@
 import datetime as dt
+import os
 
 import pytest
 from conftest import rows_of
@@ -223,3 +224,6 @@ def test_driver_lines_are_joined_and_written_once(spark, ws, tmp_path):
     assert [df.count() for df in frames] == [2, 2, 2, 2]
     assert all("Join" not in df._jdf.queryExecution().optimizedPlan().toString() for df in frames)
     assert len({f.rsplit("/", 2)[0] for df in frames for f in df.inputFiles()}) == 1
+    before = sorted(f for _, _, names in os.walk(ws.path) for f in names)
+    assert d.pde().count() == 2
+    assert before == sorted(f for _, _, names in os.walk(ws.path) for f in names)
