@@ -1,5 +1,4 @@
 import datetime as dt
-import os
 
 import pytest
 from conftest import rows_of
@@ -208,22 +207,19 @@ def test_workspace_uses_the_shared_folder_and_cleans_up(spark):
     assert not os.path.exists(path)
 
 
-def test_driver_lines_are_joined_and_written_once(spark, ws, tmp_path):
-    from concurrent.futures import ThreadPoolExecutor
-
-    spark.createDataFrame(
-        [(1, 3, dt.datetime(1998, 1, 1), "1-URGENT"), (2, 4, None, None)], "o_orderkey long, o_custkey long, o_orderdate timestamp, o_orderpriority string"
-    ).write.parquet(f"{tmp_path}/orders.parquet")
-    spark.createDataFrame(
-        [(1, 7, 8, 1, 2.0, None), (1, 7, 8, 1, 2.0, None), (None, 1, 1, 1, 1.0, None), (9, 1, 1, 1, 1.0, None)],
-        "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_shipdate timestamp",
-    ).write.parquet(f"{tmp_path}/lineitem.parquet")
-    d = Driver(spark, str(tmp_path), ws)
-    with ThreadPoolExecutor(4) as pool:
-        frames = [f.result() for f in [pool.submit(d.source, name) for name in ("diagnosis", "procedure", "dispensing", "diagnosis")]]
-    assert [df.count() for df in frames] == [2, 2, 2, 2]
-    assert all("Join" not in df._jdf.queryExecution().optimizedPlan().toString() for df in frames)
-    assert len({f.rsplit("/", 2)[0] for df in frames for f in df.inputFiles()}) == 1
-    before = sorted(f for _, _, names in os.walk(ws.path) for f in names)
-    assert d.pde().count() == 2
-    assert before == sorted(f for _, _, names in os.walk(ws.path) for f in names)
+def test_numbered_sources_are_written_in_one_pass(spark, ws, tmp_path):
+    from claimloom.catalog.queries import _write_numbered
+    from claimloom.sources.readers import read_subsamples
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [(1, "a", 1), (1, "a", 1), (2, None, 3), (3, "x", 4), (4, "y", None)]
+    df = spark.createDataFrame(rows, "PatID long, Race string, samplenum int")
+    _write_numbered(df.mapInArrow(counted, df.schema), "demographic", str(tmp_path))
+    assert seen.value == len(rows)
+    assert rows_of(read_subsamples(spark, str(tmp_path), "demographic", [1, 2, 3])) == sorted(rows[:3], key=repr)
