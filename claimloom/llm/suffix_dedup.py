@@ -25,6 +25,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,8 +37,9 @@ K = 40
 #: Anchors of one k-gram that one task sorts together.
 MAX_GROUP = 10_000
 SALTS = 64
-_SLICE = 1 << 20
-_SORTED_TOGETHER = 10_000
+# A worker holds some hundred bytes for each byte of a slice, so slices are small.
+_SLICE = 1 << 18
+_SORTED_TOGETHER = 5_000
 _U = np.uint64
 
 
@@ -57,8 +59,9 @@ class Rolling:
         self._powers = self._inverse = np.ones(1, _U)
 
     def _grow(self, n: int) -> None:
-        if len(self._powers) <= n:
-            size = max(n + 1, _SLICE * 2)
+        size = max(1 << n.bit_length(), _SLICE * 2)
+        # A worker lives on after its task; it does not keep what one long text needed.
+        if len(self._powers) <= n or len(self._powers) > 4 * size:
             steps = np.full(size, self.base, _U)
             steps[0] = 1
             self._powers = np.cumprod(steps, dtype=_U)
@@ -68,7 +71,9 @@ class Rolling:
     def prefix(self, data: np.ndarray) -> np.ndarray:
         self._grow(len(data))
         out = np.zeros(len(data) + 1, _U)
-        np.cumsum(self.codes[data] * self._powers[: len(data)], out=out[1:])
+        np.take(self.codes, data, out=out[1:])
+        out[1:] *= self._powers[: len(data)]
+        np.cumsum(out[1:], out=out[1:])
         return out
 
     def of(self, prefix: np.ndarray, start: np.ndarray, length) -> np.ndarray:
@@ -130,7 +135,7 @@ def _offsets(place, size, length: int, k: int):
 
 
 def _slices(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    sizes = np.array([len(x) for x in batch.column(column).to_pylist()], np.int64)
+    sizes = pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(np.int64)
     group = np.cumsum(sizes) // _SLICE
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(group)) + 1, [batch.num_rows])).tolist()
     for a, b in zip(cuts, cuts[1:]):
@@ -298,7 +303,8 @@ def _checked(order, group, data, at, size, hashes: Rolling) -> tuple[np.ndarray,
     common = np.full(len(order), -1, np.int64)
     near = np.flatnonzero(group[order[1:]] == group[order[:-1]]) + 1
     good = True
-    for part in np.array_split(near, max(1, len(near) // 4_000)):
+    prefix = hashes.prefix(data)
+    for part in np.array_split(near, max(1, len(near) // 2_000)):
         a, b = order[part - 1], order[part]
         limit = np.minimum(size[a], size[b])
         span = np.arange(int(limit.max(initial=0)))
@@ -309,7 +315,7 @@ def _checked(order, group, data, at, size, hashes: Rolling) -> tuple[np.ndarray,
         x = data[np.where(counted < size[a], at[a] + counted, 0)]
         y = data[np.where(counted < size[b], at[b] + counted, 0)]
         ordered = np.where(counted == size[a], True, (counted < size[b]) & (x < y))
-        hashed = _common(hashes.prefix(data), hashes, at, size, a, b)
+        hashed = _common(prefix, hashes, at, size, a, b)
         good &= bool((ordered | ((counted == size[a]) & (counted == size[b]))).all() and (hashed == counted).all())
     return common, good
 

@@ -1,7 +1,10 @@
 import hashlib
 import random
+import tracemalloc
 
+import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 import tiktoken
 
@@ -73,6 +76,36 @@ def test_texts_under_one_id_or_none_stay_apart(spark, ws):
     assert not [t for t in spark.catalog.listTables() if not t.isTemporary]
 
 
+def test_workers_hold_little_while_they_look_for_anchors_and_less_after(spark):
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(97, 123, 2_000).astype(np.uint8).tobytes() for _ in range(2_000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    suffix_dedup.rolling.cache_clear()
+    tracemalloc.start()
+    for part in suffix_dedup._slices(batch, 0):
+        suffix_dedup.find_anchors(*suffix_dedup._joined(part.column(0)), 200, 40)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 48 << 20
+    hashes = suffix_dedup.Rolling(1)
+    long, short = rng.integers(0, 256, 6_000_000), rng.integers(0, 256, 1_000)
+    before = hashes.prefix(short)
+    hashes.prefix(long)
+    assert (hashes.prefix(short) == before).all()
+    assert hashes._powers.nbytes + hashes._inverse.nbytes < 16 << 20
+
+
+def test_open_runs_leave_no_entry_in_the_catalog(spark, tmp_path):
+    from claimloom.workspace import Workspace
+
+    run = Workspace(spark, str(tmp_path))
+    table = run.keep_bucketed(spark.range(100), "ids", 4, ["id"])
+    assert not [t for t in spark.catalog.listTables() if not t.isTemporary]
+    joined = table.hint("merge").join(run.keep_bucketed(spark.range(50, 150), "ids", 4, ["id"]), "id")
+    assert joined.count() == 50 and "Exchange" not in joined._jdf.queryExecution().sparkPlan().toString()
+    run.close()
+
+
 def test_characters_that_lose_bytes_go_whole_and_others_stay(spark, tmp_path):
     import corpus_pipeline
 
