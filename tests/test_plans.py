@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from conftest import rows_of
 
-from claimloom.catalog.fixtures import Driver
+from claimloom.catalog.fixtures import DX_CODE, PX_CODE, Driver
 from claimloom.catalog.queries import QUERIES, content
 from claimloom.plans import claims, combine, stats, translate
 from claimloom.schema import SOURCED_TABLES, TABLES
@@ -223,3 +223,45 @@ def test_numbered_sources_are_written_in_one_pass(spark, ws, tmp_path):
     _write_numbered(df.mapInArrow(counted, df.schema), "demographic", str(tmp_path))
     assert seen.value == len(rows)
     assert rows_of(read_subsamples(spark, str(tmp_path), "demographic", [1, 2, 3])) == sorted(rows[:3], key=repr)
+
+
+def test_raw_claims_are_maxima_of_codes_and_lines_are_not_sorted_for_them(spark, ws, tmp_path):
+    lines = [(o, (o * 7919 + n * 31 + v * 97) % 20_000, (o * 13 + n + v) % 60, n) for o in range(300) for n in range(1, 9) for v in range(1 + o % 3)]
+    lines += [(5, None, 3, 1), (6, 8, None, 2), (None, 1, 1, 1), (7, 1, 1, None), (8, 97, 4, 1), (8, 89, 4, 1), (8, 53, 4, 1)]
+    orders = [(o, o * 3, f"{o % 5 + 1}-X") for o in [*range(301), 4]] + [(None, 1, None)]
+    line_schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int"
+    spark.createDataFrame(lines, line_schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderpriority string").write.parquet(f"{tmp_path}/orders.parquet")
+    driver, plans = Driver(spark, str(tmp_path), ws), []
+    keep = ws.keep
+    ws.keep = lambda df, name: plans.append(df._jdf.queryExecution().sparkPlan().toString()) or keep(df, name)
+    got = driver.claims
+    ws.keep = keep
+    columns = [f"{k}_{n}" for k in ("dx", "px") for n in range(1, 8)]
+    maxima = [
+        f"max(case when l_linenumber = {n} then {code} end) as {k}_{n}" for k, code in (("dx", DX_CODE), ("px", PX_CODE)) for n in range(1, 8)
+    ]
+    driver.table("lineitem").createOrReplaceTempView("raw_lines")
+    driver.table("orders").createOrReplaceTempView("raw_orders")
+    want = spark.sql(
+        f"select o_orderkey as k, {', '.join(columns)} from raw_orders left join "
+        f"(select l_orderkey, {', '.join(maxima)} from raw_lines group by l_orderkey) on o_orderkey = l_orderkey"
+    )
+    assert rows_of(got.select("k", *columns)) == rows_of(want)
+    assert dict(got.dtypes)["dx_1"] == "string"
+    assert "SortAggregate" not in plans[0]
+
+
+def test_lines_and_headers_are_sorted_by_claim_id_first(spark):
+    keys = "samplenum int, feed string, PatID string, EncounterID string"
+    lines = spark.createDataFrame([(1, "OP", "P1", "C1", "A1"), (2, "OP", "P1", "C1", "A2"), (1, "OP", "P1", None, "A3")], f"{keys}, code string")
+    headers = spark.createDataFrame([(1, "OP", "P1", "C1", "AV"), (2, "IP", "P1", "C1", "IP")], f"{keys}, EncType string")
+    joined = claims.attach_header(lines, headers, ("EncType",), small_bytes=-1)
+    assert joined.columns == ["samplenum", "feed", "EncounterID", "PatID", "code", "EncType"]
+    assert rows_of(joined) == [(1, "OP", "C1", "P1", "A1", "AV")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = claims.attach_header(lines, headers, ("EncType",), small_bytes=-1)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin [EncounterID#" in plan
