@@ -265,3 +265,17 @@ def test_lines_and_headers_are_sorted_by_claim_id_first(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin [EncounterID#" in plan
+
+
+def test_only_claims_on_a_list_are_written_as_flags_and_classify_all(spark, ws, driver):
+    feeds = {k.upper(): v for k, v in driver.claim_feeds().items()}
+    kept, keep = {}, ws.keep
+    ws.keep = lambda df, name: kept.setdefault(name, keep(df, name))
+    done = claims.process_claims(feeds, driver.master(), driver.code_lists(), ws)
+    ws.keep = keep
+    every = claims.flag_claims(done.lines)
+    assert 0 < kept["claim-flags"].count() < every.count()
+    assert kept["claim-flags"].where("not (ind_ed or ind_home or ind_is)").isEmpty()
+    visits = claims.classify_op(feeds["OP"], every).unionByName(claims.classify_car(feeds["CAR"], every))
+    assert rows_of(kept["visits"]) == rows_of(visits)
+    assert {r[0] for r in visits.select("EncType").distinct().collect()} >= {"OA", "AV"}
