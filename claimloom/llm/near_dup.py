@@ -12,8 +12,9 @@ kind.  Candidates are aligned word by word in a band that widens as needed;
 
 Documents of equal words are one text and take part once.  First every text is
 aligned with one other, the pivot that it meets in most buckets.  Then every
-two texts of a bucket that are not in one class yet meet inside the tasks of
-that bucket.  A task looks pairs up by their rarest words and keeps its own
+two texts of a bucket that are not in one class yet meet inside a task.  Buckets
+of one pivot have mostly the same texts and are one group, which a text joins
+once.  A task looks pairs up by their rarest words and keeps its own
 classes, so it aligns only pairs that may be similar and would join two
 classes, and returns only links that do.  No pair leaves a task unless it links.
 Links to pivots form trees, whose roots are found by pointer doubling; further
@@ -24,6 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -50,12 +52,14 @@ def tables_for(words: int, least: float = SIMILAR, recall: float = RECALL) -> in
 
 #: What the longest k-mers need; the shorter ones need no more for long texts, but as many for texts of few k-mers.
 TABLES = tables_for(KINDS[-1][0])
-#: Texts and words of a bucket's block; a task compares two blocks at a time.
+#: Texts and words of a group's block; a task holds two blocks, so a group of no more is not cut.
 BLOCK, BLOCK_WORDS = 2_000, 500_000
 #: Texts that a task aligns with one pivot.
 PIVOTED = 500
 _ROWS = 250
 _HASHED = 50
+#: Words of other texts that are looked up together.
+_MARKED = 1 << 18
 _U = np.uint64
 _LARGEST = _U(0xFFFFFFFFFFFFFFFF)
 
@@ -210,35 +214,72 @@ class Texts:
         self.ends = np.cumsum(self.sizes)
         self.doc, self.words = np.repeat(np.arange(len(texts)), self.sizes), np.concatenate(found)
         self.labelled = _mix(self.words ^ _mix(_occurrences(self.doc, self.words).astype(_U) + _U(1)))
-        self._pairs: dict[int, np.ndarray] = {}
+        self._longest = int(self.sizes.max(initial=0))
 
     def part(self, i: int) -> slice:
         return slice(self.ends[i] - self.sizes[i], self.ends[i])
 
-    def pairs(self, i: int) -> np.ndarray:
-        """Pairs of neighbouring words of a text, labelled with their occurrence."""
-        if i not in self._pairs:
-            w = self.words[self.part(i)]
-            gram = _mix(w[:-1] ^ _mix(w[1:]))
-            self._pairs[i] = _mix(gram ^ _mix(_occurrences(np.zeros(len(gram), np.int64), gram).astype(_U) + _U(1)))
-        return self._pairs[i]
-
-    def similar(self, i: int, j: int, least: float) -> bool:
-        """Whether two texts are similar; equal words and pairs are counted before they are aligned.
+    @cached_property
+    def numbers(self) -> np.ndarray:
+        """Words as small numbers."""
+        return np.unique(self.words, return_inverse=True)[1].astype(np.int32)
+
+    @cached_property
+    def places(self) -> tuple[np.ndarray, np.ndarray]:
+        """Labelled words as small numbers, and how many texts have each."""
+        _, at, df = np.unique(self.labelled, return_inverse=True, return_counts=True)
+        return at.astype(np.int32), df
+
+    @cached_property
+    def pairs(self) -> np.ndarray:
+        """Small numbers of the pairs of neighbouring words, labelled with their occurrence; a text's last word begins none: -1."""
+        inner = np.flatnonzero(self.doc[1:] == self.doc[:-1])
+        gram = _mix(self.words[inner] ^ _mix(self.words[inner + 1]))
+        label = _mix(gram ^ _mix(_occurrences(self.doc[inner], gram).astype(_U) + _U(1)))
+        out = np.full(len(self.words), -1, np.int32)
+        out[inner] = np.unique(label, return_inverse=True)[1]
+        return out
+
+    def _shared(self, of: np.ndarray, i: int, others: np.ndarray) -> np.ndarray:
+        """How many of a text's numbers each of the others has too."""
+        own = of[self.part(i)]
+        # The last place stands for -1, which is shared with none.
+        mark = np.zeros(int(of.max(initial=0)) + 2, bool)
+        mark[own[own >= 0]] = True
+        out = np.zeros(len(others), np.int64)
+        step = max(1, _MARKED // max(self._longest, 1))
+        for a in range(0, len(others), step):
+            some = others[a : a + step]
+            sizes = self.sizes[some]
+            before = np.cumsum(sizes) - sizes
+            at = np.arange(int(sizes.sum())) + np.repeat(self.ends[some] - sizes - before, sizes)
+            sums = np.concatenate(([0], np.cumsum(mark[of[at]])))
+            out[a : a + step] = sums[before + sizes] - sums[before]
+        return out
+
+    def may_be_similar(self, i: int, others: np.ndarray, least: float) -> np.ndarray:
+        """Those of the others that may be similar to a text, by their lengths and equal words and pairs.
 
         An edit takes one word and two pairs of the longer text at most.
         """
-        longer = int(max(self.sizes[i], self.sizes[j]))
-        most = int(most_edits(np.array(longer), least))
-        if abs(int(self.sizes[i] - self.sizes[j])) > most:
-            return False
-        a, b = self.part(i), self.part(j)
-        if len(np.intersect1d(self.labelled[a], self.labelled[b], assume_unique=True)) < longer - most:
-            return False
-        if len(np.intersect1d(self.pairs(i), self.pairs(j), assume_unique=True)) < longer - 1 - 2 * most:
-            return False
-        _, number = np.unique(np.concatenate((self.words[a], self.words[b])), return_inverse=True)
-        return within(number[: self.sizes[i]].tolist(), number[self.sizes[i] :].tolist(), most)
+        others = np.asarray(others, np.int64)
+        for of, pairs in ((None, 0), ("places", 0), ("pairs", 1)):
+            longer = np.maximum(self.sizes[others], self.sizes[i])
+            most = most_edits(longer, least)
+            if of is None:
+                others = others[np.abs(self.sizes[others] - self.sizes[i]) <= most]
+            elif len(others):
+                numbers = self.pairs if pairs else self.places[0]
+                others = others[self._shared(numbers, i, others) >= longer - pairs - (1 + pairs) * most]
+        return others
+
+    def aligned(self, i: int, j: int, least: float) -> bool:
+        most = int(most_edits(np.array(max(self.sizes[i], self.sizes[j])), least))
+        return within(self.numbers[self.part(i)].tolist(), self.numbers[self.part(j)].tolist(), most)
+
+    def similar(self, i: int, j: int, least: float) -> bool:
+        """Whether two texts are similar; equal words and pairs are counted before they are aligned."""
+        return len(self.may_be_similar(i, np.array([j]), least)) > 0 and self.aligned(i, j, least)
 
 
 def _to_pivots(numbered: DataFrame, pairs: DataFrame, ws: Workspace, least: float) -> DataFrame:
@@ -251,7 +292,8 @@ def _to_pivots(numbered: DataFrame, pairs: DataFrame, ws: Workspace, least: floa
             texts = group.column(4).to_pylist()
             for at in range(1, len(ids), 64):
                 some = Texts([texts[0], *texts[at : at + 64]])
-                linked = [at + i - 1 for i in range(1, len(some.sizes)) if some.similar(i, 0, least)]
+                near = some.may_be_similar(0, np.arange(1, len(some.sizes)), least).tolist()
+                linked = [at + i - 1 for i in near if some.aligned(i, 0, least)]
                 if linked:
                     yield pa.RecordBatch.from_arrays([pa.array(ids[linked]), pa.array(np.full(len(linked), ids[0]))], names=["a", "b"])
 
@@ -268,9 +310,13 @@ def _to_pivots(numbered: DataFrame, pairs: DataFrame, ws: Workspace, least: floa
     return dealt.mapInArrow(run, "a long, b long")
 
 
-def joining_links(texts: Texts, root: np.ndarray, block: np.ndarray | None, least: float) -> list[tuple[int, int]]:
+def joining_links(
+    texts: Texts, root: np.ndarray, block: np.ndarray | None, least: float, buckets: list[list[int]] | None = None
+) -> list[tuple[int, int]]:
     """Links (i, j) of similar texts that join two classes, which ``root`` names; with ``block``, of different blocks only.
 
+    With ``buckets``, which each text has, only texts that share one meet.
+
     Similar texts share all words but as many as may be edited.  With the words
     of both in one order, they so share one among their first ``most_edits + 1``.
     The rarest words here come first, so a passage that many texts share brings
@@ -278,7 +324,7 @@ def joining_links(texts: Texts, root: np.ndarray, block: np.ndarray | None, leas
     """
     n = len(texts.sizes)
     most = most_edits(texts.sizes, least)
-    _, at, df = np.unique(texts.labelled, return_inverse=True, return_counts=True)
+    at, df = texts.places
     order = np.lexsort((at, df[at], texts.doc))
     place = np.arange(len(order)) - np.repeat(texts.ends - texts.sizes, texts.sizes)
     front = order[(place <= most[texts.doc]) & (df[at[order]] > 1)]
@@ -288,6 +334,7 @@ def joining_links(texts: Texts, root: np.ndarray, block: np.ndarray | None, leas
     stop = np.searchsorted(word, np.arange(len(df)), "right")
     cuts = np.searchsorted(texts.doc[front], np.arange(n + 1))
     classes = root.copy()
+    own = [frozenset(b) for b in buckets] if buckets is not None else None
     # Texts whose words most others have come first: what is near to a common original joins it at once.
     common = np.bincount(texts.doc, weights=df[at], minlength=n) / np.maximum(texts.sizes, 1)
     turn = np.empty(n, np.int64)
@@ -303,37 +350,70 @@ def joining_links(texts: Texts, root: np.ndarray, block: np.ndarray | None, leas
         if block is not None:
             shared[block == block[i]] = 0
         others = np.flatnonzero(shared)
-        longer = np.maximum(texts.sizes[others], texts.sizes[i])
-        others = others[np.abs(texts.sizes[others] - texts.sizes[i]) <= most_edits(longer, least)]
+        if own is not None:
+            others = np.array([j for j in others.tolist() if not own[i].isdisjoint(own[j])], np.int64)
+        others = texts.may_be_similar(i, others, least)
         for j in others[np.argsort(turn[others])].tolist():
-            if classes[j] != classes[i] and texts.similar(i, j, least):
+            if classes[j] != classes[i] and texts.aligned(i, j, least):
                 out.append((i, j))
                 classes[classes == classes[j]] = classes[i]
     return out
 
 
+def _blocks(texts, words):
+    """Blocks of a group or bucket of so many texts and words: one if a task holds it whole."""
+    cut = F.ceil(F.greatest(F.col(texts) / BLOCK, F.col(words) / BLOCK_WORDS)).cast("int")
+    return F.when(cut <= 2, 1).otherwise(cut)
+
+
+def _grouped(open_: DataFrame, ws: Workspace) -> DataFrame:
+    """(pivot, key, id, root, keys, blocks): texts by the groups in which they meet, from the rows of ``_unsettled``.
+
+    Buckets of one pivot have many texts in common, so they are one group, with
+    key 0, in which a text has one row and lists its buckets.  Where that
+    would take more rows, because they have few in common and the group must
+    be cut into more blocks, each bucket is a group.
+    """
+    own = open_.groupBy("pivot", "id").agg(F.first("root").alias("root"), F.first("n_words").alias("n_words"), F.collect_list("key").alias("keys"))
+    own = ws.keep(own, "of-pivots")
+    groups = own.groupBy("pivot").agg(F.count(F.lit(1)).alias("n_group"), F.sum("n_words").alias("words")).withColumn("blocks", _blocks("n_group", "words"))
+    buckets = open_.groupBy("pivot", "key").agg(F.first("n").alias("n"), F.first("words").alias("words"))
+    buckets = buckets.withColumn("cost", F.col("n") * _blocks("n", "words")).groupBy("pivot").agg(F.sum("cost").alias("cost"))
+    groups = groups.join(buckets, "pivot").withColumn("whole", F.col("n_group") * F.col("blocks") <= F.col("cost"))
+    groups = ws.keep(groups.select("pivot", "n_group", "blocks", "whole"), "groups")
+    whole = _salted(own, groups.where("whole"), "pivot", "n_group", "id")
+    whole = whole.select("pivot", F.lit(0).cast("long").alias("key"), "id", "root", "keys", "blocks")
+    apart = groups.where("not whole").select("pivot")
+    if apart.isEmpty():
+        return whole
+    rest = skew_join(open_, apart, ["pivot"], "left_semi")
+    return whole.unionByName(rest.select("pivot", "key", "id", "root", F.array("key").alias("keys"), _blocks("n", "words").alias("blocks")))
+
+
 def _in_buckets(numbered: DataFrame, open_: DataFrame, ws: Workspace, least: float) -> DataFrame:
-    """Links (a, b) that join classes, among texts of one bucket and different roots: rows (key, n, words, id, root).
+    """Links (a, b) that join classes, among texts of one bucket and different roots: rows (key, pivot, n, words, id, root, n_words).
 
-    A large bucket is cut into blocks; a task gets two of them at a time.
+    A group that one task cannot hold is cut into blocks; a task gets two of them at a time.
     """
 
     def run(batches):
-        for group in _groups(batches, 3):
-            x, y, block, ids, root = (group.column(i).to_numpy() for i in range(1, 6))
-            found = joining_links(Texts(group.column(6).to_pylist()), root, block if x[0] != y[0] else None, least)
+        for group in _groups(batches, 4):
+            x, y, block, ids, root = (group.column(i).to_numpy() for i in range(2, 7))
+            texts = Texts(group.column(8).to_pylist())
+            found = joining_links(texts, root, block if x[0] != y[0] else None, least, group.column(7).to_pylist())
             if found:
                 i, j = np.array(found).T
                 yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(ids[j])], names=["a", "b"])
 
-    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("words") / BLOCK_WORDS)).cast("int")
-    placed = open_.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    placed = _grouped(open_, ws).withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
     dealt = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select("key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "root")
-    rows = skew_join(numbered.select(F.col("row").alias("id"), "text"), ws.keep(dealt, "dealt"), ["id"])
-    rows = rows.select("key", "x", "y", "block", "id", "root", "text")
-    parts = max(int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions")), open_.count() // BLOCK)
-    return rows.repartition(parts, "key", "x", "y").sortWithinPartitions("key", "x", "y").mapInArrow(run, "a long, b long")
+    dealt = dealt.select("pivot", "key", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "id", "root", "keys")
+    dealt = ws.keep(dealt, "dealt")
+    rows = skew_join(numbered.select(F.col("row").alias("id"), "text"), dealt, ["id"])
+    rows = rows.select("pivot", "key", "x", "y", "block", "id", "root", "keys", "text")
+    parts = max(int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions")), dealt.count() // BLOCK)
+    by = ("pivot", "key", "x", "y")
+    return rows.repartition(parts, *by).sortWithinPartitions(*by).mapInArrow(run, "a long, b long")
 
 
 # Alignment
@@ -500,14 +580,14 @@ def components(links: DataFrame, ws: Workspace) -> DataFrame:
 
 
 def _unsettled(members: DataFrame, roots: DataFrame, sizes: DataFrame) -> DataFrame:
-    """(key, n, words, id, root) of the buckets whose members are not all in one class, each set of members once."""
-    rooted = members.join(roots, "id", "left").join(sizes, "id").select("key", "id", F.coalesce("root", "id").alias("root"), "n_words")
+    """(key, pivot, n, words, id, root, n_words) of the buckets whose members are not all in one class, each set of members once."""
+    rooted = members.join(roots, "id", "left").join(sizes, "id").select("key", "pivot", "id", F.coalesce("root", "id").alias("root"), "n_words")
     sums = [F.sum(F.xxhash64("id", F.lit(i)).cast("decimal(38,0)")).alias(f"s{i}") for i in (1, 2)]
     buckets = rooted.groupBy("key").agg(
         F.count(F.lit(1)).alias("n"), F.sum("n_words").alias("words"), F.min("root").alias("low"), F.max("root").alias("high"), *sums
     )
     once = buckets.where("low < high").groupBy("n", "s1", "s2").agg(F.min("key").alias("key"), F.first("words").alias("words"))
-    return _salted(rooted, once.select("key", "n", "words"), "key", "n", "id").select("key", "n", "words", "id", "root")
+    return _salted(rooted, once.select("key", "n", "words"), "key", "n", "id").select("key", "pivot", "n", "words", "id", "root", "n_words")
 
 
 def classes_of_rows(numbered: DataFrame, ws: Workspace, least: float = SIMILAR) -> tuple[DataFrame, DataFrame]:

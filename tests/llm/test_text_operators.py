@@ -324,6 +324,24 @@ def test_every_pair_of_a_bucket_is_settled(spark, ws, monkeypatch, block):
     assert want[:91].count(want[50]) >= 75
 
 
+def test_a_text_joins_a_group_once_and_meets_in_shared_buckets_only(spark, ws, monkeypatch):
+    # 40 buckets of the same 90 texts and one pivot; 9 buckets of another pivot with 30 texts of their own each.
+    rows = [(k, 1, 90, 900, i, i, 10) for k in range(1, 41) for i in range(90)]
+    rows += [(100 + k, 2, 30, 300, 1000 + 30 * k + i, 7, 10) for k in range(9) for i in range(30)]
+    open_ = spark.createDataFrame(rows, "key long, pivot long, n long, words long, id long, root long, n_words int")
+    monkeypatch.setattr(near_dup, "BLOCK", 50)
+    got = near_dup._grouped(open_, ws).collect()
+    first = [r for r in got if r.pivot == 1]
+    assert len(first) == 90 and {(r.key, r.blocks, tuple(sorted(r["keys"]))) for r in first} == {(0, 1, tuple(range(1, 41)))}
+    # Together the others would be cut into blocks, which each bucket is not.
+    assert sorted((r.key, r.id, r.blocks) for r in got if r.pivot == 2) == sorted((r[0], r[4], 1) for r in rows if r[1] == 2)
+    rng = random.Random(24)
+    base = prose(rng, 50).split()
+    texts = near_dup.Texts([" ".join(base[:i] + base[i + 1 :]) for i in range(4)])
+    found = near_dup.joining_links(texts, np.arange(4), None, 0.8, [[1, 5], [2], [5, 7], [2, 9]])
+    assert sorted(tuple(sorted(x)) for x in found) == [(0, 2), (1, 3)]
+
+
 def test_candidates_are_found_down_to_the_least_similarity():
     rng = random.Random(22)
     for n in (26, 60, 100, 300):
