@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from claimloom.llm.suffix_dedup import SALTS, _mix, rolling
+from claimloom.llm.suffix_dedup import SALTS, _mix, _slices, rolling
 from claimloom.operators.joins import hot_keys, skew_join
 from claimloom.workspace import Workspace
 
@@ -128,26 +128,25 @@ def _sketched(numbered: DataFrame) -> DataFrame:
     """(row, doc_id, same, n_words, keys): ``same`` is equal for equal words."""
 
     def run(batches):
-        for batch in batches:
-            for at in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(at, _ROWS)
-                texts = [words_of(t) for t in part.column(2).to_pylist()]
-                same = pa.array([hashlib.blake2b(" ".join(t).encode(), digest_size=16).digest() for t in texts], pa.binary())
-                counts = np.array([len(t) for t in texts], np.int32)
-                keys: list[list] = [[] for _ in texts]
-                for words, least, most in KINDS:
-                    of = [i for i, n in enumerate(counts) if n >= least and (most is None or n <= most)]
-                    if of:
-                        for i, row in zip(of, sketches([texts[i] for i in of], words).view(np.int64)):
-                            keys[i].append(row)
-                offsets = np.concatenate(([0], np.cumsum([sum(map(len, k)) for k in keys]))).astype(np.int32)
-                flat = np.concatenate([np.zeros(0, np.int64), *[x for k in keys for x in k]])
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), same, pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
-                    names=["row", "doc_id", "same", "n_words", "keys"],
-                )
-
-    return numbered.select("row", "doc_id", "text").mapInArrow(run, "row long, doc_id long, same binary, n_words int, keys array<long>")
+        for part in (some.slice(at, _ROWS) for batch in batches for some in _slices(batch, 2) for at in range(0, some.num_rows, _ROWS)):
+            texts = [words_of(t) for t in part.column(2).to_pylist()]
+            same = pa.array([hashlib.blake2b(" ".join(t).encode(), digest_size=16).digest() for t in texts], pa.binary())
+            counts = np.array([len(t) for t in texts], np.int32)
+            keys: list[list] = [[] for _ in texts]
+            for words, least, most in KINDS:
+                of = [i for i, n in enumerate(counts) if n >= least and (most is None or n <= most)]
+                if of:
+                    for i, row in zip(of, sketches([texts[i] for i in of], words).view(np.int64)):
+                        keys[i].append(row)
+            offsets = np.concatenate(([0], np.cumsum([sum(map(len, k)) for k in keys]))).astype(np.int32)
+            flat = np.concatenate([np.zeros(0, np.int64), *[x for k in keys for x in k]])
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), same, pa.array(counts), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))],
+                names=["row", "doc_id", "same", "n_words", "keys"],
+            )
+
+    text = F.coalesce("text", F.lit("")).alias("text")
+    return numbered.select("row", "doc_id", text).mapInArrow(run, "row long, doc_id long, same binary, n_words int, keys array<long>")
 
 
 # Buckets

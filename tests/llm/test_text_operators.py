@@ -342,6 +342,37 @@ def test_a_text_joins_a_group_once_and_meets_in_shared_buckets_only(spark, ws, m
     assert sorted(tuple(sorted(x)) for x in found) == [(0, 2), (1, 3)]
 
 
+def test_sketching_holds_little_of_a_batch_of_long_texts(spark):
+    rng = random.Random(25)
+    words = [prose(rng, 1) for _ in range(5000)]
+    texts = [" ".join(rng.choices(words, k=6000)) for _ in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(40)), pa.array(range(40)), pa.array(texts)], names=["row", "doc_id", "text"])
+    run = sketching(spark)
+    tracemalloc.start()
+    try:
+        sizes = [b.num_rows for b in run([batch])]
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(sizes) == 40
+    assert peak < 30 << 20, peak
+
+
+def sketching(spark):
+    """What the tasks of sketching run."""
+    caught = []
+
+    class Rows:
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            caught.append(run)
+
+    near_dup._sketched(Rows())
+    return caught[0]
+
+
 def test_candidates_are_found_down_to_the_least_similarity():
     rng = random.Random(22)
     for n in (26, 60, 100, 300):
