@@ -20,16 +20,18 @@ k-gram with very many different surroundings is split by longer common parts.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from claimloom.operators.joins import skew_join
+from claimloom.operators.joins import LARGE, hot_keys, skew_join
 from claimloom.workspace import Workspace
 
 LENGTH = 200
@@ -167,6 +169,27 @@ def anchors(pool: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
     return source.mapInArrow(run, "gram long, around long, doc long, mark long, place int")
 
 
+def _shared(pool: DataFrame, ws: Workspace, length: int, k: int) -> DataFrame:
+    """(gram, around, doc, mark, place, alike) of anchors whose gram occurs more than once; ``alike``: all its surroundings are equal.
+
+    Anchors travel once, to the task of their gram.  Grams with more than a
+    small share of the anchors, found on a sample of texts, are counted before
+    they meet, and their anchors spread.
+    """
+    every = anchors(pool, length, k)
+    frequent = hot_keys(anchors(pool.sample(0.01, seed=17), length, k), ["gram"], sample=1).hashes
+    is_hot = F.xxhash64("gram").isin(frequent) if frequent else F.lit(False)
+    least, most, n = F.min("around"), F.max("around"), F.count(F.lit(1))
+    own = W.partitionBy("gram")
+    counted = every.where(~is_hot).select("*", n.over(own).alias("n"), (least.over(own) == most.over(own)).alias("alike"))
+    shared = counted.where("n > 1").drop("n")
+    if not frequent:
+        return shared
+    many = every.where(is_hot)
+    grams = ws.keep(many.groupBy("gram").agg(n.alias("n"), (least == most).alias("alike")).where("n > 1"), "grams")
+    return shared.unionByName(_salted_join(many, grams, ["gram"], "n").drop("n"))
+
+
 def _salted_join(left: DataFrame, right: DataFrame, on: list[str], n: str, how: str = "inner") -> DataFrame:
     """Join with a right side that has one row per key and the number of left rows in ``n``; frequent keys are salted."""
     hot = F.col(n) > 100_000
@@ -453,30 +476,44 @@ def _edges(members: DataFrame, ws: Workspace, length: int, max_group: int) -> Da
 # Whole documents
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """(doc_id, doc, mark, sha, text): the key (doc, mark) tells different texts apart.
+def _keyed(docs: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(doc_id, doc, mark, sha, text, row): the key (doc, mark) tells different texts apart; ``row`` holds the other columns.
 
     ``mark`` is a hash of the text's SHA-256; where there is no id, ``doc`` is another one.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    read = docs.select("doc_id", text.alias("text"), F.unhex(F.sha2(text, 256)).alias("sha"))
+    row = F.struct(*columns) if columns else F.lit(0)
+    read = docs.select("doc_id", text.alias("text"), F.unhex(F.sha2(text, 256)).alias("sha"), row.alias("row"))
     doc = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("sha", F.lit("doc")))
-    return read.select("doc_id", doc.alias("doc"), F.xxhash64("sha").alias("mark"), "sha", "text")
+    return read.select("doc_id", doc.alias("doc"), F.xxhash64("sha").alias("mark"), "sha", "text", "row")
+
 
+def _pool(docs: DataFrame, ws: Workspace, columns: Sequence[str] | None) -> tuple[DataFrame, DataFrame]:
+    """Every row's (doc_id, doc, mark, sha, n), and one row per different text, laid out by its key.
 
-def _pool(docs: DataFrame, ws: Workspace) -> tuple[DataFrame, DataFrame]:
-    """Every row's (doc_id, doc, mark, sha, n), and one row per different text, laid out by its key."""
-    keyed = _keyed(docs)
+    With ``columns``, every row is laid out with them, and ``first`` marks one row per different text.
+    """
+    keyed = _keyed(docs, columns or [])
     rows = ws.keep(keyed.select("doc_id", "doc", "mark", "sha", F.octet_length("text").cast("long").alias("n")), "texts")
     different = rows.groupBy("sha").agg(F.count(F.lit(1)).alias("copies"), F.min(F.struct("doc", "mark")).alias("at"), F.first("n").alias("n"))
-    chosen = different.select(F.col("at.doc").alias("doc"), F.col("at.mark").alias("mark"), "copies", "n", "sha")
+    if columns is None:
+        chosen = different.select(F.col("at.doc").alias("doc"), F.col("at.mark").alias("mark"), "copies", "n", "sha", F.lit(True).alias("first"))
+    else:
+        keys = rows.select("doc", "mark", "sha", "n").distinct()
+        first = F.col("at") == F.struct("doc", "mark")
+        chosen = skew_join(keys, different.drop("n"), ["sha"], right_bytes=LARGE).select("doc", "mark", "copies", "n", "sha", first.alias("first"))
     spark = docs.sparkSession
     size = rows.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), size >> 26, 1)
-    texts = keyed.select("doc", "mark", F.col("text").cast("binary").alias("text"))
+    texts = keyed.select("doc", "mark", F.col("text").cast("binary").alias("text"), *["row"] * (columns is not None))
     laid = texts.repartition(parts, "doc", "mark").join(chosen.repartition(parts, "doc", "mark"), ["doc", "mark"])
     if not rows.groupBy("doc", "mark").count().where("count > 1").isEmpty():
-        laid = laid.dropDuplicates(["doc", "mark"])  # rows that repeat both id and text
+        # Rows that repeat both id and text.
+        if columns is None:
+            laid = laid.dropDuplicates(["doc", "mark"])
+        else:
+            turn = F.row_number().over(W.partitionBy("doc", "mark").orderBy("n"))
+            laid = laid.withColumn("first", F.col("first") & (turn == 1))
     return rows, ws.keep_bucketed(laid, "pool", parts, ["doc", "mark"])
 
 
@@ -527,17 +564,18 @@ def _apply(pool: DataFrame, spans: DataFrame, length: int, k: int, characters: b
                         runs = widened(text, runs)
                     kept = b"".join(text[a:b] for a, b in zip([0, *(r[1] for r in runs)], [*(r[0] for r in runs), n]))
                     out.append((sha, n - len(kept), [{"start": a, "end": b} for a, b in runs], kept))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out), (pa.binary(), pa.int64(), kind, pa.binary()))], names=["sha", "n_removed", "spans", "kept"]
-                )
+                made = [pa.array(c, t) for c, t in zip(zip(*out), (pa.binary(), pa.int64(), kind, pa.binary()))]
+                yield pa.RecordBatch.from_arrays([*made, *part.columns[4:]], names=["sha", "n_removed", "spans", "kept", *others])
 
+    others = ["row"] * ("row" in pool.columns)
     found = spans.groupBy("doc", "mark").agg(F.collect_list(F.struct("place", "low", "high")).alias("found"))
-    source = pool.join(found, ["doc", "mark"], "left").select("sha", "text", "copies", "found")
-    return source.mapInArrow(run, "sha binary, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
+    source = pool.join(found, ["doc", "mark"], "left").select("sha", "text", "copies", "found", *others)
+    made = T.StructType.fromDDL("sha binary, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
+    return source.mapInArrow(run, T.StructType([*made.fields, *(pool.schema[c] for c in others)]))
 
 
 def repeated_strings(
-    docs: DataFrame, ws: Workspace, length: int = LENGTH, k: int = K, max_group: int = MAX_GROUP, characters: bool = False
+    docs: DataFrame, ws: Workspace, length: int = LENGTH, k: int = K, max_group: int = MAX_GROUP, characters: bool = False, columns: Sequence[str] | None = None
 ) -> tuple[DataFrame, DataFrame]:
     """Remove every byte that a string of ``length`` bytes covers that also starts elsewhere.
 
@@ -547,22 +585,18 @@ def repeated_strings(
     n_removed, the removed ``spans`` (start, end) and the ``kept`` bytes.
     With ``characters``, a character that loses some of its bytes loses all of
     them, so the kept bytes are valid text wherever the input is.
+    With ``columns``, the second table has every row instead of every different
+    text, with ``row``, a struct of these columns of ``docs``; they travel with
+    the text, which is shuffled once.
     Repeated rows are copies of each other; texts under one id or none are told
     apart by their digest; a text is read whole, whatever its length; an empty
     table gives empty ones; other columns are ignored.
     """
     if not 0 < k <= length:
         raise ValueError("k must lie between 1 and the length")
-    rows, pool = _pool(docs, ws)
-    every = anchors(pool, length, k)
-    grams = ws.keep(
-        every.groupBy("gram")
-        .agg(F.count(F.lit(1)).alias("n"), F.min("around").alias("a"), F.max("around").alias("b"))
-        .where("n > 1")
-        .select("gram", "n", (F.col("a") == F.col("b")).alias("alike")),
-        "grams",
-    )
-    shared = ws.keep(_salted_join(every, grams, ["gram"], "n").drop("n"), "anchors")
+    rows, pool = _pool(docs, ws, columns)
+    different = pool.where("first")
+    shared = ws.keep(_shared(different, ws, length, k), "anchors")
     mixed = shared.where(~F.col("alike"))
     kinds = ws.keep(
         mixed.groupBy("gram", "around").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc", "mark", "place")).alias("first")), "surroundings"
@@ -571,7 +605,7 @@ def repeated_strings(
         _salted_join(mixed, kinds.where("n > 1").select("gram", "around", "n"), ["gram", "around"], "n", "left_semi").select("doc", "mark", "place")
     )
     wanted = kinds.select("first.doc", "first.mark", "first.place", "gram", (F.col("n") > 1).alias("many"))
-    members = ws.keep(_with_bytes(pool, wanted, length, k), "members")
+    members = ws.keep(_with_bytes(different, wanted, length, k), "members")
     spans = whole.select("*", F.lit(-1).alias("low"), F.lit(-1).alias("high")).unionByName(_edges(members, ws, length, max_group))
     return rows, _apply(pool, spans, length, k, characters)
 

@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 
 from claimloom.llm import bpe, mixing, near_dup, quality, suffix_dedup
 from claimloom.llm.common import fresh_workspace, release, table
-from claimloom.operators.joins import skew_join
 
 #: What the stage before wrote for itself is deleted when the next one begins.
 _NAMES = ("quality", "near_dup", "suffix_dedup", "mixing", "bpe")
@@ -50,17 +49,15 @@ def cut_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     loses everything stays, with an empty text; one that loses nothing keeps its text as it is.
     """
     ws = _workspace(spark, "suffix_dedup")
-    _, texts = suffix_dedup.repeated_strings(docs, ws, characters=True)
     others = [c for c in docs.columns if c != "text"]
-    sha = F.unhex(F.sha2(F.coalesce(F.col("text"), F.lit("")), 256))
-    changed = texts.where("n_removed > 0").select(F.col("sha").alias("_sha"), F.col("kept").cast("string").alias("_kept"))
-    marked = docs.withColumn("_sha", sha)
-    joined = skew_join(marked, ws.keep(changed, "changed"), ["_sha"], "left")
-    text = F.coalesce("_kept", "text")
-    out = joined.withColumn("text", text)
+    # Rows travel with their text, so it is not looked up again; a null text that loses nothing stays null.
+    none = "_" * (1 + max(map(len, docs.columns))) + "none"
+    _, cut = suffix_dedup.repeated_strings(docs.withColumn(none, F.col("text").isNull()), ws, characters=True, columns=[*others, none])
+    out = {c: F.col("row")[c] for c in others}
+    out["text"] = F.when(~F.col("row")[none], F.col("kept").cast("string"))
     if "n_chars" in others:
-        out = out.withColumn("n_chars", F.when(F.col("_kept").isNotNull(), F.length("_kept").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out["n_chars"] = F.when(F.col("n_removed") > 0, F.length(out["text"]).cast(docs.schema["n_chars"].dataType)).otherwise(out["n_chars"])
+    return cut.select(*[out[c].alias(c) for c in docs.columns])
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -68,7 +65,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ws = _workspace(spark, "mixing")
     # Rows are told apart by a number, not by ids that may be missing or repeated.
     rows = ws.keep(docs.withColumn("_number", F.monotonically_increasing_id()), "rows")
-    return mixing.apply_mix(rows, ws.keep(mixing.mix(rows, ws, key="_number"), "taken"), "_number").select(*docs.columns)
+    return mixing.apply_mix(rows, ws.keep(mixing.mix(rows, ws, key="_number"), "taken"), "_number", ws).select(*docs.columns)
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,11 +1,13 @@
 import random
 import time
 import zlib
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from claimloom.llm import html_text, mixing, resharding
+from claimloom.workspace import Workspace
 
 DOC = "doc_id long, text string, source string, size long, shard int, target int"
 
@@ -144,6 +146,36 @@ def test_mix_keeps_rows_without_or_with_repeated_ids(spark, ws):
     assert got == {k: t for k, t in want.items() if t} and sum(got.values()) == 12
 
 
+def test_mixed_texts_are_not_shuffled(spark, tmp_path):
+    import corpus_pipeline
+
+    rng = random.Random(9)
+    rows = [(rng.choice([None, i, i // 3]), " ".join(f"w{i}" for _ in range(rng.randint(0, 9))) + " ", rng.choice(["a", "b", "c", None])) for i in range(200)]
+    rows += [(None, "u v w ", "a")] * 20 + [(7, None, "d"), (8, " ", "d")]
+    df = corpus(spark, rows)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = corpus_pipeline.mix_sources(spark, df, str(tmp_path))
+        assert "Exchange hashpartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+        got = out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    with Workspace(spark) as ws:
+        plan = mixing.mix(ws.keep(df.withColumn("key", F.monotonically_increasing_id()), "numbered"), ws, key="key").collect()
+    whole, cut = Counter(), 0
+    for r in plan:
+        whole[r.doc_id, r.source, r.size] += r.taken // r.size if r.size else 0
+        cut += 1 if r.size and r.taken % r.size else 0
+    texts = Counter(t for _, t, _ in rows)
+    assert Counter((r.doc_id, r.source, len(r.text.split())) for r in got if r.text in texts) == +whole
+    assert sum(r.text not in texts for r in got) == cut and cut > 1
+    words = Counter()
+    for r in got:
+        words[r.source] += len(r.text.split())
+    assert words == +Counter({s: sum(r.taken for r in plan if r.source == s) for s in {r.source for r in plan}})
+
+
 def test_resharding_of_nothing(spark, ws):
     assert resharding.reshard(corpus(spark, []), ws, 8, 6).collect() == []
 

@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 import tracemalloc
 
 import numpy as np
@@ -7,9 +8,11 @@ import public_tokenizers as P
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 from claimloom.llm import bpe, near_dup, quality, suffix_dedup
 from claimloom.llm.suffix_dedup import Surroundings
+from claimloom.operators.joins import HotKeys
 
 DOC = "doc_id long, text string, lang string, source string, n_chars int, size int, shard int"
 
@@ -118,6 +121,35 @@ def test_characters_that_lose_bytes_go_whole_and_others_stay(spark, tmp_path):
     assert got == {i: (t, len(t or "")) for i, t in enumerate(want)}
 
 
+def test_rows_travel_with_their_text_once(spark, tmp_path, monkeypatch):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    passage, once, twice = (prose(rng, 90)[:260] for _ in range(3))
+    rows = [(1, "a " + passage + " b", "x"), (2, passage + "c", "y"), (3, once, "z"), (4, twice, "x"), (4, twice, "y"), (None, twice, "z"), (None, None, "n"), (5, "", "e")]
+    rows += [(6, "y" * 150, "s"), (6, "y" * 150, "s"), (None, "w" * 300, "r"), (7, once + "!", "row")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row string")
+    monkeypatch.setattr("claimloom.operators.joins.SMALL_BYTES", 0)
+    out = corpus_pipeline.cut_repeated_strings(spark, df, str(tmp_path))
+    want = [(i, None if t is None else kept.decode(), r) for (i, t, r), (*_, kept) in zip(rows, repeats([t for _, t, _ in rows], 200))]
+    assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, want)) and out.columns == df.columns
+    # The written texts stay where they are; what was found in them is dealt by group and by their key.
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert set(re.findall(r"Exchange hashpartitioning\((\w+)#", plan)) <= {"grp", "doc"}
+
+
+def test_anchors_of_frequent_grams_are_the_same(spark, ws, monkeypatch):
+    rng = random.Random(13)
+    shared = [prose(rng, 30) for _ in range(3)]
+    texts = [prose(rng, 10) + rng.choice(shared) + prose(rng, 10) for _ in range(30)]
+    _, pool = suffix_dedup._pool(docs_of(spark, texts), ws, None)
+    plain = sorted(map(tuple, suffix_dedup._shared(pool, ws, 50, 12).collect()))
+    some = sorted({r[0] for r in plain})[::2]
+    hashes = [r[0] for r in spark.createDataFrame([(g,) for g in some], "gram long").select(F.xxhash64("gram")).collect()]
+    monkeypatch.setattr(suffix_dedup, "hot_keys", lambda *a, **b: HotKeys(hashes, False))
+    assert plain and sorted(map(tuple, suffix_dedup._shared(pool, ws, 50, 12).collect())) == plain
+
+
 def test_sorted_surroundings_equal_python_order():
     rng = random.Random(8)
     texts = [bytes(rng.choices(b"ab", k=rng.randint(6, 30))) for _ in range(300)]
