@@ -130,12 +130,17 @@ def test_rows_travel_with_their_text_once(spark, tmp_path, monkeypatch):
     rows += [(6, "y" * 150, "s"), (6, "y" * 150, "s"), (None, "w" * 300, "r"), (7, once + "!", "row")]
     df = spark.createDataFrame(rows, "doc_id long, text string, row string")
     monkeypatch.setattr("claimloom.operators.joins.SMALL_BYTES", 0)
-    out = corpus_pipeline.cut_repeated_strings(spark, df, str(tmp_path))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = corpus_pipeline.cut_repeated_strings(spark, df, str(tmp_path))
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     want = [(i, None if t is None else kept.decode(), r) for (i, t, r), (*_, kept) in zip(rows, repeats([t for _, t, _ in rows], 200))]
     assert sorted(map(repr, map(tuple, out.collect()))) == sorted(map(repr, want)) and out.columns == df.columns
-    # The written texts stay where they are; what was found in them is dealt by group and by their key.
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    assert set(re.findall(r"Exchange hashpartitioning\((\w+)#", plan)) <= {"grp", "doc"}
+    # The written texts stay where they are; anchors and what was found are dealt by gram, group and the texts' key.
+    assert set(re.findall(r"Exchange hashpartitioning\((\w+)#", plan)) <= {"gram", "grp", "doc"}
 
 
 def test_anchors_of_frequent_grams_are_the_same(spark, ws, monkeypatch):
