@@ -279,3 +279,35 @@ def test_only_claims_on_a_list_are_written_as_flags_and_classify_all(spark, ws,
     visits = claims.classify_op(feeds["OP"], every).unionByName(claims.classify_car(feeds["CAR"], every))
     assert rows_of(kept["visits"]) == rows_of(visits)
     assert {r[0] for r in visits.select("EncType").distinct().collect()} >= {"OA", "AV"}
+
+
+def test_computed_sources_are_not_computed_for_their_keys(driver, ws, shuffled, monkeypatch):
+    from claimloom.operators import joins
+
+    spec, diagnosis = TABLES["diagnosis"], driver.diagnosis()
+    crosswalks = combine.build_crosswalks({n: driver.source(n) for n in ("demographic", "encounter", "provider")}, ws)
+    read = combine.assemble(ws.keep(diagnosis, "diagnosis"), spec, crosswalks, ordered=False)
+
+    def refuse(*args, **options):
+        raise AssertionError("sampled")
+
+    monkeypatch.setattr(joins, "hot_keys", refuse)
+    assert rows_of(combine.assemble(diagnosis, spec, crosswalks, ordered=False)) == rows_of(read)
+
+
+def test_combined_tables_are_exported_one_by_one_in_order(spark, driver, ws, tmp_path, monkeypatch):
+    from claimloom.operators.ordering import check_written_order
+
+    tables = combine.combine_frames({n: driver.source(n) for n in TABLES}, ws, ordered=False)
+    want = content(tables)
+    written, export = [], combine.export_all
+    monkeypatch.setattr(combine, "export_all", lambda one, *a: written.append(list(one)) or export(one, *a))
+    out = dict(zip(tables, combine.export_combined(tables, str(tmp_path / "out"), "parquet", ws)))
+    assert written == [[n] for n in tables]
+    check_written_order(spark, out, {n: TABLES[n].order for n in tables})
+    assert rows_of(content({n: spark.read.parquet(p) for n, p in out.items()})) == rows_of(want)
+    # Nothing of the way there stays in the workspace.
+    folder = tmp_path / ws.path.rsplit("/", 1)[1]
+    assert not [p for p in folder.rglob("*") if "rekeyed-" in p.name]
+    with pytest.raises(ValueError, match="unsupported format"):
+        combine.export_combined(tables, str(tmp_path / "other"), "xls", ws)

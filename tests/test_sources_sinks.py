@@ -270,3 +270,46 @@ def test_json_is_parsed_once_into_a_written_table(spark, ws, tmp_path):
     sinks.write_table(df.drop("PatID", "samplenum"), str(tmp_path / "in" / "demographic_3.json"), "json")
     with pytest.raises(ValueError, match="no column PatID in demographic_3.json"):
         readers.read_subsamples(spark, str(tmp_path / "in"), "demographic", [1, 2, 3], "json", ws=ws)
+
+
+def shuffle_files(spark):
+    found = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    names = [found.apply(i).getName() for i in range(found.size())]
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+@pytest.mark.parametrize("how", ["keep", "write_table", "write_numbered"])
+def test_written_tables_leave_no_shuffle_files(spark, ws, tmp_path, how):
+    import time
+
+    df = spark.range(2000).selectExpr("id % 3 as samplenum", "id % 50 as k").groupBy("samplenum", "k").count()
+    before = shuffle_files(spark)
+    if how == "keep":
+        ws.keep(df, "counts")
+    elif how == "write_table":
+        sinks.write_table(df.orderBy("k"), str(tmp_path / "t.csv"), "csv")
+    else:
+        sinks.write_numbered(df, "counts", "parquet", str(tmp_path / "n"), ["k"])
+    for _ in range(20):  # they are deleted in the background
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+@pytest.mark.parametrize("fmt", ["csv", "txt", "json"])
+def test_compressed_text_is_read_as_plain_text_is(spark, ws, tmp_path, fmt, monkeypatch):
+    from claimloom.sources import quoted_text
+
+    df = death_rows(spark, 40).selectExpr("*", "cast(1 + length(PatID) % 2 as int) as samplenum")
+    df = df.withColumn("Source", df.Source.substr(1, 0)).replace("D", 'x\n"y"', ["DtImpute"])
+    folder = str(tmp_path / "in")
+    sinks.write_numbered(df, "death", fmt, folder, numbers=[1, 2, 3], compression="gzip")
+    parts = [p.name for p in (tmp_path / "in").rglob("part-*")]
+    assert parts and all(p.endswith(f".{fmt if fmt == 'json' else 'csv'}.gz") for p in parts)
+    # However large, a compressed file is not cut.
+    monkeypatch.setattr(quoted_text, "SPLIT_BYTES", 1)
+    back = readers.read_subsamples(spark, folder, "death", [1, 2, 3], fmt, ws=ws)
+    assert rows_of(back.select(*df.columns)) == rows_of(df)
+    assert "_before" not in back._jdf.queryExecution().toString()
