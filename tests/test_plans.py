@@ -311,3 +311,19 @@ def test_combined_tables_are_exported_one_by_one_in_order(spark, driver, ws, tmp
     assert not [p for p in folder.rglob("*") if "rekeyed-" in p.name]
     with pytest.raises(ValueError, match="unsupported format"):
         combine.export_combined(tables, str(tmp_path / "other"), "xls", ws)
+
+
+def test_translated_tables_are_written_one_after_the_other(spark, driver, ws, tmp_path, monkeypatch):
+    import threading
+
+    from claimloom.sources import sinks
+
+    raw, lists = str(tmp_path / "raw"), str(tmp_path / "lists")
+    for name, df in {**{f"bene_{y}": df for y, df in driver.bene_years().items()}, "pde": driver.pde(), **driver.claim_feeds()}.items():
+        sinks.write_numbered(df, name, "parquet", raw)
+    for name in translate.LOOKUP_FILES:
+        sinks.write_table(getattr(driver.lookups(), name), f"{lists}/{name}.parquet", "parquet")
+    threads, write = [], translate.write_numbered
+    monkeypatch.setattr(translate, "write_numbered", lambda *a, **o: threads.append(threading.current_thread()) or write(*a, **o))
+    translate.translate_to_files(spark, raw, lists, str(tmp_path / "out"))
+    assert threads == [threading.current_thread()] * len(TABLES)
