@@ -313,6 +313,23 @@ def test_combined_tables_are_exported_one_by_one_in_order(spark, driver, ws, tmp
         combine.export_combined(tables, str(tmp_path / "other"), "xls", ws)
 
 
+@pytest.mark.parametrize("name", ["combine_json", "translate_then_combine"])
+def test_text_inputs_of_queries_are_compressed(spark, name, tmp_path, monkeypatch):
+    import claimloom.catalog.queries as catalog
+
+    written, write = [], catalog.sinks.write_numbered
+
+    def watched(df, table, fmt, folder, *args, **options):
+        paths = write(df, table, fmt, folder, *args, **options)
+        written.extend(p.name for path in paths for p in tmp_path.glob(f"{path.removeprefix(str(tmp_path)).lstrip('/')}/part-*"))
+        return paths
+
+    monkeypatch.setattr(catalog.sinks, "write_numbered", watched)
+    monkeypatch.setattr("claimloom.workspace.shared_root", lambda spark: str(tmp_path))
+    assert QUERIES[name](spark, SF).count() > 0
+    assert written and all(p.endswith(".gz") for p in written)
+
+
 def test_translated_tables_are_written_one_after_the_other(spark, driver, ws, tmp_path, monkeypatch):
     import threading
 
