@@ -330,6 +330,16 @@ def test_text_inputs_of_queries_are_compressed(spark, name, tmp_path, monkeypatc
     assert written and all(p.endswith(".gz") for p in written)
 
 
+@pytest.mark.parametrize("name", ["combine_csv", "translate_gap_then_combine"])
+def test_tables_are_measured_one_by_one(spark, name, monkeypatch):
+    import claimloom.catalog.queries as catalog
+
+    kept, keep = [], Workspace.keep
+    monkeypatch.setattr(Workspace, "keep", lambda self, df, name: kept.append(name) or keep(self, df, name))
+    assert catalog.QUERIES[name](spark, SF).count() >= 9
+    assert [k for k in kept if k.startswith("measured-")] == [f"measured-{n}" for n in (*SOURCED_TABLES, "provider", "facility")]
+
+
 def test_translated_tables_are_written_one_after_the_other(spark, driver, ws, tmp_path, monkeypatch):
     import threading
 
